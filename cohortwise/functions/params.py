@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -14,11 +15,12 @@ TECHNICAL_KEYS = ("_target_",)
 
 def merge(first: Column, *others: Column) -> Column:
     """Maps merged left to right; on equal keys the later one wins."""
-    merged = first
-    for other in others:
-        kept = F.map_filter(merged, lambda k, _, o=other: ~F.map_contains_key(o, k))
-        merged = F.map_concat(kept, other)
-    return merged
+    return reduce(_merge_two, others, first)
+
+
+def _merge_two(first: Column, second: Column) -> Column:
+    kept = F.map_filter(first, lambda k, _: ~F.map_contains_key(second, k))
+    return F.map_concat(kept, second)
 
 
 def clean(

@@ -25,6 +25,11 @@ def shuffled(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str] =
     return seeded_rank(df, keys, seed, by, name)
 
 
+def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
+    """First rows in key order."""
+    return df.orderBy(key).limit(rows)
+
+
 def sample_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int) -> DataFrame:
     """Exactly ``min(k, rows)`` random rows without replacement."""
     quota = df.sparkSession.range(1).select(F.lit(0).alias("all"), F.lit(k).alias("quota"))

@@ -119,7 +119,9 @@ def pred_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") == "R").cast("int").alias("y_true"),
         (F.col("l_quantity") > 25).cast("int").alias("y_pred"),
         F.col("l_extendedprice").alias("score"),
+        F.array(F.lit(0.0), (F.col("l_quantity") - 25) / 10).alias("logits"),
         F.col("l_linestatus").alias("split"),
+        F.col("l_linenumber").alias("epoch"),
     )
 
 
@@ -138,7 +140,8 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(F.col("event_id") % 5 == 0, "val").otherwise("train").alias("split"),
     )
-    ranked = rank_in_chunks(kept, F.date_trunc("hour", F.col("ts").cast("timestamp")), ["ts", "event_id"], ["run_id"], "epoch")
+    hour = F.struct(F.to_date("ts"), F.hour("ts"))
+    ranked = rank_in_chunks(kept, hour, ["ts", "event_id"], ["run_id"], "epoch")
     return ranked.select("run_id", F.col("epoch").cast("int").alias("epoch"), "split", "metric", "value")
 
 

@@ -57,9 +57,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def log_metrics(df: DataFrame, path: str) -> None:
-    """Numeric metrics with prefixed names, one folder per split and epoch."""
-    write_parts(numeric_metrics(df), path, ["split", "epoch"])
+def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoch")) -> None:
+    """Numeric metrics with prefixed names. One folder per split and epoch suits
+    a log written epoch by epoch; a whole log goes by split alone."""
+    write_parts(numeric_metrics(df), path, parts)
 
 
 def batches(df: DataFrame, keys: Sequence[str], order: str, batch_size: int, seed: int) -> DataFrame:
