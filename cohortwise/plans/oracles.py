@@ -38,7 +38,7 @@ VIEWS: dict[str, str] = {
                 url, '[?#].*$', ''), '/+$', ''), '^https?://', '/') AS path FROM pages)""",
     "v_class_dirs": """
         SELECT page_id, path AS image_files, split_part(path, '/', -2) AS class_name,
-               dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1 AS labels
+               (dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1)::INT AS labels
         FROM v_scans""",
     "v_page_samples": """
         SELECT image_files, labels,
@@ -46,12 +46,12 @@ VIEWS: dict[str, str] = {
                     THEN 'train' ELSE 'test' END AS split
         FROM v_class_dirs""",
     "v_patients": """
-        SELECT c_custkey * 2 AS id,
+        SELECT (c_custkey * 2)::INT AS id,
                CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 'unknown'
                     ELSE c_nationkey || '.7' END AS target
         FROM customer""",
     "v_lookup": """
-        SELECT s.patient, s.filename, trunc(try_cast(p.target AS DOUBLE))::BIGINT AS target, s.scans,
+        SELECT s.patient, s.filename, trunc(try_cast(p.target AS DOUBLE))::INT AS target, s.scans,
                CASE WHEN s.patient IS NULL THEN 'bad_id' WHEN p.id IS NULL THEN 'missing'
                     WHEN try_cast(p.target AS DOUBLE) IS NULL THEN 'bad_target' ELSE 'ok' END AS status
         FROM (SELECT patient, split_part(max(path), '/', -1) AS filename, count(*) AS scans
@@ -71,7 +71,7 @@ VIEWS: dict[str, str] = {
                l_linestatus AS split, l_linenumber AS epoch
         FROM lineitem""",
     "v_metric_log": """
-        SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS epoch,
+        SELECT user_id AS run_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id))::INT AS epoch,
                CASE WHEN event_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, event_type AS metric, value
         FROM events""",
     "v_params": """
@@ -176,7 +176,7 @@ oracle("write_eval", """SELECT 'test' AS split, 3 AS epoch, y_true, y_pred, coun
     FROM v_pred_lines GROUP BY y_true, y_pred""")
 oracle(
     "run_report",
-    """SELECT section, line_no, line FROM (
+    """SELECT section, line_no::INT AS line_no, line FROM (
         SELECT 1 AS section, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM (SELECT [
             '# Run summary', '## Test results', '### Evaluation metrics',
             '| model_name | roc_auc | accuracy | loss | precision | recall | f1-score |',
@@ -224,7 +224,7 @@ oracle("threshold_counts", """SELECT count(*) AS n, count(*) FILTER (total < 180
 oracle("restrict_to_subset", """SELECT order_key, array_to_string(labels, ',') AS labels FROM v_labels
     WHERE len(list_filter(labels, lambda x: x NOT IN ('PROMO', 'SMALL', 'LARGE'))) = 0""")
 oracle("drop_nulls", "SELECT * FROM v_patients WHERE target IS NOT NULL")
-oracle("safe_int_target", """SELECT id, trunc(try_cast(target AS DOUBLE))::BIGINT AS code FROM v_patients
+oracle("safe_int_target", """SELECT id, trunc(try_cast(target AS DOUBLE))::INT AS code FROM v_patients
     WHERE try_cast(target AS DOUBLE) IS NOT NULL""")
 oracle("metaclass", """SELECT order_key, CASE WHEN contains(finding_labels, 'PROMO') THEN 'PROMO' ELSE 'Non-PROMO' END
     AS finding_labels, finding_labels AS old_finding_labels FROM v_findings""")
@@ -314,7 +314,7 @@ oracle("metrics_by_name", f"""SELECT split, round(avg((y_true = y_pred)::INT), 6
 
 # --- run logs ---
 oracle("best_epochs", """SELECT run_id, epoch, value, place FROM (
-    SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY value, epoch) AS place FROM v_metric_log) WHERE place <= 2""")
+    SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY value, epoch))::INT AS place FROM v_metric_log) WHERE place <= 2""")
 oracle(
     "early_stop",
     """SELECT run_id, count(*) AS epochs, min(CASE WHEN epoch - last >= 10 THEN epoch END) AS stop_epoch FROM e_l GROUP BY 1""",
@@ -345,9 +345,9 @@ oracle("basename", "SELECT page_id, name FROM v_scans")
 oracle("patient_id", "SELECT page_id, split_part(name, '.', 1) AS patient_id FROM v_scans")
 oracle("scan_number", """SELECT page_id, try_cast(right(split_part(split_part(name, '.', 1), '-', 1), 3) AS INTEGER)
     AS number FROM v_scans""")
-oracle("split_labels", """SELECT order_key, len(labels) AS n_labels, labels[1] AS first_label, labels[-1] AS last_label
+oracle("split_labels", """SELECT order_key, len(labels)::INT AS n_labels, labels[1] AS first_label, labels[-1] AS last_label
     FROM v_labels""")
-oracle("label_encode", """SELECT order_key, finding_labels, dense_rank() OVER (ORDER BY finding_labels) - 1 AS code
+oracle("label_encode", """SELECT order_key, finding_labels, (dense_rank() OVER (ORDER BY finding_labels) - 1)::INT AS code
     FROM v_findings""")
 oracle("multilabel_binarize", "SELECT order_key, " + ", ".join(
     f"list_contains(labels, '{c}')::INT AS \"{c}\""
@@ -388,7 +388,7 @@ oracle(
     "stratified_split3",
     """SELECT key, class_name, code, 'test' AS split FROM s_1 WHERE test
     UNION ALL SELECT key, class_name, code, CASE WHEN r <= quota THEN 'val' ELSE 'train' END FROM s_3 JOIN q2 ON c = code""",
-    """s_0 AS (SELECT key, class_name, dense_rank() OVER (ORDER BY class_name) - 1 AS code FROM (
+    """s_0 AS (SELECT key, class_name, (dense_rank() OVER (ORDER BY class_name) - 1)::INT AS code FROM (
         SELECT key, ['large', 'small', 'medium'][labels + 1] AS class_name FROM v_samples))""",
     quotas("s_0", "code"),
     f"""s_1 AS (SELECT key, class_name, code, r <= quota AS test
@@ -441,13 +441,13 @@ oracle("cohort_by_list", f"""SELECT order_key, '/scans/' || order_key AS image_f
     FROM v_labels JOIN v_split_list ON id = order_key WHERE {IS_POSITIVE}""")
 oracle("cohort_by_column", COLUMN_COHORT)
 IN_TRAIN = "('0x' || substr(md5('42|' || page_id), 1, 8))::BIGINT % 100 < 80"
-PAGE_CODE = "dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1"
+PAGE_CODE = "(dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1)::INT"
 oracle("cohort_by_dirs", f"""SELECT path AS image_files, class_name, labels,
         unnest(CASE WHEN labels = 0 THEN [1, 2, 3] ELSE [1] END) AS copy, 'train' AS split
     FROM (SELECT path, split_part(path, '/', -2) AS class_name, {PAGE_CODE} AS labels FROM v_scans WHERE {IN_TRAIN})
     UNION ALL SELECT path, split_part(path, '/', -2), {PAGE_CODE}, 1, 'test' FROM v_scans WHERE NOT {IN_TRAIN}""")
 oracle("cohort_by_lookup", """SELECT s.patient, '/scans/' || s.filename AS image_files,
-        trunc(try_cast(p.target AS DOUBLE))::BIGINT AS labels
+        trunc(try_cast(p.target AS DOUBLE))::INT AS labels
     FROM (SELECT patient, split_part(max(path), '/', -1) AS filename
           FROM (SELECT path, try_cast(right(split_part(split_part(name, '.', 1), '-', 1), 3) AS INTEGER) AS patient
                 FROM v_scans WHERE NOT contains(path, '.html')) GROUP BY patient) s
@@ -485,7 +485,7 @@ oracle(
 )
 
 # --- vectors ---
-VALUES = "SELECT vec_id, generate_subscripts(v, 1) - 1 AS position, unnest(v) AS value FROM ({0})"
+VALUES = "SELECT vec_id, (generate_subscripts(v, 1) - 1)::INT AS position, unnest(v) AS value FROM ({0})"
 oracle("vec_normalize", VALUES.format("""SELECT vec_id,
         list_transform(embedding, lambda x: (x::DOUBLE * 2.0::DOUBLE / 0.35::DOUBLE - 1.0::DOUBLE) * 1024.0::DOUBLE) AS v
         FROM embeddings WHERE list_max(embedding) <= 0.35::DOUBLE""") + """
