@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -10,17 +12,29 @@ def argmax(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is evaluated once. A plain column expression
+    used inside a lambda would be evaluated again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
 def softmax(scores: Column) -> Column:
     """Scores as probabilities, shifted by the maximum for stability."""
-    top = F.array_max(scores).cast("double")
-    exps = F.transform(scores, lambda x: F.exp(x.cast("double") - top))
-    total = F.aggregate(exps, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(exps, lambda x: x / total)
+    exps = let(
+        F.array_max(scores).cast("double"),
+        lambda top: F.transform(scores, lambda x: F.exp(x.cast("double") - top)),
+    )
+    return let(exps, lambda e: let(total(e), lambda t: F.transform(e, lambda x: x / t)))
 
 
 def cross_entropy(scores: Column, y_true: Column) -> Column:
     """Cross-entropy of one row: log of the summed exponentials minus the true score."""
-    top = F.array_max(scores).cast("double")
-    total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - top))
-    true_score = F.get(scores, y_true).cast("double")
-    return F.log(total) + top - true_score
+    log_sum = let(
+        F.array_max(scores).cast("double"),
+        lambda top: F.log(total(F.transform(scores, lambda x: F.exp(x.cast("double") - top)))) + top,
+    )
+    return log_sum - F.get(scores, y_true).cast("double")

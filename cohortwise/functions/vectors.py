@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 Step = Callable[[Column], Column]
 
@@ -48,7 +49,7 @@ def pipeline_steps(load: Sequence[Step], train: Sequence[Step] = (), use_train:
     return [*load, *(train if use_train else ()), to_tensor]
 
 
-def apply_steps(vector: Column, steps: Sequence[Step]) -> Column:
-    for step in steps:
-        vector = step(vector)
-    return vector
+def apply_steps(df: DataFrame, column: str, steps: Sequence[Step]) -> DataFrame:
+    """The column after all steps; each step is a projection of its own, so a
+    step that uses its input several times does not repeat the earlier ones."""
+    return reduce(lambda d, step: d.withColumn(column, step(F.col(column))), steps, df)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortwise.functions.scores import argmax, cross_entropy
 from cohortwise.operators.ranks import CHUNK, range_chunk
-from cohortwise.session import fitted
+from cohortwise.session import fitted, materialize
 
 logger = logging.getLogger(__name__)
 
@@ -183,12 +183,16 @@ def roc_auc(
     """Area under the ROC curve; ties count half; null with one class only.
 
     Rows are first reduced to counts per distinct score, so hard predictions end
-    as two rows. Up to ``plain_scores`` distinct scores are ordered in one task,
-    more of them over score ranges.
+    as two rows. While a sketch finds at most half of ``plain_scores`` distinct
+    ones, they are ordered in one task; else the counts are stored and ordered
+    over score ranges.
     """
     per_score = score_counts(df, score, y_true, positive)
-    few = per_score.limit(plain_scores + 1).count() <= plain_scores
-    return auc_from_counts(negatives_below(per_score) if few else negatives_below_chunked(per_score))
+    distinct = df.agg(F.approx_count_distinct(score).alias("d")).first().d
+    if 2 * distinct <= plain_scores:
+        return auc_from_counts(negatives_below(per_score))
+    stored = materialize(per_score, "scores")
+    return auc_from_counts(negatives_below_chunked(stored))
 
 
 def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_score: str = "y_pred") -> DataFrame:

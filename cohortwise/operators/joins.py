@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortwise.functions.labels import int_target
 from cohortwise.functions.names import base_name, scan_number
+from cohortwise.operators.sets import union_parts
 
 
 def join_scans(metadata: DataFrame, scans: DataFrame, on: str) -> DataFrame:
@@ -38,11 +39,11 @@ def bind_columns(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
 def list_membership(lists: Mapping[str, DataFrame], on: str) -> DataFrame:
     """Split lists as one table: each key with the sorted lists that name it."""
-    parts = None
-    for name, ids in lists.items():
-        part = ids.select(F.col(ids.columns[0]).alias(on), F.lit(name).alias("_part"))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy(on).agg(F.sort_array(F.collect_set("_part")).alias("parts"))
+    names = sorted(lists)
+    listed = union_parts(*[lists[n].select(F.col(lists[n].columns[0]).alias(on), F.lit(n).alias("_part")) for n in names])
+    flags = [F.max(F.col("_part") == n).alias(f"_in_{i}") for i, n in enumerate(names)]
+    found = F.array(*[F.when(F.col(f"_in_{i}"), F.lit(n)) for i, n in enumerate(names)])
+    return listed.groupBy(on).agg(*flags).select(on, F.array_compact(found).alias("parts"))
 
 
 def split_by_lists(df: DataFrame, lists: Mapping[str, DataFrame], on: str) -> DataFrame:

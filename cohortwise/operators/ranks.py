@@ -8,16 +8,20 @@ all rows is thus spread over thousands of chunks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cohortwise.session import fitted
 
 # Leading hex digits of the seeded hash that name a chunk: 16**3 chunks per group.
 CHUNK_DIGITS = 3
 
+# Most ranges a numeric sort is cut into.
+MAX_RANGES = 4096
+
 GROUP, CHUNK, HASH = "_group", "_chunk", "_hash"
 
 
@@ -36,10 +40,14 @@ def hash_chunk(hashed: Column) -> Column:
     return F.substring(hashed, 1, CHUNK_DIGITS)
 
 
-def chunk_starts(chunked: DataFrame) -> DataFrame:
-    """Per group and chunk: its size, and the rows of the group before it."""
+def chunk_sizes(chunked: DataFrame) -> DataFrame:
+    """Rows per group and chunk."""
+    return chunked.groupBy(GROUP, CHUNK).agg(F.count(F.lit(1)).alias("_size"))
+
+
+def chunk_starts(sizes: DataFrame) -> DataFrame:
+    """Chunk sizes with the number of rows of the group before each chunk."""
     before = Window.partitionBy(GROUP).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = chunked.groupBy(GROUP, CHUNK).agg(F.count(F.lit(1)).alias("_size"))
     return sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
 
 
@@ -52,7 +60,7 @@ def rank_in_chunks(
     group and chunk; the join with the chunk starts keeps that partitioning.
     """
     chunked = df.withColumn(GROUP, group_of(by)).withColumn(CHUNK, chunk)
-    starts = chunk_starts(chunked.select(GROUP, CHUNK)).drop("_size")
+    starts = chunk_starts(chunk_sizes(chunked.select(GROUP, CHUNK))).drop("_size")
     inside = Window.partitionBy(GROUP, CHUNK).orderBy(*order)
     return (
         chunked.withColumn("_inside", F.row_number().over(inside))
@@ -70,7 +78,13 @@ def seeded_rank(
     return rank_in_chunks(hashed, hash_chunk(F.col(HASH)), [HASH, *keys], by, name).drop(HASH)
 
 
-def range_chunk(df: DataFrame, column: str, chunks: int = 1024) -> tuple[DataFrame, Column]:
+def range_count(spark: SparkSession) -> int:
+    """Ranges to cut a sort into: some per shuffle partition, so that it grows
+    with the cluster."""
+    return max(64, min(MAX_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[DataFrame, Column]:
     """``df`` with a chunk column that follows the values of a numeric column.
 
     The cut points are fitted once by approximate percentiles and then fixed, so
@@ -79,14 +93,14 @@ def range_chunk(df: DataFrame, column: str, chunks: int = 1024) -> tuple[DataFra
     kind = df.schema[column].dataType
     if not isinstance(kind, T.NumericType):
         raise TypeError(f"{column} is {kind.simpleString()}; ranges are cut over numeric columns")
+    chunks = chunks or range_count(df.sparkSession)
     shares = [i / chunks for i in range(1, chunks)]
-    cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * chunks).alias("cuts")).first()[0]
-    splits = [float("-inf"), *sorted({c for c in cuts or [] if c == c and abs(c) != float("inf")}), float("inf")]
-    if len(splits) == 2:
-        splits.insert(1, 0.0)
-    source = df.withColumn("_cut_value", F.col(column).cast("double"))
-    cutter = Bucketizer(splits=splits, inputCol="_cut_value", outputCol="_range", handleInvalid="keep")
-    return cutter.transform(source).drop("_cut_value"), F.col("_range")
+    cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * chunks).alias("cuts")).first().cuts
+    inner = sorted({c for c in cuts or [] if math.isfinite(c)}) or [0.0]
+    cutter = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol="_value", outputCol="_range", handleInvalid="keep"
+    )
+    return cutter.transform(df.withColumn("_value", F.col(column).cast("double"))).drop("_value"), F.col("_range")
 
 
 def ordered_rank(df: DataFrame, column: str, keys: Sequence[str], by: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -95,46 +109,70 @@ def ordered_rank(df: DataFrame, column: str, keys: Sequence[str], by: Sequence[s
     return rank_in_chunks(chunked, chunk, [column, *keys], by, name).drop("_range")
 
 
-def pick_first(
+def assign_parts(
     df: DataFrame,
-    quotas: DataFrame,
+    quota_of: Callable[[DataFrame], DataFrame],
+    parts: Sequence[str],
     keys: Sequence[str],
     seed: int | str,
     by: Sequence[str] = (),
-    name: str = "picked",
+    rest: str | None = None,
+    name: str = "part",
 ) -> DataFrame:
-    """Mark the first ``quota`` rows of each group in seeded order.
+    """Deal the rows of each group out to parts, in seeded order.
+
+    The first rows of a group go to the first part, as many as its quota says,
+    the next ones to the second part, and so on; what is left gets ``rest``.
+    ``quota_of`` turns the group sizes (the ``by`` columns and ``n``) into the
+    same groups with one quota column per part. ``keys`` must be unique.
 
-    ``quotas`` has the ``by`` columns and ``quota``; groups missing there get no
-    row, quotas beyond the group size take it whole. The rows are never shuffled: the chunk sizes
-    tell in which chunk a quota ends, only that chunk (1 in 4096 rows of the
-    group) is ranked, and the row where the quota ends becomes the cut value
-    that all other rows are compared with. ``keys`` must be unique.
+    The rows are never shuffled. The chunk sizes tell in which chunk a part ends;
+    only that chunk, 1 in 4096 rows of the group, is ranked. Its row at the end
+    of the part becomes the cut value that all rows are compared with.
     """
     narrow = df.select(group_of(by).alias(GROUP), seeded_hash(seed, keys).alias(HASH), *keys)
     narrow = narrow.withColumn(CHUNK, hash_chunk(F.col(HASH)))
-    wanted = quotas.select(group_of(by).alias(GROUP), F.col("quota").cast("bigint").alias("quota"))
-
-    starts = chunk_starts(narrow.select(GROUP, CHUNK))
-    total = F.sum("_size").over(Window.partitionBy(GROUP))
+    sizes = chunk_sizes(narrow.select(GROUP, CHUNK))
+
+    counts = sizes.groupBy(GROUP).agg(F.sum("_size").alias("n"))
+    quotas = quota_of(counts.select(*[F.col(f"{GROUP}.{c}").alias(c) for c in by], "n"))
+    upto, stops = F.lit(0), []
+    for i, part in enumerate(parts):
+        upto = upto + F.col(part)
+        stops.append(F.struct(F.lit(i).alias("_part"), upto.cast("bigint").alias("_upto")))
+    stops = quotas.select(group_of(by).alias(GROUP), F.inline(F.array(*stops)))
     ends = (
-        starts.withColumn("_total", total)
-        .join(wanted, GROUP)
-        .withColumn("_need", F.least("quota", "_total") - F.col("_start"))
+        chunk_starts(sizes)
+        .join(stops, GROUP)
+        .withColumn("_need", F.col("_upto") - F.col("_start"))
         .where((F.col("_need") > 0) & (F.col("_need") <= F.col("_size")))
-        .select(GROUP, CHUNK, "_need")
+        .select(GROUP, CHUNK, "_part", "_need")
     )
-    position = F.row_number().over(Window.partitionBy(GROUP).orderBy(HASH, *keys))
-    cuts = (
+
+    position = F.row_number().over(Window.partitionBy(GROUP, "_part").orderBy(HASH, *keys))
+    at_end = (
         narrow.join(fitted(ends), [GROUP, CHUNK])
         .withColumn("_position", position)
         .where(F.col("_position") == F.col("_need"))
-        .select(GROUP, F.struct(HASH, *keys).alias("_cut"))
+    )
+    row = F.struct(HASH, *keys)
+    cuts = at_end.groupBy(GROUP).agg(
+        *[F.max(F.when(F.col("_part") == i, row)).alias(f"_cut_{i}") for i in range(len(parts))]
     )
     own = F.struct(seeded_hash(seed, keys).alias(HASH), *[F.col(k) for k in keys])
+    choice = F.when(F.lit(False), F.lit(None).cast("string"))
+    for i, part in enumerate(parts):
+        choice = choice.when(own <= F.col(f"_cut_{i}"), F.lit(part))
     return (
         df.withColumn(GROUP, group_of(by))
         .join(fitted(cuts), GROUP, "left")
-        .withColumn(name, F.coalesce(own <= F.col("_cut"), F.lit(False)))
-        .drop(GROUP, "_cut")
+        .select(*df.columns, choice.otherwise(F.lit(rest).cast("string")).alias(name))
     )
+
+
+def pick_first(
+    df: DataFrame, quota_of: Callable[[DataFrame], DataFrame], keys: Sequence[str], seed: int | str, by: Sequence[str] = ()
+) -> DataFrame:
+    """The first ``quota`` rows of each group in seeded order."""
+    dealt = assign_parts(df, quota_of, ["quota"], keys, seed, by, name="_part")
+    return dealt.where(F.col("_part").isNotNull()).drop("_part")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortwise.functions.names import join_path
 from cohortwise.operators.classes import encode
-from cohortwise.operators.ranks import pick_first, seeded_rank
+from cohortwise.operators.ranks import assign_parts, pick_first, seeded_rank
 from cohortwise.session import fitted
 
 # Fixed values
@@ -32,9 +32,7 @@ def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
 
 def sample_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int) -> DataFrame:
     """Exactly ``min(k, rows)`` random rows without replacement."""
-    quota = df.sparkSession.range(1).select(F.lit(0).alias("all"), F.lit(k).alias("quota"))
-    marked = pick_first(df, quota.select("quota"), keys, seed)
-    return marked.where("picked").drop("picked")
+    return pick_first(df, lambda counts: counts.select(F.least("n", F.lit(k)).alias("quota")), keys, seed)
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -42,28 +40,32 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return fitted(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
 
 
-def test_quotas(counts: DataFrame, label: str, test_size: float) -> DataFrame:
-    """Test rows per class for a stratified split of ``test_size``.
+def with_test_quota(counts: DataFrame, label: str, test_size: float, name: str, n: str = "n") -> DataFrame:
+    """Test rows per class for a stratified split of ``test_size``, as a column.
 
     The test part has ``ceil(test_size * n)`` rows in all. Train quotas are the
     class shares rounded down, the missing units go to the largest fractions,
-    ties to the smaller label; the rest of each class is test.
+    ties to the smaller label; the rest of each class is test. A class of one
+    row cannot be split and is an error.
     """
     everything = Window.partitionBy()
     exact = "decimal(19,0)"
+    size = F.col(n)
     shares = (
-        counts.withColumn("_all", F.sum("n").over(everything))
+        counts.withColumn("_all", F.sum(n).over(everything))
         .withColumn("_train", (F.col("_all") - F.ceil(F.lit(float(test_size)) * F.col("_all"))).cast("bigint"))
-        .withColumn("_scaled", F.col("n").cast(exact) * F.col("_train").cast(exact))
+        .withColumn("_scaled", size.cast(exact) * F.col("_train").cast(exact))
         .withColumn("_fraction", (F.col("_scaled") % F.col("_all").cast(exact)).cast("bigint"))
         .withColumn("_whole", ((F.col("_scaled") - F.col("_fraction")) / F.col("_all").cast(exact)).cast("bigint"))
     )
     missing = F.col("_train") - F.sum("_whole").over(everything)
     place = F.row_number().over(everything.orderBy(F.desc("_fraction"), F.asc(label)))
+    too_small = F.raise_error(F.lit(f"a class of {label} has under two rows and cannot be split"))
     return (
         shares.withColumn("_missing", missing)
         .withColumn("_extra", (place <= F.col("_missing")).cast("bigint"))
-        .select(label, "n", (F.col("n") - F.col("_whole") - F.col("_extra")).alias("quota"))
+        .withColumn(name, F.when(size < 2, too_small.cast("bigint")).otherwise(size - F.col("_whole") - F.col("_extra")))
+        .select(*counts.columns, name)
     )
 
 
@@ -77,12 +79,9 @@ def stratified_split(
     name: str = "split",
 ) -> DataFrame:
     """Two-way split column with the class shares kept in both parts."""
-    counts = class_counts(df, label)
-    if counts.where(F.col("n") < 2).take(1):
-        raise ValueError(f"a class of {label} has under two rows and cannot be split")
-    quotas = fitted(test_quotas(counts, label, test_size))
-    marked = pick_first(df, quotas, keys, seed, [label], "_picked")
-    return marked.withColumn(name, F.when(F.col("_picked"), names[1]).otherwise(names[0])).drop("_picked")
+    train, test = names
+    quota_of = lambda counts: with_test_quota(counts, label, test_size, test)
+    return assign_parts(df, quota_of, [test], keys, seed, [label], train, name)
 
 
 def stratified_split3(
@@ -95,16 +94,22 @@ def stratified_split3(
     code: str | None = None,
 ) -> DataFrame:
     """Labels as dense codes, then test rows split off, then validation rows
-    from the remaining ones (by the next seed)."""
+    from the remaining ones.
+
+    Both steps follow the same seeded order, so one pass finds all cuts: the
+    validation rows are those that come next after the test rows.
+    """
     coded = encode(df, label, code or label)
     label = code or label
-    first = stratified_split(coded, label, keys, seed, test_size)
     if not perform_validation:
-        return first
-    second = stratified_split(
-        first.where("split = 'train'").drop("split"), label, keys, seed + 1, test_size, ("train", "val")
-    )
-    return first.where("split = 'test'").select(second.columns).unionByName(second)
+        return stratified_split(coded, label, keys, seed, test_size)
+
+    def quota_of(counts: DataFrame) -> DataFrame:
+        first = with_test_quota(counts, label, test_size, "test")
+        left = first.withColumn("_left", F.col("n") - F.col("test"))
+        return with_test_quota(left, label, test_size, "val", "_left")
+
+    return assign_parts(coded, quota_of, ["test", "val"], keys, seed, [label], "train", "split")
 
 
 def draws(counts: DataFrame, label: str, need: Column, seed: int) -> DataFrame:
@@ -146,10 +151,8 @@ def resample_to_value(
 
 def undersample(df: DataFrame, label: str, keys: Sequence[str], seed: int) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement."""
-    counts = class_counts(df, label)
-    smallest = counts.agg(F.min("n")).first()[0] or 0
-    marked = pick_first(df, counts.select(label, F.lit(smallest).alias("quota")), keys, seed, [label])
-    return marked.where("picked").drop("picked")
+    smallest = F.min("n").over(Window.partitionBy()).alias("quota")
+    return pick_first(df, lambda counts: counts.select(label, smallest), keys, seed, [label])
 
 
 def mix_generated(
@@ -187,19 +190,31 @@ def prepare_splits(
     table; the fitted steps read it several times. Rows from a bootstrap have a
     ``draw`` number, all others null.
     """
+    if sampling not in (None, "bootstrap", "undersample"):
+        raise ValueError(f"sampling {sampling!r} is not 'bootstrap' or 'undersample'")
+    no_draw = F.lit(None).cast("bigint")
+    if sampling == "undersample" and generated is None:
+        return _split_and_undersample(df, label, keys, seed, test_size).withColumn("draw", no_draw)
     parts = stratified_split(df, label, keys, seed, test_size, ("train", "val"))
     train, val = (parts.where(F.col("split") == p).drop("split") for p in ("train", "val"))
     if generated is not None:
         train = mix_generated(train, generated, label, positive, keys, seed)
-    no_draw = F.lit(None).cast("bigint")
     if sampling == "bootstrap":
         train = bootstrap_per_class(train, label, keys, value, seed)
-    elif sampling == "undersample":
-        train = undersample(train, label, keys, seed).withColumn("draw", no_draw)
-    elif sampling is None:
-        train = train.withColumn("draw", no_draw)
     else:
-        raise ValueError(f"sampling {sampling!r} is not 'bootstrap' or 'undersample'")
+        train = (undersample(train, label, keys, seed) if sampling else train).withColumn("draw", no_draw)
     return train.withColumn("split", F.lit("train")).unionByName(
         val.withColumn("draw", no_draw).withColumn("split", F.lit("val"))
     )
+
+
+def _split_and_undersample(df: DataFrame, label: str, keys: Sequence[str], seed: int, test_size: float) -> DataFrame:
+    """Validation rows, then equally many train rows of each class, in one pass."""
+
+    def quota_of(counts: DataFrame) -> DataFrame:
+        split = with_test_quota(counts, label, test_size, "val")
+        left = (F.col("n") - F.col("val")).alias("_left")
+        return split.select("*", left).withColumn("train", F.min("_left").over(Window.partitionBy()))
+
+    dealt = assign_parts(df, quota_of, ["val", "train"], keys, seed, [label], None, "split")
+    return dealt.where(F.col("split").isNotNull())

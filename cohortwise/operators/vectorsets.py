@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwise.functions.scores import softmax
+from cohortwise.functions.scores import softmax, total
 from cohortwise.operators.ranks import seeded_hash, seeded_rank
 
 # Largest vector width whose moments (width x width sums) are brought together.
@@ -110,21 +110,23 @@ def inception_score(
     return scored.agg(F.avg("score").alias("inception_mean"), F.stddev_samp("score").alias("inception_std"))
 
 
-def ssim(x: Column, y: Column, data_range: Column) -> Column:
-    """Structural similarity of two vectors, taken as one window each."""
-    n = F.size(x).cast("double")
+def ssim(pairs: DataFrame, x: str, y: str, data_range: float, name: str = "ssim") -> DataFrame:
+    """Structural similarity of two vector columns, each vector as one window."""
 
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    def products(a: str, b: str) -> Column:
+        return total(F.zip_with(a, b, lambda u, v: u.cast("double") * v.cast("double")))
 
-    both = F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double"))
-    square = lambda v: F.transform(v, lambda a: a.cast("double") * a.cast("double"))
-    plain = lambda v: F.transform(v, lambda a: a.cast("double"))
-    mx, my = total(plain(x)) / n, total(plain(y)) / n
-    vx, vy = total(square(x)) / n - mx * mx, total(square(y)) / n - my * my
-    cov = total(both) / n - mx * my
-    c1, c2 = (F.lit(SSIM_K1) * data_range) ** 2, (F.lit(SSIM_K2) * data_range) ** 2
-    return ((2 * mx * my + c1) * (2 * cov + c2)) / ((mx * mx + my * my + c1) * (vx + vy + c2))
+    def values(a: str) -> Column:
+        return total(F.transform(a, lambda u: u.cast("double")))
+
+    sums = pairs.withColumns(
+        {"_n": F.size(x), "_x": values(x), "_y": values(y), "_xx": products(x, x), "_yy": products(y, y), "_xy": products(x, y)}
+    )
+    n, c1, c2 = F.col("_n"), (SSIM_K1 * data_range) ** 2, (SSIM_K2 * data_range) ** 2
+    mx, my = F.col("_x") / n, F.col("_y") / n
+    vx, vy, cov = F.col("_xx") / n - mx * mx, F.col("_yy") / n - my * my, F.col("_xy") / n - mx * my
+    similarity = ((2 * mx * my + c1) * (2 * cov + c2)) / ((mx * mx + my * my + c1) * (vx + vy + c2))
+    return sums.withColumn(name, similarity).drop("_n", "_x", "_y", "_xx", "_yy", "_xy")
 
 
 def pair_ssim(fake: DataFrame, real: DataFrame, vector: str, keys: Sequence[str], seed: int) -> DataFrame:
@@ -137,5 +139,5 @@ def pair_ssim(fake: DataFrame, real: DataFrame, vector: str, keys: Sequence[str]
         for side, name in ((fake, "x"), (real, "y"))
     )
     pairs = left.join(right, "rank")
-    similarity = ssim(F.col("x"), F.col("y"), F.lit(float(max(ranges))))
-    return pairs.agg(F.avg(similarity).alias("ssim"), F.count(F.lit(1)).alias("pairs"))
+    scored = ssim(pairs, "x", "y", float(max(ranges)))
+    return scored.agg(F.avg("ssim").alias("ssim"), F.count(F.lit(1)).alias("pairs"))

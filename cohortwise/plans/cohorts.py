@@ -26,8 +26,9 @@ from cohortwise.operators.rows import (
 from cohortwise.operators.sampling import SAMPLE_TO_VALUE, TEST_SIZE, prepare_splits
 from cohortwise.operators.sets import combine_datasets, replicate_class
 from cohortwise.operators.summary import percent_text, share
+from cohortwise.session import materialize
 from cohortwise.sources.scans import class_dir_samples, list_files
-from cohortwise.sources.sinks import batches, materialize
+from cohortwise.sources.sinks import batches
 
 # Fixed values
 TRAIN_LIST, TEST_LIST = "train", "test"
@@ -170,9 +171,10 @@ def prepare_job(
     generated: DataFrame | None = None,
 ) -> DataFrame:
     """From a cohort with train and test rows to numbered batches of train, val
-    and test. The train rows are written once, as the fitted steps of the split
-    read them several times."""
-    train = materialize(samples.where("split = 'train'").drop("split"), "train")
+    and test. The cohort is written once, as the fitted steps read it several
+    times."""
+    stored = materialize(samples, "samples")
+    train = stored.where("split = 'train'").drop("split")
     parts = prepare_splits(train, LABEL, keys, seed, test_size, generated, sampling=sampling, value=value)
-    test = samples.where("split = 'test'").withColumn("draw", F.lit(None).cast("bigint"))
+    test = stored.where("split = 'test'").withColumn("draw", F.lit(None).cast("bigint"))
     return batches(parts.unionByName(test.select(parts.columns)), [*keys, "draw"], order, batch_size, seed)

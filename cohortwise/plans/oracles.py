@@ -395,7 +395,7 @@ oracle(
         FROM (SELECT *, {seeded('key', 'code')} AS r FROM s_0) JOIN q ON c = code)""",
     "s_2 AS (SELECT key, class_name, code FROM s_1 WHERE NOT test)",
     quotas("s_2", "code", "q2"),
-    f"s_3 AS (SELECT *, {seeded('key', 'code', 43)} AS r FROM s_2)",
+    f"s_3 AS (SELECT *, {seeded('key', 'code')} AS r FROM s_2)",
 )
 
 

@@ -782,8 +782,8 @@ def vec_channel_repeat(spark, d):
 def vec_pipeline(spark, d):
     load = [VEC.channel_repeat, lambda v: VEC.scale(v, 1.0)]
     steps = VEC.pipeline_steps(load, [VEC.channel_mean], use_train=True)
-    tensors = values_of(V.vectors(spark, d), VEC.apply_steps(F.col("embedding"), steps))
-    return tensors.select("vec_id", "position", F.col("value").cast("double").alias("value"), F.lit(len(steps)).alias("steps"))
+    tensors = values_of(VEC.apply_steps(V.vectors(spark, d), "embedding", steps), F.col("embedding"))
+    return tensors.withColumn("value", F.col("value").cast("double")).withColumn("steps", F.lit(len(steps)))
 
 
 def vector_sides(spark, d):

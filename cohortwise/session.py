@@ -5,9 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 # Largest fitted table (class lists, quotas, cut values) brought to the driver
 # and broadcast. Beyond it the same table stays a distributed DataFrame.
@@ -26,6 +24,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -52,8 +51,15 @@ def fitted(df: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
     At most ``limit + 1`` rows reach the driver. A larger result is returned
     unchanged and without a hint, so that Spark joins it by its own size rules.
     """
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
+    table = df.limit(limit + 1).toArrow()
+    if table.num_rows > limit:
         return df
-    table = pa.Table.from_pylist([r.asDict(recursive=True) for r in rows], schema=to_arrow_schema(df.schema))
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """The table written to the shared scratch folder and read back. Cuts the
+    lineage, and the copy outlives the executors that wrote it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortwise.operators.evaluation import classification_report, confusion_matrix, run_summary
 from cohortwise.operators.ranks import ordered_rank, seeded_rank
 from cohortwise.operators.runs import numeric_metrics
-from cohortwise.session import scratch_path
+from cohortwise.session import materialize  # noqa: F401
 
 # Fixed value
 SHUFFLED_SPLITS = ("train", "val")
@@ -49,14 +49,6 @@ def write_eval(predictions: DataFrame, path: str, split: str, epoch: int) -> Non
         write_parts(stamped, f"{path}/{name}", ["split", "epoch"])
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """The table written to the shared scratch folder and read back. Cuts the
-    lineage, and the copy outlives the executors that wrote it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoch")) -> None:
     """Numeric metrics with prefixed names. One folder per split and epoch suits
     a log written epoch by epoch; a whole log goes by split alone."""
