@@ -46,7 +46,11 @@ def present_labels(counts: DataFrame) -> DataFrame:
 def confusion_matrix(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Counts for every pair of labels, zeros included. ``labels`` (one column
     ``label``) sets the axes; by default they are the labels present."""
-    counts = fitted_counts(df)
+    return matrix_from_counts(fitted_counts(df), labels)
+
+
+def matrix_from_counts(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Confusion matrix from confusion counts."""
     axis = present_labels(counts) if labels is None else labels.select("label")
     # One row holding all labels, opened twice: label pairs from the label list alone.
     pairs = (
@@ -195,31 +199,32 @@ def roc_auc(
     return auc_from_counts(negatives_below_chunked(stored))
 
 
-def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_score: str = "y_pred") -> DataFrame:
-    """One row: AUC, accuracy, loss and the macro averages of a model.
-
-    The data is read once, unless the AUC is taken on a score column.
-    """
+def loss_counts(df: DataFrame, scores: str | None) -> DataFrame:
+    """Confusion counts with the summed loss of their rows, evaluated once."""
     loss = cross_entropy(F.col(scores), F.col("y_true")) if scores else F.lit(None).cast("double")
-    counts = fitted(
-        df.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss"))
+    return fitted(df.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss")))
+
+
+def auc_from_predictions(counts: DataFrame, positive: int = 1) -> DataFrame:
+    """AUC on hard predictions, from confusion counts."""
+    is_positive = F.col("y_true") == positive
+    per_score = counts.groupBy(F.col("y_pred").alias("score")).agg(
+        F.sum(F.when(is_positive, F.col("n")).otherwise(0)).alias("p"),
+        F.sum(F.when(~is_positive, F.col("n")).otherwise(0)).alias("n"),
     )
-    if auc_score == "y_pred":
-        is_positive = F.col("y_true") == 1
-        per_score = counts.groupBy(F.col("y_pred").alias("score")).agg(
-            F.sum(F.when(is_positive, F.col("n")).otherwise(0)).alias("p"),
-            F.sum(F.when(~is_positive, F.col("n")).otherwise(0)).alias("n"),
-        )
-        auc = auc_from_counts(negatives_below(per_score))
-    else:
-        auc = roc_auc(df, auc_score)
+    return auc_from_counts(negatives_below(per_score))
+
+
+def summary_from_counts(counts: DataFrame, model_name: str, auc: DataFrame | None = None) -> DataFrame:
+    """One row of model scores from `loss_counts`; the AUC is that of the hard
+    predictions unless another is given."""
     report = report_from_counts(counts.drop("loss"))
     parts = [
         report.where("label = 'accuracy'").select(F.col("precision").alias("accuracy")),
         counts.agg((F.sum("loss") / F.sum("n")).alias("loss")),
         report.where("label = 'macro avg'").select("precision", "recall", "f1"),
     ]
-    summary = auc.withColumn("_one", F.lit(1))
+    summary = (auc_from_predictions(counts) if auc is None else auc).withColumn("_one", F.lit(1))
     for part in parts:
         summary = summary.join(part.withColumn("_one", F.lit(1)), "_one")
     return summary.select(
@@ -227,6 +232,15 @@ def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_s
     )
 
 
+def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_score: str = "y_pred") -> DataFrame:
+    """One row: AUC, accuracy, loss and the macro averages of a model.
+
+    The data is read once, unless the AUC is taken on a score column.
+    """
+    auc = None if auc_score == "y_pred" else roc_auc(df, auc_score)
+    return summary_from_counts(loss_counts(df, scores), model_name, auc)
+
+
 # Metrics that are plain aggregates over a prediction table, by name.
 METRICS: dict[str, Callable[[Column, Column], Column]] = {
     "accuracy": lambda t, p: F.avg((t == p).cast("int")),

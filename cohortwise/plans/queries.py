@@ -24,7 +24,7 @@ from cohortwise.operators import (
     vectorsets as X,
 )
 from cohortwise.plans import cohorts as CO, views as V
-from cohortwise.session import scratch_path
+from cohortwise.session import materialize as stored, scratch_path
 from cohortwise.sources import scans as SC, sinks as SI
 from cohortwise.streaming import confusion as ST
 
@@ -140,7 +140,7 @@ def run_report(spark, d):
 
 @query
 def materialize(spark, d):
-    return SI.materialize(V.findings(spark, d), "findings")
+    return stored(V.findings(spark, d), "findings")
 
 
 @query

@@ -36,21 +36,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     session without that setting gets a folder of its own; on a cluster a
     machine-local folder would be lost with its executor, so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="cohortwise-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortwise-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def fitted(df: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
+def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Evaluate a small fit result once and hand it back ready to broadcast.
 
     At most ``limit + 1`` rows reach the driver. A larger result is returned
     unchanged and without a hint, so that Spark joins it by its own size rules.
     """
+    limit = FIT_ROWS if limit is None else limit
     table = df.limit(limit + 1).toArrow()
     if table.num_rows > limit:
         return df

@@ -6,10 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortwise.operators.evaluation import classification_report, confusion_matrix, run_summary
+from cohortwise.operators.evaluation import (
+    fitted_counts,
+    loss_counts,
+    matrix_from_counts,
+    report_from_counts,
+    roc_auc,
+    summary_from_counts,
+)
 from cohortwise.operators.ranks import ordered_rank, seeded_rank
 from cohortwise.operators.runs import numeric_metrics
-from cohortwise.session import materialize  # noqa: F401
 
 # Fixed value
 SHUFFLED_SPLITS = ("train", "val")
@@ -39,10 +45,11 @@ def write_cohort(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def write_eval(predictions: DataFrame, path: str, split: str, epoch: int) -> None:
     """Predictions, report and confusion matrix of one split and epoch."""
+    counts = fitted_counts(predictions)
     tables = {
         "predictions": predictions,
-        "classification_report": classification_report(predictions),
-        "confusion_matrix": confusion_matrix(predictions),
+        "classification_report": report_from_counts(counts),
+        "confusion_matrix": matrix_from_counts(counts),
     }
     for name, table in tables.items():
         stamped = table.withColumn("split", F.lit(split)).withColumn("epoch", F.lit(epoch))
@@ -93,7 +100,9 @@ def run_report(
     of ``key`` and ``value``. The input of the formatting is at most classes x
     classes rows.
     """
-    summary = run_summary(predictions, model_name, scores, auc_score)
+    counts = loss_counts(predictions, scores)
+    auc = None if auc_score == "y_pred" else roc_auc(predictions, auc_score)
+    summary = summary_from_counts(counts, model_name, auc)
     measures = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
     header = ["model_name", *measures[:-1], "f1-score"]
     cells = [F.col("model_name"), *[number_text(F.col(m)) for m in measures]]
@@ -108,7 +117,7 @@ def run_report(
     metrics = summary.select(F.lit(1).alias("section"), F.posexplode(F.array(*metric_lines)).alias("line_no", "line"))
 
     row = F.sort_array(F.collect_list(F.struct("y_pred", "n")))
-    matrix = confusion_matrix(predictions).groupBy("y_true").agg(row.alias("cells"))
+    matrix = matrix_from_counts(counts.drop("loss")).groupBy("y_true").agg(row.alias("cells"))
     table = F.sort_array(F.collect_list(F.struct("y_true", "cells")))
     lines = F.transform(
         "table",
