@@ -6,8 +6,9 @@ custom metrics follow from those at most classes x classes rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
 import logging
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -219,17 +220,19 @@ def summary_from_counts(counts: DataFrame, model_name: str, auc: DataFrame | Non
     """One row of model scores from `loss_counts`; the AUC is that of the hard
     predictions unless another is given."""
     report = report_from_counts(counts.drop("loss"))
-    parts = [
-        report.where("label = 'accuracy'").select(F.col("precision").alias("accuracy")),
+    macro = F.col("label") == "macro avg"
+    scores = report.agg(
+        F.max(F.when(F.col("label") == "accuracy", F.col("precision"))).alias("accuracy"),
+        *[F.max(F.when(macro, F.col(m))).alias(m) for m in ("precision", "recall", "f1")],
+    )
+    pieces = [
+        auc_from_predictions(counts) if auc is None else auc,
+        scores,
         counts.agg((F.sum("loss") / F.sum("n")).alias("loss")),
-        report.where("label = 'macro avg'").select("precision", "recall", "f1"),
     ]
-    summary = (auc_from_predictions(counts) if auc is None else auc).withColumn("_one", F.lit(1))
-    for part in parts:
-        summary = summary.join(part.withColumn("_one", F.lit(1)), "_one")
-    return summary.select(
-        F.lit(model_name).alias("model_name"), "roc_auc", "accuracy", "loss", "precision", "recall", "f1"
-    )
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
+    measures = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
+    return rows.agg(*[F.max(m).alias(m) for m in measures]).select(F.lit(model_name).alias("model_name"), *measures)
 
 
 def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_score: str = "y_pred") -> DataFrame:

@@ -159,15 +159,28 @@ def assign_parts(
     cuts = at_end.groupBy(GROUP).agg(
         *[F.max(F.when(F.col("_part") == i, row)).alias(f"_cut_{i}") for i in range(len(parts))]
     )
+    if by:
+        placed = df.withColumn(GROUP, group_of(by)).join(fitted(cuts), GROUP, "left")
+    else:
+        placed = with_constants(df, cuts.drop(GROUP))
     own = F.struct(seeded_hash(seed, keys).alias(HASH), *[F.col(k) for k in keys])
     choice = F.when(F.lit(False), F.lit(None).cast("string"))
     for i, part in enumerate(parts):
         choice = choice.when(own <= F.col(f"_cut_{i}"), F.lit(part))
-    return (
-        df.withColumn(GROUP, group_of(by))
-        .join(fitted(cuts), GROUP, "left")
-        .select(*df.columns, choice.otherwise(F.lit(rest).cast("string")).alias(name))
-    )
+    return placed.select(*df.columns, choice.otherwise(F.lit(rest).cast("string")).alias(name))
+
+
+def with_constants(df: DataFrame, values: DataFrame) -> DataFrame:
+    """The struct columns of a table of at most one row, as constant columns."""
+    row = values.first()
+
+    def constant(field: T.StructField) -> Column:
+        value = row[field.name] if row else None
+        if value is None:
+            return F.lit(None).cast(field.dataType)
+        return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in field.dataType.fields])
+
+    return df.withColumns({f.name: constant(f) for f in values.schema.fields})
 
 
 def pick_first(

@@ -51,8 +51,8 @@ def share(part: Column, whole: Column) -> Column:
 
 
 def percent_text(percent: Column) -> Column:
-    """Percentage with four decimals."""
-    return F.format_string("%.4f%%", percent)
+    """Percentage with four decimals, null for none."""
+    return F.when(percent.isNotNull(), F.format_string("%.4f%%", percent))
 
 
 def prevalence(df: DataFrame, positive: Column) -> DataFrame:

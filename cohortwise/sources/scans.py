@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -35,31 +36,38 @@ def cached_table(
 ) -> DataFrame:
     """The stored copy of ``name`` at ``version``; fetched and stored when absent.
 
-    ``latest`` means the highest stored version, and is stored under that name
-    when there is none.
+    ``latest`` means the highest stored version, numbers in it compared by value.
+    When nothing is stored yet, the fetched copy is stored under that name.
     """
     base = f"{root.rstrip('/')}/name={name}"
     if version == LATEST:
-        try:
-            stored = spark.read.parquet(base)
-        except AnalysisException as e:
-            if not _absent(e):
-                raise
-        else:
-            version = str(stored.agg(F.max(F.col("version").cast("string"))).first()[0])
+        version = latest_version(spark, base) or LATEST
     path = f"{base}/version={version}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if not _absent(e):
-            raise
-    fetch().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    stored = _read_if_present(spark, path)
+    if stored is None:
+        fetch().write.mode("overwrite").parquet(path)
+        stored = spark.read.parquet(path)
+    return stored
+
 
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """Highest version folder that holds data; None when there is none."""
+    stored = _read_if_present(spark, base)
+    if stored is None:
+        return None
+    names = {m.group(1) for m in (re.search(r"/version=([^/]+)/", f) for f in stored.inputFiles()) if m}
+    return max(names, default=None, key=lambda v: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", v)])
 
-def _absent(error: AnalysisException) -> bool:
-    """No such path, or a folder left behind by a failed write."""
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table; None for a missing path or one that a failed write left
+    without data."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def scan_id_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:

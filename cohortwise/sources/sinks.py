@@ -88,7 +88,7 @@ def markdown_row(cells: Sequence[Column]) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.6f", value.cast("double")), F.lit("nan"))
+    return F.when(value.isNull(), "nan").otherwise(F.format_string("%.6f", value.cast("double")))
 
 
 def run_report(
