@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from cohortwise.session import fitted
 
-# Leading hex digits of the seeded hash that name a chunk: 16**3 chunks per group.
-CHUNK_DIGITS = 3
+# Chunks of a group per shuffle partition, at least.
+CHUNKS_PER_PARTITION = 4
 
 # Most ranges a numeric sort is cut into.
 MAX_RANGES = 4096
@@ -36,8 +36,19 @@ def seeded_hash(seed: int | str, keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def hash_chunk(hashed: Column) -> Column:
-    return F.substring(hashed, 1, CHUNK_DIGITS)
+def wanted_chunks(spark: SparkSession) -> int:
+    """Chunks to cut a group into: some per shuffle partition, so that a chunk
+    stays small on a cluster that is set up for more data."""
+    return CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hash_chunk(spark: SparkSession, hashed: Column) -> Column:
+    """Leading hex digits of the hash: 256 chunks per group or more. The hash is
+    evenly spread, so chunks of a group are of equal size."""
+    digits = 2
+    while 16**digits < wanted_chunks(spark) and digits < 5:
+        digits += 1
+    return F.substring(hashed, 1, digits)
 
 
 def chunk_sizes(chunked: DataFrame) -> DataFrame:
@@ -75,13 +86,7 @@ def seeded_rank(
 ) -> DataFrame:
     """Row number within ``by`` in seeded random order. ``keys`` must be unique."""
     hashed = df.withColumn(HASH, seeded_hash(seed, keys))
-    return rank_in_chunks(hashed, hash_chunk(F.col(HASH)), [HASH, *keys], by, name).drop(HASH)
-
-
-def range_count(spark: SparkSession) -> int:
-    """Ranges to cut a sort into: some per shuffle partition, so that it grows
-    with the cluster."""
-    return max(64, min(MAX_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return rank_in_chunks(hashed, hash_chunk(df.sparkSession, F.col(HASH)), [HASH, *keys], by, name).drop(HASH)
 
 
 def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[DataFrame, Column]:
@@ -93,7 +98,7 @@ def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[
     kind = df.schema[column].dataType
     if not isinstance(kind, T.NumericType):
         raise TypeError(f"{column} is {kind.simpleString()}; ranges are cut over numeric columns")
-    chunks = chunks or range_count(df.sparkSession)
+    chunks = chunks or max(64, min(MAX_RANGES, wanted_chunks(df.sparkSession)))
     shares = [i / chunks for i in range(1, chunks)]
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * chunks).alias("cuts")).first().cuts
     inner = sorted({c for c in cuts or [] if math.isfinite(c)}) or [0.0]
@@ -127,11 +132,11 @@ def assign_parts(
     same groups with one quota column per part. ``keys`` must be unique.
 
     The rows are never shuffled. The chunk sizes tell in which chunk a part ends;
-    only that chunk, 1 in 4096 rows of the group, is ranked. Its row at the end
+    only that chunk, a small share of the group, is ranked. Its row at the end
     of the part becomes the cut value that all rows are compared with.
     """
     narrow = df.select(group_of(by).alias(GROUP), seeded_hash(seed, keys).alias(HASH), *keys)
-    narrow = narrow.withColumn(CHUNK, hash_chunk(F.col(HASH)))
+    narrow = narrow.withColumn(CHUNK, hash_chunk(df.sparkSession, F.col(HASH)))
     sizes = chunk_sizes(narrow.select(GROUP, CHUNK))
 
     counts = sizes.groupBy(GROUP).agg(F.sum("_size").alias("n"))
