@@ -6,6 +6,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortwise.functions.scores import softmax, total
@@ -14,48 +17,54 @@ from cohortwise.operators.ranks import seeded_hash, seeded_rank
 # Largest vector width whose moments (width x width sums) are brought together.
 MAX_WIDTH = 4096
 
+# Vectors multiplied at a time within a task.
+BLOCK_ROWS = 1024
+
 # Fixed values of the structural similarity formula
 SSIM_K1, SSIM_K2 = 0.01, 0.03
 # Fixed value: folds of the inception score
 INCEPTION_FOLDS = 10
 
 
-def moments(df: DataFrame, vector: str, by: str, width: int) -> DataFrame:
-    """Sums needed for mean and covariance of each set, as (set, i, j, total):
-    j >= 0 sums of x_i*x_j, j = -1 sums of x_i, and i = j = -1 the row count.
+def moments(df: DataFrame, vector: str, by: str) -> DataFrame:
+    """Gram matrix of each set, with a column of ones appended to its vectors, as
+    rows (set, i, row). It holds sums of products, plain sums and the count.
 
-    Each task adds up its own rows; only width x width numbers per task are shuffled.
+    Each task adds up the vectors it reads; what is shuffled are width + 1 rows
+    per task and set, summed up on the way.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict = {}
+        grams: dict[str, np.ndarray] = {}
+        width = None
         for batch in batches:
-            names = np.asarray(batch.column(1).to_pylist(), dtype=object)
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            rows = flat.reshape(-1, width)
-            rows = np.hstack([rows, np.ones((len(rows), 1))])
-            for name in set(names.tolist()):
-                part = rows[names == name]
-                sums[name] = sums.get(name, 0.0) + part.T @ part
-        index = np.append(np.arange(width), -1)
-        i, j = np.repeat(index, width + 1), np.tile(index, width + 1)
-        wanted = (i >= 0) | (j < 0)
-        for name, gram in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * int(wanted.sum()), pa.string()),
-                    pa.array(i[wanted], pa.int32()),
-                    pa.array(j[wanted], pa.int32()),
-                    pa.array(gram.reshape(-1)[wanted], pa.float64()),
-                ],
-                names=["set", "i", "j", "total"],
+            vectors, sets = batch.column(0), batch.column(1).dictionary_encode()
+            widths = {width, *pc.unique(pc.list_value_length(vectors)).to_pylist()} - {None}
+            if len(widths) > 1 or max(widths, default=0) > MAX_WIDTH:
+                raise ValueError(f"vectors must share one width of at most {MAX_WIDTH}: {sorted(widths)}")
+            if not widths:
+                continue
+            (width,) = widths
+            values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            codes = sets.indices.to_numpy(zero_copy_only=False)
+            for start in range(0, len(values), BLOCK_ROWS):
+                block, part = values[start : start + BLOCK_ROWS], codes[start : start + BLOCK_ROWS]
+                for code in np.unique(part):
+                    rows = block[part == code].astype(np.float64)
+                    rows = np.hstack([rows, np.ones((len(rows), 1))])
+                    name = sets.dictionary[int(code)].as_py()
+                    grams[name] = grams.get(name, 0.0) + rows.T @ rows
+        for name, gram in grams.items():
+            yield pa.RecordBatch.from_pydict(
+                {"set": [name] * len(gram), "i": np.arange(len(gram), dtype=np.int32), "row": list(gram)}
             )
 
-    kept = df.where(F.col(vector).isNotNull() & (F.size(vector) == width))
-    parts = kept.select(F.col(vector).alias("v"), F.col(by).cast("string").alias("s")).mapInArrow(
-        partial, "set string, i int, j int, total double"
+    known = df.where(F.col(vector).isNotNull() & F.col(by).isNotNull())
+    parts = known.select(F.col(vector).alias("v"), F.col(by).cast("string").alias("s")).mapInArrow(
+        partial, "set string, i int, row array<double>"
     )
-    return parts.groupBy("set", "i", "j").agg(F.sum("total").alias("total"))
+    summed = parts.groupBy("set", "i").agg(Summarizer.sum(array_to_vector("row")).alias("row"))
+    return summed.select("set", "i", vector_to_array("row").alias("row"))
 
 
 def frechet_distance(df: DataFrame, vector: str, by: str, real: str, fake: str) -> DataFrame:
@@ -64,31 +73,27 @@ def frechet_distance(df: DataFrame, vector: str, by: str, real: str, fake: str)
     All vectors must have one width. Spark adds up the moments; the closing
     eigenvalue step works on two width x width matrices.
     """
-    widths = df.where(F.col(vector).isNotNull()).select(F.size(vector).alias("w")).distinct().take(2)
-    if len(widths) != 1 or widths[0].w > MAX_WIDTH:
-        raise ValueError(f"vectors must share one width of at most {MAX_WIDTH}")
-    width = widths[0].w
     sides = df.where(F.col(by).cast("string").isin([real, fake]))
-    table = moments(sides, vector, by, width).toPandas()
+    table = moments(sides, vector, by).toArrow().to_pandas().sort_values("i")
 
     def fit(name: str) -> tuple[np.ndarray, np.ndarray]:
-        part = table[table["set"] == name]
-        gram = np.zeros((width + 1, width + 1))
-        gram[part["i"], part["j"]] = part["total"]
-        n = gram[-1, -1]
-        if n < 2:
+        rows = table.loc[table["set"] == name, "row"]
+        if rows.empty or rows.iloc[-1][-1] < 2:
             raise ValueError(f"set {name!r} has under two vectors")
-        mean = gram[:-1, -1] / n
+        gram = np.vstack(rows)
+        n, mean = gram[-1, -1], gram[-1, :-1] / gram[-1, -1]
         return mean, (gram[:-1, :-1] - n * np.outer(mean, mean)) / (n - 1)
 
     (mean_r, cov_r), (mean_f, cov_f) = fit(real), fit(fake)
+    if len(mean_r) != len(mean_f):
+        raise ValueError(f"vectors must share one width: {len(mean_r)} and {len(mean_f)}")
     roots = np.sqrt(np.clip(np.linalg.eigvals(cov_r @ cov_f).real, 0.0, None))
     distance = float(((mean_r - mean_f) ** 2).sum() + np.trace(cov_r) + np.trace(cov_f) - 2.0 * roots.sum())
     return df.sparkSession.createDataFrame(pa.table({"frechet_distance": [distance]}))
 
 
 def inception_score(
-    df: DataFrame, scores: str, classes: int, keys: Sequence[str], seed: int, folds: int = INCEPTION_FOLDS
+    df: DataFrame, scores: str, keys: Sequence[str], seed: int, folds: int = INCEPTION_FOLDS
 ) -> DataFrame:
     """Mean and spread over folds of exp(mean KL(p(y|x) || p(y))).
 
@@ -98,15 +103,13 @@ def inception_score(
     fold = F.conv(F.substring(seeded_hash(seed, keys), 1, 8), 16, 10).cast("bigint") % folds
     probabilities = df.select(fold.alias("fold"), softmax(F.col(scores)).alias("p"))
 
-    def x_log_x(x: Column) -> Column:
-        return F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0))
+    def neg_entropy(p: str) -> Column:
+        return total(F.transform(p, lambda x: F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0))))
 
-    own = F.aggregate("p", F.lit(0.0), lambda a, x: a + x_log_x(x))
     per_fold = probabilities.groupBy("fold").agg(
-        F.avg(own).alias("_own"), *[F.avg(F.get("p", F.lit(i))).alias(f"_m{i}") for i in range(classes)]
+        F.avg(neg_entropy("p")).alias("own"), vector_to_array(Summarizer.mean(array_to_vector("p"))).alias("mean")
     )
-    shared = sum((x_log_x(F.col(f"_m{i}")) for i in range(classes)), F.lit(0.0))
-    scored = per_fold.select(F.exp(F.col("_own") - shared).alias("score"))
+    scored = per_fold.select(F.exp(F.col("own") - neg_entropy("mean")).alias("score"))
     return scored.agg(F.avg("score").alias("inception_mean"), F.stddev_samp("score").alias("inception_std"))
 
 

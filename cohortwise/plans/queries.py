@@ -797,7 +797,7 @@ def frechet_distance(spark, d):
 
 @query
 def inception_score(spark, d):
-    scored = X.inception_score(V.pred10(spark, d), "logits", 10, ["vec_id"], SEED)
+    scored = X.inception_score(V.pred10(spark, d), "logits", ["vec_id"], SEED)
     return rounded(scored, "inception_mean", "inception_std")
 
 

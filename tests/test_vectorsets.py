@@ -46,17 +46,33 @@ def test_frechet_distance_of_a_set_to_itself_is_zero(spark, sets):
     assert got == pytest.approx(0, abs=1e-6)
 
 
-def test_frechet_distance_rejects_mixed_widths(spark):
-    df = spark.createDataFrame([("real", [1.0]), ("fake", [1.0, 2.0])], "side string, v array<double>")
-    with pytest.raises(ValueError, match="width"):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_frechet_distance_rejects_mixed_widths(spark, parts):
+    rows = [("real", [1.0]), ("real", [2.0]), ("fake", [1.0, 2.0]), ("fake", [2.0, 2.0])]
+    df = spark.createDataFrame(rows, "side string, v array<double>").repartition(parts)
+    with pytest.raises(Exception, match="share one width"):
         X.frechet_distance(df, "v", "side", "real", "fake")
+    mixed = spark.createDataFrame([("real", [1.0]), ("real", [2.0, 1.0])], "side string, v array<double>")
+    with pytest.raises(Exception):
+        X.frechet_distance(mixed.repartition(parts), "v", "side", "real", "fake")
 
 
+def test_frechet_distance_needs_two_vectors_a_side(spark):
+    df = spark.createDataFrame([("real", [1.0]), ("real", [2.0]), ("fake", [1.0]), ("fake", None)], "side string, v array<double>")
+    with pytest.raises(ValueError, match="fake"):
+        X.frechet_distance(df, "v", "side", "real", "fake")
+
+
+def test_blocks_of_vectors(spark, sets, monkeypatch):
+    whole = X.frechet_distance(frame(spark, sets), "v", "side", "real", "fake").first()[0]
+    monkeypatch.setattr(X, "BLOCK_ROWS", 7)
+    assert X.frechet_distance(frame(spark, sets), "v", "side", "real", "fake").first()[0] == pytest.approx(whole)
+
 def test_inception_score(spark):
     rng = np.random.default_rng(9)
     logits = rng.normal(size=(500, 6)) * 2
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(logits)], "id int, s array<double>")
-    got = X.inception_score(df, "s", 6, ["id"], 1, folds=4).first()
+    got = X.inception_score(df, "s", ["id"], 1, folds=4).first()
     p = np.exp(logits - logits.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
     fold = np.array([int(hashlib.md5(f"1|{i}".encode()).hexdigest()[:8], 16) % 4 for i in range(500)])
