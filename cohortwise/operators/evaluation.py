@@ -22,6 +22,11 @@ logger = logging.getLogger(__name__)
 # Distinct scores up to this number are ordered in one task; more are chunked.
 PLAIN_SCORES = 100_000
 
+# Most labels of a zero-filled confusion matrix.
+MAX_AXIS = 2000
+
+MEASURES = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
+
 
 def with_prediction(df: DataFrame, scores: str, name: str = "y_pred") -> DataFrame:
     """Predicted class: position of the largest score."""
@@ -51,11 +56,14 @@ def confusion_matrix(df: DataFrame, labels: DataFrame | None = None) -> DataFram
 
 
 def matrix_from_counts(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Confusion matrix from confusion counts."""
+    """Confusion matrix from confusion counts, for up to `MAX_AXIS` labels."""
     axis = present_labels(counts) if labels is None else labels.select("label")
+    too_wide = F.raise_error(F.lit(f"over {MAX_AXIS} labels; use confusion_counts, which holds no zeros"))
     # One row holding all labels, opened twice: label pairs from the label list alone.
+    listed = axis.limit(MAX_AXIS + 1).agg(F.collect_set("label").alias("_axis"))
+    checked = F.when(F.size("_axis") > MAX_AXIS, F.array_repeat(too_wide.cast(axis.schema["label"].dataType), 1))
     pairs = (
-        axis.agg(F.collect_set("label").alias("_axis"))
+        listed.select(checked.otherwise(F.col("_axis")).alias("_axis"))
         .select(F.explode("_axis").alias("y_true"), "_axis")
         .select("y_true", F.explode("_axis").alias("y_pred"))
     )
@@ -72,21 +80,18 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def class_scores(counts: DataFrame) -> DataFrame:
+def class_scores(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, f1 and support per label from confusion counts."""
-    sides = counts.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("y_true").alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted")),
-                F.struct(F.col("y_pred").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted")),
-            )
-        ).alias("s"),
-        F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0).alias("hits"),
-    )
-    totals = sides.groupBy("s.label").agg(
+    none = F.lit(0).cast("bigint")
+    truth = F.struct(F.col("y_true").alias("label"), F.col("n").alias("support"), none.alias("predicted"))
+    guess = F.struct(F.col("y_pred").alias("label"), none.alias("support"), F.col("n").alias("predicted"))
+    hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)
+    sides = counts.select(*by, F.explode(F.array(truth, guess)).alias("s"), hit.alias("hits"))
+    totals = sides.groupBy(*by, "s.label").agg(
         (F.sum("hits") / 2).alias("hits"), F.sum("s.support").alias("support"), F.sum("s.predicted").alias("predicted")
     )
     return totals.select(
+        *by,
         "label",
         ratio(F.col("hits"), F.col("predicted")).alias("precision"),
         ratio(F.col("hits"), F.col("support")).alias("recall"),
@@ -96,6 +101,18 @@ def class_scores(counts: DataFrame) -> DataFrame:
     )
 
 
+def averages(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, macro and weighted averages of class scores, one row per group."""
+    weight = F.sum("support")
+    measures = ["precision", "recall", "f1"]
+    return scores.groupBy(*by).agg(
+        *[F.avg(m).alias(f"macro_{m}") for m in measures],
+        *[ratio(F.sum(F.col(m) * F.col("support")), weight).alias(f"weighted_{m}") for m in measures],
+        ratio(F.sum("hits"), weight).alias("accuracy"),
+        weight.alias("support"),
+    )
+
+
 def classification_report(df: DataFrame, labels: DataFrame | None = None, names: str | None = None) -> DataFrame:
     """Per class scores, then accuracy, macro and weighted averages, in long form.
 
@@ -113,20 +130,13 @@ def report_from_counts(counts: DataFrame, labels: DataFrame | None = None, names
         scores = labels.join(scores, "label", "left").na.fill(0)
         shown = F.col(names) if names else shown
     measures = ["precision", "recall", "f1"]
-    weight = F.sum("support")
-    total = scores.agg(
-        *[F.avg(m).alias(f"macro_{m}") for m in measures],
-        *[ratio(F.sum(F.col(m) * F.col("support")), weight).alias(f"weighted_{m}") for m in measures],
-        ratio(F.sum("hits"), weight).alias("accuracy"),
-        weight.alias("support"),
-    )
 
     def row(label: str, values: Sequence[str]) -> Column:
         return F.struct(
             F.lit(label).alias("label"), *[F.col(v).alias(m) for v, m in zip(values, measures)], F.col("support")
         )
 
-    summary = total.select(
+    summary = averages(scores).select(
         F.inline(
             F.array(
                 row("accuracy", ["accuracy"] * 3),
@@ -155,17 +165,17 @@ def score_counts(df: DataFrame, score: str, y_true: str, positive: int) -> DataF
     )
 
 
-def auc_from_counts(placed: DataFrame) -> DataFrame:
+def auc_from_counts(placed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """AUC from rows (p, n, _below): each positive beats the negatives below it,
     and half of those with its own score. Null unless both classes occur."""
     area = F.sum(F.col("p") * (F.col("_below").cast("double") + F.col("n") / 2.0))
     pairs = F.sum("p").cast("double") * F.sum("n").cast("double")
-    return placed.agg(F.try_divide(area, pairs).alias("roc_auc"))
+    return placed.groupBy(*by).agg(F.try_divide(area, pairs).alias("roc_auc"))
 
 
-def negatives_below(per_score: DataFrame) -> DataFrame:
-    """Running sum of the negatives over the scores, in one task."""
-    before = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+def negatives_below(per_score: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Running sum of the negatives over the scores, in one task per group."""
+    before = Window.partitionBy(*by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     return per_score.withColumn("_below", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
@@ -200,39 +210,33 @@ def roc_auc(
     return auc_from_counts(negatives_below_chunked(stored))
 
 
-def loss_counts(df: DataFrame, scores: str | None) -> DataFrame:
+def loss_counts(df: DataFrame, scores: str | None, by: Sequence[str] = ()) -> DataFrame:
     """Confusion counts with the summed loss of their rows, evaluated once."""
     loss = cross_entropy(F.col(scores), F.col("y_true")) if scores else F.lit(None).cast("double")
-    return fitted(df.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss")))
+    return fitted(df.groupBy(*by, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss")))
 
 
-def auc_from_predictions(counts: DataFrame, positive: int = 1) -> DataFrame:
+def auc_from_predictions(counts: DataFrame, by: Sequence[str] = (), positive: int = 1) -> DataFrame:
     """AUC on hard predictions, from confusion counts."""
     is_positive = F.col("y_true") == positive
-    per_score = counts.groupBy(F.col("y_pred").alias("score")).agg(
+    per_score = counts.groupBy(*by, F.col("y_pred").alias("score")).agg(
         F.sum(F.when(is_positive, F.col("n")).otherwise(0)).alias("p"),
         F.sum(F.when(~is_positive, F.col("n")).otherwise(0)).alias("n"),
     )
-    return auc_from_counts(negatives_below(per_score))
+    return auc_from_counts(negatives_below(per_score, by), by)
 
 
-def summary_from_counts(counts: DataFrame, model_name: str, auc: DataFrame | None = None) -> DataFrame:
-    """One row of model scores from `loss_counts`; the AUC is that of the hard
-    predictions unless another is given."""
-    report = report_from_counts(counts.drop("loss"))
-    macro = F.col("label") == "macro avg"
-    scores = report.agg(
-        F.max(F.when(F.col("label") == "accuracy", F.col("precision"))).alias("accuracy"),
-        *[F.max(F.when(macro, F.col(m))).alias(m) for m in ("precision", "recall", "f1")],
-    )
+def summary_from_counts(counts: DataFrame, by: Sequence[str] = (), auc: DataFrame | None = None) -> DataFrame:
+    """One row of `MEASURES` per group from `loss_counts`. Precision, recall and f1
+    are macro averages; the AUC is that of the hard predictions unless another is given."""
+    macro = [F.col(f"macro_{m}").alias(m) for m in ("precision", "recall", "f1")]
     pieces = [
-        auc_from_predictions(counts) if auc is None else auc,
-        scores,
-        counts.agg((F.sum("loss") / F.sum("n")).alias("loss")),
+        auc_from_predictions(counts, by) if auc is None else auc,
+        averages(class_scores(counts, by), by).select(*by, "accuracy", *macro),
+        counts.groupBy(*by).agg((F.sum("loss") / F.sum("n")).alias("loss")),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    measures = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
-    return rows.agg(*[F.max(m).alias(m) for m in measures]).select(F.lit(model_name).alias("model_name"), *measures)
+    return rows.groupBy(*by).agg(*[F.max(m).alias(m) for m in MEASURES])
 
 
 def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_score: str = "y_pred") -> DataFrame:
@@ -241,7 +245,16 @@ def run_summary(df: DataFrame, model_name: str, scores: str | None = None, auc_s
     The data is read once, unless the AUC is taken on a score column.
     """
     auc = None if auc_score == "y_pred" else roc_auc(df, auc_score)
-    return summary_from_counts(loss_counts(df, scores), model_name, auc)
+    summary = summary_from_counts(loss_counts(df, scores), auc=auc)
+    return summary.select(F.lit(model_name).alias("model_name"), *MEASURES)
+
+
+def epoch_metrics(df: DataFrame, by: Sequence[str], scores: str | None = None) -> DataFrame:
+    """Metrics of every split and epoch as rows (by, metric, value), from one pass
+    over all predictions. Metrics without a value are left out."""
+    summary = summary_from_counts(loss_counts(df, scores, by), by)
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in MEASURES])
+    return summary.select(*by, F.inline(pairs)).where(F.col("value").isNotNull())
 
 
 # Metrics that are plain aggregates over a prediction table, by name.

@@ -154,13 +154,15 @@ def assign_parts(
         .select(GROUP, CHUNK, "_part", "_need")
     )
 
-    position = F.row_number().over(Window.partitionBy(GROUP, "_part").orderBy(HASH, *keys))
+    in_order = Window.partitionBy(GROUP, "_part").orderBy(HASH, *keys)
+    row = F.struct(HASH, *keys)
+    twice = F.raise_error(F.lit(f"{list(keys)} must be unique; a part ends at a repeated key")).cast("boolean")
     at_end = (
         narrow.join(fitted(ends), [GROUP, CHUNK])
-        .withColumn("_position", position)
+        .withColumns({"_position": F.row_number().over(in_order), "_next": F.lead(row).over(in_order)})
         .where(F.col("_position") == F.col("_need"))
+        .where(F.when(F.col("_next") == row, twice).otherwise(F.lit(True)))
     )
-    row = F.struct(HASH, *keys)
     cuts = at_end.groupBy(GROUP).agg(
         *[F.max(F.when(F.col("_part") == i, row)).alias(f"_cut_{i}") for i in range(len(parts))]
     )

@@ -22,6 +22,8 @@ from cohortwise.operators.rows import (
     filter_paths,
     parts_by_column,
     positives_only,
+    sample_pair,
+    subset_to_class,
 )
 from cohortwise.operators.sampling import SAMPLE_TO_VALUE, TEST_SIZE, prepare_splits
 from cohortwise.operators.sets import combine_datasets, replicate_class
@@ -97,6 +99,12 @@ def cohort_by_lookup(
     )
 
 
+def preprocess(samples: DataFrame, classes: Sequence = (), use_subset: bool = True) -> DataFrame:
+    """Samples of the wanted classes as a stored table of path and label."""
+    pairs = sample_pair(samples)
+    return materialize(subset_to_class(pairs, LABEL, classes) if use_subset else pairs, "preprocessed")
+
+
 Loader = Callable[[], DataFrame]
 
 

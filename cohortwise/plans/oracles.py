@@ -218,6 +218,7 @@ oracle("create_subset", "SELECT * FROM v_findings WHERE contains(finding_labels,
 oracle("filter_paths", """SELECT page_id, path, class FROM v_scans
     WHERE length(name) >= 3 AND NOT contains(path, '.html') AND NOT contains(path, 'spam-')""")
 oracle("positives_only", "SELECT * FROM v_findings WHERE list_contains(string_split(finding_labels, '|'), 'PROMO')")
+oracle("preprocess_dataset", "SELECT image_files, labels FROM v_samples WHERE labels IN (0, 2)")
 oracle("split_by_column", "SELECT order_key, CASE split WHEN 'validate' THEN 'val' ELSE split END AS split FROM v_split_column")
 oracle("threshold_counts", """SELECT count(*) AS n, count(*) FILTER (total < 18000) AS below_18000,
     count(*) FILTER (total < 210000) AS below_210000 FROM v_findings WHERE contains(finding_labels, 'PROMO')""")
@@ -243,6 +244,7 @@ oracle("split_by_list", """SELECT order_key, finding_labels, part AS split FROM
 PROMO_KEYS = "SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type = 'PROMO'"
 oracle("anti_rows", f"SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN ({PROMO_KEYS})")
 oracle("select_keys", f"SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN ({PROMO_KEYS})")
+oracle("missing_keys", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 oracle("bind_columns", """SELECT doc_id, lang, n_chars, quality, toxic FROM documents FULL JOIN labels USING (doc_id)""")
 oracle("patient_lookup", "SELECT patient, filename, target, scans, status FROM v_lookup")
 oracle("decode_labels", """SELECT key, labels, CASE labels WHEN 1 THEN 'small' WHEN 2 THEN 'medium' END AS name
@@ -264,6 +266,11 @@ oracle("target_breakdown", """SELECT CASE WHEN grouping(labels) = 1 THEN 'Total'
     nullif(count(*) FILTER (split = 'val'), 0) AS validation_split,
     nullif(count(*) FILTER (split = 'test'), 0) AS test_split, count(*) AS Total
     FROM v_split_samples GROUP BY ROLLUP (labels)""")
+oracle("target_breakdown_two", """SELECT CASE WHEN grouping(labels) = 1 THEN 'Total'
+        ELSE ['large', 'small', NULL][labels + 1] END AS label,
+    nullif(count(*) FILTER (split = 'train'), 0) AS train_split,
+    nullif(count(*) FILTER (split = 'test'), 0) AS test_split, count(*) AS Total
+    FROM v_split_samples WHERE split <> 'val' GROUP BY ROLLUP (labels)""")
 oracle("samples_per_class", """SELECT string_agg(n, ',' ORDER BY labels) AS samples_per_class
     FROM (SELECT labels, count(*) AS n FROM v_samples GROUP BY 1)""")
 oracle("lookup_status", "SELECT status, sum(scans)::BIGINT AS n FROM v_lookup GROUP BY 1")
@@ -312,6 +319,23 @@ oracle("metrics_by_name", f"""SELECT split, round(avg((y_true = y_pred)::INT), 6
     round(avg({LOSS}), 6) AS loss, round(avg((y_true - y_pred) * (y_true - y_pred)), 6) AS meansquarederror
     FROM v_pred_lines GROUP BY split""")
 
+oracle("epoch_metrics", f"""SELECT split, epoch, split || '_' || metric AS metric, round(value, 6) AS value FROM (
+        UNPIVOT (SELECT * FROM g_a JOIN g_r USING (split, epoch)) ON roc_auc, accuracy, loss, precision, recall, f1
+        INTO NAME metric VALUE value)""",
+    f"""g_a AS (SELECT split, epoch, avg((y_true = y_pred)::INT) AS accuracy, avg({LOSS}) AS loss,
+        (sum(y_true * y_pred) * sum((1 - y_true) * (1 - y_pred))
+         + 0.5::DOUBLE * sum(y_true * y_pred) * sum((1 - y_true) * y_pred)
+         + 0.5::DOUBLE * sum(y_true * (1 - y_pred)) * sum((1 - y_true) * (1 - y_pred)))
+        / (sum(y_true) * sum(1 - y_true)) AS roc_auc
+        FROM v_pred_lines WHERE epoch % 2 = 0 GROUP BY 1, 2)""",
+    """g_k AS (SELECT split, epoch, label,
+        count(*) FILTER (y_true = label AND y_pred = label)::DOUBLE AS hits,
+        count(*) FILTER (y_true = label) AS support, count(*) FILTER (y_pred = label) AS predicted
+        FROM v_pred_lines CROSS JOIN (VALUES (0), (1)) l(label) WHERE epoch % 2 = 0 GROUP BY 1, 2, 3)""",
+    """g_r AS (SELECT split, epoch, avg(hits / predicted) AS precision, avg(hits / support) AS recall,
+        avg(2 * hits / (predicted + support)) AS f1 FROM g_k GROUP BY 1, 2)""",
+)
+
 # --- run logs ---
 oracle("best_epochs", """SELECT run_id, epoch, value, place FROM (
     SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY value, epoch))::INT AS place FROM v_metric_log) WHERE place <= 2""")
@@ -352,6 +376,7 @@ oracle("label_encode", """SELECT order_key, finding_labels, (dense_rank() OVER (
 oracle("multilabel_binarize", "SELECT order_key, " + ", ".join(
     f"list_contains(labels, '{c}')::INT AS \"{c}\""
     for c in ("ECONOMY", "LARGE", "MEDIUM", "No Finding", "PROMO", "SMALL", "STANDARD")) + " FROM v_labels")
+oracle("one_hot_long", "SELECT order_key, unnest(labels) AS label FROM v_labels")
 oracle("labels_from_encoding", """SELECT string_agg(finding_labels, ',' ORDER BY finding_labels) AS labels
     FROM (SELECT DISTINCT finding_labels FROM v_findings)""")
 oracle("text_prompt", """SELECT order_key, lower('A photo of a lung xray' || CASE
@@ -360,6 +385,12 @@ oracle("text_prompt", """SELECT order_key, lower('A photo of a lung xray' || CAS
     WHEN len(labels) = 2 THEN ' depicting visible ' || labels[1] || ' and ' || labels[2]
     ELSE ' depicting visible ' || array_to_string(labels[:-2], ', ') || ', and ' || labels[-1] END) AS prompt
     FROM v_labels""")
+oracle("text_prompt_one_hot", """SELECT order_key, lower('An X-ray' || CASE
+    WHEN list_contains(labels, 'No Finding') THEN ''
+    WHEN len(labels) = 1 THEN ' depicting visible ' || labels[1]
+    WHEN len(labels) = 2 THEN ' depicting visible ' || labels[1] || ' and ' || labels[2]
+    ELSE ' depicting visible ' || array_to_string(labels[:-2], ', ') || ', and ' || labels[-1] END) AS prompt
+    FROM v_labels""")
 oracle("zero_pad", """SELECT o_orderkey, printf('%03d', o_orderkey) AS three, printf('%04d', o_orderkey + 1) || '.png' AS four
     FROM orders""")
 oracle("short_name", """SELECT p_partkey, 'Dense_' || p_type AS short, lower('Dense_' || p_type) AS lowered,
@@ -436,6 +467,19 @@ oracle(
     draw_parts("p_t", "1000"),
 )
 
+FILE_SPLIT = f"SELECT image_files, labels, {seeded('image_files', 'labels')} AS r FROM v_samples"
+oracle(
+    "prepare_splits_generated",
+    f"""SELECT image_files, labels, 'train' AS split FROM (SELECT *, {seeded('image_files', 'labels')} AS r FROM w_m)
+    WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM w_m GROUP BY labels))
+    UNION ALL SELECT image_files, labels, 'val' FROM w_0 WHERE val""",
+    quotas("v_samples", "labels"),
+    f"w_0 AS (SELECT image_files, labels, r <= quota AS val FROM ({FILE_SPLIT}) s JOIN q ON c = labels)",
+    f"w_g AS (SELECT f, {seeded('f')} AS r FROM (SELECT '/generated/' || c_name || '.png' AS f FROM customer))",
+    """w_m AS (SELECT image_files, labels FROM w_0 WHERE NOT val UNION ALL SELECT f, 2 FROM w_g WHERE r <= abs(
+        (SELECT count(*) FROM w_0 WHERE NOT val AND labels = 2) - (SELECT count(*) FROM customer)))""",
+)
+
 # --- cohorts ---
 oracle("cohort_by_list", f"""SELECT order_key, '/scans/' || order_key AS image_files, finding_labels AS labels, part AS split
     FROM v_labels JOIN v_split_list ON id = order_key WHERE {IS_POSITIVE}""")

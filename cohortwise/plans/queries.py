@@ -212,6 +212,11 @@ def positives_only(spark, d):
     return R.positives_only(V.findings(spark, d), positive, "finding_labels", "train-diffusion")
 
 
+@query
+def preprocess_dataset(spark, d):
+    return CO.preprocess(V.samples(spark, d), [0, 2])
+
+
 @query
 def split_by_column(spark, d):
     return R.parts_by_column(V.split_column(spark, d), "split", CO.COLUMN_PARTS).select("order_key", "split")
@@ -303,6 +308,12 @@ def select_keys(spark, d):
     return J.select_keys(orders, promo_keys(spark, d), "o_orderkey")
 
 
+@query
+def missing_keys(spark, d):
+    listed = V.table(spark, d, "documents").select("doc_id")
+    return J.missing_keys(V.table(spark, d, "labels"), listed, "doc_id")
+
+
 @query
 def bind_columns(spark, d):
     docs = V.table(spark, d, "documents").select("doc_id", "lang", "n_chars")
@@ -362,6 +373,12 @@ def target_breakdown(spark, d):
     return A.target_breakdown(named, "class_name", headers=headers)
 
 
+@query
+def target_breakdown_two(spark, d):
+    named = C.decode(split_samples(spark, d), "labels", {"small": 1, "large": 0}, "class_name")
+    return A.target_breakdown(named, "class_name", headers={"train": "train_split", "test": "test_split"})
+
+
 @query
 def samples_per_class(spark, d):
     return A.samples_per_class(V.samples(spark, d), "labels").select(
@@ -469,6 +486,13 @@ def metrics_by_name(spark, d):
     return rounded(scored, "accuracy", "precision", "recall", "f1", "loss", "meansquarederror")
 
 
+@query
+def epoch_metrics(spark, d):
+    """Metrics of every second epoch, named by split."""
+    table = E.epoch_metrics(V.pred_lines(spark, d), ["split", "epoch"], "logits")
+    return rounded(W.numeric_metrics(R.every_kth(table, "epoch", 2)), "value")
+
+
 # --- run logs ------------------------------------------------------------
 
 
@@ -481,7 +505,8 @@ def best_epochs(spark, d):
 
 @query
 def early_stop(spark, d):
-    return W.early_stop(V.metric_log(spark, d), ["run_id"], "value", "accuracy", 10, chunk_size=16)
+    log = stored(V.metric_log(spark, d), "metric-log")
+    return W.early_stop(log, ["run_id"], "value", "accuracy", 10, chunk_size=16)
 
 
 @query
@@ -572,7 +597,8 @@ def split_labels(spark, d):
 
 @query
 def label_encode(spark, d):
-    return C.encode(V.findings(spark, d), "finding_labels", "code").select("order_key", "finding_labels", "code")
+    labelled = stored(V.findings(spark, d).select("order_key", "finding_labels"), "findings")
+    return C.encode(labelled, "finding_labels", "code")
 
 
 @query
@@ -580,6 +606,11 @@ def multilabel_binarize(spark, d):
     return C.binarize(label_arrays(spark, d), "labels", part_types(spark, d), ["order_key"])
 
 
+@query
+def one_hot_long(spark, d):
+    return C.one_hot_long(label_arrays(spark, d), "order_key", "labels")
+
+
 @query
 def labels_from_encoding(spark, d):
     codes = C.class_codes(V.findings(spark, d), "finding_labels", "code")
@@ -593,6 +624,13 @@ def text_prompt(spark, d):
     return label_arrays(spark, d).select("order_key", L.text_prompt(F.col("labels")).alias("prompt"))
 
 
+@query
+def text_prompt_one_hot(spark, d):
+    classes = part_types(spark, d)
+    table = C.binarize(label_arrays(spark, d), "labels", classes, ["order_key"])
+    return table.select("order_key", L.prompt_from_one_hot(classes, "An X-ray").alias("prompt"))
+
+
 @query
 def zero_pad(spark, d):
     return V.table(spark, d, "orders").select(
@@ -700,6 +738,16 @@ def prepare_splits_bootstrap(spark, d):
     return prepared.select("key", "labels", "split", "draw")
 
 
+@query
+def prepare_splits_generated(spark, d):
+    samples = V.samples(spark, d).select("image_files", "labels")
+    generated = S.generated_rows(SC.flat_files(V.table(spark, d, "customer").select(
+        F.concat(F.lit("/out/"), F.col("c_name"), F.lit(".png")).alias("path"))), "/generated", 2)
+    return S.prepare_splits(
+        samples, "labels", ["image_files"], SEED, generated=generated, positive=2, sampling="undersample"
+    ).select("image_files", "labels", "split")
+
+
 # --- cohorts -----------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortwise.operators.evaluation import (
+    MEASURES,
     fitted_counts,
     loss_counts,
     matrix_from_counts,
@@ -102,10 +103,9 @@ def run_report(
     """
     counts = loss_counts(predictions, scores)
     auc = None if auc_score == "y_pred" else roc_auc(predictions, auc_score)
-    summary = summary_from_counts(counts, model_name, auc)
-    measures = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
-    header = ["model_name", *measures[:-1], "f1-score"]
-    cells = [F.col("model_name"), *[number_text(F.col(m)) for m in measures]]
+    summary = summary_from_counts(counts, auc=auc)
+    header = ["model_name", *MEASURES[:-1], "f1-score"]
+    cells = [F.lit(model_name), *[number_text(F.col(m)) for m in MEASURES]]
     metric_lines = [
         F.lit("# Run summary"),
         F.lit("## Test results"),

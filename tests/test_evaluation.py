@@ -94,6 +94,28 @@ def test_summary_row(spark):
     assert without.loss is None and without.f1 == pytest.approx(got.f1)
 
 
+def test_epoch_metrics_equal_one_summary_per_group(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice("ab"), rng.randrange(3), rng.randrange(2), rng.randrange(2)) for _ in range(300)]
+    rows += [("b", 9, 1, 1)]
+    df = spark.createDataFrame(rows, "split string, epoch int, y_true int, y_pred int")
+    got = {(r.split, r.epoch, r.metric): r.value for r in E.epoch_metrics(df, ["split", "epoch"]).collect()}
+    assert not any(m == "loss" for _, _, m in got)
+    assert ("b", 9, "roc_auc") not in got and got["b", 9, "accuracy"] == 1.0
+    for split, epoch in (("a", 0), ("b", 2)):
+        one = E.run_summary(df.where((F.col("split") == split) & (F.col("epoch") == epoch)), "m").first()
+        for m in ("roc_auc", "accuracy", "precision", "recall", "f1"):
+            assert got[split, epoch, m] == pytest.approx(one[m])
+
+
+def test_matrix_of_too_many_labels(spark, monkeypatch):
+    df = predictions(spark, [(0, 1), (2, 3)])
+    monkeypatch.setattr(E, "MAX_AXIS", 3)
+    with pytest.raises(Exception, match="confusion_counts"):
+        E.confusion_matrix(df).collect()
+    assert E.confusion_counts(df).count() == 2
+
+
 def test_metrics_by_name_skips_unknown(spark, caplog):
     df = predictions(spark, [(1, 1), (1, 0), (0, 0)])
     with caplog.at_level(logging.WARNING):

@@ -145,6 +145,13 @@ def test_sample_rows(spark, skewed, k):
     assert got == {r[0] for r in order(skewed)[:k]}
 
 
+def test_part_that_ends_at_a_repeated_key(spark):
+    rows = [(i // 2, 0) for i in range(40)]
+    assert sample_rows(frame(spark, rows), 4, ["key"], SEED).count() == 4
+    with pytest.raises(Exception, match="must be unique"):
+        sample_rows(frame(spark, rows), 5, ["key"], SEED).count()
+
+
 def test_empty_input(spark):
     df = frame(spark, [])
     assert sample_rows(df, 5, ["key"], SEED).count() == 0
