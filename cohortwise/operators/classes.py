@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortwise.functions.labels import one_hot
+from cohortwise.operators.ranks import ordered_rank
 from cohortwise.session import FIT_ROWS, fitted
 
 # Widest one-hot table; more classes stay in long form (`one_hot_long`).
@@ -19,15 +20,19 @@ def sorted_classes(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_codes(df: DataFrame, label: str, code: str = "code") -> DataFrame:
-    """Dense codes from 0 in label order. Ranks distinct labels only."""
-    position = F.row_number().over(Window.orderBy(label)) - 1
+    """Dense codes from 0 in label order. Ranks distinct labels only: few of them
+    in one task, many over ranges of labels."""
     distinct = df.select(label).where(F.col(label).isNotNull()).distinct()
-    return distinct.select(label, position.cast("int").alias(code))
+    classes = fitted(distinct)
+    if classes is distinct:
+        return ordered_rank(distinct, label, [], name=code).withColumn(code, (F.col(code) - 1).cast("int"))
+    position = F.row_number().over(Window.orderBy(label)) - 1
+    return F.broadcast(classes.select(label, position.cast("int").alias(code)))
 
 
 def encode(df: DataFrame, label: str, code: str) -> DataFrame:
     """Label replaced by its dense code, or kept beside it under another name."""
-    codes = fitted(class_codes(df.select(F.col(label).alias("_label")), "_label", "_code"))
+    codes = class_codes(df.select(F.col(label).alias("_label")), "_label", "_code")
     joined = df.join(codes, F.col(label) == F.col("_label"), "left")
     return joined.withColumn(code, F.col("_code")).drop("_label", "_code")
 

@@ -22,6 +22,9 @@ logger = logging.getLogger(__name__)
 # Distinct scores up to this number are ordered in one task; more are chunked.
 PLAIN_SCORES = 100_000
 
+# Most label pairs of a group that a Python metric is given.
+MAX_PAIRS = 1_000_000
+
 # Most labels of a zero-filled confusion matrix.
 MAX_AXIS = 2000
 
@@ -299,9 +302,14 @@ def custom_metric(
     """A Python metric ``compute(y_true, y_pred, weight)`` per group.
 
     It gets each pair of labels once, with its number of rows as the weight: at
-    most classes x classes rows, whatever the size of the group.
+    most classes x classes rows, whatever the size of the group. Values that are
+    not classes, of which a group has over `MAX_PAIRS` pairs, need a metric
+    written as an aggregate, see `metrics_by_name`.
     """
-    counts = confusion_counts(df, by)
+    pairs = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    too_many = F.raise_error(F.lit(f"over {MAX_PAIRS} label pairs in a group")).cast("boolean")
+    counts = confusion_counts(df, by).withColumn("_pairs", pairs)
+    counts = counts.where(F.when(F.col("_pairs") > MAX_PAIRS, too_many).otherwise(F.lit(True))).drop("_pairs")
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:

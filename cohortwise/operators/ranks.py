@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from cohortwise.session import fitted
+from cohortwise.session import fitted, materialize
 
 # Chunks of a group per shuffle partition, at least.
 CHUNKS_PER_PARTITION = 4
@@ -90,14 +90,16 @@ def seeded_rank(
 
 
 def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[DataFrame, Column]:
-    """``df`` with a chunk column that follows the values of a numeric column.
+    """``df`` with a chunk column that follows the order of another column.
 
-    The cut points are fitted once by approximate percentiles and then fixed, so
-    a repeated task chunks its rows the same way. Equal values share a chunk.
+    A numeric column is cut at approximate percentiles, fitted once and then
+    fixed, so that a repeated task chunks its rows the same way. Rows of other
+    types are sorted into ranges by Spark and stored with the number of their
+    range. Equal values share a chunk.
     """
-    kind = df.schema[column].dataType
-    if not isinstance(kind, T.NumericType):
-        raise TypeError(f"{column} is {kind.simpleString()}; ranges are cut over numeric columns")
+    if not isinstance(df.schema[column].dataType, T.NumericType):
+        ranged = df.repartitionByRange(column).withColumn("_range", F.spark_partition_id())
+        return materialize(ranged, "ranges"), F.col("_range")
     chunks = chunks or max(64, min(MAX_RANGES, wanted_chunks(df.sparkSession)))
     shares = [i / chunks for i in range(1, chunks)]
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * chunks).alias("cuts")).first().cuts
@@ -109,7 +111,7 @@ def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[
 
 
 def ordered_rank(df: DataFrame, column: str, keys: Sequence[str], by: Sequence[str] = (), name: str = "rank") -> DataFrame:
-    """Row number within ``by`` in ascending order of a numeric column, ties by key."""
+    """Row number within ``by`` in ascending order of a column, ties by key."""
     chunked, chunk = range_chunk(df, column)
     return rank_in_chunks(chunked, chunk, [column, *keys], by, name).drop("_range")
 

@@ -18,7 +18,7 @@ DIFFUSION = "diffusion"
 
 def with_path(df: DataFrame, base: str, name: str, path: str = IMAGE) -> DataFrame:
     """Full path from a base folder and a file name column."""
-    return df.withColumn(path, join_path(F.lit(base), F.col(name)))
+    return df.withColumn(path, join_path(F.lit(base), F.col(name).cast("string")))
 
 
 def sample_pair(df: DataFrame, image: str = IMAGE, label: str = LABEL) -> DataFrame:

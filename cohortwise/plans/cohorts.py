@@ -24,6 +24,7 @@ from cohortwise.operators.rows import (
     positives_only,
     sample_pair,
     subset_to_class,
+    with_path,
 )
 from cohortwise.operators.sampling import SAMPLE_TO_VALUE, TEST_SIZE, prepare_splits
 from cohortwise.operators.sets import combine_datasets, replicate_class
@@ -53,16 +54,14 @@ def cohort_by_list(metadata: DataFrame, lists: Mapping[str, DataFrame], spec: Co
     """Cohort whose splits are given as lists of keys; the key is the file name."""
     kept = metadata if spec.positive is None else positives_only(metadata, spec.positive, spec.target, spec.mode)
     parts = split_by_lists(kept, lists, spec.key)
-    path = join_path(F.lit(spec.scan_folder), F.col(spec.key).cast("string"))
-    return parts.withColumn(IMAGE, path).withColumn(LABEL, F.col(spec.target))
+    return with_path(parts, spec.scan_folder, spec.key).withColumn(LABEL, F.col(spec.target))
 
 
 def cohort_by_column(metadata: DataFrame, spec: CohortSpec, column: str = "split", image: str = IMAGE) -> DataFrame:
     """Cohort whose splits are named in a column train / validate / test."""
     kept = metadata if spec.positive is None else positives_only(metadata, spec.positive, spec.target, spec.mode)
     parts = parts_by_column(kept, column, COLUMN_PARTS)
-    path = join_path(F.lit(spec.scan_folder), F.col(image).cast("string"))
-    return parts.withColumn(IMAGE, path).withColumn(LABEL, F.col(spec.target))
+    return with_path(parts, spec.scan_folder, image).withColumn(LABEL, F.col(spec.target))
 
 
 def cohort_by_dirs(train: DataFrame, test: DataFrame, times: int = 1) -> DataFrame:

@@ -165,8 +165,8 @@ oracle("scan_metadata_csv", "SELECT * FROM v_findings")
 oracle("versioned_cache", "SELECT * FROM v_samples")
 oracle("scan_id_list", "SELECT id::VARCHAR AS id FROM v_split_list")
 oracle("scan_class_dirs", "SELECT image_files, class_name, labels FROM v_class_dirs")
-oracle("scan_shards", """SELECT name, printf('images_%03d/images/', (page_id % 13 + 1)::INT) || name AS image_files
-    FROM v_scans WHERE page_id % 13 + 1 <= 12""")
+oracle("scan_shards", """SELECT name, printf('images_%03d/images/', (page_id % 12 + 1)::INT) || name AS image_files
+    FROM v_scans""")
 oracle("scan_flat_dir", "SELECT name, path FROM v_scans")
 oracle("scan_generated", "SELECT '/generated/' || name AS image_files, 1 AS labels FROM v_scans")
 COLUMN_COHORT = """SELECT order_key, '/scans/' || image_files AS image_files, finding_labels AS labels,
@@ -178,11 +178,11 @@ oracle(
     "run_report",
     """SELECT section, line_no::INT AS line_no, line FROM (
         SELECT 1 AS section, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM (SELECT [
-            '# Run summary', '## Test results', '### Evaluation metrics',
+            '# Run summary', '', '## Test results', '### Evaluation metrics',
             '| model_name | roc_auc | accuracy | loss | precision | recall | f1-score |',
             '| --- | --- | --- | --- | --- | --- | --- |',
             printf('| densenet | %.6f | %.6f | %.6f | %.6f | %.6f | %.6f |', a.roc_auc, acc.precision, loss.loss,
-                   mac.precision, mac.recall, mac.f1)] AS l
+                   mac.precision, mac.recall, mac.f1), ''] AS l
             FROM a, (SELECT * FROM m_r WHERE label = 'accuracy') acc, (SELECT * FROM m_r WHERE label = 'macro avg') mac, loss)
         UNION ALL
         SELECT 2, generate_subscripts(l, 1) - 1, unnest(l) FROM (SELECT [
@@ -191,10 +191,10 @@ oracle(
             '| --- |' || (SELECT repeat(' --- |', count(*)) FROM m_l)]
             || (SELECT list('| ' || y || ' | ' || cells || ' |' ORDER BY y) FROM (
                 SELECT t.label AS y, string_agg(coalesce(n, 0), ' | ' ORDER BY p.label) AS cells
-                FROM m_l t CROSS JOIN m_l p LEFT JOIN m_c ON y_true = t.label AND y_pred = p.label GROUP BY t.label)) AS l)
+                FROM m_l t CROSS JOIN m_l p LEFT JOIN m_c ON y_true = t.label AND y_pred = p.label GROUP BY t.label)) || [''] AS l)
         UNION ALL
         SELECT 3, generate_subscripts(l, 1) - 1, unnest(l) FROM (SELECT
-            ['## `config.yaml`', '```yaml'] || list(e ORDER BY e) || ['```'] AS l
+            ['## `config.yaml`', '```yaml', '# --config-name=config', ''] || list(e ORDER BY e) || ['```'] AS l
             FROM (SELECT n_name || ': ' || n_regionkey AS e FROM nation)))""",
     report("v_pred_lines", PRESENT, "shown"),
     auc("v_pred_lines", "y_pred"),
@@ -360,7 +360,7 @@ oracle("union_parts", f"SELECT order_key, {IS_POSITIVE}::INT AS label FROM v_lab
 COMBINED = """SELECT image_files, labels, split, '{0}' AS source FROM v_split_samples
     UNION ALL SELECT image_files, labels, split, 'pages' FROM v_page_samples"""
 oracle("combine_datasets", COMBINED.format("main"))
-oracle("label_difference", "SELECT p_type AS label FROM part EXCEPT SELECT p_type FROM part WHERE p_retailprice < 900.3")
+oracle("label_difference", "SELECT unnest(labels) AS label FROM v_labels EXCEPT SELECT p_type FROM part")
 oracle("replicate_class", """SELECT key, labels, unnest(CASE WHEN labels = 1 THEN [1, 2, 3] ELSE [1] END) AS copy
     FROM v_samples""")
 

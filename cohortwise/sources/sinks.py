@@ -18,8 +18,13 @@ from cohortwise.operators.evaluation import (
 from cohortwise.operators.ranks import ordered_rank, seeded_rank
 from cohortwise.operators.runs import numeric_metrics
 
-# Fixed value
+# Fixed values
 SHUFFLED_SPLITS = ("train", "val")
+TITLE = "# Run summary"
+RESULTS_HEADING = "## Test results"
+METRICS_HEADING = "### Evaluation metrics"
+CONFUSION_HEADING = "### Confusion matrix"
+CONFIG_OPENING = ("## `config.yaml`", "```yaml", "# --config-name=config", "")
 
 
 def write_parts(df: DataFrame, path: str, parts: Sequence[str], fmt: str = "parquet", max_rows: int = 0) -> None:
@@ -107,12 +112,11 @@ def run_report(
     header = ["model_name", *MEASURES[:-1], "f1-score"]
     cells = [F.lit(model_name), *[number_text(F.col(m)) for m in MEASURES]]
     metric_lines = [
-        F.lit("# Run summary"),
-        F.lit("## Test results"),
-        F.lit("### Evaluation metrics"),
+        *[F.lit(t) for t in (TITLE, "", RESULTS_HEADING, METRICS_HEADING)],
         markdown_row([F.lit(h) for h in header]),
         F.lit("|" + " --- |" * len(header)),
         markdown_row(cells),
+        F.lit(""),
     ]
     metrics = summary.select(F.lit(1).alias("section"), F.posexplode(F.array(*metric_lines)).alias("line_no", "line"))
 
@@ -135,7 +139,9 @@ def run_report(
         F.lit(2).alias("section"),
         F.posexplode(
             F.concat(
-                F.array(F.lit("### Confusion matrix"), F.concat(F.lit("|  | "), names, F.lit(" |")), rule), lines
+                F.array(F.lit(CONFUSION_HEADING), F.concat(F.lit("|  | "), names, F.lit(" |")), rule),
+                lines,
+                F.array(F.lit("")),
             )
         ).alias("line_no", "line"),
     )
@@ -144,7 +150,7 @@ def run_report(
     settings = config.agg(entries.alias("entries")).select(
         F.lit(3).alias("section"),
         F.posexplode(
-            F.concat(F.array(F.lit("## `config.yaml`"), F.lit("```yaml")), F.col("entries"), F.array(F.lit("```")))
+            F.concat(F.array(*[F.lit(t) for t in CONFIG_OPENING]), F.col("entries"), F.array(F.lit("```")))
         ).alias("line_no", "line"),
     )
     return metrics.unionByName(confusion).unionByName(settings)

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import cohortwise.session as session
 from cohortwise.operators import classes as C, joins as J, rows as R, sets as U, summary as A
 from cohortwise.plans import cohorts as CO
 
@@ -96,6 +97,15 @@ def test_encoding(spark):
     assert C.labels_or_encoding(["z"], {"x": 0}) == ["z"]
 
 
+@pytest.mark.parametrize("kind", ["string", "double", "int"])
+def test_encoding_of_many_classes(spark, monkeypatch, kind):
+    df = spark.range(300).select((F.col("id") * 37 % 101).cast(kind).alias("c"))
+    expected = {(r.c, r.code) for r in C.encode(df, "c", "code").collect()}
+    assert sorted(c for _, c in expected) == list(range(101))
+    monkeypatch.setattr(session, "FIT_ROWS", 50)
+    assert {(r.c, r.code) for r in C.encode(df, "c", "code").collect()} == expected
+
+
 def test_decode_unknown_codes(spark):
     df = spark.createDataFrame([(0,), (5,), (None,)], "code int")
     assert [r.n for r in C.decode(df, "code", {"zero": 0}, "n").collect()] == ["zero", None, None]

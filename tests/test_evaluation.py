@@ -139,6 +139,13 @@ def test_custom_metric_sees_each_pair_once(spark):
     assert got == {"a": 21_000.0, "b": 10_001.0}
 
 
+def test_custom_metric_refuses_values_that_are_no_classes(spark, monkeypatch):
+    df = predictions(spark, [(i, i) for i in range(20)]).withColumn("split", F.lit("a"))
+    monkeypatch.setattr(E, "MAX_PAIRS", 19)
+    with pytest.raises(Exception, match="label pairs"):
+        E.custom_metric(df, lambda t, p, w: 0.0, ["split"]).collect()
+
+
 def test_decided_class_ties(spark):
     df = spark.createDataFrame([([0.1, 0.7, 0.7],), ([5.0],)], "s array<double>")
     assert [r.y_pred for r in E.with_prediction(df, "s").collect()] == [1, 0]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortwise.operators import classes as C, evaluation as E, joins as J, runs as W, sampling as S
+import cohortwise.operators.ranks as ranks
 from cohortwise.operators.ranks import seeded_rank
 from cohortwise.plans import queries as Q, views as V
 
@@ -28,6 +29,17 @@ def test_split_rows_are_not_shuffled(spark, sf_dir):
     assert "BroadcastHashJoin" in text
 
 
+def test_quotas_and_cuts_read_the_data_once(spark, sf_dir, monkeypatch):
+    seen = []
+    fitted = ranks.fitted
+    monkeypatch.setattr(ranks, "fitted", lambda df: seen.append(df) or fitted(df))
+    S.stratified_split(V.samples(spark, sf_dir), "labels", ["key"], 1)
+    ends = seen[0]
+    ends.collect()
+    final = plan(ends).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_undersample_rows_are_not_shuffled(spark, sf_dir):
     assert "Exchange hashpartitioning" not in plan(S.undersample(V.samples(spark, sf_dir), "labels", ["key"], 1))
 

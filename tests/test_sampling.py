@@ -197,8 +197,11 @@ def test_ordered_rank_of_one_value_and_of_names(spark, skewed):
     df = frame(spark, skewed).withColumn("same", F.lit(1))
     got = sorted(r["rank"] for r in ordered_rank(df, "same", ["key"]).collect())
     assert got == list(range(1, len(skewed) + 1))
-    with pytest.raises(TypeError, match="numeric"):
-        ordered_rank(df.withColumn("s", F.lit("x")), "s", ["key"])
+    named = df.withColumn("name", F.format_string("scan-%d", F.col("key") * 7919 % 1000))
+    ranked = {r.key: r["rank"] for r in ordered_rank(named, "name", ["key"], ["label"]).collect()}
+    for rows in by_class(skewed).values():
+        in_order = sorted(rows, key=lambda r: (f"scan-{r[0] * 7919 % 1000}", r[0]))
+        assert [ranked[r[0]] for r in in_order] == list(range(1, len(rows) + 1))
 
 
 def drawn(rows, need):

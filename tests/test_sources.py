@@ -137,18 +137,23 @@ def test_report_text(spark, tmp_path):
     score = run_summary(df, "net").first()
     assert file.read_text().splitlines() == [
         "# Run summary",
+        "",
         "## Test results",
         "### Evaluation metrics",
         "| model_name | roc_auc | accuracy | loss | precision | recall | f1-score |",
         "| --- | --- | --- | --- | --- | --- | --- |",
         f"| net | {score.roc_auc:.6f} | 0.750000 | nan | {score.precision:.6f} | {score.recall:.6f} | {score.f1:.6f} |",
+        "",
         "### Confusion matrix",
         "|  | 0 | 1 |",
         "| --- | --- | --- |",
         "| 0 | 1 | 0 |",
         "| 1 | 1 | 2 |",
+        "",
         "## `config.yaml`",
         "```yaml",
+        "# --config-name=config",
+        "",
         "lr: 0.1",
         "seed: 1",
         "```",
