@@ -130,24 +130,27 @@ def assign_parts(
 
     The first rows of a group go to the first part, as many as its quota says,
     the next ones to the second part, and so on; what is left gets ``rest``.
-    ``quota_of`` turns the group sizes (the ``by`` columns and ``n``) into the
-    same groups with one quota column per part. ``keys`` must be unique.
+    ``quota_of`` is given the group sizes (the ``by`` columns and ``n``) and adds
+    one quota column per part. ``keys`` must be unique.
 
     The rows are never shuffled. The chunk sizes tell in which chunk a part ends;
     only that chunk, a small share of the group, is ranked. Its row at the end
     of the part becomes the cut value that all rows are compared with.
     """
-    narrow = df.select(group_of(by).alias(GROUP), seeded_hash(seed, keys).alias(HASH), *keys)
-    narrow = narrow.withColumn(CHUNK, hash_chunk(df.sparkSession, F.col(HASH)))
+    hashed = df.withColumn(HASH, seeded_hash(seed, keys))
+    # Without groups the group is an empty text, but not a literal: Spark would
+    # turn a join on literals into a cross join.
+    group = group_of(by) if by else F.struct(F.substring(HASH, 1, 0).alias("all"))
+    narrow = hashed.select(group.alias(GROUP), HASH, hash_chunk(df.sparkSession, F.col(HASH)).alias(CHUNK), *keys)
     sizes = chunk_sizes(narrow.select(GROUP, CHUNK))
 
     counts = sizes.groupBy(GROUP).agg(F.sum("_size").alias("n"))
-    quotas = quota_of(counts.select(*[F.col(f"{GROUP}.{c}").alias(c) for c in by], "n"))
+    quotas = quota_of(counts.select(GROUP, *[F.col(f"{GROUP}.{c}").alias(c) for c in by], "n"))
     upto, stops = F.lit(0), []
     for i, part in enumerate(parts):
         upto = upto + F.col(part)
         stops.append(F.struct(F.lit(i).alias("_part"), upto.cast("bigint").alias("_upto")))
-    stops = quotas.select(group_of(by).alias(GROUP), F.inline(F.array(*stops)))
+    stops = quotas.select(GROUP, F.inline(F.array(*stops)))
     ends = (
         chunk_starts(sizes)
         .join(stops, GROUP)

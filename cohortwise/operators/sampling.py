@@ -32,7 +32,7 @@ def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
 
 def sample_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int) -> DataFrame:
     """Exactly ``min(k, rows)`` random rows without replacement."""
-    return pick_first(df, lambda counts: counts.select(F.least("n", F.lit(k)).alias("quota")), keys, seed)
+    return pick_first(df, lambda counts: counts.withColumn("quota", F.least("n", F.lit(k))), keys, seed)
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -151,8 +151,8 @@ def resample_to_value(
 
 def undersample(df: DataFrame, label: str, keys: Sequence[str], seed: int) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement."""
-    smallest = F.min("n").over(Window.partitionBy()).alias("quota")
-    return pick_first(df, lambda counts: counts.select(label, smallest), keys, seed, [label])
+    smallest = F.min("n").over(Window.partitionBy())
+    return pick_first(df, lambda counts: counts.withColumn("quota", smallest), keys, seed, [label])
 
 
 def mix_generated(

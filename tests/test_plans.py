@@ -29,15 +29,22 @@ def test_split_rows_are_not_shuffled(spark, sf_dir):
     assert "BroadcastHashJoin" in text
 
 
-def test_quotas_and_cuts_read_the_data_once(spark, sf_dir, monkeypatch):
+@pytest.mark.parametrize("grouped", [True, False])
+def test_quotas_read_the_data_once_and_join_by_key(spark, sf_dir, monkeypatch, grouped):
     seen = []
     fitted = ranks.fitted
     monkeypatch.setattr(ranks, "fitted", lambda df: seen.append(df) or fitted(df))
-    S.stratified_split(V.samples(spark, sf_dir), "labels", ["key"], 1)
-    ends = seen[0]
-    ends.collect()
-    final = plan(ends).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    samples = V.samples(spark, sf_dir)
+    if grouped:
+        S.stratified_split(samples, "labels", ["key"], 1)
+    else:
+        S.sample_rows(samples, 10, ["key"], 1)
+    for df in seen:
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
+        assert final.count("FileScan") == 1
+    assert "ReusedExchange" in plan(seen[0])
 
 
 def test_undersample_rows_are_not_shuffled(spark, sf_dir):

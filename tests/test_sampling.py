@@ -163,12 +163,12 @@ def test_empty_input(spark):
 def test_composite_keys_with_nulls(spark):
     rows = [(i // 2, None if i % 2 else 1) for i in range(200)]
     df = spark.createDataFrame(rows, "a bigint, b int")
-    got = pick_first(df, lambda c: c.select(F.lit(50).alias("quota")), ["a", "b"], SEED).collect()
+    got = pick_first(df, lambda c: c.withColumn("quota", F.lit(50)), ["a", "b"], SEED).collect()
     assert len(got) == len(set(got)) == 50
 
 
 def test_parts_ending_in_the_same_chunk(spark, skewed):
-    quota = lambda c: c.select("label", F.lit(1).alias("x"), F.lit(0).alias("y"), F.lit(1).alias("z"))
+    quota = lambda c: c.withColumns({"x": F.lit(1), "y": F.lit(0), "z": F.lit(1)})
     dealt = assign_parts(frame(spark, skewed), quota, ["x", "y", "z"], ["key"], SEED, ["label"], "rest", "part")
     got = {r.key: r.part for r in dealt.collect()}
     for rows in by_class(skewed).values():
