@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from cohortwise.functions.names import short_name
+from cohortwise.functions.names import model_name, short_name
 
 # Fixed value: parameters that describe the object to build, not the run
 TECHNICAL_KEYS = ("_target_",)
@@ -23,6 +23,38 @@ def _merge_two(first: Column, second: Column) -> Column:
     return F.map_concat(kept, second)
 
 
+def base_params(date: Column, postfix: Column, random_state: Column, timestamp: Column, use_transforms: Column) -> Column:
+    """Parameters every run has."""
+    values = {
+        "date": date, "postfix": postfix, "random_state": random_state, "timestamp": timestamp,
+        "use_transforms": use_transforms,
+    }
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("string"))])
+
+
+def collect(
+    base: Column, model: Column, criterion: Column, optimizer: Column, dataset: Column, preprocessing: Column
+) -> Column:
+    """All parameters of a run from those of its parts, later parts winning.
+
+    The names of model, criterion and optimizer are added, read off their targets;
+    ``dataset`` is the name of the dataset.
+    """
+
+    def target(part: Column) -> Column:
+        return F.try_element_at(part, F.lit("_target_"))
+
+    def entry(name: str, value: Column) -> Column:
+        return F.create_map(F.lit(name), value)
+
+    hub_path = F.try_element_at(model, F.lit("pretrained_model_name_or_path"))
+    named = [entry("model_name", model_name(target(model), hub_path)), model]
+    for name, part in (("criterion", criterion), ("optimizer", optimizer)):
+        known = F.coalesce(*[F.try_element_at(p, F.lit(name)) for p in (model, base)], short_name(target(part)))
+        named += [entry(f"{name}_name", known), part]
+    return clean(merge(base, *named, entry("dataset_name", dataset), preprocessing))
+
+
 def clean(
     params: Column,
     switches: Mapping[str, str] | None = None,
@@ -81,7 +113,7 @@ def run_name(p: Column, model: Column) -> Column:
         .otherwise(F.lit(""))
     )
     return F.concat(
-        F.coalesce(get("model_name"), model), middle,
+        F.coalesce(get("model_name"), F.lower(model)), middle,
         F.lit(";seed="), get("random_state"),
         F.lit(";"), get("date"), F.lit("-"), get("timestamp"),
         F.lit(";"), get("postfix"),

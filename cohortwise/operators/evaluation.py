@@ -13,6 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortwise.functions.names import base_name
 from cohortwise.functions.scores import argmax, cross_entropy
 from cohortwise.operators.ranks import CHUNK, range_chunk
 from cohortwise.session import fitted, materialize
@@ -36,6 +37,14 @@ def with_prediction(df: DataFrame, scores: str, name: str = "y_pred") -> DataFra
     return df.withColumn(name, argmax(F.col(scores)))
 
 
+def prediction_table(df: DataFrame, path: str, y_true: str, scores: str) -> DataFrame:
+    """Truth and predicted class by file name. The name travels with its row, so
+    no shuffling of the data can misalign them."""
+    return df.select(
+        base_name(F.col(path)).alias("key"), F.col(y_true).cast("int").alias("y_true"), argmax(F.col(scores)).alias("y_pred")
+    )
+
+
 def confusion_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows per (y_true, y_pred) that occur."""
     return df.groupBy(*by, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))

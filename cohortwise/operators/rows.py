@@ -107,6 +107,11 @@ def label_exclusive(df: DataFrame, labels: str, positive: str, name: str = LABEL
     return label_any(df.where(~L.mixed_positive(F.col(labels), positive)), labels, positive, name)
 
 
+def log_interval(max_epochs: int) -> int:
+    """Default distance between logged epochs: ten logs per run."""
+    return max(max_epochs // 10, 1)
+
+
 def every_kth(df: DataFrame, column: str, k: int) -> DataFrame:
     """Every k-th epoch."""
     return df.where(F.col(column) % k == 0)

@@ -182,14 +182,19 @@ def prepare_splits(
     positive: int = 1,
     sampling: str | None = None,
     value: int = SAMPLE_TO_VALUE,
+    perform_validation: bool = True,
 ) -> DataFrame:
     """Train and validation rows ready for training, in a ``split`` column.
 
     Split, then mix in generated rows, then rebalance the train part:
     ``sampling`` is ``None``, ``"bootstrap"`` or ``"undersample"``. Give a stored
     table; the fitted steps read it several times. Rows from a bootstrap have a
-    ``draw`` number, all others null.
+    ``draw`` number, all others null. Without validation the rows split off are
+    left out.
     """
+    if not perform_validation:
+        both = prepare_splits(df, label, keys, seed, test_size, generated, positive, sampling, value)
+        return both.where("split = 'train'")
     if sampling not in (None, "bootstrap", "undersample"):
         raise ValueError(f"sampling {sampling!r} is not 'bootstrap' or 'undersample'")
     no_draw = F.lit(None).cast("bigint")

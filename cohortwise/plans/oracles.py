@@ -280,6 +280,7 @@ oracle("partition_check", """SELECT count(*) AS total, count(*) FILTER (list_con
     (count(*) FILTER (len(parts) > 1) = 0 AND count(*) FILTER (parts IS NULL) = 0)::INT AS complete
     FROM v_findings LEFT JOIN v_lists USING (order_key)""")
 oracle("argmax_predict", "SELECT vec_id, y_true, y_pred FROM v_pred10")
+oracle("prediction_table", "SELECT vec_id || '.png' AS key, y_true, y_pred FROM v_pred10")
 oracle(
     "confusion_matrix",
     """SELECT t.label AS y_true, p.label AS y_pred, coalesce(n, 0) AS n
@@ -401,6 +402,15 @@ oracle("run_name", """SELECT run_id, lower(split_part(p['_target_'], '.', -1)) |
     WHEN 1 THEN ';pretrained_model=' || p['pretrained_model'] ELSE '' END
     || ';seed=' || p['random_state'] || ';2024-01-01-00-00-00;' || p['postfix'] AS run_name
     FROM (SELECT run_id, map_from_entries(list((k, v))) AS p FROM v_merged GROUP BY run_id)""")
+oracle("collect_params", """SELECT run_id, string_agg(e, ',' ORDER BY e) AS params FROM (
+    SELECT c_custkey AS run_id, unnest([
+        'criterion_name=CrossEntropyLoss', 'dataset_name=cxr14', 'date=2024-01-01', 'lr=0.0' || c_nationkey,
+        'model_name=' || CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'densenet121' END,
+        'optimizer_name=AdamW', 'positive_class=PROMO', 'postfix=' || lower(c_mktsegment),
+        'pretrained_model_name_or_path=models/' || c_mktsegment, 'random_state=' || c_custkey, 'reduction=mean',
+        CASE WHEN c_nationkey >= 10 THEN 'sampling_method=resample' END, 'timestamp=00-00-00',
+        'use_sampling=' || CASE WHEN c_nationkey < 10 THEN 'false' ELSE 'true' END, 'use_transforms=true']) AS e
+    FROM customer) WHERE e IS NOT NULL GROUP BY run_id""")
 oracle("merge_params", "SELECT run_id, string_agg(k || '=' || v, ',' ORDER BY k || '=' || v) AS params FROM v_merged GROUP BY run_id")
 oracle("rename_metrics", """SELECT event_id, CASE event_type WHEN 'purchase' THEN 'fid' WHEN 'view' THEN 'inception'
     WHEN 'click' THEN 'ssim' ELSE event_type END AS metric FROM events""")

@@ -409,6 +409,12 @@ def argmax_predict(spark, d):
     return E.with_prediction(V.pred10(spark, d), "logits").select("vec_id", "y_true", "y_pred")
 
 
+@query
+def prediction_table(spark, d):
+    path = F.concat(F.lit("/scans/files/"), F.col("vec_id").cast("string"), F.lit(".png"))
+    return E.prediction_table(V.pred10(spark, d).withColumn("path", path), "path", "y_true", "logits")
+
+
 @query
 def confusion_matrix(spark, d):
     return E.confusion_matrix(argmax_predict(spark, d))
@@ -662,6 +668,28 @@ def run_name(spark, d):
     return V.run_params(spark, d).select("run_id", P.run_name(params, model).alias("run_name"))
 
 
+@query
+def collect_params(spark, d):
+    c = V.table(spark, d, "customer")
+    entry = lambda **kv: F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)])
+    hub = F.col("c_custkey") % 2 == 0
+    params = P.collect(
+        P.base_params(F.lit("2024-01-01"), F.lower("c_mktsegment"), F.col("c_custkey"), F.lit("00-00-00"), F.lit(True)),
+        entry(
+            _target_=F.when(hub, "hub.UNet.from_pretrained").otherwise("nets.DenseNet121"),
+            pretrained_model_name_or_path=F.concat(F.lit("models/"), F.col("c_mktsegment")),
+        ),
+        entry(_target_=F.lit("torch.nn.CrossEntropyLoss"), reduction=F.lit("mean")),
+        entry(_target_=F.lit("torch.optim.AdamW"), lr=F.concat(F.lit("0.0"), F.col("c_nationkey").cast("string"))),
+        F.lit("cxr14"),
+        entry(
+            use_sampling=F.when(F.col("c_nationkey") < 10, "false").otherwise("true"),
+            sampling_method=F.lit("resample"), positive_class=F.lit("PROMO"),
+        ),
+    )
+    return c.select(F.col("c_custkey").alias("run_id"), entries_text(params).alias("params"))
+
+
 @query
 def merge_params(spark, d):
     return V.run_params(spark, d).select(

@@ -135,6 +135,13 @@ def test_run_name_by_mode(spark):
     assert name(type="diff", mode="diffusion") == "densenet" + tail
 
 
+def test_run_name_lowers_a_hub_model(spark):
+    params = F.create_map(*[F.lit(x) for kv in {"type": "diff", "mode": "diffusion", "random_state": "1", "date": "d",
+                                                "timestamp": "t", "postfix": "p"}.items() for x in kv])
+    model = N.model_name(F.lit("x.from_pretrained"), F.lit("hub/Base-V1"))
+    assert one(spark, P.run_name(params, model)) == "base-v1;seed=1;d-t;p"
+
+
 def test_rename_metric(spark):
     renames = {"FrechetInceptionDistance": "FID"}
     assert one(spark, P.rename_metric(F.lit("FrechetInceptionDistance"), renames)) == "fid"

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cohortwise.operators import runs as W
+from cohortwise.operators import rows as R, runs as W
 
 
 def stop_rule(values, patience, sign=1):
@@ -66,3 +66,7 @@ def test_numeric_metrics(spark):
     rows = [("val", "accuracy", "0.5"), ("val", "y_true", "[1, 2]"), ("test", "loss", None)]
     df = spark.createDataFrame(rows, "split string, metric string, value string")
     assert [tuple(r) for r in W.numeric_metrics(df).collect()] == [("val", "val_accuracy", 0.5)]
+
+
+def test_log_interval():
+    assert [R.log_interval(n) for n in (1, 10, 19, 55)] == [1, 1, 1, 5]

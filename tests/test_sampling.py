@@ -270,6 +270,13 @@ def test_prepare_splits_with_generated_rows(spark):
     assert not any(r.image_files.startswith("g") for r in got if r.split == "val")
 
 
+def test_prepare_splits_without_validation(spark, skewed):
+    df = frame(spark, skewed)
+    got = {r.key for r in prepare_splits(df, "label", ["key"], SEED, perform_validation=False).collect()}
+    expected = stratified_split(df, "label", ["key"], SEED).where("split = 'train'")
+    assert got == {r.key for r in expected.collect()}
+
+
 def test_prepare_splits_bootstrap_size(spark, skewed):
     got = prepare_splits(frame(spark, skewed), "label", ["key"], SEED, sampling="bootstrap", value=40).collect()
     assert Counter(r.label for r in got if r.split == "train") == {c: 40 for c in {l for _, l in skewed}}
