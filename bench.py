@@ -65,12 +65,13 @@ def main() -> None:
     for name in names:
         run(spark, name, sf_dir)
         timings[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(RUNS)), 3)
+    scale = Path(sf_dir).name.removeprefix("sf")
     result = {
         "metric": "headline_queries_total",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
-        "sf": Path(sf_dir).name.removeprefix("sf"),
+        "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
         "cpus": int(cpus),
     }
     print(json.dumps(result))

@@ -404,7 +404,7 @@ oracle("run_name", """SELECT run_id, lower(split_part(p['_target_'], '.', -1)) |
     FROM (SELECT run_id, map_from_entries(list((k, v))) AS p FROM v_merged GROUP BY run_id)""")
 oracle("collect_params", """SELECT run_id, string_agg(e, ',' ORDER BY e) AS params FROM (
     SELECT c_custkey AS run_id, unnest([
-        'criterion_name=CrossEntropyLoss', 'dataset_name=cxr14', 'date=2024-01-01', 'lr=0.0' || c_nationkey,
+        'criterion_name=CrossEntropyLoss', 'dataset_name=chest', 'date=2024-01-01', 'lr=0.0' || c_nationkey,
         'model_name=' || CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'densenet121' END,
         'optimizer_name=AdamW', 'positive_class=PROMO', 'postfix=' || lower(c_mktsegment),
         'pretrained_model_name_or_path=models/' || c_mktsegment, 'random_state=' || c_custkey, 'reduction=mean',

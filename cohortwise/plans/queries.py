@@ -681,7 +681,7 @@ def collect_params(spark, d):
         ),
         entry(_target_=F.lit("torch.nn.CrossEntropyLoss"), reduction=F.lit("mean")),
         entry(_target_=F.lit("torch.optim.AdamW"), lr=F.concat(F.lit("0.0"), F.col("c_nationkey").cast("string"))),
-        F.lit("cxr14"),
+        F.lit("chest"),
         entry(
             use_sampling=F.when(F.col("c_nationkey") < 10, "false").otherwise("true"),
             sampling_method=F.lit("resample"), positive_class=F.lit("PROMO"),

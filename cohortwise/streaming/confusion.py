@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+def event_time(df: DataFrame, ts: str) -> Column:
+    """Event time as an instant. Times without a zone are read as UTC, whatever
+    the zone of the session."""
+    time = F.col(ts).cast("timestamp")
+    zoneless = df.schema[ts].dataType == T.TimestampNTZType()
+    return F.from_utc_timestamp(time, F.current_timezone()) if zoneless else time
+
+
 def epoch_confusion(predictions: DataFrame, ts: str = "ts", epoch: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Rows per (epoch start, y_true, y_pred); for batch and streaming input.
+    """Rows per (epoch start in UTC, y_true, y_pred); for batch and streaming input.
 
     Each epoch is a tumbling window. Its counts leave the state once the
     watermark has passed it; rows that come later than that are not counted.
     """
-    timed = predictions.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    timed = predictions.withColumn(ts, event_time(predictions, ts)).withWatermark(ts, late)
+    start = F.to_utc_timestamp("w.start", F.current_timezone())
     return (
         timed.groupBy(F.window(ts, epoch).alias("w"), "y_true", "y_pred")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("epoch"), "y_true", "y_pred", "n")
+        .select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("epoch"), "y_true", "y_pred", "n")
     )
 
 

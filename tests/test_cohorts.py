@@ -74,15 +74,15 @@ def test_bind_columns_is_an_outer_join(spark):
 
 
 def test_lookup_statuses(spark):
-    scans = spark.createDataFrame([("/s/IXI001-a.nii",), ("/s/IXI001-b.nii",), ("/s/IXI002.nii",), ("/s/IXI003.nii",),
-                                   ("/s/IXI004.nii",), ("/s/readme",)], ["path"])
+    scans = spark.createDataFrame([("/s/SUB001-a.nii",), ("/s/SUB001-b.nii",), ("/s/SUB002.nii",), ("/s/SUB003.nii",),
+                                   ("/s/SUB004.nii",), ("/s/readme",)], ["path"])
     people = spark.createDataFrame([(1, "5.0"), (2, None), (3, "x")], "id int, target string")
     got = {r.patient: (r.filename, r.target, r.scans, r.status) for r in J.scan_lookup(scans, "path", people, "id", "target").collect()}
     assert got == {
-        1: ("IXI001-b.nii", 5, 2, "ok"), 2: ("IXI002.nii", None, 1, "bad_target"), 3: ("IXI003.nii", None, 1, "bad_target"),
-        4: ("IXI004.nii", None, 1, "missing"), None: ("readme", None, 1, "bad_id")}
+        1: ("SUB001-b.nii", 5, 2, "ok"), 2: ("SUB002.nii", None, 1, "bad_target"), 3: ("SUB003.nii", None, 1, "bad_target"),
+        4: ("SUB004.nii", None, 1, "missing"), None: ("readme", None, 1, "bad_id")}
     cohort = CO.cohort_by_lookup(scans, people, "/s", "id", "target")
-    assert [tuple(r) for r in cohort.collect()] == [(1, "/s/IXI001-b.nii", 5)]
+    assert [tuple(r) for r in cohort.collect()] == [(1, "/s/SUB001-b.nii", 5)]
     with pytest.raises(ValueError, match="unique"):
         CO.cohort_by_lookup(scans, people.union(people), "/s", "id", "target")
 

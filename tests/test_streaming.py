@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from cohortwise.plans import views as V
+from cohortwise.plans.queries import QUERIES
 from cohortwise.streaming import confusion as ST
 
 SCHEMA = "ts timestamp, y_true int, y_pred int"
@@ -63,3 +65,14 @@ def test_accuracy_per_epoch(spark):
     df = spark.createDataFrame(rows(1, 6) + rows(1, 2, hit=False) + rows(3, 4), SCHEMA)
     got = {r.epoch: (r.n, r.accuracy) for r in ST.epoch_accuracy(ST.epoch_confusion(df)).collect()}
     assert got == {"2024-01-01 00:00:00": (8, pytest.approx(0.75)), "2024-01-03 00:00:00": (4, 1.0)}
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_epochs_do_not_depend_on_the_session_zone(spark, sf_dir, zone):
+    expected = as_set(ST.epoch_confusion(V.pred_stream(V.table(spark, sf_dir, "events"))))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert as_set(ST.epoch_confusion(V.pred_stream(V.table(spark, sf_dir, "events")))) == expected
+        assert as_set(QUERIES["stream_confusion"](spark, sf_dir)) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
