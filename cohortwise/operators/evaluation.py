@@ -194,7 +194,7 @@ def negatives_below(per_score: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def negatives_below_chunked(per_score: DataFrame) -> DataFrame:
     """The same over fixed score ranges: totals of the lower ranges, plus a running
     sum inside each range."""
-    chunked, chunk = range_chunk(per_score, "score")
+    chunked, chunk = range_chunk(per_score, ["score"])
     chunked = chunked.withColumn(CHUNK, chunk)
     before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = chunked.groupBy(CHUNK).agg(F.sum("n").alias("_sum"))

@@ -9,6 +9,7 @@ all rows is thus spread over thousands of chunks.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -22,6 +23,9 @@ CHUNKS_PER_PARTITION = 4
 # Most ranges a numeric sort is cut into.
 MAX_RANGES = 4096
 
+# Most equal values a chunk may hold by estimate.
+MAX_EQUAL = 1_000_000
+
 GROUP, CHUNK, HASH = "_group", "_chunk", "_hash"
 
 
@@ -89,31 +93,41 @@ def seeded_rank(
     return rank_in_chunks(hashed, hash_chunk(df.sparkSession, F.col(HASH)), [HASH, *keys], by, name).drop(HASH)
 
 
-def range_chunk(df: DataFrame, column: str, chunks: int | None = None) -> tuple[DataFrame, Column]:
-    """``df`` with a chunk column that follows the order of another column.
+def range_chunk(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``df`` with a chunk column that follows the order of the given columns.
 
-    A numeric column is cut at approximate percentiles, fitted once and then
-    fixed, so that a repeated task chunks its rows the same way. Rows of other
-    types are sorted into ranges by Spark and stored with the number of their
-    range. Equal values share a chunk.
+    A numeric first column is cut at approximate percentiles, fitted once and then
+    fixed, so that a repeated task chunks its rows the same way. Where that leaves
+    very many equal values in a chunk, and for other types, Spark sorts the rows
+    into ranges over all order columns and stores them with the range number.
     """
-    if not isinstance(df.schema[column].dataType, T.NumericType):
-        ranged = df.repartitionByRange(column).withColumn("_range", F.spark_partition_id())
+    column = order[0]
+    splits = _range_splits(df, column) if isinstance(df.schema[column].dataType, T.NumericType) else None
+    if splits is None:
+        ranged = df.repartitionByRange(wanted_chunks(df.sparkSession), *order).withColumn("_range", F.spark_partition_id())
         return materialize(ranged, "ranges"), F.col("_range")
-    chunks = chunks or max(64, min(MAX_RANGES, wanted_chunks(df.sparkSession)))
-    shares = [i / chunks for i in range(1, chunks)]
-    cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 10 * chunks).alias("cuts")).first().cuts
-    inner = sorted({c for c in cuts or [] if math.isfinite(c)}) or [0.0]
-    cutter = Bucketizer(
-        splits=[-math.inf, *inner, math.inf], inputCol="_value", outputCol="_range", handleInvalid="keep"
-    )
+    cutter = Bucketizer(splits=splits, inputCol="_value", outputCol="_range", handleInvalid="keep")
     return cutter.transform(df.withColumn("_value", F.col(column).cast("double"))).drop("_value"), F.col("_range")
 
 
+def _range_splits(df: DataFrame, column: str) -> list[float] | None:
+    """Cut values of a numeric column; None when one value repeats too often."""
+    chunks = max(64, min(MAX_RANGES, wanted_chunks(df.sparkSession)))
+    shares = [i / chunks for i in range(1, chunks)]
+    value = F.col(column).cast("double")
+    fit = df.agg(F.percentile_approx(value, shares, 10 * chunks).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
+    repeats = Counter(fit.cuts or [])
+    if repeats and max(repeats.values()) / chunks * fit.n > MAX_EQUAL:
+        return None
+    inner = sorted(c for c in repeats if math.isfinite(c)) or [0.0]
+    return [-math.inf, *inner, math.inf]
+
+
 def ordered_rank(df: DataFrame, column: str, keys: Sequence[str], by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """Row number within ``by`` in ascending order of a column, ties by key."""
-    chunked, chunk = range_chunk(df, column)
-    return rank_in_chunks(chunked, chunk, [column, *keys], by, name).drop("_range")
+    order = [column, *keys]
+    chunked, chunk = range_chunk(df, order)
+    return rank_in_chunks(chunked, chunk, order, by, name).drop("_range")
 
 
 def assign_parts(

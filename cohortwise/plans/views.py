@@ -140,8 +140,8 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(F.col("event_id") % 5 == 0, "val").otherwise("train").alias("split"),
     )
-    hour = F.struct(F.to_date("ts"), F.hour("ts"))
-    ranked = rank_in_chunks(kept, hour, ["ts", "event_id"], ["run_id"], "epoch")
+    minute = F.struct(F.to_date("ts"), F.hour("ts"), F.minute("ts"))
+    ranked = rank_in_chunks(kept, minute, ["ts", "event_id"], ["run_id"], "epoch")
     return ranked.select("run_id", F.col("epoch").cast("int").alias("epoch"), "split", "metric", "value")
 
 

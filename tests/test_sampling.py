@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import cohortwise.operators.ranks as ranks
 import cohortwise.operators.sampling as sampling
 import cohortwise.session as session
 from cohortwise.operators.ranks import assign_parts, ordered_rank, pick_first, seeded_rank
@@ -193,6 +194,19 @@ def test_ordered_rank(spark, skewed):
     assert got == expected
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 100])
+def test_ordered_rank_of_a_hot_value(spark, skewed, monkeypatch, limit):
+    """A value in a third of the rows; over the limit its rows are cut by key."""
+    monkeypatch.setattr(ranks, "MAX_EQUAL", limit)
+    df = frame(spark, skewed).withColumn("x", F.when(F.col("key") % 3 == 0, 500).otherwise(F.col("key") % 1000))
+    ranged = ranks.range_chunk(df, ["x", "key"])[0]
+    hot = ranged.where("x = 500").select("_range").distinct().count()
+    assert (hot > 1) == (limit == 100)
+    got = {r.key: r["rank"] for r in ordered_rank(df, "x", ["key"]).collect()}
+    in_order = sorted((k for k, _ in skewed), key=lambda k: (500 if k % 3 == 0 else k % 1000, k))
+    assert got == {k: i + 1 for i, k in enumerate(in_order)}
+
+
 def test_ordered_rank_of_one_value_and_of_names(spark, skewed):
     df = frame(spark, skewed).withColumn("same", F.lit(1))
     got = sorted(r["rank"] for r in ordered_rank(df, "same", ["key"]).collect())
