@@ -296,3 +296,34 @@ def test_prepare_splits_bootstrap_size(spark, skewed):
     assert Counter(r.label for r in got if r.split == "train") == {c: 40 for c in {l for _, l in skewed}}
     with pytest.raises(ValueError, match="bootstrap"):
         prepare_splits(frame(spark, skewed), "label", ["key"], SEED, sampling="smote")
+
+
+R_OPERATORS = {
+    "seeded_order": lambda df: sampling.shuffled(df, ["key"], SEED, ["label"]),
+    "stratified_split": lambda df: stratified_split(df, "label", ["key"], SEED),
+    "stratified_split3": lambda df: stratified_split3(df, "label", ["key"], SEED),
+    "bootstrap_per_class": lambda df: bootstrap_per_class(df, "label", ["key"], 30, SEED),
+    "resample_to_value": lambda df: resample_to_value(df, "label", ["key"], SEED, 500),
+    "undersample": lambda df: undersample(df, "label", ["key"], SEED),
+    "sample_rows": lambda df: sample_rows(df, 99, ["key"], SEED),
+    "mix_generated": lambda df: mix_generated(df, df.withColumn("key", F.col("key") + 10_000), "label", 1, ["key"], SEED),
+    "prepare_splits": lambda df: prepare_splits(df, "label", ["key"], SEED, sampling="bootstrap", value=25),
+}
+
+
+@pytest.mark.parametrize("name", R_OPERATORS)
+def test_same_rows_at_any_partitioning(spark, skewed, name):
+    rows = [r for r in skewed if r[1] != 9]
+    results = [
+        Counter(map(tuple, R_OPERATORS[name](frame(spark, rows, parts).orderBy(F.rand(parts))).collect()))
+        for parts in (1, 3, 8)
+    ]
+    assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("name", R_OPERATORS)
+def test_same_rows_at_any_number_of_chunks(spark, skewed, name, monkeypatch):
+    rows = [r for r in skewed if r[1] != 9]
+    expected = Counter(map(tuple, R_OPERATORS[name](frame(spark, rows)).collect()))
+    monkeypatch.setattr(ranks, "CHUNKS_PER_PARTITION", 1000)
+    assert Counter(map(tuple, R_OPERATORS[name](frame(spark, rows)).collect())) == expected
