@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortwise.functions.labels import one_hot
 from cohortwise.operators.ranks import ordered_rank
@@ -13,6 +14,9 @@ from cohortwise.session import FIT_ROWS, fitted
 # Widest one-hot table; more classes stay in long form (`one_hot_long`).
 MAX_WIDTH = 500
 
+# Longest encoding that is looked up as a map, which is searched entry by entry.
+MAP_ENTRIES = 64
+
 
 def sorted_classes(df: DataFrame, label: str) -> DataFrame:
     """Distinct labels in order."""
@@ -37,10 +41,10 @@ def encode(df: DataFrame, label: str, code: str) -> DataFrame:
     return joined.withColumn(code, F.col("_code")).drop("_label", "_code")
 
 
-def encoding_table(df: DataFrame, encoding: Mapping[str, int]) -> DataFrame:
-    """A fixed name to code map as a two-column table."""
-    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("code")) for n, c in encoding.items()])
-    return df.sparkSession.range(1).select(F.inline(entries))
+def encoding_table(spark: SparkSession, encoding: Mapping[str, int]) -> DataFrame:
+    """A fixed name to code map as a table."""
+    columns = {"name": pa.array(encoding.keys(), pa.string()), "code": pa.array(encoding.values(), pa.int32())}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def encoding_labels(encoding: Column) -> Column:
@@ -56,13 +60,15 @@ def labels_or_encoding(labels: Sequence[str] | None, encoding: Mapping[str, int]
 
 
 def decode(df: DataFrame, code: str, encoding: Mapping[str, int], name: str) -> DataFrame:
-    """Class name of a code; null for codes outside the encoding."""
-    if len(encoding) > FIT_ROWS:
-        raise ValueError("pass large encodings as a table and join it")
-    if not encoding:
-        return df.withColumn(name, F.lit(None).cast("string"))
-    inverse = F.create_map(*[F.lit(x) for n, c in encoding.items() for x in (c, n)])
-    return df.withColumn(name, F.try_element_at(inverse, F.col(code)))
+    """Class name of a code; null for codes outside the encoding. A short encoding
+    is a map in the expression, a long one is joined."""
+    if len(encoding) <= MAP_ENTRIES:
+        pairs = [F.lit(x) for n, c in encoding.items() for x in (c, n)]
+        return df.withColumn(name, F.try_element_at(F.create_map(*pairs).cast("map<int,string>"), F.col(code)))
+    names = encoding_table(df.sparkSession, encoding).select(F.col("name").alias(name), F.col("code").alias("_known"))
+    if len(encoding) <= FIT_ROWS:
+        names = F.broadcast(names)
+    return df.drop(name).join(names, F.col(code) == F.col("_known"), "left").drop("_known")
 
 
 def fit_labels(df: DataFrame, labels: str) -> list[str]:

@@ -434,7 +434,7 @@ def classification_report(spark, d):
 
 @query
 def classification_report_lines(spark, d):
-    names = C.encoding_table(V.pred_lines(spark, d), {"other": 0, "returned": 1, "absent": 2}).select(
+    names = C.encoding_table(spark, {"other": 0, "returned": 1, "absent": 2}).select(
         F.col("code").alias("label"), "name"
     )
     return rounded(E.classification_report(V.pred_lines(spark, d), names, "name"), "precision", "recall", "f1")

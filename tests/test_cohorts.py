@@ -112,6 +112,13 @@ def test_decode_unknown_codes(spark):
     assert [r.n for r in C.decode(df, "code", {}, "n").collect()] == [None, None, None]
 
 
+def test_decode_with_a_long_encoding(spark):
+    encoding = {f"class {i}": i for i in range(300)}
+    df = spark.createDataFrame([(7,), (299,), (300,), (None,)], "code int")
+    assert {r.code: r.n for r in C.decode(df, "code", encoding, "n").collect()} == {
+        7: "class 7", 299: "class 299", 300: None, None: None}
+
+
 def test_binarize_wide_and_long(spark, monkeypatch):
     df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None)], "key int, l array<string>")
     got = C.binarize(df, "l", keep=["key"])
