@@ -20,6 +20,9 @@ from cohortwise.session import fitted, materialize
 # Chunks of a group per shuffle partition, at least.
 CHUNKS_PER_PARTITION = 4
 
+# Chunks of a group per row that is looked up by its place.
+CHUNKS_PER_POSITION = 16
+
 # Most ranges a numeric sort is cut into.
 MAX_RANGES = 4096
 
@@ -49,10 +52,15 @@ def wanted_chunks(spark: SparkSession) -> int:
 def hash_chunk(spark: SparkSession, hashed: Column) -> Column:
     """Leading hex digits of the hash: 256 chunks per group or more. The hash is
     evenly spread, so chunks of a group are of equal size."""
+    return F.substring(hashed, 1, chunk_digits(wanted_chunks(spark)))
+
+
+def chunk_digits(chunks: int) -> int:
+    """Hex digits that tell at least so many chunks apart, between 2 and 5."""
     digits = 2
-    while 16**digits < wanted_chunks(spark) and digits < 5:
+    while 16**digits < chunks and digits < 5:
         digits += 1
-    return F.substring(hashed, 1, digits)
+    return digits
 
 
 def chunk_sizes(chunked: DataFrame) -> DataFrame:
@@ -93,6 +101,41 @@ def seeded_rank(
     return rank_in_chunks(hashed, hash_chunk(df.sparkSession, F.col(HASH)), [HASH, *keys], by, name).drop(HASH)
 
 
+def rows_at(
+    df: DataFrame, positions: DataFrame, count: int, keys: Sequence[str], seed: int | str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows at given places of the seeded order, a row as often as it is named.
+
+    ``positions`` has the ``by`` columns, ``rank`` and further columns that are
+    kept; ``count`` is its number of rows, which must be few. The chunk sizes tell
+    in which chunk each place lies, and only rows of those chunks are shuffled and
+    ranked. There are 16 chunks or more per place, up to a million in a group.
+    """
+    digits = chunk_digits(CHUNKS_PER_POSITION * count)
+    hashed = df.withColumn(HASH, seeded_hash(seed, keys)).withColumns(
+        {GROUP: group_of(by), CHUNK: F.substring(HASH, 1, digits)}
+    )
+    starts = chunk_starts(chunk_sizes(hashed.select(GROUP, CHUNK)))
+    kept = [c for c in positions.columns if c not in (*by, "rank")]
+    marks = starts.select(GROUP, (F.col("_start") + 1).alias("rank"), CHUNK, "_start")
+    asked = positions.select(group_of(by).alias(GROUP), "rank", *kept, F.lit(True).alias("_asked"))
+    along = Window.partitionBy(GROUP).orderBy("rank", F.col("_asked").asc_nulls_first())
+    located = (
+        marks.unionByName(asked, allowMissingColumns=True)
+        .withColumns({c: F.last(c, ignorenulls=True).over(along) for c in (CHUNK, "_start")})
+        .where("_asked")
+        .select(GROUP, CHUNK, (F.col("rank") - F.col("_start")).cast("int").alias("_inside"), *kept)
+    )
+    located = fitted(located, count)
+    inside = F.row_number().over(Window.partitionBy(GROUP, CHUNK).orderBy(HASH, *keys))
+    return (
+        hashed.join(F.broadcast(located.select(GROUP, CHUNK).distinct()), [GROUP, CHUNK], "left_semi")
+        .withColumn("_inside", inside)
+        .join(located, [GROUP, CHUNK, "_inside"])
+        .select(*df.columns, *kept)
+    )
+
+
 def range_chunk(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]:
     """``df`` with a chunk column that follows the order of the given columns.
 

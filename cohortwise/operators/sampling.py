@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortwise.functions.names import join_path
 from cohortwise.operators.classes import encode
-from cohortwise.operators.ranks import assign_parts, pick_first, seeded_rank
+from cohortwise.operators.ranks import assign_parts, pick_first, rows_at, seeded_rank
 from cohortwise.session import fitted
 
 # Fixed values
@@ -17,6 +17,11 @@ TEST_SIZE = 0.1
 
 # Draw tables up to this many rows are broadcast; their size is known exactly.
 BROADCAST_DRAWS = 200_000
+
+# Rows per draw from which on draws count as few.
+FEW_DRAWS = 64
+
+# Draws made at a time.
 DRAW_BLOCK = 65_536
 
 
@@ -112,27 +117,38 @@ def stratified_split3(
     return assign_parts(coded, quota_of, ["test", "val"], keys, seed, [label], "train", "split")
 
 
-def draws(counts: DataFrame, label: str, need: Column, seed: int) -> DataFrame:
-    """Rows ``(label, draw, rank)``: ``need`` draws per class, each naming a
-    row by its rank in the class. Made in blocks, so no task holds a class."""
-    wanted = counts.select(label, "n", need.cast("bigint").alias("_need")).where("_need > 0")
-    small = wanted.agg(F.sum("_need")).first()[0] or 0
+def draws(wanted: DataFrame, label: str, total: int, seed: int) -> DataFrame:
+    """Rows ``(label, draw, rank)``: ``_need`` draws for each class of ``n`` rows,
+    each naming a row by its rank in the class. Made in blocks, so that no task
+    holds the draws of a class."""
     blocks = wanted.withColumn("_block", F.explode(F.sequence(F.lit(0), F.expr(f"(_need - 1) div {DRAW_BLOCK}"))))
-    if small > DRAW_BLOCK:
+    if total > DRAW_BLOCK:
         blocks = blocks.repartition(label, "_block")
     last = F.least(F.col("_need"), (F.col("_block") + 1) * DRAW_BLOCK) - 1
     drawn = blocks.withColumn("draw", F.explode(F.sequence(F.col("_block") * DRAW_BLOCK, last)))
     hashed = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(label).cast("string"), F.col("draw").cast("string")))
     number = F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
-    drawn = drawn.select(label, F.col("draw").cast("bigint").alias("draw"), (number % F.col("n") + 1).alias("rank"))
-    return drawn.hint("broadcast" if small <= BROADCAST_DRAWS else "merge")
+    return drawn.select(label, F.col("draw").cast("bigint").alias("draw"), (number % F.col("n") + 1).alias("rank"))
 
 
 def draw_rows(df: DataFrame, counts: DataFrame, label: str, need: Column, keys: Sequence[str], seed: int) -> DataFrame:
     """Rows drawn with replacement, ``need`` per class, all columns kept, with a
-    ``draw`` number. Keyed by (class, rank), so a hot class spreads out."""
+    ``draw`` number. Rows without a label are in no class.
+
+    Few draws from many rows look up their rows by place and leave the others
+    where they are. Many draws are joined with the ranked rows on (class, rank),
+    so that a hot class spreads out.
+    """
+    wanted = counts.select(label, "n", need.cast("bigint").alias("_need"))
+    wanted = wanted.where(F.col(label).isNotNull() & (F.col("_need") > 0))
+    sums = wanted.agg(F.sum("_need").alias("need"), F.sum("n").alias("n")).first()
+    total, rows = sums.need or 0, sums.n or 0
+    drawn = draws(wanted, label, total, seed)
+    if 0 < total <= BROADCAST_DRAWS and total * FEW_DRAWS <= rows:
+        return rows_at(df, drawn, total, keys, seed, [label]).select(*df.columns, "draw")
     ranked = seeded_rank(df, keys, seed, [label], "rank")
-    return ranked.join(draws(counts, label, need, seed), [label, "rank"]).select(*df.columns, "draw")
+    hint = "broadcast" if total <= BROADCAST_DRAWS else "merge"
+    return ranked.join(drawn.hint(hint), [label, "rank"]).select(*df.columns, "draw")
 
 
 def bootstrap_per_class(df: DataFrame, label: str, keys: Sequence[str], value: int, seed: int) -> DataFrame:

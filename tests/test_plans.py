@@ -72,12 +72,21 @@ def test_large_draw_tables_are_not_broadcast(spark, sf_dir, monkeypatch):
 
 def test_draws_are_made_in_blocks(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(S, "DRAW_BLOCK", 100)
-    counts = S.class_counts(V.samples(spark, sf_dir), "labels")
-    text = plan(S.draws(counts, "labels", F.lit(1000), 1))
+    counts = S.class_counts(V.samples(spark, sf_dir), "labels").withColumn("_need", F.lit(1000))
+    text = plan(S.draws(counts, "labels", 3000, 1))
     assert len(re.findall(r"Generate explode\(sequence", text)) == 2
     assert "Exchange" in text
 
 
+def test_few_draws_shuffle_few_rows(spark, sf_dir, monkeypatch):
+    """The rows are filtered by chunk before they are shuffled."""
+    monkeypatch.setattr(S, "FEW_DRAWS", 0)
+    text = plan(S.bootstrap_per_class(V.samples(spark, sf_dir), "labels", ["key"], 2, 1))
+    exchange = text.index("Exchange hashpartitioning(_group")
+    assert "LeftSemi" in text[exchange:]
+    assert "SortMergeJoin" not in text
+
+
 def test_small_list_is_broadcast_as_semi_join(spark, sf_dir):
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey")
     ids = V.table(spark, sf_dir, "orders").where("o_totalprice < 1000").select("o_orderkey")

@@ -229,14 +229,33 @@ def drawn(rows, need):
 
 
 @pytest.mark.parametrize("parts", [1, 3, 8])
-@pytest.mark.parametrize("broadcast_limit,block", [(200_000, 65_536), (0, 64)])
-def test_bootstrap(spark, skewed, monkeypatch, parts, broadcast_limit, block):
+@pytest.mark.parametrize("broadcast_limit,block,few", [(200_000, 65_536, 64), (0, 64, 64), (200_000, 64, 0)])
+def test_bootstrap(spark, skewed, monkeypatch, parts, broadcast_limit, block, few):
+    """Draws broadcast, merged, and looked up by place."""
     monkeypatch.setattr(sampling, "BROADCAST_DRAWS", broadcast_limit)
     monkeypatch.setattr(sampling, "DRAW_BLOCK", block)
+    monkeypatch.setattr(sampling, "FEW_DRAWS", few)
     got = bootstrap_per_class(frame(spark, skewed, parts), "label", ["key"], 250, SEED)
     assert Counter(tuple(r) for r in got.collect()) == drawn(skewed, lambda n: 250)
 
 
+@pytest.mark.parametrize("few", [64, 0])
+def test_draws_leave_out_rows_without_a_label(spark, monkeypatch, few):
+    monkeypatch.setattr(sampling, "FEW_DRAWS", few)
+    rows = [(i, None if i % 2 else 1) for i in range(100)]
+    got = bootstrap_per_class(frame(spark, rows), "label", ["key"], 7, SEED).collect()
+    assert len(got) == 7 and {r.label for r in got} == {1}
+
+
+def test_rows_at_places(spark, skewed):
+    places = [(0, 1, "first"), (0, 1, "again"), (0, 1203, "x"), (9, 2, "last"), (2, 600, "y")]
+    asked = spark.createDataFrame(places, "label int, rank bigint, tag string")
+    got = {(r.key, r.tag) for r in ranks.rows_at(frame(spark, skewed), asked, 5, ["key"], SEED, ["label"]).collect()}
+    ordered = {c: order(rows) for c, rows in by_class(skewed).items()}
+    expected = {(ordered[c][p - 1][0], t) for c, p, t in places if p <= len(ordered[c])}
+    assert got == expected
+
+
 def test_resample_keeps_all_rows_and_tops_up(spark, skewed):
     got = resample_to_value(frame(spark, skewed), "label", ["key"], SEED, 700).collect()
     originals = [tuple(r)[:2] for r in got if r.draw is None]
