@@ -20,9 +20,6 @@ from cohortwise.session import fitted, materialize
 # Chunks of a group per shuffle partition, at least.
 CHUNKS_PER_PARTITION = 4
 
-# Chunks of a group per row that is looked up by its place.
-CHUNKS_PER_POSITION = 16
-
 # Most ranges a numeric sort is cut into.
 MAX_RANGES = 4096
 
@@ -52,15 +49,8 @@ def wanted_chunks(spark: SparkSession) -> int:
 def hash_chunk(spark: SparkSession, hashed: Column) -> Column:
     """Leading hex digits of the hash: 256 chunks per group or more. The hash is
     evenly spread, so chunks of a group are of equal size."""
-    return F.substring(hashed, 1, chunk_digits(wanted_chunks(spark)))
-
-
-def chunk_digits(chunks: int) -> int:
-    """Hex digits that tell at least so many chunks apart, between 2 and 5."""
-    digits = 2
-    while 16**digits < chunks and digits < 5:
-        digits += 1
-    return digits
+    digits = math.ceil(math.log(wanted_chunks(spark), 16))
+    return F.substring(hashed, 1, max(2, min(5, digits)))
 
 
 def chunk_sizes(chunked: DataFrame) -> DataFrame:
@@ -102,16 +92,22 @@ def seeded_rank(
 
 
 def rows_at(
-    df: DataFrame, positions: DataFrame, count: int, keys: Sequence[str], seed: int | str, by: Sequence[str] = ()
+    df: DataFrame,
+    positions: DataFrame,
+    count: int,
+    chunks: int,
+    keys: Sequence[str],
+    seed: int | str,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Rows at given places of the seeded order, a row as often as it is named.
 
     ``positions`` has the ``by`` columns, ``rank`` and further columns that are
     kept; ``count`` is its number of rows, which must be few. The chunk sizes tell
     in which chunk each place lies, and only rows of those chunks are shuffled and
-    ranked. There are 16 chunks or more per place, up to a million in a group.
+    ranked. About ``chunks`` chunks are made of each group.
     """
-    digits = chunk_digits(CHUNKS_PER_POSITION * count)
+    digits = max(2, min(5, round(math.log(max(chunks, 1), 16))))
     hashed = df.withColumn(HASH, seeded_hash(seed, keys)).withColumns(
         {GROUP: group_of(by), CHUNK: F.substring(HASH, 1, digits)}
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -141,11 +142,13 @@ def draw_rows(df: DataFrame, counts: DataFrame, label: str, need: Column, keys:
     """
     wanted = counts.select(label, "n", need.cast("bigint").alias("_need"))
     wanted = wanted.where(F.col(label).isNotNull() & (F.col("_need") > 0))
-    sums = wanted.agg(F.sum("_need").alias("need"), F.sum("n").alias("n")).first()
+    sums = wanted.agg(F.sum("_need").alias("need"), F.sum("n").alias("n"), F.count("n").alias("classes")).first()
     total, rows = sums.need or 0, sums.n or 0
     drawn = draws(wanted, label, total, seed)
     if 0 < total <= BROADCAST_DRAWS and total * FEW_DRAWS <= rows:
-        return rows_at(df, drawn, total, keys, seed, [label]).select(*df.columns, "draw")
+        # As many chunks to count as rows to shuffle.
+        chunks = math.isqrt(total * rows) // sums.classes
+        return rows_at(df, drawn, total, chunks, keys, seed, [label]).select(*df.columns, "draw")
     ranked = seeded_rank(df, keys, seed, [label], "rank")
     hint = "broadcast" if total <= BROADCAST_DRAWS else "merge"
     return ranked.join(drawn.hint(hint), [label, "rank"]).select(*df.columns, "draw")

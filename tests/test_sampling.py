@@ -247,10 +247,12 @@ def test_draws_leave_out_rows_without_a_label(spark, monkeypatch, few):
     assert len(got) == 7 and {r.label for r in got} == {1}
 
 
-def test_rows_at_places(spark, skewed):
+@pytest.mark.parametrize("chunks", [0, 5000, 10**9])
+def test_rows_at_places(spark, skewed, chunks):
     places = [(0, 1, "first"), (0, 1, "again"), (0, 1203, "x"), (9, 2, "last"), (2, 600, "y")]
     asked = spark.createDataFrame(places, "label int, rank bigint, tag string")
-    got = {(r.key, r.tag) for r in ranks.rows_at(frame(spark, skewed), asked, 5, ["key"], SEED, ["label"]).collect()}
+    found = ranks.rows_at(frame(spark, skewed), asked, 5, chunks, ["key"], SEED, ["label"])
+    got = {(r.key, r.tag) for r in found.collect()}
     ordered = {c: order(rows) for c, rows in by_class(skewed).items()}
     expected = {(ordered[c][p - 1][0], t) for c, p, t in places if p <= len(ordered[c])}
     assert got == expected
