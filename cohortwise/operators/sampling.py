@@ -46,10 +46,11 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return fitted(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
 
 
-def with_test_quota(counts: DataFrame, label: str, test_size: float, name: str, n: str = "n") -> DataFrame:
+def with_test_quota(counts: DataFrame, label: str, test_size: float | int, name: str, n: str = "n") -> DataFrame:
     """Test rows per class for a stratified split of ``test_size``, as a column.
 
-    The test part has ``ceil(test_size * n)`` rows in all. Train quotas are the
+    The test part has ``ceil(test_size * n)`` rows in all, or ``test_size`` rows
+    when that is an integer. Train quotas are the
     class shares rounded down, the missing units go to the largest fractions,
     ties to the smaller label; the rest of each class is test. A class of one
     row cannot be split and is an error.
@@ -57,9 +58,10 @@ def with_test_quota(counts: DataFrame, label: str, test_size: float, name: str,
     everything = Window.partitionBy()
     exact = "decimal(19,0)"
     size = F.col(n)
+    in_test = F.lit(test_size) if isinstance(test_size, int) else F.ceil(F.lit(float(test_size)) * F.col("_all"))
     shares = (
         counts.withColumn("_all", F.sum(n).over(everything))
-        .withColumn("_train", (F.col("_all") - F.ceil(F.lit(float(test_size)) * F.col("_all"))).cast("bigint"))
+        .withColumn("_train", F.greatest(F.col("_all") - in_test, F.lit(0)).cast("bigint"))
         .withColumn("_scaled", size.cast(exact) * F.col("_train").cast(exact))
         .withColumn("_fraction", (F.col("_scaled") % F.col("_all").cast(exact)).cast("bigint"))
         .withColumn("_whole", ((F.col("_scaled") - F.col("_fraction")) / F.col("_all").cast(exact)).cast("bigint"))

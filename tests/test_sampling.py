@@ -74,6 +74,12 @@ def test_quotas(spark, sizes, share):
     assert sum(got.values()) == math.ceil(share * sum(sizes))
 
 
+@pytest.mark.parametrize("rows,expected", [(0, {0: 0, 1: 0}), (10, {0: 7, 1: 3}), (101, {0: 70, 1: 30})])
+def test_quotas_of_a_number_of_rows(spark, rows, expected):
+    df = spark.createDataFrame([(0, 70), (1, 30)], "label int, n bigint")
+    assert {r.label: r.test for r in with_test_quota(df, "label", rows, "test").collect()} == expected
+
+
 def test_quotas_beyond_64_bits(spark):
     counts = {0: 7 * 10**12, 1: 3 * 10**12 + 1}
     df = spark.createDataFrame(list(counts.items()), "label int, n bigint")
