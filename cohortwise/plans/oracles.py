@@ -550,7 +550,7 @@ oracle("vec_channel_mean", VALUES.format("""SELECT vec_id,
     FROM embeddings"""))
 oracle("vec_channel_repeat", VALUES.format(
     "SELECT vec_id, flatten(list_transform(embedding, lambda x: [x::DOUBLE, x::DOUBLE, x::DOUBLE])) AS v FROM embeddings"))
-oracle("vec_pipeline", """SELECT vec_id, position, value, 4 AS steps FROM (""" + VALUES.format("""SELECT vec_id,
+oracle("vec_steps", """SELECT vec_id, position, value, 4 AS steps FROM (""" + VALUES.format("""SELECT vec_id,
     list_transform(list_transform(embedding, lambda x: (x::DOUBLE * 2.0::DOUBLE - 1.0::DOUBLE) * 1024.0::DOUBLE),
         lambda a: ((a + a + a) / 3)::FLOAT::DOUBLE) AS v FROM embeddings""") + ")")
 oracle(

@@ -858,7 +858,7 @@ def vec_channel_repeat(spark, d):
 
 
 @query
-def vec_pipeline(spark, d):
+def vec_steps(spark, d):
     load = [VEC.channel_repeat, lambda v: VEC.scale(v, 1.0)]
     steps = VEC.pipeline_steps(load, [VEC.channel_mean], use_train=True)
     tensors = values_of(VEC.apply_steps(V.vectors(spark, d), "embedding", steps), F.col("embedding"))

@@ -32,42 +32,53 @@ def scan_metadata(spark: SparkSession, path: str, reader: Reader) -> DataFrame:
 
 
 def cached_table(
-    spark: SparkSession, root: str, name: str, version: str, fetch: Callable[[], DataFrame]
+    spark: SparkSession,
+    root: str,
+    name: str,
+    version: str,
+    fetch: Callable[[], DataFrame],
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """The stored copy of ``name`` at ``version``; fetched and stored when absent.
 
     ``latest`` means the highest stored version, numbers in it compared by value.
     When nothing is stored yet, the fetched copy is stored under that name.
+    Formats without a schema of their own, such as CSV, need ``schema``.
     """
     base = f"{root.rstrip('/')}/name={name}"
     if version == LATEST:
-        version = latest_version(spark, base) or LATEST
+        version = latest_version(spark, base, fmt, schema) or LATEST
     path = f"{base}/version={version}"
-    stored = _read_if_present(spark, path)
+    stored = _read_if_present(spark, path, fmt, schema)
     if stored is None:
-        fetch().write.mode("overwrite").parquet(path)
-        stored = spark.read.parquet(path)
+        fetch().write.format(fmt).option("header", True).mode("overwrite").save(path)
+        stored = _read_if_present(spark, path, fmt, schema)
     return stored
 
 
-def latest_version(spark: SparkSession, base: str) -> str | None:
+def latest_version(
+    spark: SparkSession, base: str, fmt: str = "parquet", schema: StructType | str | None = None
+) -> str | None:
     """Highest version folder that holds data; None when there is none."""
-    stored = _read_if_present(spark, base)
+    stored = _read_if_present(spark, base, fmt, schema)
     if stored is None:
         return None
     names = {m.group(1) for m in (re.search(r"/version=([^/]+)/", f) for f in stored.inputFiles()) if m}
     return max(names, default=None, key=lambda v: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", v)])
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_present(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None) -> DataFrame | None:
     """A stored table; None for a missing path or one that a failed write left
     without data."""
+    reader = spark.read.format(fmt).option("header", True)
     try:
-        return spark.read.parquet(path)
+        stored = (reader.schema(schema) if schema else reader).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    return stored if stored.inputFiles() else None
 
 
 def scan_id_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+import bench
 from compare import connect, difference, spark_table, sql_table
 
 QUERIES = entry_module.queries()
@@ -35,3 +36,7 @@ def test_entry_has_rows(spark):
     df = entry_module.entry(spark)
     assert df.count() == 8
     assert df.columns[:3] == ["version", "part", "n"]
+
+
+def test_bench_names_are_queries():
+    assert set(bench.HEADLINE) <= set(QUERIES)

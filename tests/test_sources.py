@@ -64,10 +64,18 @@ def test_latest_is_the_highest_version(spark, tmp_path, versions, expected):
     assert SC.cached_table(spark, str(tmp_path), "t", "latest", lambda: spark.range(0)).count() == expected
 
 
-def test_cached_table_after_a_failed_write(spark, tmp_path):
+@pytest.mark.parametrize("fmt,schema", [("parquet", None), ("csv", "id bigint")])
+def test_cached_table_after_a_failed_write(spark, tmp_path, fmt, schema):
     """A folder without data, as a broken write leaves it, counts as absent."""
     (tmp_path / "name=t" / "version=1" / "_temporary").mkdir(parents=True)
-    assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: spark.range(2)).count() == 2
+    assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: spark.range(2), fmt, schema).count() == 2
+    assert SC.cached_table(spark, str(tmp_path), "t", "latest", lambda: spark.range(9), fmt, schema).count() == 2
+
+
+def test_cached_empty_table(spark, tmp_path):
+    empty = spark.range(0)
+    assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: empty).count() == 0
+    assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: empty).columns == ["id"]
 
 
 def test_id_list_is_stripped(spark, tmp_path):
