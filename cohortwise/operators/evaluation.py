@@ -207,7 +207,8 @@ def negatives_below_chunked(per_score: DataFrame) -> DataFrame:
 def roc_auc(
     df: DataFrame, score: str = "y_pred", y_true: str = "y_true", positive: int = 1, plain_scores: int = PLAIN_SCORES
 ) -> DataFrame:
-    """Area under the ROC curve; ties count half; null with one class only.
+    """Area under the ROC curve; ties count half; null with one class only. Rows
+    without a score rank lowest.
 
     Rows are first reduced to counts per distinct score, so hard predictions end
     as two rows. While a sketch finds at most half of ``plain_scores`` distinct

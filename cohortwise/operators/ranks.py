@@ -69,7 +69,7 @@ def rank_in_chunks(
 ) -> DataFrame:
     """Row number from 1 within ``by`` in the given order.
 
-    ``chunk`` must not fall while the order rises. One shuffle of the rows, by
+    ``chunk`` must not fall while the order rises, nor be null. One shuffle of the rows, by
     group and chunk; the join with the chunk starts keeps that partitioning.
     """
     chunked = df.withColumn(GROUP, group_of(by)).withColumn(CHUNK, chunk)
@@ -146,7 +146,9 @@ def range_chunk(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, Column]
         ranged = df.repartitionByRange(wanted_chunks(df.sparkSession), *order).withColumn("_range", F.spark_partition_id())
         return materialize(ranged, "ranges"), F.col("_range")
     cutter = Bucketizer(splits=splits, inputCol="_value", outputCol="_range", handleInvalid="keep")
-    return cutter.transform(df.withColumn("_value", F.col(column).cast("double"))).drop("_value"), F.col("_range")
+    ranged = cutter.transform(df.withColumn("_value", F.col(column).cast("double"))).drop("_value")
+    # Nulls come first and have a range of their own.
+    return ranged, F.coalesce("_range", F.lit(-1.0))
 
 
 def _range_splits(df: DataFrame, column: str) -> list[float] | None:

@@ -62,7 +62,7 @@ def early_stop(
         group_of(runs).alias(GROUP),
         "epoch",
         signed_score(F.col(value), score_name).alias("_score"),
-        F.floor(F.col("epoch") / chunk_size).alias(CHUNK),
+        F.coalesce(F.floor(F.col("epoch") / chunk_size), F.lit(-1)).alias(CHUNK),
     )
     plus = lambda a, b: a + b
     seen = running_before(

@@ -34,9 +34,8 @@ from cohortwise.sources.scans import class_dir_samples, list_files
 from cohortwise.sources.sinks import batches
 
 # Fixed values
-TRAIN_LIST, TEST_LIST = "train", "test"
+TEST_LIST = "test"
 COLUMN_PARTS = {"train": "train", "validate": "val", "test": "test"}
-DEFAULT_POSITIVE = "Pneumonia"
 
 
 @dataclass(frozen=True)

@@ -70,8 +70,8 @@ def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoc
 
 def batches(df: DataFrame, keys: Sequence[str], order: str, batch_size: int, seed: int) -> DataFrame:
     """Position and batch number of each row within its split. Train and
-    validation rows are shuffled by seed, test rows follow the ``order`` column."""
-    to_shuffle = F.col("split").isin(*SHUFFLED_SPLITS)
+    validation rows are shuffled by seed, all others follow the ``order`` column."""
+    to_shuffle = F.coalesce(F.col("split").isin(*SHUFFLED_SPLITS), F.lit(False))
     ranked = seeded_rank(df.where(to_shuffle), keys, seed, ["split"], "position").unionByName(
         ordered_rank(df.where(~to_shuffle), order, keys, ["split"], "position")
     )

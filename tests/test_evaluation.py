@@ -64,6 +64,14 @@ def test_auc_plain_and_over_ranges(spark, plain, spread):
     assert got == pytest.approx(brute_auc(rows))
 
 
+@pytest.mark.parametrize("plain", [1_000_000, 1])
+def test_auc_with_missing_scores(spark, plain):
+    rows = [(i % 2, float(i * 7 % 50)) for i in range(100)] + [(1, None)] * 5 + [(0, float("nan"))] * 3
+    df = spark.createDataFrame(rows, "y_true int, score double").repartition(3)
+    placed = [(t, -1.0 if s is None else math.inf if math.isnan(s) else s) for t, s in rows]
+    assert E.roc_auc(df, "score", plain_scores=plain).first().roc_auc == pytest.approx(brute_auc(placed))
+
+
 def test_auc_with_a_hot_score(spark):
     rows = [(i % 2, 0.5) for i in range(300)] + [(i % 3 == 0, i / 600) for i in range(600)]
     rows = [(int(t), s) for t, s in rows]

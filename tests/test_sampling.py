@@ -200,6 +200,16 @@ def test_ordered_rank(spark, skewed):
     assert got == expected
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_ordered_rank_puts_nulls_first(spark, monkeypatch, limit):
+    monkeypatch.setattr(ranks, "MAX_EQUAL", limit)
+    rows = [(i, None if i % 10 == 0 else i % 7) for i in range(100)]
+    df = spark.createDataFrame(rows, "key int, x int").repartition(3)
+    in_order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    got = {r.key: r["rank"] for r in ordered_rank(df, "x", ["key"]).collect()}
+    assert got == {r[0]: i + 1 for i, r in enumerate(in_order)}
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 100])
 def test_ordered_rank_of_a_hot_value(spark, skewed, monkeypatch, limit):
     """A value in a third of the rows; over the limit its rows are cut by key."""

@@ -184,6 +184,12 @@ def test_batches(spark, tmp_path):
     assert in_order == list(range(70, 100))
 
 
+def test_batches_keep_rows_without_a_split(spark):
+    df = spark.createDataFrame([(1, None), (2, "train"), (3, None)], "id int, split string")
+    got = {(r.id, r.position) for r in SI.batches(df, ["id"], "id", 2, 1).collect()}
+    assert got == {(1, 1), (3, 2), (2, 1)}
+
+
 def test_materialize_cuts_the_lineage(spark):
     stored = materialize(spark.range(10).selectExpr("id", "id % 3 AS m"))
     assert "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
