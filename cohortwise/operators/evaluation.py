@@ -50,15 +50,15 @@ def confusion_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fitted_counts(df: DataFrame) -> DataFrame:
+def fitted_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Confusion counts evaluated once, so that all that follows from them does
     not read the data again."""
-    return fitted(confusion_counts(df))
+    return fitted(confusion_counts(df, by))
 
 
-def present_labels(counts: DataFrame) -> DataFrame:
+def present_labels(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Labels that occur as truth or as prediction."""
-    return counts.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
+    return counts.select(*by, F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
 
 
 def confusion_matrix(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -67,19 +67,24 @@ def confusion_matrix(df: DataFrame, labels: DataFrame | None = None) -> DataFram
     return matrix_from_counts(fitted_counts(df), labels)
 
 
-def matrix_from_counts(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Confusion matrix from confusion counts, for up to `MAX_AXIS` labels."""
-    axis = present_labels(counts) if labels is None else labels.select("label")
+def matrix_from_counts(counts: DataFrame, labels: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Confusion matrix from confusion counts, per group, for up to `MAX_AXIS` labels."""
+    axis = present_labels(counts, by) if labels is None else labels.select("label")
     too_wide = F.raise_error(F.lit(f"over {MAX_AXIS} labels; use confusion_counts, which holds no zeros"))
-    # One row holding all labels, opened twice: label pairs from the label list alone.
-    listed = axis.limit(MAX_AXIS + 1).agg(F.collect_set("label").alias("_axis"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("label"))
+    # One row holds all labels of a group and is opened twice: the pairs come from
+    # the label list alone.
+    listed = (
+        axis.withColumn("_place", place).where(F.col("_place") <= MAX_AXIS + 1)
+        .groupBy(*by).agg(F.collect_set("label").alias("_axis"))
+    )
     checked = F.when(F.size("_axis") > MAX_AXIS, F.array_repeat(too_wide.cast(axis.schema["label"].dataType), 1))
     pairs = (
-        listed.select(checked.otherwise(F.col("_axis")).alias("_axis"))
-        .select(F.explode("_axis").alias("y_true"), "_axis")
-        .select("y_true", F.explode("_axis").alias("y_pred"))
+        listed.withColumn("_axis", checked.otherwise(F.col("_axis")))
+        .select(*by, F.explode("_axis").alias("y_true"), "_axis")
+        .select(*by, "y_true", F.explode("_axis").alias("y_pred"))
     )
-    return pairs.join(counts, ["y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return pairs.join(counts, [*by, "y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def confusion_wide(matrix: DataFrame, labels: Sequence) -> DataFrame:
@@ -134,11 +139,16 @@ def classification_report(df: DataFrame, labels: DataFrame | None = None, names:
     return report_from_counts(fitted_counts(df), labels, names)
 
 
-def report_from_counts(counts: DataFrame, labels: DataFrame | None = None, names: str | None = None) -> DataFrame:
-    """Classification report from confusion counts."""
-    scores = class_scores(counts)
+def report_from_counts(
+    counts: DataFrame, labels: DataFrame | None = None, names: str | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Classification report from confusion counts, whole or per group; a fixed
+    label set is for the whole table."""
+    scores = class_scores(counts, by)
     shown = F.col("label").cast("string")
     if labels is not None:
+        if by:
+            raise ValueError("a fixed label set cannot be combined with groups")
         scores = labels.join(scores, "label", "left").na.fill(0)
         shown = F.col(names) if names else shown
     measures = ["precision", "recall", "f1"]
@@ -148,16 +158,17 @@ def report_from_counts(counts: DataFrame, labels: DataFrame | None = None, names
             F.lit(label).alias("label"), *[F.col(v).alias(m) for v, m in zip(values, measures)], F.col("support")
         )
 
-    summary = averages(scores).select(
+    summary = averages(scores, by).select(
+        *by,
         F.inline(
             F.array(
                 row("accuracy", ["accuracy"] * 3),
                 row("macro avg", [f"macro_{m}" for m in measures]),
                 row("weighted avg", [f"weighted_{m}" for m in measures]),
             )
-        )
+        ),
     )
-    return scores.select(shown.alias("label"), *measures, "support").unionByName(summary)
+    return scores.select(*by, shown.alias("label"), *measures, "support").unionByName(summary)
 
 
 def accuracy(df: DataFrame) -> DataFrame:

@@ -174,6 +174,22 @@ COLUMN_COHORT = """SELECT order_key, '/scans/' || image_files AS image_files, fi
 oracle("write_cohort", COLUMN_COHORT)
 oracle("write_eval", """SELECT 'test' AS split, 3 AS epoch, y_true, y_pred, count(*) AS n, count(*) AS rows
     FROM v_pred_lines GROUP BY y_true, y_pred""")
+oracle(
+    "write_eval_epochs",
+    """SELECT split, epoch, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+        support::BIGINT AS support FROM (
+        SELECT split, epoch, label::VARCHAR AS label, precision, recall, f1, support FROM h_s
+        UNION ALL SELECT split, epoch, 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support),
+            sum(hits) / sum(support), sum(support) FROM h_s GROUP BY 1, 2
+        UNION ALL SELECT split, epoch, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM h_s GROUP BY 1, 2
+        UNION ALL SELECT split, epoch, 'weighted avg', sum(precision * support) / sum(support),
+            sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM h_s GROUP BY 1, 2)""",
+    """h_k AS (SELECT split, epoch, label, count(*) FILTER (y_true = label AND y_pred = label)::DOUBLE AS hits,
+        count(*) FILTER (y_true = label) AS support, count(*) FILTER (y_pred = label) AS predicted
+        FROM v_pred_lines CROSS JOIN (VALUES (0), (1)) l(label) GROUP BY 1, 2, 3)""",
+    """h_s AS (SELECT *, hits / predicted AS precision, hits / support AS recall,
+        2 * hits / (predicted + support) AS f1 FROM h_k)""",
+)
 oracle(
     "run_report",
     """SELECT section, line_no::INT AS line_no, line FROM (

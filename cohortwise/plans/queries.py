@@ -133,6 +133,13 @@ def write_eval(spark, d):
     return matrix.join(counted, ["split", "epoch", "y_true", "y_pred"], "left")
 
 
+@query
+def write_eval_epochs(spark, d):
+    path = scratch_path(spark, "eval")
+    SI.write_eval(V.pred_lines(spark, d).select("l_orderkey", "split", "epoch", "y_true", "y_pred"), path)
+    return rounded(spark.read.parquet(f"{path}/classification_report"), "precision", "recall", "f1")
+
+
 @query
 def run_report(spark, d):
     config = V.table(spark, d, "nation").select(

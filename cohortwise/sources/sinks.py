@@ -49,17 +49,21 @@ def write_cohort(df: DataFrame, path: str, fmt: str = "csv") -> None:
     write_parts(df, path, ["split"], fmt)
 
 
-def write_eval(predictions: DataFrame, path: str, split: str, epoch: int) -> None:
-    """Predictions, report and confusion matrix of one split and epoch."""
-    counts = fitted_counts(predictions)
-    tables = {
-        "predictions": predictions,
-        "classification_report": report_from_counts(counts),
-        "confusion_matrix": matrix_from_counts(counts),
-    }
-    for name, table in tables.items():
-        stamped = table.withColumn("split", F.lit(split)).withColumn("epoch", F.lit(epoch))
-        write_parts(stamped, f"{path}/{name}", ["split", "epoch"])
+def write_eval(predictions: DataFrame, path: str, split: str | None = None, epoch: int | None = None) -> None:
+    """Predictions, report and confusion matrix by split and epoch.
+
+    Either of one split and epoch, or of all those named in the columns ``split``
+    and ``epoch`` of the predictions, which are read once for all.
+    """
+    if split is not None:
+        predictions = predictions.withColumn("split", F.lit(split))
+    if epoch is not None:
+        predictions = predictions.withColumn("epoch", F.lit(epoch))
+    by = ["split", "epoch"]
+    counts = fitted_counts(predictions, by)
+    write_parts(predictions, f"{path}/predictions", by)
+    write_parts(report_from_counts(counts, by=by), f"{path}/classification_report", by)
+    write_parts(matrix_from_counts(counts, by=by), f"{path}/confusion_matrix", by)
 
 
 def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoch")) -> None:

@@ -137,6 +137,20 @@ def test_eval_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "classification_report")).where("epoch = 1").count() == 5
 
 
+def test_eval_tables_of_all_epochs(spark, tmp_path):
+    rows = [("val", 1, 0, 0), ("val", 1, 1, 0), ("val", 2, 2, 2), ("test", 1, 0, 2)]
+    df = spark.createDataFrame(rows, "split string, epoch int, y_true int, y_pred int")
+    SI.write_eval(df, str(tmp_path))
+    matrix = spark.read.parquet(str(tmp_path / "confusion_matrix"))
+    got = {(r.split, r.epoch, r.y_true, r.y_pred): r.n for r in matrix.collect()}
+    assert got == {
+        ("val", 1, 0, 0): 1, ("val", 1, 0, 1): 0, ("val", 1, 1, 0): 1, ("val", 1, 1, 1): 0,
+        ("val", 2, 2, 2): 1, ("test", 1, 0, 0): 0, ("test", 1, 0, 2): 1, ("test", 1, 2, 0): 0, ("test", 1, 2, 2): 0}
+    report = spark.read.parquet(str(tmp_path / "classification_report"))
+    assert report.where("split = 'val' AND epoch = 2 AND label = 'accuracy'").first().f1 == 1.0
+    assert report.where("split = 'val' AND epoch = 1").count() == 5
+
+
 def test_report_text(spark, tmp_path):
     df = spark.createDataFrame([(0, 0), (1, 0), (1, 1), (1, 1)], "y_true int, y_pred int")
     config = spark.createDataFrame([("seed", "1"), ("lr", "0.1")], "key string, value string")
