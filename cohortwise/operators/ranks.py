@@ -186,7 +186,8 @@ def assign_parts(
     The first rows of a group go to the first part, as many as its quota says,
     the next ones to the second part, and so on; what is left gets ``rest``.
     ``quota_of`` is given the group sizes (the ``by`` columns and ``n``) and adds
-    one quota column per part. ``keys`` must be unique.
+    one quota column per part; a quota beyond the group takes what is there.
+    ``keys`` must be unique.
 
     The rows are never shuffled. The chunk sizes tell in which chunk a part ends;
     only that chunk, a small share of the group, is ranked. Its row at the end
@@ -204,7 +205,7 @@ def assign_parts(
     upto, stops = F.lit(0), []
     for i, part in enumerate(parts):
         upto = upto + F.col(part)
-        stops.append(F.struct(F.lit(i).alias("_part"), upto.cast("bigint").alias("_upto")))
+        stops.append(F.struct(F.lit(i).alias("_part"), F.least(upto, F.col("n")).cast("bigint").alias("_upto")))
     stops = quotas.select(GROUP, F.inline(F.array(*stops)))
     ends = (
         chunk_starts(sizes)

@@ -364,3 +364,27 @@ def test_same_rows_at_any_number_of_chunks(spark, skewed, name, monkeypatch):
     expected = Counter(map(tuple, R_OPERATORS[name](frame(spark, rows)).collect()))
     monkeypatch.setattr(ranks, "CHUNKS_PER_PARTITION", 1000)
     assert Counter(map(tuple, R_OPERATORS[name](frame(spark, rows)).collect())) == expected
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 10**6), st.sampled_from([None, "", "a", "b", "c d"])), max_size=120,
+             unique_by=lambda r: r[0]),
+    st.dictionaries(st.sampled_from(["", "a", "b", "c d"]), st.tuples(st.integers(0, 40), st.integers(0, 40))),
+    st.integers(0, 99),
+)
+def test_parts_of_any_table(spark, rows, quotas, seed):
+    """Each part takes its quota from the seeded order; absent classes have none."""
+    df = spark.createDataFrame(rows, "key bigint, label string").repartition(3)
+    table = spark.createDataFrame([(k, *v) for k, v in quotas.items()], "label string, x int, y int")
+    quota_of = lambda counts: counts.join(F.broadcast(table), "label")
+    got = {r.key: r.part for r in assign_parts(df, quota_of, ["x", "y"], ["key"], seed, ["label"], "rest", "part").collect()}
+    assert got.keys() == {k for k, _ in rows}
+    groups = defaultdict(list)
+    for key, label in rows:
+        groups[label].append(key)
+    for label, members in groups.items():
+        in_order = sorted(members, key=lambda k: (md5(seed, k), k))
+        x, y = quotas.get(label, (0, 0))
+        expected = (["x"] * x + ["y"] * y + ["rest"] * len(members))[: len(members)]
+        assert [got[k] for k in in_order] == expected
