@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from cohortwise.functions.common import let
 from cohortwise.functions.names import model_name, short_name
 
 # Fixed value: parameters that describe the object to build, not the run
@@ -19,8 +20,10 @@ def merge(first: Column, *others: Column) -> Column:
 
 
 def _merge_two(first: Column, second: Column) -> Column:
-    kept = F.map_filter(first, lambda k, _: ~F.map_contains_key(second, k))
-    return F.map_concat(kept, second)
+    def joined(later: Column) -> Column:
+        return F.map_concat(F.map_filter(first, lambda k, _: ~F.map_contains_key(later, k)), later)
+
+    return let(second, joined)
 
 
 def base_params(date: Column, postfix: Column, random_state: Column, timestamp: Column, use_transforms: Column) -> Column:
@@ -65,11 +68,18 @@ def clean(
     ``switches`` maps a parameter to the name of the parameter that turns it on.
     """
     switches = {"sampling_method": "use_sampling"} if switches is None else switches
-    dropped = F.array(*[F.lit(k) for k in technical]).cast("array<string>")
-    for key, switch in switches.items():
-        off = F.coalesce(F.lower(F.try_element_at(params, F.lit(switch))) == "false", F.lit(False))
-        dropped = F.when(off, F.array_append(dropped, F.lit(key))).otherwise(dropped)
-    return F.map_filter(params, lambda k, _: ~F.array_contains(dropped, k))
+
+    def dropped(p: Column) -> Column:
+        keys = F.array(*[F.lit(k) for k in technical]).cast("array<string>")
+        for key, switch in switches.items():
+            off = F.coalesce(F.lower(F.try_element_at(p, F.lit(switch))) == "false", F.lit(False))
+            keys = F.concat(keys, F.when(off, F.array(F.lit(key))).otherwise(F.array().cast("array<string>")))
+        return keys
+
+    def kept(p: Column) -> Column:
+        return let(dropped(p), lambda keys: F.map_filter(p, lambda k, _: ~F.array_contains(keys, k)))
+
+    return let(params, kept)
 
 
 def rename_metric(name: Column, renames: Mapping[str, str]) -> Column:

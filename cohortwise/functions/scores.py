@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
+from cohortwise.functions.common import let
+
 
 def argmax(scores: Column) -> Column:
     """Zero-based position of the largest score, the first one on ties."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is evaluated once. A plain column expression
-    used inside a lambda would be evaluated again for every element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
