@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import chat, kdshards, neardup, secrets, topk
+from cohortwise.llm import chat, kdshards, neardup, parity, secrets, topk
 from cohortwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op1_kd_shards(spark, d):
     )
 
 
+@query
+def op2_parity_join(spark, d):
+    return parity.jaccard_components(table(spark, d, "documents"), words=3, percent=90)
+
+
 @query
 def op3_secret_ledger(spark, d):
     found, _ = secrets.scan_versions(table(spark, d, "documents"), ["doc_id"])
