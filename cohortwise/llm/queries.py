@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import chat, kdshards, neardup, parity, secrets, topk
-from cohortwise.llm.common import table
+from cohortwise.llm import chat, kdshards, neardup, parity, quality, secrets, topk
+from cohortwise.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,6 +75,16 @@ def op8_near_vectors(spark, d):
     return neardup.near_duplicates(table(spark, d, "embeddings"))
 
 
+@query
+def op10_indexed_quality(spark, d):
+    documents, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held_out = bucket(F.col("doc_id"), 5) == 0
+    scored = quality.quality_scores(documents, labels, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 # --- the same in SQL -------------------------------------------------------
 
 ORACLES["op5_chat_prefixes"] = r"""
