@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import chat, kdshards, neardup, parity, quality, secrets, topk
+from cohortwise.llm import chat, kdshards, neardup, parity, quality, recurrent, secrets, topk
 from cohortwise.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,15 @@ def op5_chat_prefixes(spark, d):
     return chat.read_back(chat.prefix_examples(turns))
 
 
+@query
+def op6_recurrent_scores(spark, d):
+    held_out = bucket(F.col("doc_id"), 7) == 2
+    scored = recurrent.model_scores(table(spark, d, "documents"), ~held_out)
+    return scored.withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op7_threshold_topk(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", topk.whole_numbers(F.col("embedding")).alias("vector"))
