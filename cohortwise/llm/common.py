@@ -64,7 +64,7 @@ def bucket(key: Column, n: int) -> Column:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word (bytes), remembered."""
+    """64-bit hash of a token (bytes), remembered."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORD_MEMORY:
@@ -76,10 +76,41 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, as UTF-8. Bytes split
-    at just these separators, and their ``lower`` changes A-Z alone."""
-    return text.encode().lower().split() if text else []
+# The separators of words, an odd factor and its inverse modulo 2^64.
+SEPARATOR = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+FACTOR = 0xD6E8FEB86659FD93
+INVERSE = pow(FACTOR, -1, 1 << 64)
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    if len(_powers[0]) < n:
+        for i, base in enumerate((FACTOR, INVERSE)):
+            steps = np.full(2 * n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps, dtype=np.uint64)
+    return _powers
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a whole text, A-Z in
+    lower case, in order.
+
+    A word's hash is a polynomial in its UTF-8 bytes, modulo 2^64, spread by
+    ``mix``; all words come from one running sum over the text. The separators are
+    single bytes that occur in no other character, and ``lower`` of bytes changes
+    A-Z alone.
+    """
+    if not text:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(text.encode().lower(), np.uint8)
+    space = SEPARATOR[data]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortwise.llm.common import WordHashes, Workspace, mix, partitions, sorted_groups, words_of
+from cohortwise.llm.common import Workspace, mix, partitions, sorted_groups, word_hashes
 from cohortwise.llm.graph import components
 
 # Ratio of the sizes of a band, and the largest size provided for.
@@ -55,15 +55,14 @@ class Shingler:
     """Sets of shingle hashes (64 bits, sorted) of texts."""
 
     def __init__(self, words: int):
-        self.words, self.hashes = words, WordHashes()
+        self.words = words
 
     def of(self, text: str | None) -> np.ndarray:
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        size = min(self.words, len(words))
-        hashed = self.hashes.of(words)
-        out = np.full(len(words) - size + 1, size, np.uint64)
+        hashed = word_hashes(text)
+        if not len(hashed):
+            return hashed
+        size = min(self.words, len(hashed))
+        out = np.full(len(hashed) - size + 1, size, np.uint64)
         for i in range(size):
             out = mix(out + hashed[i : i + len(out)] * np.uint64(2 * i + 3))
         return np.unique(out)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortwise.llm.common import WordHashes, Workspace, words_of
+from cohortwise.llm.common import Workspace, word_hashes
 
 # Words of the model, size of the classes, and width of the state.
 MODEL_WORDS = 2048
@@ -34,27 +34,27 @@ COMMON_WORDS = 1 << 18
 WINDOW = 32
 TRAIN_ROWS = 128
 SCORE_ROWS = 1024
+SCORE_TOKENS = 16384
+# Tokens after which a training text goes on as a stream of its own.
+TRAIN_LENGTH = 512
 # Rounds of averaging. Round r learns from the documents whose share number is r.
 ROUNDS = 2
 SHARES = 12
 RATE = 0.08
 SEED = 5
+LARGEST_WEIGHT = 3.0
 # Word counts that a task holds before it hands them on.
 HELD_TOKENS = 4_000_000
 # The hash that stands for the end of a text; words are hashed, too.
 END = np.uint64(0x9E3779B97F4A7C15)
 
 
-def token_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
-    words = words_of(text)
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = hashes.of(words)
-    out[-1] = END
-    return out
+def token_hashes(text: str | None) -> np.ndarray:
+    return np.append(word_hashes(text), END)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, size = WordHashes(), [], 0
+    held, size = [], 0
 
     def flush():
         words, n = np.unique(np.concatenate(held), return_counts=True)
@@ -62,7 +62,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text in batch.column(0):
-            held.append(token_hashes(text.as_py(), hashes))
+            held.append(token_hashes(text.as_py()))
             size += len(held[-1])
             if size >= HELD_TOKENS:
                 yield flush()
@@ -81,6 +81,11 @@ class Vocabulary:
     distinct: int  # all distinct training tokens
 
     def __post_init__(self):
+        # Ranks by the leading bits of the hash: most words are found at once.
+        bits = len(self.hashes).bit_length() + 2
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, np.int32)
+        self.slots[(self.hashes >> self.shift).astype(np.int64)[::-1]] = np.arange(len(self.hashes))[::-1]
         self.order = np.argsort(self.hashes)
         self.sorted = self.hashes[self.order]
         self.model = min(MODEL_WORDS, len(self.hashes))
@@ -92,8 +97,11 @@ class Vocabulary:
         """Rank of each word, -1 for words that are not common."""
         if not len(self.sorted):
             return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == words, self.order[at], -1)
+        ranks = self.slots[(words >> self.shift).astype(np.int64)].astype(np.int64)
+        missed = np.flatnonzero(self.hashes[ranks] != words)
+        at = np.minimum(np.searchsorted(self.sorted, words[missed]), len(self.sorted) - 1)
+        ranks[missed] = np.where(self.sorted[at] == words[missed], self.order[at], -1)
+        return ranks
 
     def model_ids(self, ranks: np.ndarray) -> np.ndarray:
         """0 for words outside the model's list, else rank + 1."""
@@ -159,11 +167,12 @@ class Model:
         of, place = (goals - 1) // CLASS_SIZE + 1, (goals - 1) % CLASS_SIZE
         of[goals == 0] = 0
         rows = np.arange(len(goals))
-        logits = states @ self.wc + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
-        share = np.exp(logits)
+        logits = states @ self.wc
+        logits += self.bc
+        found = logits[rows, of]
+        share = np.exp(logits, out=logits)
         total = share.sum(axis=1, keepdims=True)
-        found = logits[rows, of] - np.log(total[:, 0])
+        found -= np.log(total[:, 0])
         back = None
         if grads is not None:
             share /= total
@@ -177,15 +186,16 @@ class Model:
             at = order[ends[c] : ends[c + 1]]
             if not len(at):
                 continue
-            inner = states[at] @ self.wi[c] + self.bi[c]
-            inner -= inner.max(axis=1, keepdims=True)
-            share = np.exp(inner)
+            inner = states[at] @ self.wi[c]
+            inner += self.bi[c]
+            local, goal = np.arange(len(at)), place[at]
+            reached = inner[local, goal]
+            share = np.exp(inner, out=inner)
             total = share.sum(axis=1, keepdims=True)
-            local = np.arange(len(at))
-            found[at] += inner[local, place[at]] - np.log(total[:, 0])
+            found[at] += reached - np.log(total[:, 0])
             if grads is not None:
                 share /= total
-                share[local, place[at]] -= 1
+                share[local, goal] -= 1
                 grads[4][c] += states[at].T @ share
                 grads[5][c] += share.sum(axis=0)
                 back[at] += share @ self.wi[c].T
@@ -209,30 +219,33 @@ def _grid(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_scores(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """Natural log probability of each text. The state goes on from window to
-    window, to the end of the longest text."""
+    """Natural log probability of each whole text. The state goes on from window to
+    window, to the text's end; a window holds ``SCORE_TOKENS`` tokens of all texts."""
     out = np.zeros(len(texts))
     for rows in _batches(texts, SCORE_ROWS):
         table, alive = _grid([texts[i] for i in rows])
         state, ids = np.zeros((len(rows), STATE), np.float32), np.zeros(len(rows), np.int32)
-        sums = np.zeros(len(rows))
-        for a in range(0, len(table), WINDOW):
-            states, goals, owner = [], [], []
-            for t in range(a, min(a + WINDOW, len(table))):
-                n = alive[t]
-                state = model.step(ids[:n], state[:n])[0]
-                ids = table[t, :n]
-                states.append(state)
-                goals.append(ids)
-                owner.append(np.arange(n))
-            found, _ = model.outputs(np.concatenate(states), np.concatenate(goals))
-            sums += np.bincount(np.concatenate(owner), found, len(rows))
+        sums, states, goals, owner, held = np.zeros(len(rows)), [], [], [], 0
+        for t in range(len(table)):
+            n = alive[t]
+            state = model.step(ids[:n], state[:n])[0]
+            ids = table[t, :n]
+            states.append(state)
+            goals.append(ids)
+            owner.append(np.arange(n))
+            held += n
+            if held >= SCORE_TOKENS or t == len(table) - 1:
+                found, _ = model.outputs(np.concatenate(states), np.concatenate(goals))
+                sums += np.bincount(np.concatenate(owner), found, len(rows))
+                states, goals, owner, held = [], [], [], 0
         out[rows] = sums
     return out
 
 
 def train(model: Model, texts: list[np.ndarray], memory: list[np.ndarray], rate: float = RATE) -> None:
-    """One pass over the texts by Adagrad; ``memory`` holds its squared gradients."""
+    """One pass over the texts by Adagrad; ``memory`` holds its squared gradients.
+    All tokens are learned from; texts go on as new streams after ``TRAIN_LENGTH``."""
+    texts = [t[a : a + TRAIN_LENGTH] for t in texts for a in range(0, len(t), TRAIN_LENGTH)]
     for rows in _batches(texts, TRAIN_ROWS):
         table, alive = _grid([texts[i] for i in rows])
         state, ids = np.zeros((len(rows), STATE), np.float32), np.zeros(len(rows), np.int32)
@@ -246,7 +259,7 @@ def train(model: Model, texts: list[np.ndarray], memory: list[np.ndarray], rate:
                 ids = table[t, :n]
                 states.append(state)
                 goals.append(ids)
-            grads = [np.zeros_like(v) for v in model.values()]
+            grads = [np.zeros((0, 3 * STATE), np.float32), *[np.zeros_like(v) for v in model.values()[1:]]]
             _, back = model.outputs(np.concatenate(states), np.concatenate(goals), grads)
             ends = np.cumsum([len(s) for s in states])
             later, used, moved = np.zeros((0, STATE), np.float32), [], []
@@ -266,24 +279,31 @@ def train(model: Model, texts: list[np.ndarray], memory: list[np.ndarray], rate:
             read, moved = np.concatenate(used), np.concatenate(moved)
             order = np.argsort(read, kind="stable")
             starts = np.flatnonzero(np.diff(read[order], prepend=-1))
-            grads[0][read[order[starts]]] = np.add.reduceat(moved[order], starts, axis=0)
+            touched = read[order[starts]]
+            grads[0] = np.add.reduceat(moved[order], starts, axis=0)
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads)) / len(read)
             scale = min(1.0, 0.5 / max(norm, 1e-9)) / len(read)
-            for v, g, m in zip(model.values(), grads, memory):
+            for name, v, g, m in zip(model.NAMES, model.values(), grads, memory):
                 g *= scale
-                m += g * g
-                v -= rate * g / (np.sqrt(m) + 1e-4)
+                if name == "x":  # only the words that were read
+                    m[touched] += g * g
+                    v[touched] -= rate * g / (np.sqrt(m[touched]) + 1e-4)
+                else:
+                    m += g * g
+                    v -= rate * g / (np.sqrt(m) + 1e-4)
+                if name in ("wc", "wi"):  # states lie in (-1, 1): exponents stay in range
+                    np.clip(v, -LARGEST_WEIGHT, LARGEST_WEIGHT, out=v)
 
 
 def _learner(model: Broadcast, vocabulary: Broadcast):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words = WordHashes(), vocabulary.value
+        words = vocabulary.value
         own = Model(words.counts[: words.model], words.rest_tokens).load(model.value)
         memory, seen = [np.full_like(v, 1e-6) for v in own.values()], 0
         for batch in batches:
             texts = []
             for text in batch.column(0):
-                texts.append(words.model_ids(words.find(token_hashes(text.as_py(), hashes))))
+                texts.append(words.model_ids(words.find(token_hashes(text.as_py()))))
                 seen += len(texts[-1])
             if texts:
                 train(own, texts, memory)
@@ -297,12 +317,12 @@ def _learner(model: Broadcast, vocabulary: Broadcast):
 
 def _scorer(model: Broadcast, vocabulary: Broadcast):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words = WordHashes(), vocabulary.value
+        words = vocabulary.value
         own = Model(words.counts[: words.model], words.rest_tokens).load(model.value)
         for batch in batches:
             ids, n, known, base, rest, far, far_n = [], [], [], [], [], [], []
             for text in batch.column(1):
-                tokens = token_hashes(text.as_py(), hashes)
+                tokens = token_hashes(text.as_py())
                 ranks = words.find(tokens)
                 common = ranks >= 0
                 counts = words.counts[ranks[common]]
