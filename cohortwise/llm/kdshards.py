@@ -58,6 +58,7 @@ def _points(docs: DataFrame, key: str, text: str, dims: Sequence[str], shards, t
         "text_crc32",
         F.pmod(F.xxhash64("_h", "text_crc32", "size", piece), F.lit(SPAN)).cast("int").alias("_tie"),
         F.array(*coordinates).alias("_at"),
+        F.lit(0).cast("bigint").alias("_node"),
     )
     return work.stored(points, "points"), shards, total
 
@@ -130,7 +131,6 @@ def kd_shards(
         raise ValueError("give either shards or target_bytes")
     work = work or Workspace(docs.sparkSession, "kd-shards")
     points, shards, total = _points(docs, key, text, dims, shards, target_bytes, work)
-    points = points.withColumn("_node", F.lit(0).cast("bigint"))
     owed, scale, first = {0: shards}, None, {0: 0}
     spark = docs.sparkSession
     while total and any(k > 1 for k in owed.values()):

@@ -18,6 +18,8 @@ component needs no look, since components are what is asked for.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from cohortwise.llm.common import Workspace, mix, partitions, sorted_groups, wor
 from cohortwise.llm.graph import components
 
 # Ratio of the sizes of a band, and the largest size provided for.
-BAND = 1.25
+BAND = 1.5
 LARGEST = 1 << 40
 # 64-bit words of the sketch that blocks are compared by, and rows of a block.
 SKETCH_WORDS = 32
@@ -111,16 +113,39 @@ def sketch(shingles: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return place[starts].astype(np.int64), np.bitwise_xor.reduceat(bits, starts)
 
 
+@functools.cache
+def scheme(band: int, percent: int) -> tuple[int, int]:
+    """Words of a band's sketches, and how many of them may be untouched.
+
+    Linked sets differ in at most d places, which spoil d words. Words that are
+    empty in both tell nothing, so there are ``spare`` words more: a set with no
+    more empty words than that shares a word with content with every set that it
+    links with, and needs no buckets for its empty ones. The spare words are as many
+    as a small member's empty words, but for rare cases; these use all words.
+    """
+    limit = Limit(percent)
+    difference = int(limit.difference(2 * (int(LIMITS[band + 1]) - 1)))
+    least = int(LIMITS[band]) * percent / 100
+    words = difference + 1
+    for _ in range(8):
+        empty = words * math.exp(-least / words)
+        spare = min(math.ceil(empty + 3 * math.sqrt(empty)), difference // 4) if difference else 0
+        words = difference + 1 + spare
+    return words, spare
+
+
 def bucket_keys(shingles: np.ndarray, limit: Limit) -> np.ndarray:
-    """One key for each word of the sketches of a set, over its bands."""
+    """Keys of the sketch words of a set, over its bands."""
     keys = []
     for band in bands(len(shingles), limit):
-        words = int(limit.difference(2 * (int(LIMITS[band + 1]) - 1))) + 1
+        words, spare = scheme(band, limit.percent)
         place, parity = sketch(shingles, words)
-        full = np.zeros(words, np.uint64)
-        full[place] = parity
-        where = np.arange(words, dtype=np.uint64) + np.uint64(band << 44)
-        keys.append(mix(full ^ mix(where + np.uint64(1))))
+        if words - len(place) > spare:
+            full = np.zeros(words, np.uint64)
+            full[place] = parity
+            place, parity = np.arange(words), full
+        where = place.astype(np.uint64) + np.uint64((band << 44) + 1)
+        keys.append(mix(parity ^ mix(where)))
     return np.concatenate(keys)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import chat, kdshards, neardup, parity, quality, recurrent, secrets, topk
+from cohortwise.llm import chat, kdshards, mixing, neardup, parity, pieces, quality, recurrent, secrets, topk
 from cohortwise.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op3_secret_ledger(spark, d):
     )
 
 
+@query
+def op4_raked_mixture(spark, d):
+    return mixing.mix_to_targets(table(spark, d, "documents"), power=0.5, share=0.5)
+
+
 @query
 def op5_chat_prefixes(spark, d):
     added = spark.createDataFrame(
@@ -84,6 +89,12 @@ def op8_near_vectors(spark, d):
     return neardup.near_duplicates(table(spark, d, "embeddings"))
 
 
+@query
+def op9_nbest_pieces(spark, d):
+    encoded = pieces.encode(table(spark, d, "documents"), with_ids=False)
+    return encoded.withColumn("scores", F.transform("scores", lambda s: F.round(s, 6)))
+
+
 @query
 def op10_indexed_quality(spark, d):
     documents, labels = table(spark, d, "documents"), table(spark, d, "labels")

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortwise.llm.common import Workspace
 
 FINDING = "array<struct<start:bigint,end:bigint,kind:string>>"
-LEDGER = f"blob string, rule string, rule_version int, findings {FINDING}"
+LEDGER = f"blob binary, rule string, rule_version int, findings {FINDING}"
+SCANNED = f"blob binary, results array<struct<rule:string,rule_version:int,findings:{FINDING}>>"
 
 # The base patterns.
 ASSIGN = re.compile(
@@ -59,22 +60,22 @@ BASE_RULES = (Rule("assign", 1, find_assign), Rule("access", 1, find_access), Ru
 
 
 def _scanner(rules: Sequence[Rule]):
+    item = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
+    result = pa.struct([("rule", pa.string()), ("rule_version", pa.int32()), ("findings", pa.list_(item))])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {r.kind: r for r in rules}
         for batch in batches:
-            blobs, names, found = [], [], []
-            for blob, text, todo in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                text = text or ""
-                data = text.encode()
-                for kind in todo:
-                    blobs.append(blob)
-                    names.append(kind)
-                    found.append([{"start": a, "end": b, "kind": kind} for a, b in kinds[kind].find(text, data)])
-            versions = pa.array([kinds[k].version for k in names], pa.int32())
-            item = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
+            results = []
+            for text, todo in zip(batch.column(1), batch.column(2)):
+                text = text.as_py()
+                data, found = text.encode(), []
+                for kind in todo.as_py():
+                    spans = [{"start": a, "end": b, "kind": kind} for a, b in kinds[kind].find(text, data)]
+                    found.append({"rule": kind, "rule_version": kinds[kind].version, "findings": spans})
+                results.append(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blobs, pa.string()), pa.array(names, pa.string()), versions, pa.array(found, pa.list_(item))],
-                ["blob", "rule", "rule_version", "findings"],
+                [batch.column(0), pa.array(results, pa.list_(result))], ["blob", "results"]
             )
 
     return scan
@@ -104,7 +105,7 @@ def scan_versions(
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     names = [f"_k{i}" for i in range(len(keys))]
     paths = versions.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], body.alias("_text"))
-    paths = paths.withColumn("blob", F.sha2("_text", 256))
+    paths = paths.withColumn("blob", F.unhex(F.sha2("_text", 256)))
     index = work.stored(paths.drop("_text"), "index")
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "rule string, rule_version int")
     first = F.struct(*[F.col(n) for n in names])
@@ -121,8 +122,8 @@ def scan_versions(
     for n in [*names, "blob"]:
         same = same & paths[n].eqNullSafe(unseen[n])
     texts = paths.join(unseen, same).select(unseen["blob"], paths["_text"], unseen["_todo"])
-    fresh = texts.mapInArrow(_scanner(rules), LEDGER)
-    fresh = work.stored(fresh.dropDuplicates(["blob", "rule", "rule_version"]), "ledger")
+    scanned = texts.mapInArrow(_scanner(rules), SCANNED).dropDuplicates(["blob"])
+    fresh = work.stored(scanned.select("blob", F.inline("results")), "ledger")
     known = fresh if ledger is None else fresh.unionByName(ledger.select(*fresh.columns))
     known = known.join(F.broadcast(wanted), ["rule", "rule_version"], "left_semi").filter(F.size("findings") > 0)
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
