@@ -181,10 +181,11 @@ def near_duplicates(
         )
     )
     out = rows.withColumn("_label", F.col("_label").cast("string")).join(per_class, ["_label", "unit"], "left")
-    component = F.coalesce("component_id", "vec_id")
+    named = F.col("vec_id").isNotNull()
+    component = F.when(named, F.coalesce("component_id", "vec_id"))
     return out.select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce(F.when(named, F.col("n_links")), F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
