@@ -68,11 +68,12 @@ def int_target(value: Column) -> Column:
 
 
 def text_prompt(labels: Column, base: str = PROMPT_BASE) -> Column:
-    """Prompt text naming the labels in array order.
+    """Prompt text naming each label once, in array order.
 
     No label, or the no-finding label, gives the base text alone. One name
     stands bare, two are linked by "and", more by commas and a last "and".
     """
+    labels = F.array_distinct(labels)
     count = F.size(labels)
     names = (
         F.when(count == 1, F.element_at(labels, 1))

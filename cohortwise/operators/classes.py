@@ -9,14 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortwise.functions.labels import one_hot
 from cohortwise.operators.ranks import ordered_rank
-from cohortwise.session import FIT_ROWS, fitted
+from cohortwise.session import fitted
 
 # Widest one-hot table; more classes stay in long form (`one_hot_long`).
 MAX_WIDTH = 500
 
-# Longest encoding that is looked up as a map, which is searched entry by entry.
-MAP_ENTRIES = 64
-
 
 def sorted_classes(df: DataFrame, label: str) -> DataFrame:
     """Distinct labels in order."""
@@ -60,15 +57,16 @@ def labels_or_encoding(labels: Sequence[str] | None, encoding: Mapping[str, int]
 
 
 def decode(df: DataFrame, code: str, encoding: Mapping[str, int], name: str) -> DataFrame:
-    """Class name of a code; null for codes outside the encoding. A short encoding
-    is a map in the expression, a long one is joined."""
-    if len(encoding) <= MAP_ENTRIES:
-        pairs = [F.lit(x) for n, c in encoding.items() for x in (c, n)]
-        return df.withColumn(name, F.try_element_at(F.create_map(*pairs).cast("map<int,string>"), F.col(code)))
-    names = encoding_table(df.sparkSession, encoding).select(F.col("name").alias(name), F.col("code").alias("_known"))
-    if len(encoding) <= FIT_ROWS:
-        names = F.broadcast(names)
-    return df.drop(name).join(names, F.col(code) == F.col("_known"), "left").drop("_known")
+    """Class name of a code, also in place of the code; null for codes outside the
+    encoding. Of several names for one code the last counts, so no row is doubled.
+
+    The encoding lies on the driver, so its table is as small as that.
+    """
+    last = {c: n for n, c in encoding.items()}
+    names = encoding_table(df.sparkSession, {n: c for c, n in last.items()})
+    names = F.broadcast(names.select(F.col("name").alias("_name"), F.col("code").alias("_known")))
+    found = df.withColumn("_code", F.col(code)).join(names, F.col("_code") == F.col("_known"), "left")
+    return found.withColumn(name, F.col("_name")).drop("_code", "_known", "_name")
 
 
 def fit_labels(df: DataFrame, labels: str) -> list[str]:

@@ -20,13 +20,10 @@ from cohortwise.session import fitted, materialize
 
 logger = logging.getLogger(__name__)
 
-# Distinct scores up to this number are ordered in one task; more are chunked.
-PLAIN_SCORES = 100_000
-
-# Most label pairs of a group that a Python metric is given.
+# Default for the most label pairs of a group that a Python metric is given.
 MAX_PAIRS = 1_000_000
 
-# Most labels of a zero-filled confusion matrix.
+# Default for the most labels of a zero-filled confusion matrix.
 MAX_AXIS = 2000
 
 MEASURES = ["roc_auc", "accuracy", "loss", "precision", "recall", "f1"]
@@ -67,24 +64,46 @@ def confusion_matrix(df: DataFrame, labels: DataFrame | None = None) -> DataFram
     return matrix_from_counts(fitted_counts(df), labels)
 
 
-def matrix_from_counts(counts: DataFrame, labels: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Confusion matrix from confusion counts, per group, for up to `MAX_AXIS` labels."""
+def check_axis(counts: DataFrame, by: Sequence[str] = (), max_axis: int | None = None) -> None:
+    """Raise when a group has more labels than a zero-filled matrix may have."""
+    max_axis = MAX_AXIS if max_axis is None else max_axis
+    widths = present_labels(counts, by).groupBy(*by).agg(F.count(F.lit(1)).alias("_width"))
+    if widths.where(F.col("_width") > max_axis).take(1):
+        raise ValueError(f"over {max_axis} labels; use confusion_counts, which holds no zeros, or raise max_axis")
+
+
+def matrix_from_counts(
+    counts: DataFrame, labels: DataFrame | None = None, by: Sequence[str] = (), max_axis: int | None = None
+) -> DataFrame:
+    """Confusion matrix from confusion counts, per group, zeros included.
+
+    A null truth or prediction is a label like others, so no row is lost. The
+    matrix has labels x labels rows, so more than ``max_axis`` labels are an error;
+    `confusion_counts` holds what occurs, for any number of them.
+    """
+    max_axis = MAX_AXIS if max_axis is None else max_axis
     axis = present_labels(counts, by) if labels is None else labels.select("label")
-    too_wide = F.raise_error(F.lit(f"over {MAX_AXIS} labels; use confusion_counts, which holds no zeros"))
+    too_wide = F.raise_error(F.lit(f"over {max_axis} labels; use confusion_counts, which holds no zeros"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("label"))
     # One row holds all labels of a group and is opened twice: the pairs come from
-    # the label list alone.
+    # the label list alone. A struct keeps a null label in the set.
     listed = (
-        axis.withColumn("_place", place).where(F.col("_place") <= MAX_AXIS + 1)
-        .groupBy(*by).agg(F.collect_set("label").alias("_axis"))
+        axis.withColumn("_place", place).where(F.col("_place") <= max_axis + 1)
+        .groupBy(*by).agg(F.collect_set(F.struct("label")).alias("_axis"))
     )
-    checked = F.when(F.size("_axis") > MAX_AXIS, F.array_repeat(too_wide.cast(axis.schema["label"].dataType), 1))
+    none = F.struct(too_wide.cast(axis.schema["label"].dataType).alias("label"))
+    checked = F.when(F.size("_axis") > max_axis, F.array_repeat(none, 1))
     pairs = (
         listed.withColumn("_axis", checked.otherwise(F.col("_axis")))
-        .select(*by, F.explode("_axis").alias("y_true"), "_axis")
-        .select(*by, "y_true", F.explode("_axis").alias("y_pred"))
+        .select(*by, F.explode("_axis").alias("_t"), "_axis")
+        .select(*by, "_t", F.explode("_axis").alias("_p"))
+    )
+    alias = lambda c: F.struct(F.col(c).alias("label"))
+    found = counts.select(*by, alias("y_true").alias("_t"), alias("y_pred").alias("_p"), "n")
+    filled = pairs.join(found, [*by, "_t", "_p"], "left")
+    return filled.select(
+        *by, F.col("_t.label").alias("y_true"), F.col("_p.label").alias("y_pred"), F.coalesce("n", F.lit(0)).alias("n")
     )
-    return pairs.join(counts, [*by, "y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def confusion_wide(matrix: DataFrame, labels: Sequence) -> DataFrame:
@@ -142,14 +161,22 @@ def classification_report(df: DataFrame, labels: DataFrame | None = None, names:
 def report_from_counts(
     counts: DataFrame, labels: DataFrame | None = None, names: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Classification report from confusion counts, whole or per group; a fixed
-    label set is for the whole table."""
+    """Classification report from confusion counts, whole or per group.
+
+    A fixed label set must hold every label that occurs, else it is an error: rows
+    outside it would miss from the averages. With groups, each gets all its labels.
+    """
     scores = class_scores(counts, by)
     shown = F.col("label").cast("string")
     if labels is not None:
+        if scores.join(labels, "label", "left_anti").take(1):
+            raise ValueError("a truth or prediction lies outside the label set")
+        axis = labels
         if by:
-            raise ValueError("a fixed label set cannot be combined with groups")
-        scores = labels.join(scores, "label", "left").na.fill(0)
+            # Every group opens the label list of its own row: no pairs of rows are formed.
+            every = F.array([F.struct(*[F.lit(r[c]).alias(c) for c in labels.columns]) for r in labels.collect()])
+            axis = counts.select(*by).distinct().select(*by, F.inline(every))
+        scores = axis.join(scores, [*by, "label"], "left").na.fill(0, [*MEASURES[3:], "support", "hits"])
         shown = F.col(names) if names else shown
     measures = ["precision", "recall", "f1"]
 
@@ -176,7 +203,7 @@ def accuracy(df: DataFrame) -> DataFrame:
 
 
 def mean_loss(df: DataFrame, scores: str, y_true: str = "y_true") -> DataFrame:
-    """Mean cross-entropy over the rows."""
+    """Mean cross-entropy over the rows whose truth has a score."""
     return df.agg(F.avg(cross_entropy(F.col(scores), F.col(y_true))).alias("loss"))
 
 
@@ -216,28 +243,27 @@ def negatives_below_chunked(per_score: DataFrame) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, score: str = "y_pred", y_true: str = "y_true", positive: int = 1, plain_scores: int = PLAIN_SCORES
+    df: DataFrame, score: str = "y_pred", y_true: str = "y_true", positive: int = 1
 ) -> DataFrame:
     """Area under the ROC curve; ties count half; null with one class only. Rows
     without a score rank lowest.
 
-    Rows are first reduced to counts per distinct score, so hard predictions end
-    as two rows. While a sketch finds at most half of ``plain_scores`` distinct
-    ones, they are ordered in one task; else the counts are stored and ordered
-    over score ranges.
+    Rows are first reduced to counts per distinct score, in one pass over the data;
+    the counts are stored and ordered over score ranges, however many they are.
     """
-    per_score = score_counts(df, score, y_true, positive)
-    distinct = df.agg(F.approx_count_distinct(score).alias("d")).first().d
-    if 2 * distinct <= plain_scores:
-        return auc_from_counts(negatives_below(per_score))
-    stored = materialize(per_score, "scores")
+    stored = materialize(score_counts(df, score, y_true, positive), "scores")
     return auc_from_counts(negatives_below_chunked(stored))
 
 
 def loss_counts(df: DataFrame, scores: str | None, by: Sequence[str] = ()) -> DataFrame:
-    """Confusion counts with the summed loss of their rows, evaluated once."""
+    """Confusion counts with the summed loss of their rows and the number of rows
+    that have one, evaluated once."""
     loss = cross_entropy(F.col(scores), F.col("y_true")) if scores else F.lit(None).cast("double")
-    return fitted(df.groupBy(*by, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss")))
+    return fitted(
+        df.groupBy(*by, "y_true", "y_pred").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss"), F.count(loss).alias("n_loss")
+        )
+    )
 
 
 def auc_from_predictions(counts: DataFrame, by: Sequence[str] = (), positive: int = 1) -> DataFrame:
@@ -257,7 +283,7 @@ def summary_from_counts(counts: DataFrame, by: Sequence[str] = (), auc: DataFram
     pieces = [
         auc_from_predictions(counts, by) if auc is None else auc,
         averages(class_scores(counts, by), by).select(*by, "accuracy", *macro),
-        counts.groupBy(*by).agg((F.sum("loss") / F.sum("n")).alias("loss")),
+        counts.groupBy(*by).agg(F.try_divide(F.sum("loss"), F.sum("n_loss")).alias("loss")),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
     return rows.groupBy(*by).agg(*[F.max(m).alias(m) for m in MEASURES])
@@ -318,19 +344,24 @@ def metrics_by_name(
 
 
 def custom_metric(
-    df: DataFrame, compute: Callable[[pd.Series, pd.Series, pd.Series], float], by: Sequence[str], name: str = "value"
+    df: DataFrame,
+    compute: Callable[[pd.Series, pd.Series, pd.Series], float],
+    by: Sequence[str],
+    name: str = "value",
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """A Python metric ``compute(y_true, y_pred, weight)`` per group.
 
     It gets each pair of labels once, with its number of rows as the weight: at
     most classes x classes rows, whatever the size of the group. Values that are
-    not classes, of which a group has over `MAX_PAIRS` pairs, need a metric
-    written as an aggregate, see `metrics_by_name`.
+    not classes, of which a group has over ``max_pairs`` pairs, are an error: they
+    need a metric written as an aggregate, see `metrics_by_name`.
     """
+    max_pairs = MAX_PAIRS if max_pairs is None else max_pairs
     pairs = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    too_many = F.raise_error(F.lit(f"over {MAX_PAIRS} label pairs in a group")).cast("boolean")
+    too_many = F.raise_error(F.lit(f"over {max_pairs} label pairs in a group")).cast("boolean")
     counts = confusion_counts(df, by).withColumn("_pairs", pairs)
-    counts = counts.where(F.when(F.col("_pairs") > MAX_PAIRS, too_many).otherwise(F.lit(True))).drop("_pairs")
+    counts = counts.where(F.when(F.col("_pairs") > max_pairs, too_many).otherwise(F.lit(True))).drop("_pairs")
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -58,13 +58,15 @@ def scan_lookup(scans: DataFrame, path: str, patients: DataFrame, id_column: str
     One row per scan number, with the number of scans and a ``status``: ``ok``,
     ``missing`` (no such patient), ``bad_target`` (no integer), ``bad_id`` (no
     number in the name). Scans are reduced per number before the join, so a
-    patient with very many scans costs one row. Patient ids must be unique.
+    patient with very many scans costs one row. Patient ids that occur twice
+    are an error; rows without an id match nothing.
     """
     numbered = scans.select(scan_number(F.col(path)).alias("patient"), F.col(path).alias("_path"))
     latest = numbered.groupBy("patient").agg(F.max("_path").alias("_path"), F.count(F.lit(1)).alias("scans"))
     known = patients.select(
         F.col(id_column).cast("int").alias("patient"), int_target(F.col(target)).alias("target"), F.lit(1).alias("_known")
-    )
+    ).where(F.col("patient").isNotNull())
+    check_unique(known, "patient")
     status = (
         F.when(F.col("patient").isNull(), "bad_id")
         .when(F.col("_known").isNull(), "missing")

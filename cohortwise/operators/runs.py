@@ -13,12 +13,14 @@ EPOCH_CHUNK = 4096
 
 
 def signed_score(value: Column, score_name: str) -> Column:
-    """Score to maximise: a loss counts negative."""
-    return -value if score_name == "loss" else value
+    """Score to maximise: a loss counts negative, and no number is no score."""
+    score = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    return -score if score_name == "loss" else score
 
 
 def best_epochs(df: DataFrame, runs: Sequence[str], value: str, score_name: str, n_saved: int = 1) -> DataFrame:
-    """The ``n_saved`` best epochs of each run, earlier epochs first on ties."""
+    """The ``n_saved`` best epochs of each run, earlier epochs first on ties, and
+    epochs without a score (null or NaN) last."""
     order = Window.partitionBy(*runs).orderBy(signed_score(F.col(value), score_name).desc(), F.asc("epoch"))
     return df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n_saved)
 
@@ -57,7 +59,7 @@ def early_stop(
 ) -> DataFrame:
     """Per run the epoch at which training stops: ``patience`` evaluations in a
     row without a new best. Null when that never happens. Epochs are integers
-    and unique within a run."""
+    and unique within a run. An epoch whose value is null or NaN is no best."""
     scored = df.select(
         group_of(runs).alias(GROUP),
         "epoch",
@@ -69,7 +71,7 @@ def early_stop(
         scored, GROUP, "epoch", CHUNK,
         {"_seen": (F.lit(1), F.sum, plus), "_best": (F.col("_score"), F.max, F.greatest)},
     )
-    improved = F.col("_best").isNull() | (F.col("_score") > F.col("_best"))
+    improved = F.col("_score").isNotNull() & (F.col("_best").isNull() | (F.col("_score") > F.col("_best")))
     numbered = seen.select(
         GROUP, "epoch", CHUNK, F.coalesce("_seen", F.lit(0)).alias("_seen"), improved.alias("_improved")
     )
@@ -77,7 +79,7 @@ def early_stop(
         numbered, GROUP, "epoch", CHUNK,
         {"_last": (F.when(F.col("_improved"), F.col("_seen")), F.max, F.greatest)},
     )
-    waited = F.when(F.col("_improved"), F.lit(0)).otherwise(F.col("_seen") - F.col("_last"))
+    waited = F.when(F.col("_improved"), F.lit(0)).otherwise(F.col("_seen") - F.coalesce("_last", F.lit(-1)))
     stops = last.groupBy(GROUP).agg(
         F.count(F.lit(1)).alias("epochs"), F.min(F.when(waited >= patience, F.col("epoch"))).alias("stop_epoch")
     )

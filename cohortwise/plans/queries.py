@@ -460,7 +460,7 @@ def roc_auc(spark, d):
 
 @query
 def roc_auc_lines(spark, d):
-    return rounded(E.roc_auc(V.pred_lines(spark, d), "score", plain_scores=1000), "roc_auc")
+    return rounded(E.roc_auc(V.pred_lines(spark, d), "score"), "roc_auc")
 
 
 @query

@@ -39,7 +39,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortwise-"))
         root = context.getCheckpointDir()

@@ -42,8 +42,9 @@ def cached_table(
 ) -> DataFrame:
     """The stored copy of ``name`` at ``version``; fetched and stored when absent.
 
-    ``latest`` means the highest stored version, numbers in it compared by value.
-    When nothing is stored yet, the fetched copy is stored under that name.
+    ``latest`` means the highest stored version, numbers in it compared by value;
+    a version without a number counts only where none has one. When nothing is
+    stored yet, the fetched copy is stored under that name.
     Formats without a schema of their own, such as CSV, need ``schema``.
     """
     base = f"{root.rstrip('/')}/name={name}"
@@ -61,11 +62,22 @@ def latest_version(
     spark: SparkSession, base: str, fmt: str = "parquet", schema: StructType | str | None = None
 ) -> str | None:
     """Highest version folder that holds data; None when there is none."""
-    stored = _read_if_present(spark, base, fmt, schema)
-    if stored is None:
-        return None
-    names = {m.group(1) for m in (re.search(r"/version=([^/]+)/", f) for f in stored.inputFiles()) if m}
-    return max(names, default=None, key=lambda v: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", v)])
+    names = [n.removeprefix("version=") for n in folder_names(spark, base) if n.startswith("version=")]
+    parts = lambda v: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", v)]
+    numbered = [n for n in names if re.search(r"\d", n)]
+    for name in [*sorted(numbered, key=parts, reverse=True), *sorted(set(names) - set(numbered), reverse=True)]:
+        if _read_if_present(spark, f"{base}/version={name}", fmt, schema) is not None:
+            return name
+    return None
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path, on the driver."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(folder) if f.isDirectory()]
 
 
 def _read_if_present(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None) -> DataFrame | None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortwise.operators.evaluation import (
     MEASURES,
+    check_axis,
     fitted_counts,
     loss_counts,
     matrix_from_counts,
@@ -49,11 +50,21 @@ def write_cohort(df: DataFrame, path: str, fmt: str = "csv") -> None:
     write_parts(df, path, ["split"], fmt)
 
 
-def write_eval(predictions: DataFrame, path: str, split: str | None = None, epoch: int | None = None) -> None:
+def write_eval(
+    predictions: DataFrame,
+    path: str,
+    split: str | None = None,
+    epoch: int | None = None,
+    labels: DataFrame | None = None,
+    names: str | None = None,
+    max_axis: int | None = None,
+) -> None:
     """Predictions, report and confusion matrix by split and epoch.
 
     Either of one split and epoch, or of all those named in the columns ``split``
-    and ``epoch`` of the predictions, which are read once for all.
+    and ``epoch`` of the predictions, which are read once for all. ``labels`` fixes
+    the label set, its column ``names`` is what the report shows. More labels than
+    ``max_axis`` are an error before anything is written.
     """
     if split is not None:
         predictions = predictions.withColumn("split", F.lit(split))
@@ -61,9 +72,11 @@ def write_eval(predictions: DataFrame, path: str, split: str | None = None, epoc
         predictions = predictions.withColumn("epoch", F.lit(epoch))
     by = ["split", "epoch"]
     counts = fitted_counts(predictions, by)
+    check_axis(counts, by, max_axis)
+    report = report_from_counts(counts, labels, names, by)
     write_parts(predictions, f"{path}/predictions", by)
-    write_parts(report_from_counts(counts, by=by), f"{path}/classification_report", by)
-    write_parts(matrix_from_counts(counts, by=by), f"{path}/confusion_matrix", by)
+    write_parts(report, f"{path}/classification_report", by)
+    write_parts(matrix_from_counts(counts, by=by, max_axis=max_axis), f"{path}/confusion_matrix", by)
 
 
 def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoch")) -> None:
@@ -125,7 +138,7 @@ def run_report(
     metrics = summary.select(F.lit(1).alias("section"), F.posexplode(F.array(*metric_lines)).alias("line_no", "line"))
 
     row = F.sort_array(F.collect_list(F.struct("y_pred", "n")))
-    matrix = matrix_from_counts(counts.drop("loss")).groupBy("y_true").agg(row.alias("cells"))
+    matrix = matrix_from_counts(counts.drop("loss", "n_loss")).groupBy("y_true").agg(row.alias("cells"))
     table = F.sort_array(F.collect_list(F.struct("y_true", "cells")))
     lines = F.transform(
         "table",

@@ -201,3 +201,20 @@ def test_prepare_job_sizes(spark):
     assert Counter(r.labels for r in got if r.split == "train") == {0: 100, 1: 100}
     for split, n in (("train", 200), ("val", 60), ("test", 100)):
         assert sorted(r.position for r in got if r.split == split) == list(range(1, n + 1))
+
+
+@pytest.mark.parametrize("n", [3, 80])
+def test_decode_is_the_same_for_any_length(spark, n):
+    """In place, and with two names for one code: the last counts, no row doubles."""
+    encoding = {f"name{i}": i for i in range(n)} | {"again": 1}
+    df = spark.createDataFrame([(0,), (1,), (1,), (999,), (None,)], "code int")
+    got = C.decode(df, "code", encoding, "code")
+    assert got.columns == ["code"]
+    assert sorted(str(r.code) for r in got.collect()) == ["None", "None", "again", "again", "name0"]
+
+
+def test_lookup_refuses_ids_that_occur_twice(spark):
+    scans = spark.createDataFrame([("a/x001-1.png",)], "path string")
+    patients = spark.createDataFrame([(1, "2"), (1, "3")], "id int, target string")
+    with pytest.raises(ValueError, match="unique"):
+        J.scan_lookup(scans, "path", patients, "id", "target")

@@ -54,29 +54,27 @@ def test_confusion_with_label_axis_and_wide_form(spark):
     assert wide == {0: (0, 1, 0), 1: (0, 1, 0), 2: (0, 0, 0)}
 
 
-@pytest.mark.parametrize("plain", [1_000_000, 1])
 @pytest.mark.parametrize("spread", [2, 9, 10_000])
-def test_auc_plain_and_over_ranges(spark, plain, spread):
+def test_auc_over_ranges(spark, spread):
     rng = random.Random(spread)
     rows = [(int(rng.random() < 0.3), rng.randrange(spread) / 7) for _ in range(400)]
     df = spark.createDataFrame(rows, "y_true int, score double").repartition(5)
-    got = E.roc_auc(df, "score", plain_scores=plain).first().roc_auc
+    got = E.roc_auc(df, "score").first().roc_auc
     assert got == pytest.approx(brute_auc(rows))
 
 
-@pytest.mark.parametrize("plain", [1_000_000, 1])
-def test_auc_with_missing_scores(spark, plain):
+def test_auc_with_missing_scores(spark):
     rows = [(i % 2, float(i * 7 % 50)) for i in range(100)] + [(1, None)] * 5 + [(0, float("nan"))] * 3
     df = spark.createDataFrame(rows, "y_true int, score double").repartition(3)
     placed = [(t, -1.0 if s is None else math.inf if math.isnan(s) else s) for t, s in rows]
-    assert E.roc_auc(df, "score", plain_scores=plain).first().roc_auc == pytest.approx(brute_auc(placed))
+    assert E.roc_auc(df, "score").first().roc_auc == pytest.approx(brute_auc(placed))
 
 
 def test_auc_with_a_hot_score(spark):
     rows = [(i % 2, 0.5) for i in range(300)] + [(i % 3 == 0, i / 600) for i in range(600)]
     rows = [(int(t), s) for t, s in rows]
     df = spark.createDataFrame(rows, "y_true int, score double")
-    assert E.roc_auc(df, "score", plain_scores=10).first().roc_auc == pytest.approx(brute_auc(rows))
+    assert E.roc_auc(df, "score").first().roc_auc == pytest.approx(brute_auc(rows))
 
 
 def test_auc_of_one_class_is_null(spark):
@@ -157,3 +155,32 @@ def test_custom_metric_refuses_values_that_are_no_classes(spark, monkeypatch):
 def test_decided_class_ties(spark):
     df = spark.createDataFrame([([0.1, 0.7, 0.7],), ([5.0],)], "s array<double>")
     assert [r.y_pred for r in E.with_prediction(df, "s").collect()] == [1, 0]
+
+
+def test_null_labels_stay_in_the_matrix(spark):
+    df = predictions(spark, [(0, 0), (0, None), (None, 1), (1, 1), (1, 1)])
+    got = {(r.y_true, r.y_pred): r.n for r in E.confusion_matrix(df).collect()}
+    assert len(got) == 9 and sum(got.values()) == 5
+    assert got[0, None] == got[None, 1] == 1 and got[None, None] == 0
+
+
+def test_labels_outside_a_fixed_set_are_an_error(spark):
+    df = predictions(spark, [(0, 0), (1, 2), (1, 1)])
+    axis = spark.createDataFrame([(0, "no"), (1, "yes")], "label int, name string")
+    with pytest.raises(ValueError, match="outside"):
+        E.classification_report(df, axis, "name")
+
+
+def test_report_names_by_group(spark):
+    df = predictions(spark, [(0, 0), (1, 1)]).withColumn("split", F.lit("a"))
+    df = df.unionByName(predictions(spark, [(0, 1)]).withColumn("split", F.lit("b")))
+    axis = spark.createDataFrame([(0, "no"), (1, "yes"), (2, "maybe")], "label int, name string")
+    rows = E.report_from_counts(E.fitted_counts(df, ["split"]), axis, "name", ["split"]).collect()
+    got = {(r.split, r.label): r.support for r in rows}
+    assert got["a", "no"] == got["a", "yes"] == got["b", "no"] == 1 and got["a", "maybe"] == got["b", "maybe"] == 0
+    assert len(got) == 12
+
+
+def test_rows_without_a_loss_count_alike(spark):
+    df = spark.createDataFrame([(0, 0, [2.0, 1.0]), (1, 0, [0.0, 1.0]), (5, 1, [1.0, 1.0])], "y_true int, y_pred int, s array<double>")
+    assert E.run_summary(df, "m", "s").first().loss == pytest.approx(E.mean_loss(df, "s").first().loss)

@@ -70,3 +70,14 @@ def test_numeric_metrics(spark):
 
 def test_log_interval():
     assert [R.log_interval(n) for n in (1, 10, 19, 55)] == [1, 1, 1, 5]
+
+
+def test_nan_is_no_score(spark):
+    rows = [(1, e, v) for e, v in enumerate([float("nan"), 0.9, float("nan"), 0.5, 0.7, None, 0.8])]
+    df = spark.createDataFrame(rows, "run int, epoch int, value double")
+    best = W.best_epochs(df, ["run"], "value", "loss", 2).collect()
+    assert sorted((r.place, r.epoch) for r in best) == [(1, 3), (2, 4)]
+    assert W.early_stop(df, ["run"], "value", "loss", 3).first().stop_epoch == 6
+    assert W.early_stop(df.where("epoch < 6"), ["run"], "value", "loss", 3).first().stop_epoch is None
+    diverged = spark.createDataFrame([(1, e, float("nan")) for e in range(5)], "run int, epoch int, value double")
+    assert W.early_stop(diverged, ["run"], "value", "accuracy", 3).first().stop_epoch == 2

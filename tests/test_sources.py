@@ -253,3 +253,11 @@ def test_fitted_stops_at_its_limit(spark, monkeypatch):
     assert fitted(big, 5) is big
     monkeypatch.setattr(session, "FIT_ROWS", 3)
     assert fitted(big) is big
+
+
+def test_a_number_is_later_than_a_word(spark, tmp_path):
+    root = str(tmp_path)
+    assert SC.cached_table(spark, root, "t", "latest", lambda: spark.range(3)).count() == 3
+    SC.cached_table(spark, root, "t", "7", lambda: spark.range(7))
+    SC.cached_table(spark, root, "t", "12", lambda: spark.range(12))
+    assert SC.cached_table(spark, root, "t", "latest", lambda: spark.range(0)).count() == 12
