@@ -13,8 +13,14 @@ Step = Callable[[Column], Column]
 SCALED_LIMIT = 1024.0
 
 
+def out_of_range(vector: Column, maxval: float = 255.0) -> Column:
+    """Whether a value exceeds maxval, so that `scale` gives null."""
+    return F.array_max(vector) > maxval
+
+
 def scale(vector: Column, maxval: float = 255.0) -> Column:
-    """Map 0..maxval to -1024..1024; null where a value exceeds maxval."""
+    """Map 0..maxval to -1024..1024; null where a value exceeds maxval, which
+    `out_of_range` flags."""
     scaled = F.transform(vector, lambda x: (x.cast("double") * 2.0 / F.lit(maxval) - 1.0) * SCALED_LIMIT)
     return F.when(F.array_max(vector) <= maxval, scaled)
 

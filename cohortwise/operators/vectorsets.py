@@ -133,14 +133,26 @@ def ssim(pairs: DataFrame, x: str, y: str, data_range: float, name: str = "ssim"
 
 
 def pair_ssim(fake: DataFrame, real: DataFrame, vector: str, keys: Sequence[str], seed: int) -> DataFrame:
-    """Mean structural similarity of two sets, paired by seeded rank; the longer
-    set's surplus has no partner. The value range is that of the wider set."""
+    """Mean structural similarity of two sets, paired by seeded rank.
+
+    ``pairs`` were compared, ``unpaired`` is the longer set's surplus, ``skipped``
+    are pairs with a missing or empty vector. Vectors of unequal width are an
+    error. The value range is that of the wider set.
+    """
     spread = F.max(F.array_max(vector)).cast("double") - F.min(F.array_min(vector)).cast("double")
     ranges = [side.agg(spread.alias("r")).first().r or 0.0 for side in (fake, real)]
     left, right = (
-        seeded_rank(side, keys, seed).select("rank", F.col(vector).alias(name))
+        seeded_rank(side, keys, seed).select("rank", F.col(vector).alias(name), F.lit(True).alias(f"_in_{name}"))
         for side, name in ((fake, "x"), (real, "y"))
     )
-    pairs = left.join(right, "rank")
-    scored = ssim(pairs, "x", "y", float(max(ranges)))
-    return scored.agg(F.avg("ssim").alias("ssim"), F.count(F.lit(1)).alias("pairs"))
+    both = F.col("_in_x") & F.col("_in_y")
+    unequal = F.raise_error(F.lit("vectors must share one width")).cast("double")
+    scored = ssim(left.join(right, "rank", "full_outer"), "x", "y", float(max(ranges)))
+    checked = F.when(F.size("x") != F.size("y"), unequal).otherwise(F.col("ssim"))
+    scored = scored.withColumn("ssim", F.when(both & F.col("x").isNotNull() & F.col("y").isNotNull(), checked))
+    return scored.agg(
+        F.avg("ssim").alias("ssim"),
+        F.count("ssim").alias("pairs"),
+        F.count_if(~F.coalesce(both, F.lit(False))).alias("unpaired"),
+        F.count_if(both & F.col("ssim").isNull()).alias("skipped"),
+    )

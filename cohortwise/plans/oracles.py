@@ -62,8 +62,8 @@ VIEWS: dict[str, str] = {
         SELECT doc_id, quality AS y_true, (n_chars > 1000)::INT AS y_pred, n_chars::DOUBLE AS score
         FROM labels JOIN documents USING (doc_id)""",
     "v_pred10": """
-        SELECT vec_id, label AS y_true, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS logits,
-               list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS y_pred
+        SELECT vec_id, label AS y_true, list_transform(embedding, lambda x: x::DOUBLE) AS logits,
+               list_position(embedding, list_max(embedding)) - 1 AS y_pred
         FROM embeddings""",
     "v_pred_lines": """
         SELECT l_orderkey, l_linenumber, (l_returnflag = 'R')::INT AS y_true, (l_quantity > 25)::INT AS y_pred,
@@ -513,9 +513,9 @@ oracle("cohort_by_column", COLUMN_COHORT)
 IN_TRAIN = "('0x' || substr(md5('42|' || page_id), 1, 8))::BIGINT % 100 < 80"
 PAGE_CODE = "(dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1)::INT"
 oracle("cohort_by_dirs", f"""SELECT path AS image_files, class_name, labels,
-        unnest(CASE WHEN labels = 0 THEN [1, 2, 3] ELSE [1] END) AS copy, 'train' AS split
-    FROM (SELECT path, split_part(path, '/', -2) AS class_name, {PAGE_CODE} AS labels FROM v_scans WHERE {IN_TRAIN})
-    UNION ALL SELECT path, split_part(path, '/', -2), {PAGE_CODE}, 1, 'test' FROM v_scans WHERE NOT {IN_TRAIN}""")
+        unnest(CASE WHEN labels = 0 AND in_train THEN [1, 2, 3] ELSE [1] END) AS copy,
+        CASE WHEN in_train THEN 'train' ELSE 'test' END AS split
+    FROM (SELECT path, split_part(path, '/', -2) AS class_name, {PAGE_CODE} AS labels, {IN_TRAIN} AS in_train FROM v_scans)""")
 oracle("cohort_by_lookup", """SELECT s.patient, '/scans/' || s.filename AS image_files,
         trunc(try_cast(p.target AS DOUBLE))::INT AS labels
     FROM (SELECT patient, split_part(max(path), '/', -1) AS filename
@@ -557,9 +557,10 @@ oracle(
 # --- vectors ---
 VALUES = "SELECT vec_id, (generate_subscripts(v, 1) - 1)::INT AS position, unnest(v) AS value FROM ({0})"
 oracle("vec_normalize", VALUES.format("""SELECT vec_id,
-        list_transform(embedding, lambda x: (x::DOUBLE * 2.0::DOUBLE / 0.35::DOUBLE - 1.0::DOUBLE) * 1024.0::DOUBLE) AS v
-        FROM embeddings WHERE list_max(embedding) <= 0.35::DOUBLE""") + """
-    UNION ALL SELECT vec_id, NULL, NULL FROM embeddings WHERE list_max(embedding) > 0.35::DOUBLE""")
+        list_transform(embedding, lambda x: (x::DOUBLE * 2.0::DOUBLE / m - 1.0::DOUBLE) * 1024.0::DOUBLE) AS v
+        FROM embeddings, (SELECT max(list_max(embedding))::DOUBLE AS m FROM embeddings)"""))
+oracle("vec_out_of_range", """SELECT vec_id, (list_max(embedding)::DOUBLE > 0.35::DOUBLE)::INT AS out_of_range,
+    CASE WHEN list_max(embedding)::DOUBLE <= 0.35::DOUBLE THEN len(embedding) END::INT AS scaled FROM embeddings""")
 oracle("vec_channel_mean", VALUES.format("""SELECT vec_id,
     list_transform(range(0, len(embedding), 3), lambda i:
         list_sum(list_transform(embedding[i + 1:i + 3], lambda x: x::DOUBLE)) / len(embedding[i + 1:i + 3])) AS v
@@ -583,7 +584,8 @@ oracle(
 oracle(
     "pair_ssim",
     """SELECT round(avg((2 * mx * my + c1) * (2 * cov + c2) / ((mx * mx + my * my + c1) * (vx + vy + c2))), 6) AS ssim,
-        count(*) AS pairs FROM k_m, k_c""",
+        count(*) AS pairs, (SELECT abs(count(*) FILTER (side = 'fake') - count(*) FILTER (side = 'real')) FROM k_s) AS unpaired,
+        0::BIGINT AS skipped FROM k_m, k_c""",
     f"""k_s AS (SELECT *, {seeded('vec_id', 'side')} AS r FROM (SELECT vec_id, embedding AS v,
         CASE WHEN label < 5 THEN 'real' ELSE 'fake' END AS side FROM embeddings))""",
     """k_c AS (SELECT (0.01 * max(w)) ** 2 AS c1, (0.03 * max(w)) ** 2 AS c2 FROM (

@@ -851,7 +851,16 @@ def prepare_job(spark, d):
 
 @query
 def vec_normalize(spark, d):
-    return values_of(V.vectors(spark, d), VEC.scale(F.col("embedding"), 0.35))
+    vectors = V.vectors(spark, d)
+    largest = vectors.agg(F.max(F.array_max("embedding")).cast("double")).first()[0]
+    return values_of(vectors, VEC.scale(F.col("embedding"), largest))
+
+
+@query
+def vec_out_of_range(spark, d):
+    vector = F.col("embedding")
+    scaled = F.when(VEC.scale(vector, 0.35).isNotNull(), F.size(VEC.scale(vector, 0.35)))
+    return V.vectors(spark, d).select("vec_id", VEC.out_of_range(vector, 0.35).cast("int").alias("out_of_range"), scaled.alias("scaled"))
 
 
 @query

@@ -110,12 +110,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(plain.alias("path"))
 
 
-def class_dir_samples(listing: DataFrame, path: str = "path") -> DataFrame:
-    """Samples of a class-per-folder tree: path, class name, dense class code."""
-    named = listing.where(base_name(F.col(path)) != IGNORED_FILE).select(
+def class_dir_files(listing: DataFrame, path: str = "path") -> DataFrame:
+    """Path and class name of the files of a class-per-folder tree."""
+    return listing.where(base_name(F.col(path)) != IGNORED_FILE).select(
         F.col(path).alias(IMAGE), parent_name(F.col(path)).alias("class_name")
     )
-    return encode(named, "class_name", LABEL)
+
+
+def class_dir_samples(listing: DataFrame, path: str = "path") -> DataFrame:
+    """Samples of a class-per-folder tree: path, class name, dense class code."""
+    return encode(class_dir_files(listing, path), "class_name", LABEL)
 
 
 def scan_class_dirs(spark: SparkSession, root: str) -> DataFrame:

@@ -102,6 +102,15 @@ def test_cohort_from_tree(spark, tree):
     assert sum(r.split == "test" for r in rows) == 2
 
 
+def test_train_and_test_share_their_codes(spark, tmp_path):
+    for name in ("train/A", "train/B", "train/C", "test/A", "test/B", "test/C"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "x.png").write_bytes(b"" if name == "test/A" else b"x")
+    rows = cohort_from_tree(spark, str(tmp_path)).collect()
+    assert {(r.split, r.class_name, r.labels) for r in rows} == {
+        ("train", "A", 0), ("train", "B", 1), ("train", "C", 2), ("test", "B", 1), ("test", "C", 2)}
+
+
 def test_shards(spark, tmp_path):
     for shard in ("images_001", "images_012", "images_013", "other"):
         folder = tmp_path / shard / "images"
