@@ -343,6 +343,41 @@ def metrics_by_name(
     return df.groupBy(*by).agg(*chosen)
 
 
+def class_metrics_by_name(
+    df: DataFrame, names: Sequence[str], by: Sequence[str] = (), average: str = "macro", scores: str | None = None, k: int = 5
+) -> DataFrame:
+    """Named metrics over any number of classes, from one pass into confusion counts.
+
+    ``precision``, ``recall`` and ``f1`` are ``macro`` or ``weighted`` averages over
+    the classes that occur, ``accuracy`` is over all rows, ``roc_auc`` that of the
+    hard predictions of class 1. With a column of class scores, ``topk`` is the
+    share of rows whose truth is among the ``k`` largest scores, ties to the truth.
+    Unknown names are warned about and skipped.
+    """
+    if average not in ("macro", "weighted"):
+        raise ValueError("average must be macro or weighted")
+    counts = fitted_counts(df, by)
+    summary = averages(class_scores(counts, by), by)
+    known = {m: F.col(f"{average}_{m}") for m in ("precision", "recall", "f1")} | {"accuracy": F.col("accuracy")}
+    parts, chosen = [], []
+    for name in map(str.lower, names):
+        if name in known:
+            chosen.append(name)
+        elif name == "roc_auc":
+            parts.append(auc_from_predictions(counts, by))
+        elif name == "topk" and scores:
+            own = F.try_element_at(F.col(scores), (F.col("y_true") + 1).cast("int"))
+            above = F.size(F.filter(scores, lambda s: s > own))
+            parts.append(df.groupBy(*by).agg(F.avg((above < k).cast("int")).alias("topk")))
+        else:
+            logger.warning("metric %r not found", name)
+    if not chosen and not parts:
+        raise ValueError("no known metric was named")
+    tables = [summary.select(*by, *[known[c].alias(c) for c in chosen]), *parts]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in rows.columns if c not in by])
+
+
 def custom_metric(
     df: DataFrame,
     compute: Callable[[pd.Series, pd.Series, pd.Series], float],

@@ -336,6 +336,17 @@ oracle("metrics_by_name", f"""SELECT split, round(avg((y_true = y_pred)::INT), 6
     round(avg({LOSS}), 6) AS loss, round(avg((y_true - y_pred) * (y_true - y_pred)), 6) AS meansquarederror
     FROM v_pred_lines GROUP BY split""")
 
+oracle(
+    "metrics_by_name_classes",
+    """SELECT 'macro' AS average, round((SELECT precision FROM m_r WHERE label = 'accuracy'), 6) AS accuracy,
+        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(k.topk, 6) AS topk
+    FROM m_r, k WHERE label = 'macro avg'
+    UNION ALL SELECT 'weighted', NULL, round(precision, 6), round(recall, 6), round(f1, 6), NULL
+    FROM m_r WHERE label = 'weighted avg'""",
+    report("v_pred10", PRESENT, "shown"),
+    """k AS (SELECT avg((len(list_filter(logits, lambda x: x > logits[y_true + 1])) < 5)::INT) AS topk FROM v_pred10)""",
+)
+
 oracle("epoch_metrics", f"""SELECT split, epoch, split || '_' || metric AS metric, round(value, 6) AS value FROM (
         UNPIVOT (SELECT * FROM g_a JOIN g_r USING (split, epoch)) ON roc_auc, accuracy, loss, precision, recall, f1
         INTO NAME metric VALUE value)""",

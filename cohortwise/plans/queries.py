@@ -32,6 +32,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SEED = 42
+ARRIVALS = 4
+# Longer than the events' range, so that no order of arrival loses rows.
+LATE = "4000 days"
 ENCODING = {"large": 0, "small": 1, "medium": 2}
 FINDING_SCHEMA = "order_key bigint, finding_labels string, total double, priority string"
 
@@ -502,6 +505,17 @@ def metrics_by_name(spark, d):
     return rounded(scored, "accuracy", "precision", "recall", "f1", "loss", "meansquarederror")
 
 
+@query
+def metrics_by_name_classes(spark, d):
+    scored = E.with_prediction(V.pred10(spark, d), "logits")
+    macro = E.class_metrics_by_name(scored, ["Accuracy", "Precision", "Recall", "F1", "TopK"], scores="logits", k=5)
+    weighted = E.class_metrics_by_name(scored, ["Precision", "Recall", "F1"], average="weighted")
+    rows = macro.withColumn("average", F.lit("macro")).unionByName(
+        weighted.withColumn("average", F.lit("weighted")), allowMissingColumns=True
+    )
+    return rounded(rows, "accuracy", "precision", "recall", "f1", "topk")
+
+
 @query
 def epoch_metrics(spark, d):
     """Metrics of every second epoch, named by split."""
@@ -908,10 +922,13 @@ def pair_ssim(spark, d):
 
 @query
 def stream_confusion(spark, d):
+    """Events that arrive in several files, one at a time and in any order."""
     path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    schema = V.table(spark, d, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{d}/events*.parquet")
-    ST.start_confusion(ST.epoch_confusion(V.pred_stream(events)), path, checkpoint).awaitTermination()
+    arriving, table = scratch_path(spark, "stream-in"), V.table(spark, d, "events")
+    table.repartition(ARRIVALS, "event_id").write.parquet(arriving)
+    events = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    counts = ST.epoch_confusion(V.pred_stream(events), late=LATE)
+    ST.start_confusion(counts, path, checkpoint).awaitTermination()
     return ST.latest_counts(spark.read.parquet(path))
 
 
