@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortwise.functions.names import join_path
 from cohortwise.operators.classes import encode
 from cohortwise.operators.ranks import assign_parts, pick_first, rows_at, seeded_rank
-from cohortwise.session import fitted
+from cohortwise.session import fitted, materialize
 
 # Fixed values
 SAMPLE_TO_VALUE = 3500
@@ -222,6 +222,8 @@ def prepare_splits(
     if sampling == "undersample" and generated is None:
         return _split_and_undersample(df, label, keys, seed, test_size).withColumn("draw", no_draw)
     parts = stratified_split(df, label, keys, seed, test_size, ("train", "val"))
+    if sampling is not None or generated is not None:  # further steps read the train part again
+        parts = materialize(parts, "parts", ["split"])
     train, val = (parts.where(F.col("split") == p).drop("split") for p in ("train", "val"))
     if generated is not None:
         train = mix_generated(train, generated, label, positive, keys, seed)

@@ -196,10 +196,11 @@ def prepare_job(
     generated: DataFrame | None = None,
 ) -> DataFrame:
     """From a cohort with train and test rows to numbered batches of train, val
-    and test. The cohort is written once, as the fitted steps read it several
-    times."""
-    stored = materialize(samples, "samples")
+    and test. The cohort and the dealt rows are written once each, by split, as
+    the fitted steps read them several times."""
+    stored = materialize(samples, "samples", ["split"])
     train = stored.where("split = 'train'").drop("split")
     parts = prepare_splits(train, LABEL, keys, seed, test_size, generated, sampling=sampling, value=value)
     test = stored.where("split = 'test'").withColumn("draw", F.lit(None).cast("bigint"))
-    return batches(parts.unionByName(test.select(parts.columns)), [*keys, "draw"], order, batch_size, seed)
+    dealt = materialize(parts.unionByName(test.select(parts.columns)), "dealt", ["split"])
+    return batches(dealt, [*keys, "draw"], order, batch_size, seed)

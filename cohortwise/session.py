@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # and broadcast. Beyond it the same table stays a distributed DataFrame.
 FIT_ROWS = 10_000
 
+_scratch: list[str] = []
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings the engine expects; on a cluster use
@@ -30,7 +34,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table.
+    """A fresh path for a written intermediate table, which is removed when the
+    driver ends, or by `remove_scratch`.
 
     The shared folder is the session's ``spark.checkpoint.dir``. Only a local
     session without that setting gets a folder of its own; on a cluster a
@@ -43,7 +48,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortwise-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -59,9 +66,27 @@ def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the scratch tables made so far, those that a frame still reads too."""
+    jvm = spark._jvm
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        remove_scratch(spark)
+
+
+atexit.register(_remove_at_exit)
+
+
+def materialize(df: DataFrame, name: str = "table", by: Sequence[str] = ()) -> DataFrame:
     """The table written to the shared scratch folder and read back. Cuts the
-    lineage, and the copy outlives the executors that wrote it."""
+    lineage, and the copy outlives the executors that wrote it. Columns ``by``
+    are its folders, so that a part is read without the others."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,3 +272,12 @@ def test_a_number_is_later_than_a_word(spark, tmp_path):
     SC.cached_table(spark, root, "t", "7", lambda: spark.range(7))
     SC.cached_table(spark, root, "t", "12", lambda: spark.range(12))
     assert SC.cached_table(spark, root, "t", "latest", lambda: spark.range(0)).count() == 12
+
+
+def test_scratch_tables_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
+    session.materialize(spark.range(3), "gone")
+    paths = [p.removeprefix("file:") for p in session._scratch]
+    assert os.path.isdir(paths[-1])
+    session.remove_scratch(spark)
+    assert not any(os.path.exists(p) for p in paths) and not session._scratch
