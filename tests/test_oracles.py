@@ -12,7 +12,7 @@ from compare import connect, difference, spark_table, sql_table
 
 QUERIES = entry_module.queries()
 ORACLES = entry_module.oracle_sql()
-ARROW_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+ARROW_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 @pytest.fixture(scope="module")
