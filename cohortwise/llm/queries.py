@@ -139,3 +139,39 @@ ORACLES["op7_threshold_topk"] = """
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+ORACLES["op2_parity_join"] = r"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM worded),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * c >= 90 * (p.n + q.n - c)),
+    reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+    lowest AS (SELECT a AS doc_id, min(b) AS low FROM reached GROUP BY a)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)"""
+
+ORACLES["op8_near_vectors"] = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+        ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+        WHERE list_dot_product(x.v, y.v) >= 0.93 * sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v))),
+    reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+    found AS (SELECT e.vec_id, coalesce((SELECT count(*) FROM links WHERE a = e.vec_id), 0)::BIGINT AS n_links,
+        least(e.vec_id, coalesce((SELECT min(b) FROM reached WHERE a = e.vec_id), e.vec_id)) AS component_id
+        FROM embeddings e)
+    SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found"""
