@@ -40,7 +40,7 @@ BLOCK_ROWS = 512
 COPY_MEMORY = 200_000
 # Bucket keys handed on at once.
 KEY_BATCH = 200_000
-SETS = "rep bigint, h1 bigint, h2 bigint, n bigint, shingles binary, sketch binary"
+SETS = "rep bigint, n bigint, shingles binary, sketch binary"
 
 
 def band_limits() -> np.ndarray:
@@ -103,14 +103,24 @@ def bands(size: int, limit: Limit) -> range:
     return range(int(low), int(high) + 1)
 
 
-def sketch(shingles: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+def sketch(shingles: np.ndarray, words: int, flips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and contents of a sketch's touched words. The leading bits of a hash
-    choose the word, so sorted shingles fall word by word; the last bits choose the
-    bit that is flipped."""
+    choose the word, so sorted shingles fall word by word; ``flips`` has the bits
+    that each shingle flips there."""
     place = ((shingles >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    bits = np.uint64(1) << (shingles & np.uint64(63))
-    return place[starts].astype(np.int64), np.bitwise_xor.reduceat(bits, starts)
+    return place[starts].astype(np.int64), np.bitwise_xor.reduceat(flips, starts)
+
+
+def one_bit(shingles: np.ndarray) -> np.ndarray:
+    """One flipped bit each: Hamming distances are at most the sets' difference."""
+    return np.uint64(1) << (shingles & np.uint64(63))
+
+
+def all_bits(shingles: np.ndarray) -> np.ndarray:
+    """Each shingle's own pattern of flips: words that are equal hold equal shingles,
+    also where they hold few."""
+    return mix(shingles)
 
 
 @functools.cache
@@ -136,10 +146,10 @@ def scheme(band: int, percent: int) -> tuple[int, int]:
 
 def bucket_keys(shingles: np.ndarray, limit: Limit) -> np.ndarray:
     """Keys of the sketch words of a set, over its bands."""
-    keys = []
+    keys, flips = [], all_bits(shingles)
     for band in bands(len(shingles), limit):
         words, spare = scheme(band, limit.percent)
-        place, parity = sketch(shingles, words)
+        place, parity = sketch(shingles, words, flips)
         if words - len(place) > spare:
             full = np.zeros(words, np.uint64)
             full[place] = parity
@@ -225,24 +235,27 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, seen = Shingler(words), set()
         for batch in batches:
-            found = [shingler.of(t.as_py()) for t in batch.column(1)]
-            small = np.zeros((len(found), SKETCH_WORDS), np.uint64)
-            for row, s in zip(small, found):
-                place, parity = sketch(s, SKETCH_WORDS)
-                row[place] = parity
-            ends = np.array([set_address(s) for s in found], np.int64).reshape(-1, 2)
+            reps, counts, packed, bits = [], [], [], []
+            for doc, text, h1, h2 in zip(*batch.columns):
+                doc = doc.as_py()
+                if doc in seen:
+                    continue
+                shingles = shingler.of(text.as_py())
+                if set_address(shingles) != (h1.as_py(), h2.as_py()):
+                    continue  # another text under the same id
+                seen.add(doc)
+                small = np.zeros(SKETCH_WORDS, np.uint64)
+                place, parity = sketch(shingles, SKETCH_WORDS, one_bit(shingles))
+                small[place] = parity
+                reps.append(doc)
+                counts.append(len(shingles))
+                packed.append(shingles.tobytes())
+                bits.append(small.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(ends[:, 0]),
-                    pa.array(ends[:, 1]),
-                    pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([s.tobytes() for s in found], pa.binary()),
-                    pa.array([r.tobytes() for r in small], pa.binary()),
-                ],
-                SETS.replace(" bigint", "").replace(" binary", "").split(", "),
+                [pa.array(reps, pa.int64()), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(bits, pa.binary())],
+                ["rep", "n", "shingles", "sketch"],
             )
 
     return sets
@@ -342,12 +355,13 @@ def jaccard_components(
     weight = meets.groupBy("rep").agg(F.count(F.lit(1)).alias("w"))
     weighed = meets.join(weight, "rep")
     best = weighed.groupBy("key").agg(F.max(F.struct("w", (-F.col("rep")).alias("low"))).alias("best"))
-    stars = meets.join(best.select("key", (-F.col("best.low")).alias("center")), "key").filter("rep <> center")
+    meets = meets.join(best.select("key", (-F.col("best.low")).alias("center")), "key")
+    meets = work.stored(meets, "centered")
+    stars = meets.filter("rep <> center")
     pairs = stars.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
-    wanted = weight.select(F.col("rep").alias("doc_id"))
-    kept = texts.join(wanted, "doc_id", "left_semi")
-    sets = kept.mapInArrow(_sets(words), SETS).join(classes, ["rep", "h1", "h2"], "left_semi")
-    sets = work.stored(sets.dropDuplicates(["rep"]).drop("h1", "h2"), "sets")
+    wanted = classes.join(weight.select("rep"), "rep", "left_semi").withColumnRenamed("rep", "doc_id")
+    kept = texts.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
+    sets = work.stored(kept.mapInArrow(_sets(words), SETS), "sets")
     links = work.stored(_verified(pairs, sets, percent), "links")
     joined = components(links, work)
 
@@ -358,11 +372,11 @@ def jaccard_components(
         meets.filter("m > 2")
         .join(state, "rep")
         .groupBy("key")
-        .agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("low"))
+        .agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
         .filter("c1 <> c2")
     )
-    left = work.stored(meets.join(open_keys.select("key", "low"), "key").select("rep", "low"), "open")
-    gathers = components(left.select(F.col("rep").alias("a"), F.col("low").alias("b")), work)
+    left = meets.join(open_keys.select("key"), "key", "left_semi").select("rep", "center").distinct()
+    gathers = components(left.select(F.col("rep").alias("a"), F.col("center").alias("b")), work)
     gathers = gathers.select(F.col("id").alias("rep"), F.col("component").alias("gather"))
     counts = gathers.groupBy("gather").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("int")
@@ -380,7 +394,11 @@ def jaccard_components(
     dealt = dealt.repartition(partitions(spark), "gather", "i", "j").sortWithinPartitions("gather", "i", "j")
     more = work.stored(dealt.mapInArrow(_block_pairs(percent), "a bigint, b bigint"), "more")
     late = _verified(more.distinct(), sets, percent)
-    final = components(links.union(late), work).select(F.col("id").alias("rep"), F.col("component").alias("_c"))
+    # Late links join components of the first round, which are few by now.
+    ends = [state.select(F.col("rep").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    bridges = late.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(bridges.distinct(), work).select(F.col("id").alias("component"), F.col("component").alias("_m"))
+    final = state.join(merged, "component", "left").select("rep", F.coalesce("_m", "component").alias("_c"))
     found = member.join(final, "rep", "left").select("doc_id", F.coalesce("_c", "rep").alias("component_id"))
     out = sizes.select("doc_id", "n").join(found, "doc_id", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

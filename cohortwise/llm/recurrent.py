@@ -39,7 +39,7 @@ SCORE_TOKENS = 16384
 TRAIN_LENGTH = 512
 # Rounds of averaging. Round r learns from the documents whose share number is r.
 ROUNDS = 2
-SHARES = 12
+SHARES = 6
 RATE = 0.08
 SEED = 5
 LARGEST_WEIGHT = 3.0
@@ -358,6 +358,26 @@ SCORED = (
 )
 
 
+def _common(counted: DataFrame, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the most frequent words, ``COMMON_WORDS`` at most, by
+    falling count. A histogram of the counts (a few hundred steps) tells from which
+    count on words are so few; only these reach the driver."""
+    least = 0
+    if distinct > COMMON_WORDS:
+        step = F.floor(F.log2("c") * 16).cast("int")
+        steps = counted.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()
+        above, least = 0, float("inf")
+        for r in sorted(steps, key=lambda r: -r["s"]):
+            above += r["n"]
+            if above > COMMON_WORDS:
+                break
+            least = r["least"]
+    top = counted.filter(F.col("c") >= F.lit(least)).toArrow()
+    words, counts = top.column("word").to_numpy().view(np.uint64), top.column("c").to_numpy()
+    order = np.lexsort((words, -counts))
+    return words[order], counts[order]
+
+
 def model_scores(
     docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", work: Workspace | None = None
 ) -> DataFrame:
@@ -381,10 +401,7 @@ def model_scores(
     counted = used.select("text").mapInArrow(_counts, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
     counted = work.stored(counted, "words")
     total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counted.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
-    vocabulary = Vocabulary(
-        top.column("word").to_numpy().view(np.uint64), top.column("c").to_numpy(), int(total), int(distinct)
-    )
+    vocabulary = Vocabulary(*_common(counted, int(distinct)), int(total), int(distinct))
     words = spark.sparkContext.broadcast(vocabulary)
     weights = Model(vocabulary.counts[: vocabulary.model], vocabulary.rest_tokens).flat()
     share = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(SHARES))

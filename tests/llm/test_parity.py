@@ -99,7 +99,7 @@ def test_hamming_distance_bounds_the_difference():
         bits = []
         for s in (a, b):
             full = np.zeros(parity.SKETCH_WORDS, np.uint64)
-            place, word = parity.sketch(s, parity.SKETCH_WORDS)
+            place, word = parity.sketch(s, parity.SKETCH_WORDS, parity.one_bit(s))
             full[place] = word
             bits.append(full)
         assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b))
