@@ -33,8 +33,10 @@ from cohortwise.llm.graph import components
 # Ratio of the sizes of a band, and the largest size provided for.
 BAND = 1.5
 LARGEST = 1 << 40
-# 64-bit words of the sketch that blocks are compared by, and rows of a block.
+# 64-bit words of the sketches that pairs are compared by, at least; larger sets
+# have a word for every SKETCH_LOAD shingles. Rows of a block.
 SKETCH_WORDS = 32
+SKETCH_LOAD = 16
 BLOCK_ROWS = 512
 # Contents that a task remembers, to send the buckets of a copy only once.
 COPY_MEMORY = 200_000
@@ -123,6 +125,33 @@ def all_bits(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles)
 
 
+def pair_sketch(shingles: np.ndarray) -> np.ndarray:
+    """One-bit sketch whose width, a power of two, follows the size of the set."""
+    words = max(SKETCH_WORDS, 1 << max(0, math.ceil(len(shingles) / SKETCH_LOAD) - 1).bit_length())
+    full = np.zeros(words, np.uint64)
+    place, parity = sketch(shingles, words, one_bit(shingles))
+    full[place] = parity
+    return full
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of a power of two words at a lower width: neighbours flip together."""
+    while len(bits) > words:
+        bits = bits[0::2] ^ bits[1::2]
+    return bits
+
+
+def folded_rows(raw: list[bytes]) -> np.ndarray:
+    return np.stack([folded(np.frombuffer(r, np.uint64), SKETCH_WORDS) for r in raw])
+
+
+def far_apart(x: bytes, y: bytes, limit: int) -> bool:
+    """Whether two sketches, at the width of the narrower, differ in too many bits."""
+    words = min(len(x), len(y)) // 8
+    one, two = (folded(np.frombuffer(v, np.uint64), words) for v in (x, y))
+    return int(np.bitwise_count(one ^ two).sum()) > limit
+
+
 @functools.cache
 def scheme(band: int, percent: int) -> tuple[int, int]:
     """Words of a band's sketches, and how many of them may be untouched.
@@ -246,9 +275,7 @@ def _sets(words: int):
                 if set_address(shingles) != (h1.as_py(), h2.as_py()):
                     continue  # another text under the same id
                 seen.add(doc)
-                small = np.zeros(SKETCH_WORDS, np.uint64)
-                place, parity = sketch(shingles, SKETCH_WORDS, one_bit(shingles))
-                small[place] = parity
+                small = pair_sketch(shingles)
                 reps.append(doc)
                 counts.append(len(shingles))
                 packed.append(shingles.tobytes())
@@ -278,6 +305,33 @@ def _verify(percent: int):
     return verify
 
 
+def _near(percent: int):
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = Limit(percent)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            x, y = (batch.column(i).to_pylist() for i in (4, 5))
+            apart = np.bitwise_count(folded_rows(x) ^ folded_rows(y)).sum(axis=1, dtype=np.int64)
+            most = limit.difference(n + m)
+            fit = (apart <= most) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+            for i in np.flatnonzero(fit & (np.minimum(n, m) > SKETCH_WORDS * SKETCH_LOAD)):
+                fit[i] = not far_apart(x[i], y[i], int(most[i]))
+            mask = pa.array(fit)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return near
+
+
+def _can_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and sketches allow a link; the sets themselves stay away."""
+    one = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    two = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    full = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "x", "y")
+    return full.mapInArrow(_near(percent), "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
@@ -292,8 +346,8 @@ def _block_pairs(percent: int):
             rep, n, comp, block, i, j = (
                 group.column(c).to_numpy() for c in ("rep", "n", "component", "block", "i", "j")
             )
-            raw = group.column("sketch").combine_chunks()
-            bits = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(len(rep), SKETCH_WORDS)
+            raw = group.column("sketch").to_pylist()
+            bits = folded_rows(raw)
             inside = i[0] == j[0]
             left = np.arange(len(rep)) if inside else np.flatnonzero(block == i)
             right = left if inside else np.flatnonzero(block == j)
@@ -303,6 +357,8 @@ def _block_pairs(percent: int):
                 apart = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
                 near = (apart <= limit.difference(n[others] + n[x])) & (comp[others] != comp[x])
                 hits = others[near & (np.minimum(n[others], n[x]) * 100 >= np.maximum(n[others], n[x]) * percent)]
+                if n[x] > SKETCH_WORDS * SKETCH_LOAD // 2:
+                    hits = hits[[not far_apart(raw[x], raw[y], int(limit.difference(n[x] + n[y]))) for y in hits]]
                 one.append(np.full(len(hits), rep[x]))
                 two.append(rep[hits])
             if one:
@@ -362,7 +418,8 @@ def jaccard_components(
     wanted = classes.join(weight.select("rep"), "rep", "left_semi").withColumnRenamed("rep", "doc_id")
     kept = texts.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
     sets = work.stored(kept.mapInArrow(_sets(words), SETS), "sets")
-    links = work.stored(_verified(pairs, sets, percent), "links")
+    near = work.stored(_can_link(pairs, sets, percent), "near")
+    links = work.stored(_verified(near, sets, percent), "links")
     joined = components(links, work)
 
     # Buckets of three or more that still hold several components.

@@ -105,6 +105,21 @@ def test_hamming_distance_bounds_the_difference():
         assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b))
 
 
+def test_folded_sketches_are_narrower_ones():
+    rng = np.random.default_rng(7)
+    for n in (1, 500, 513, 3000, 40_000):
+        s = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        wide = parity.pair_sketch(s)
+        assert len(wide) * parity.SKETCH_LOAD >= len(s) or len(wide) == parity.SKETCH_WORDS
+        narrow = np.zeros(parity.SKETCH_WORDS, np.uint64)
+        place, word = parity.sketch(s, parity.SKETCH_WORDS, parity.one_bit(s))
+        narrow[place] = word
+        assert (parity.folded(wide, parity.SKETCH_WORDS) == narrow).all()
+        other = np.unique(np.concatenate([s[n // 20 :], rng.integers(0, 2**64, n // 20, np.uint64)]))
+        if len(other):
+            assert not parity.far_apart(wide.tobytes(), parity.pair_sketch(other).tobytes(), len(np.setxor1d(s, other)))
+
+
 def test_awkward_rows(spark):
     out = sorted(
         (r["doc_id"] or -1, r["n_shingles"], r["component_id"])
@@ -130,3 +145,15 @@ def test_empty_table_and_limits(spark):
     assert parity.jaccard_components(awkward(spark).limit(0)).collect() == []
     with pytest.raises(ValueError):
         parity.Limit(40)
+
+
+def test_components_of_chains_and_stars(spark):
+    from cohortwise.llm.common import Workspace
+    from cohortwise.llm.graph import components
+
+    chain = [(i * 7919 % 500, (i + 1) * 7919 % 500) for i in range(499)]
+    edges = chain + [(1000, 1000 + i) for i in range(1, 300)] + [(2000, 2000), (3001, 3000), (None, 5)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r["id"]: r["component"] for r in components(df, Workspace(spark, "t")).collect()}
+    assert got == {**{i: 0 for i in range(500)}, **{1000 + i: 1000 for i in range(300)}, 2000: 2000, 3000: 3000, 3001: 3000}
+    assert components(df.limit(0), Workspace(spark, "t")).collect() == []
