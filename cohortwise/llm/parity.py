@@ -386,10 +386,11 @@ def jaccard_components(
     component is the smallest id reachable by links.
 
     A text without words, null or empty, has an empty set and links with nothing.
-    A null id keeps its size, links with nothing and has a null component. Rows
-    that repeat an id count as one document with the links of all. Equal texts are
-    always linked. Other columns are not read. Shingles are compared by 64-bit
-    hashes, whole sets by 128 bits.
+    A null id keeps its size, links with nothing and has a null component. Of
+    different texts under one id, that with the smallest address of its set stands
+    for the id; each row keeps its own size. Equal texts with words are always
+    linked. Other columns are not read. Shingles are compared by 64-bit hashes,
+    whole sets by 128 bits.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "parity")
