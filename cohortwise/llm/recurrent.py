@@ -7,7 +7,7 @@ carried from window to window, gradients are not. Words outside the model's list
 get the probability of the sign times their smoothed share of the rest, so every
 text has a proper probability.
 
-Counts cover all training documents. Every training round runs on all executors:
+Counts and gradient steps cover all training documents. Every round runs on all executors:
 a task learns from its documents alone, starting at the common weights, and the
 weights are averaged by tokens, summed by place in a shuffle.
 """
@@ -37,9 +37,10 @@ SCORE_ROWS = 1024
 SCORE_TOKENS = 16384
 # Tokens after which a training text goes on as a stream of its own.
 TRAIN_LENGTH = 512
-# Rounds of averaging. Round r learns from the documents whose share number is r.
+# Rounds of averaging. Round r learns from the documents whose share number is r;
+# there are as many shares as rounds, so that every document is learned from once.
 ROUNDS = 2
-SHARES = 6
+SHARES = ROUNDS
 RATE = 0.08
 SEED = 5
 LARGEST_WEIGHT = 3.0
@@ -153,13 +154,23 @@ class Model:
             at += v.size
         return self
 
-    def step(self, ids: np.ndarray, state: np.ndarray) -> tuple:
-        gates = self.x[ids]
+    def step(self, gates: np.ndarray, state: np.ndarray) -> tuple:
+        """The next state from the rows of ``x`` of the words read and the state."""
         from_state = state @ self.u
-        zr = 1 / (1 + np.exp(-(gates[:, : 2 * STATE] + from_state[:, : 2 * STATE])))
+        zr = gates[:, : 2 * STATE] + from_state[:, : 2 * STATE]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :STATE], zr[:, STATE:]
-        new = np.tanh(gates[:, 2 * STATE :] + r * from_state[:, 2 * STATE :])
-        return new + z * (state - new), z, r, new, from_state[:, 2 * STATE :]
+        part = from_state[:, 2 * STATE :]
+        new = r * part
+        new += gates[:, 2 * STATE :]
+        np.tanh(new, out=new)
+        after = state - new
+        after *= z
+        after += new
+        return after, zr, new, part
 
     def outputs(self, states: np.ndarray, goals: np.ndarray, grads: list[np.ndarray] | None = None):
         """Natural log probability of each goal; with ``grads``, also adds the
@@ -180,25 +191,31 @@ class Model:
             grads[2] += states.T @ share
             grads[3] += share.sum(axis=0)
             back = share @ self.wc.T
-        order = np.argsort(of, kind="stable")
+        order = np.argsort(of.astype(np.int16), kind="stable")
         ends = np.searchsorted(of[order], np.arange(self.classes + 1))
+        sorted_states, sorted_place = states[order], place[order]
+        inside = np.zeros(len(goals), found.dtype)
+        further = None if grads is None else np.zeros_like(sorted_states)
         for c in range(1, self.classes):
-            at = order[ends[c] : ends[c + 1]]
-            if not len(at):
+            a, b = ends[c], ends[c + 1]
+            if a == b:
                 continue
-            inner = states[at] @ self.wi[c]
+            own, goal, local = sorted_states[a:b], sorted_place[a:b], rows[: b - a]
+            inner = own @ self.wi[c]
             inner += self.bi[c]
-            local, goal = np.arange(len(at)), place[at]
             reached = inner[local, goal]
             share = np.exp(inner, out=inner)
             total = share.sum(axis=1, keepdims=True)
-            found[at] += reached - np.log(total[:, 0])
+            inside[a:b] = reached - np.log(total[:, 0])
             if grads is not None:
                 share /= total
                 share[local, goal] -= 1
-                grads[4][c] += states[at].T @ share
+                grads[4][c] += own.T @ share
                 grads[5][c] += share.sum(axis=0)
-                back[at] += share @ self.wi[c].T
+                further[a:b] = share @ self.wi[c].T
+        found[order] += inside
+        if grads is not None:
+            back[order] += further
         return found, back
 
 
@@ -228,7 +245,7 @@ def log_scores(model: Model, texts: list[np.ndarray]) -> np.ndarray:
         sums, states, goals, owner, held = np.zeros(len(rows)), [], [], [], 0
         for t in range(len(table)):
             n = alive[t]
-            state = model.step(ids[:n], state[:n])[0]
+            state = model.step(model.x[ids[:n]], state[:n])[0]
             ids = table[t, :n]
             states.append(state)
             goals.append(ids)
@@ -250,33 +267,39 @@ def train(model: Model, texts: list[np.ndarray], memory: list[np.ndarray], rate:
         table, alive = _grid([texts[i] for i in rows])
         state, ids = np.zeros((len(rows), STATE), np.float32), np.zeros(len(rows), np.int32)
         for a in range(0, len(table), WINDOW):
-            steps, states, goals = [], [], []
-            for t in range(a, min(a + WINDOW, len(table))):
-                n = alive[t]
-                before = state[:n]
-                state, z, r, new, part = model.step(ids[:n], before)
-                steps.append((ids[:n], before, z, r, new, part))
-                ids = table[t, :n]
-                states.append(state)
-                goals.append(ids)
+            lengths = alive[a : a + WINDOW]
+            ends = np.cumsum(lengths)
+            spans = [slice(e - n, e) for e, n in zip(ends, lengths)]
+            goals = np.concatenate([table[a + k, :n] for k, n in enumerate(lengths)])
+            read = np.concatenate([ids[: lengths[0]], *[table[a + k - 1, :n] for k, n in enumerate(lengths) if k]])
+            ids = table[a + len(lengths) - 1]
+            gates, size = model.x[read], (ends[-1], STATE)
+            before, states, new, part = (np.empty(size, gates.dtype) for _ in range(4))
+            zr = np.empty((ends[-1], 2 * STATE), gates.dtype)
+            for at, n in zip(spans, lengths):
+                before[at] = state[:n]
+                state, zr[at], new[at], part[at] = model.step(gates[at], before[at])
+                states[at] = state
             grads = [np.zeros((0, 3 * STATE), np.float32), *[np.zeros_like(v) for v in model.values()[1:]]]
-            _, back = model.outputs(np.concatenate(states), np.concatenate(goals), grads)
-            ends = np.cumsum([len(s) for s in states])
-            later, used, moved = np.zeros((0, STATE), np.float32), [], []
-            for k in range(len(steps) - 1, -1, -1):
-                read, before, z, r, new, part = steps[k]
-                d = back[ends[k] - len(before) : ends[k]].copy()
+            _, back = model.outputs(states, goals, grads)
+            # What a state's gradient is multiplied by on its way to each gate.
+            z, r = zr[:, :STATE], zr[:, STATE:]
+            to_new = (1 - z) * (1 - new * new)
+            to_z = (before - new) * z * (1 - z)
+            to_r = to_new * part * r * (1 - r)
+            moved, later = np.empty_like(gates), np.zeros((0, STATE), gates.dtype)
+            d_u = np.empty_like(gates)
+            for at in reversed(spans):
+                d = back[at]
                 d[: len(later)] += later
-                d_new = d * (1 - z) * (1 - new * new)
-                d_z = d * (before - new) * z * (1 - z)
-                d_r = d_new * part * r * (1 - r)
-                d_x = np.concatenate([d_z, d_r, d_new], axis=1)
-                d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                grads[1] += before.T @ d_u
-                later = d * z + d_u @ model.u.T
-                used.append(read)
-                moved.append(d_x)
-            read, moved = np.concatenate(used), np.concatenate(moved)
+                np.multiply(d, to_z[at], out=d_u[at, :STATE])
+                np.multiply(d, to_r[at], out=d_u[at, STATE : 2 * STATE])
+                np.multiply(d, to_new[at], out=moved[at, 2 * STATE :])
+                np.multiply(moved[at, 2 * STATE :], r[at], out=d_u[at, 2 * STATE :])
+                later = d_u[at] @ model.u.T
+                later += d * z[at]
+            moved[:, : 2 * STATE] = d_u[:, : 2 * STATE]
+            grads[1] += before.T @ d_u
             order = np.argsort(read, kind="stable")
             starts = np.flatnonzero(np.diff(read[order], prepend=-1))
             touched = read[order[starts]]
@@ -387,9 +410,9 @@ def model_scores(
     (over ``doc_id``) selects the documents that counts and model learn from.
     ``base_score`` is the add-one unigram score, ``score`` the model's, both log10.
 
-    Counts cover all training documents; each round of gradient steps reads the
-    ``1 / SHARES`` of them that a hash of the id assigns to it, whole, so what is
-    learned from grows with the input. Null and empty texts have the end alone;
+    Counts cover all training documents, and so do the rounds of gradient steps
+    together: each reads the documents that a hash of the id assigns to it, whole,
+    and every document is in one round. Null and empty texts have the end alone;
     null ids are rows of their own; repeated rows are scored each, and learned
     from each. Without training documents every word is unknown. An empty table
     gives no rows. Other columns are not read.

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -107,3 +108,28 @@ def test_awkward_rows(spark):
     assert recurrent.model_scores(docs.limit(0), F.col("doc_id") > 1).collect() == []
     untrained = recurrent.model_scores(docs, F.lit(False)).collect()
     assert {r["n_known"] for r in untrained} == {0} and all(r["base_score"] == 0 for r in untrained)
+
+
+def test_rounds_learn_from_every_document(spark, tmp_path, monkeypatch):
+    """Every training text goes through a learner once, with the query's own numbers."""
+    plain = recurrent._learner
+
+    def noted(model, vocabulary):
+        learn, folder = plain(model, vocabulary), str(tmp_path)
+
+        def go(batches):
+            def passed():
+                for batch in batches:
+                    with open(f"{folder}/{os.getpid()}", "a") as seen:
+                        seen.writelines(f"{text}\n" for text in batch.column(0))
+                    yield batch
+
+            yield from learn(passed())
+
+        return go
+
+    monkeypatch.setattr(recurrent, "_learner", noted)
+    rows = [(i, f"text number {i}") for i in range(90)]
+    recurrent.model_scores(documents(spark, rows), F.col("doc_id") % 3 != 0).count()
+    seen = sorted(line for f in tmp_path.iterdir() for line in f.read_text().splitlines())
+    assert seen == sorted(t for i, t in rows if i % 3)
