@@ -51,7 +51,40 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return sums.select("value", F.pow(F.col("_t").cast("double"), F.lit(power)).alias("share"))
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], work: Workspace, rounds: int = ROUNDS) -> DataFrame:
+def filled(goal: DataFrame, total: float) -> DataFrame:
+    """``goal`` with ``goal``, the part of ``total`` that each value gets: in proportion to
+    its share, but at most its tokens; what is over goes to the other values."""
+    factor = 0.0
+    while True:
+        full = F.col("share") * factor >= F.col("held")
+        taken, free = goal.agg(
+            F.coalesce(F.sum(F.when(full, F.col("held"))), F.lit(0.0)), F.sum(F.when(~full, F.col("share")))
+        ).first()
+        after = (total - taken) / free if free else factor
+        if after <= factor * (1 + 1e-12):
+            return goal.withColumn("goal", F.least("held", F.col("share") * factor))
+        factor = after
+
+
+def _factor(dim: str, axes: Sequence[str]) -> Column:
+    """What the weights of a value are multiplied by so that they, each cut to the cell's
+    tokens, add up to its goal. With the cells ordered by when they fill up, every
+    guess of which are full gives at most this factor, so it is the largest."""
+    filling = F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight"))
+    order = Window.partitionBy(dim).orderBy(filling, *axes)
+    full = F.when(F.col("weight") > 0, F.col("tokens")).otherwise(0)
+    before = F.coalesce(F.sum(full).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    free = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
+    return F.when(free > 0, (F.col(f"_goal_{dim}") - before) / free)
+
+
+def raked(
+    cells: DataFrame,
+    targets: dict[str, DataFrame],
+    work: Workspace,
+    rounds: int = ROUNDS,
+    share: float | None = None,
+) -> DataFrame:
     """``cells`` (dimensions, ``tokens``) with ``weight``, whose margins meet the
     targets' shares of all tokens.
 
@@ -60,6 +93,11 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], work: Workspace, roun
     cell has are left out. Stops when all margins are within ``TOLERANCE``, or
     after ``rounds``: targets that contradict each other have no solution.
 
+    With ``share``, weights are the tokens that are taken of each cell, never more than it
+    has, and ``share`` of all together. Where cells are full, the others of the same
+    values take their part. A value whose goal is beyond all its tokens is taken
+    whole, and the other values of that dimension share what is left by their targets.
+
     A round is one job with one shuffle of the cells per dimension. A task sees all
     cells of a value: sums, as many as the other dimensions have combinations.
     """
@@ -67,20 +105,30 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], work: Workspace, roun
     here = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         goal = target.filter("share > 0").select(F.struct(F.col("value").alias(dim)).alias("_value"), "share")
-        there = cells.filter("tokens > 0").select(F.struct(dim).alias("_value")).distinct()
-        goal = work.stored(goal.join(there, "_value", "left_semi"), f"goal-{dim}")
-        all_shares = goal.agg(F.sum("share")).first()[0] or 1.0
-        goal = goal.select("_value", (F.col("share") * (total / all_shares)).alias(f"_goal_{dim}"))
+        there = cells.filter("tokens > 0").groupBy(F.struct(dim).alias("_value"))
+        there = there.agg(F.sum("tokens").cast("double").alias("held"))
+        goal = work.stored(goal.join(there, "_value"), f"goal-{dim}")
+        if share is None:
+            all_shares = goal.agg(F.sum("share")).first()[0] or 1.0
+            goal = goal.withColumn("goal", F.col("share") * (total / all_shares))
+        else:
+            goal = filled(goal, share * total)
+        goal = goal.select("_value", F.col("goal").alias(f"_goal_{dim}"))
         here = here.withColumn("_value", F.struct(dim)).join(goal, "_value", "left").drop("_value")
         here = here.withColumn("weight", F.when(F.col(f"_goal_{dim}").isNull(), 0.0).otherwise(F.col("weight")))
     state, path = work.keep(here, "cells")
     for _ in range(rounds):
         after, off = state, F.lit(0.0)
         for dim in targets:
-            whole = F.sum("weight").over(Window.partitionBy(dim))
+            taken = F.col("weight") if share is None else F.least("weight", "tokens")
+            whole = F.sum(taken).over(Window.partitionBy(dim))
             after = after.withColumn("_f", F.when(whole > 0, F.col(f"_goal_{dim}") / whole))
             change = F.coalesce("_f", F.lit(1.0))
-            after = after.withColumns({"weight": F.col("weight") * change, f"_off_{dim}": F.abs(change - 1)})
+            after = after.withColumn(f"_off_{dim}", F.abs(change - 1))
+            if share is not None:
+                after = after.withColumn("_g", _factor(dim, list(targets)))
+                change = F.coalesce(F.max("_g").over(Window.partitionBy(dim)), F.lit(1.0))
+            after = after.withColumn("weight", F.col("weight") * change)
             off = F.greatest(off, F.col(f"_off_{dim}"))
         moved = F.when(F.col("weight") > 0, off).alias("_off")
         stored, new_path = work.keep(after.select(*state.columns, moved), "cells")
@@ -90,7 +138,8 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], work: Workspace, roun
         path = new_path
         if worst is None or worst <= TOLERANCE:
             break
-    return state.select(*cells.columns, "weight")
+    taken = F.col("weight") if share is None else F.least("weight", F.col("tokens").cast("double"))
+    return state.select(*cells.columns, taken.alias("weight"))
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -104,6 +153,7 @@ def mix_to_targets(
     share: float = 0.5,
     dims: Sequence[str] = ("source", "lang"),
     targets: dict[str, DataFrame] | None = None,
+    once: bool = False,
     key: str = "doc_id",
     text: str = "text",
     seed: int = SEED,
@@ -114,8 +164,8 @@ def mix_to_targets(
     The margins of ``dims`` and of the topic are raked to ``targets`` (tables of
     ``value`` and ``share``), or to the ``power`` of each value's tokens. Rates are
     scaled to ``share`` of all tokens; a rate of 2.3 draws two copies and a third
-    with probability 0.3. A document's draw depends on its id alone, so repeated
-    rows are drawn together.
+    with probability 0.3. With ``once`` no rate is above 1 (see ``raked``). A document's
+    draw depends on its id alone, so repeated rows are drawn together.
 
     Null dimensions are values of their own, null ids draw as one id. Texts
     without words count no tokens; they follow the rate of their cell, or none if
@@ -129,9 +179,9 @@ def mix_to_targets(
     cells = work.stored(rows.groupBy(*axes).agg(F.sum("n_tokens").alias("tokens")), "sums")
     if targets is None:
         targets = {d: tempered(cells, d, power) for d in axes}
-    solved = raked(cells, targets, work).withColumn("_cell", F.struct(*axes))
+    solved = raked(cells, targets, work, share=share if once else None).withColumn("_cell", F.struct(*axes))
     all_weight = solved.agg(F.sum("weight"), F.sum("tokens")).first()
-    scale = share * (all_weight[1] or 0) / all_weight[0] if all_weight[0] else 0.0
+    scale = 1.0 if once else share * (all_weight[1] or 0) / all_weight[0] if all_weight[0] else 0.0
     rates = solved.select(
         "_cell", F.coalesce(F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")), F.lit(0.0)).alias("_r")
     )

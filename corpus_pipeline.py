@@ -68,8 +68,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by the raked rates of source, language and topic, each once."""
-    return _only(docs, mixing.mix_to_targets(docs, power=0.8, share=0.9))
+    """Documents drawn by the raked rates of source, language and topic, each once: rates
+    are raked to be 1 at most."""
+    return _only(docs, mixing.mix_to_targets(docs, power=0.8, share=0.9, once=True))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

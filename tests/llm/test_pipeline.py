@@ -83,6 +83,35 @@ def test_mixing_stage_keeps_rows_as_they_are(spark):
     assert out.exceptAll(docs).count() == 0
 
 
+def shares(docs, column):
+    sums = docs.groupBy(column).agg(F.sum(F.size(F.split("text", " ")))).collect()
+    return {r[0]: r[1] / sum(x[1] for x in sums) for r in sums}
+
+
+def wanted(docs, column):
+    powers = {k: v**0.8 for k, v in shares(docs, column).items()}
+    return {k: v / sum(powers.values()) for k, v in powers.items()}
+
+
+def test_mixing_stage_meets_targets_where_cells_are_full(spark):
+    """Both small values lift their common cell above its documents."""
+    rows = [(i, "same few words", "en" if i % 50 < 33 else "de", f"s{int(i // 50 % 50 >= 33)}") for i in range(7500)]
+    docs = documents(spark, rows)
+    out = pipeline.mixed(spark, docs, "").cache()
+    for column in ("lang", "source"):
+        assert shares(out, column) == pytest.approx(wanted(docs, column), abs=0.004)
+    assert out.count() / 7500 == pytest.approx(0.9, abs=0.01)
+
+
+def test_mixing_stage_takes_rare_values_whole(spark):
+    """A target beyond all documents of a value: what it cannot take, the others do."""
+    rows = [(i, "same few words", "en", "rare" if i % 20 == 0 else f"s{i % 3}") for i in range(6000)]
+    docs = documents(spark, rows)
+    out = pipeline.mixed(spark, docs, "").cache()
+    assert out.filter("source = 'rare'").count() == 300
+    assert out.count() / 6000 == pytest.approx(0.9, abs=0.006)
+
+
 def test_stages_take_awkward_and_empty_tables(spark, tmp_path):
     folder = labels(spark, tmp_path, [(1, 1), (8, 0), (None, 1)])
     docs = awkward(spark)
