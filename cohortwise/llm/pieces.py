@@ -252,15 +252,15 @@ class Encoder:
         order = np.argsort(every)
         self.keys, self.places = every[order], places[order]
 
-    def block(self, texts: list[str]) -> Iterator[tuple[np.ndarray, list[float], list, str | None]]:
+    def block(self, texts: list[str], decoded: bool = True) -> Iterator[tuple[np.ndarray, list[float], list, str | None]]:
         """Per text: piece ids, the best scores, what the further segmentations
-        change (word number and ids), and the text decoded from the ids."""
+        change (word number and ids), and, if ``decoded``, the text decoded from the ids."""
         raw = [b" " + t.encode() if t else b"" for t in texts]
         whole = b"".join(raw)
         edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         if not whole:
             for _ in texts:
-                yield np.zeros(0, np.int32), [0.0], [], ""
+                yield np.zeros(0, np.int32), [0.0], [], "" if decoded else None
             return
         data = np.frombuffer(whole, np.uint8)
         filled = np.diff(edges) > 0
@@ -295,8 +295,8 @@ class Encoder:
             for loss, choice in _combinations(options, self.best)[1:]:
                 scores.append(score - loss)
                 changes.append([(int(k), list(o[c][1])) for k, o, c in zip(take, options, choice) if c])
-            decoded = b"".join(map(pieces.__getitem__, own.tolist()))[1:].decode(errors="replace")
-            yield own, scores, changes, decoded
+            again = b"".join(map(pieces.__getitem__, own.tolist()))[1:].decode(errors="replace") if decoded else None
+            yield own, scores, changes, again
 
     def _search(self, place: int, word: bytes) -> list[tuple[float, tuple[int, ...]]]:
         """A word's segmentations as (loss against its best, ids)."""
@@ -349,18 +349,19 @@ def _encoded(table: Broadcast, best: int, with_ids: bool):
                 while b < len(texts) and (b == a or size + len(texts[b]) <= BLOCK_BYTES):
                     size += len(texts[b])
                     b += 1
-                found = list(encoder.block(texts[a:b]))
-                ids = [f[0] for f in found]
+                found = list(encoder.block(texts[a:b], decoded=not with_ids))
+                ids = pa.array([f[0] for f in found], pa.list_(pa.int32()))
+                again = [decode(table.value, i) for i in ids.to_pylist()] if with_ids else [f[3] for f in found]
                 changes = [[[{"word": w, "ids": i} for w, i in c] for c in f[2]] for f in found]
                 columns = [
                     batch.column(0).slice(a, b - a),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([hashlib.sha256(i.astype("<i4").tobytes()).hexdigest() for i in ids]),
+                    pa.array([len(f[0]) for f in found], pa.int64()),
+                    pa.array([hashlib.sha256(f[0].astype("<i4").tobytes()).hexdigest() for f in found]),
                     pa.array([f[1] for f in found], pa.list_(pa.float64())),
-                    pa.array([f[3] == t for f, t in zip(found, texts[a:b])], pa.bool_()),
+                    pa.array([d == t for d, t in zip(again, texts[a:b])], pa.bool_()),
                 ]
                 if with_ids:
-                    columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(changes, CHANGES)]
+                    columns += [ids, pa.array(changes, CHANGES)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ENCODED.split(", ")][: len(columns)])
                 a = b
 
@@ -379,7 +380,7 @@ def encode(
 
     Gives ``doc_id, n_pieces, ids_sha256`` (of the best one's ids, as little-endian
     32-bit integers), ``scores`` (falling; fewer if there are no more), ``decoded``
-    (the ids decode to the text), and with ``with_ids`` the best one's ``ids`` and,
+    (the ids, with ``with_ids`` those of the column, decode to the text), and with ``with_ids`` the best one's ``ids`` and,
     for each further one, the words (by number) that it cuts otherwise.
 
     The driver reads the model file once and sends its pieces, whose number the file
@@ -395,4 +396,4 @@ def encode(
 
 
 def decode(table: PieceTable, ids) -> str:
-    return b"".join(table.pieces[i] for i in ids)[1:].decode(errors="replace")
+    return b"".join(map(table.pieces.__getitem__, ids))[1:].decode(errors="replace")

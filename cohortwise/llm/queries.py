@@ -91,7 +91,7 @@ def op8_near_vectors(spark, d):
 
 @query
 def op9_nbest_pieces(spark, d):
-    encoded = pieces.encode(table(spark, d, "documents"), with_ids=False)
+    encoded = pieces.encode(table(spark, d, "documents"))
     return encoded.withColumn("scores", F.transform("scores", lambda s: F.round(s, 6)))
 
 

@@ -74,8 +74,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The four best segmentations of each document, as figures and digests."""
-    return pieces.encode(docs, with_ids=False)
+    """The four best segmentations of each document: the ids of the best, and what the
+    others cut otherwise."""
+    return pieces.encode(docs)
 
 
 STAGES = [

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from cohortwise.llm import pieces
+import corpus_pipeline as pipeline
+from cohortwise.llm import pieces, queries
 from support import awkward
 
 TABLE = pieces.load_pieces()
@@ -81,3 +82,30 @@ def test_awkward_rows(spark):
     assert len(by[6]["ids"]) == by[6]["n_pieces"] > 30_000
     assert all(len(r["changes"]) == len(r["scores"]) - 1 for r in out)
     assert pieces.encode(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("of", ["query", "stage"])
+def test_whole_segmentations_are_returned(spark, tmp_path, of):
+    """The written ids decode to the texts, and the further ones to the same words."""
+    awkward(spark).dropDuplicates(["doc_id"]).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    encode = {
+        "query": lambda: queries.QUERIES["op9_nbest_pieces"](spark, str(tmp_path)),
+        "stage": lambda: pipeline.encoded(spark, docs, str(tmp_path)),
+    }
+    encode[of]().write.parquet(f"{tmp_path}/out")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert len(out) == len(texts)
+    for r in out:
+        text = texts[r["doc_id"]]
+        assert pieces.decode(TABLE, r["ids"]) == text and r["decoded"]
+        assert len(r["changes"]) == len(r["scores"]) - 1
+        raw = b" " + text.encode() if text else b""
+        encoder = pieces.Encoder(TABLE, 4)
+        starts = encoder._cut(np.frombuffer(raw, np.uint8), np.zeros(1, np.int64)).tolist() if raw else []
+        words = [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]
+        for score, changes in zip(r["scores"][1:], r["changes"]):
+            assert changes and score <= r["scores"][0]
+            for c in changes:
+                assert b"".join(TABLE.pieces[i] for i in c["ids"]) == words[c["word"]]
