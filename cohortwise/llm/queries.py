@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortwise.llm import chat, kdshards, mixing, neardup, parity, pieces, quality, recurrent, secrets, topk
+from cohortwise.llm import (
+    chat,
+    kdshards,
+    mixing,
+    neardup,
+    parity,
+    pieces,
+    quality,
+    recurrent,
+    secrets,
+    tokencounts,
+    topk,
+)
 from cohortwise.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +117,11 @@ def op10_indexed_quality(spark, d):
     )
 
 
+@query
+def op11_token_counts(spark, d):
+    return tokencounts.token_counts(table(spark, d, "documents"), limit=1024)
+
+
 # --- the same in SQL -------------------------------------------------------
 
 ORACLES["op5_chat_prefixes"] = r"""
