@@ -18,6 +18,7 @@ from cohortwise.llm import (
     secrets,
     tokencounts,
     topk,
+    variants,
 )
 from cohortwise.llm.common import bucket, table
 
@@ -122,6 +123,12 @@ def op11_token_counts(spark, d):
     return tokencounts.token_counts(table(spark, d, "documents"), limit=1024)
 
 
+@query
+def op13_spelling_trie(spark, d):
+    found = variants.spelling_variants(table(spark, d, "documents"), shortest=7, least=2, times=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 # --- the same in SQL -------------------------------------------------------
 
 ORACLES["op5_chat_prefixes"] = r"""
@@ -192,3 +199,42 @@ ORACLES["op8_near_vectors"] = """
         least(e.vec_id, coalesce((SELECT min(b) FROM reached WHERE a = e.vec_id), e.vec_id)) AS component_id
         FROM embeddings e)
     SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found"""
+
+ORACLES["op13_spelling_trie"] = r"""
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS step),
+    runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+    many AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+    spelt AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || run)) AS x FROM many),
+    hashed AS (
+        SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+                   lambda j: ('0x' || substr(x, 2 * j + 1, 2))::BIGINT)),
+               lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM spelt, crc),
+    changed AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+               ELSE run END AS word, n FROM hashed),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+    cut AS (SELECT word, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM places),
+    shorter AS (SELECT DISTINCT c.word, w.word AS other FROM cut c JOIN words w ON w.word = c.a || c.b),
+    near AS (
+        SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION SELECT word, other FROM shorter UNION SELECT other, word FROM shorter),
+    best AS (
+        SELECT near.word, other, w.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+               row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+        FROM near JOIN words w ON w.word = other),
+    formed AS (
+        SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+               CASE WHEN b.n >= 10 * w.n THEN other END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+        FROM words w LEFT JOIN best b ON b.word = w.word AND place = 1),
+    chain AS (
+        SELECT word, word AS at, form FROM formed
+        UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.form)
+    SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN chain c ON c.word = f.word AND c.form IS NULL"""
