@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortwise.llm import (
+    alignment,
     chat,
     kdshards,
     mixing,
@@ -123,6 +124,11 @@ def op11_token_counts(spark, d):
     return tokencounts.token_counts(table(spark, d, "documents"), limit=1024)
 
 
+@query
+def op12_token_alignment(spark, d):
+    return alignment.align(table(spark, d, "documents"))[0]
+
+
 @query
 def op13_spelling_trie(spark, d):
     found = variants.spelling_variants(table(spark, d, "documents"), shortest=7, least=2, times=10)
