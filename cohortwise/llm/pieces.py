@@ -21,6 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortwise.llm.common import _power_tables, mix
+from cohortwise.llm.spans import ragged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
@@ -33,6 +34,8 @@ BLOCK_BYTES = 3_000_000
 WORD_MEMORY = 400_000
 # How far below the rarest piece a byte lies, in natural logarithms.
 BYTE_PENALTY = 10.0
+# Scores of one word's segmentations are compared in whole numbers of 1 / EXACT.
+EXACT = 1 << 40
 
 
 @dataclass
@@ -58,6 +61,11 @@ class PieceTable:
         self.keys, self.key_ids = hashes[order], np.array(normal, np.int64)[order]
         self.slots = np.zeros(1 << 18, bool)
         self.slots[(self.keys >> np.uint64(46)).astype(np.int64)] = True
+        self.exact = {i: round(float(self.scores[i]) * EXACT) for i in normal}
+        self.exact_byte = round(self.byte_score * EXACT)
+        self.lengths = np.array([len(p) for p in self.pieces], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.pieces), np.uint8)
         inside = set(b"".join(self.find))
         self.alone = np.array([b not in inside for b in range(256)])  # bytes that only byte pieces hold
 
@@ -132,19 +140,47 @@ def forward(table: PieceTable, word: bytes) -> tuple[list[float], list[tuple[int
 
 
 def n_best(table: PieceTable, word: bytes, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best segmentations of a word, best first: A-star from the end, where
-    the best score of the remaining prefix is the exact rest. Equal scores go to
-    the piece ids that are smaller from the end."""
-    best = forward(table, word)[0]
-    heap = [(-best[-1], (), len(word), 0.0)]
-    out = []
+    """The n best segmentations of a word, best first: A-star from the end, where the
+    best score of the remaining prefix is the exact rest. Scores are whole numbers here
+    (of 1 / EXACT), so that equal ones are equal; of those the path found first counts,
+    longer last pieces before shorter ones.
+
+    The queue holds, by what they lose against the best, paths' last pieces: the next
+    choice for the same place, and the best one for the place reached. So it grows by
+    two entries for each step. A path is its last piece and a link to what follows.
+    """
+    exact, byte = table.exact, table.exact_byte
+    best = [0]
+    for end in range(1, len(word) + 1):
+        best.append(max(best[start] + exact.get(i, byte) for start, i, _ in edges_before(table, word, end)))
+    if not word:
+        return [(0.0, ())]
+
+    def choices(end: int) -> list[tuple[int, int, int]]:
+        found = [(best[end] - best[s] - exact.get(i, byte), s, i) for s, i, _ in edges_before(table, word, end)]
+        return sorted(found, key=lambda c: c[0])
+
+    follows, piece, out, order = [], [], [], 0
+    heap = [(0, 0, len(word), 0, -1)]
     while heap and len(out) < n:
-        bound, path, end, done = heapq.heappop(heap)
-        if not end:
-            out.append((-bound, path[::-1]))
+        lost, _, end, k, node = heapq.heappop(heap)
+        options = choices(end)
+        gap, start, i = options[k]
+        if k + 1 < len(options):
+            order -= 1
+            heapq.heappush(heap, (lost - gap + options[k + 1][0], order, end, k + 1, node))
+        follows.append(node)
+        piece.append(i)
+        node = len(piece) - 1
+        if start:
+            order -= 1
+            heapq.heappush(heap, (lost, order, start, 0, node))
             continue
-        for start, i, score in edges_before(table, word, end):
-            heapq.heappush(heap, (-(best[start] + score + done), (*path, i), start, done + score))
+        path = []
+        while node >= 0:
+            path.append(piece[node])
+            node = follows[node]
+        out.append(((best[-1] - lost) / EXACT, tuple(path)))
     return out
 
 
@@ -215,6 +251,22 @@ def _viterbi_equal(table, words, length, rows, found, counts, best, second) -> N
         found[r] = ids
 
 
+@dataclass
+class Block:
+    """Encoded texts: all ids, where each text's begin and end, the best scores, what the
+    further segmentations change (word number and ids), and whether the ids return the
+    text."""
+
+    ids: np.ndarray
+    stops: np.ndarray
+    scores: list[list[float]]
+    changes: list[list[list[tuple[int, tuple[int, ...]]]]]
+    returns: np.ndarray
+
+    def ids_of(self, i: int) -> np.ndarray:
+        return self.ids[self.stops[i] : self.stops[i + 1]]
+
+
 class Encoder:
     """Encodes blocks of texts and remembers words."""
 
@@ -252,16 +304,14 @@ class Encoder:
         order = np.argsort(every)
         self.keys, self.places = every[order], places[order]
 
-    def block(self, texts: list[str], decoded: bool = True) -> Iterator[tuple[np.ndarray, list[float], list, str | None]]:
-        """Per text: piece ids, the best scores, what the further segmentations
-        change (word number and ids), and, if ``decoded``, the text decoded from the ids."""
+    def block(self, texts: list[str]) -> Block:
+        """All texts of a block at once."""
         raw = [b" " + t.encode() if t else b"" for t in texts]
         whole = b"".join(raw)
         edges = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         if not whole:
-            for _ in texts:
-                yield np.zeros(0, np.int32), [0.0], [], "" if decoded else None
-            return
+            nothing = np.zeros(len(texts) + 1, np.int64)
+            return Block(np.zeros(0, np.int32), nothing, [[0.0] for _ in texts], [[] for _ in texts], nothing[1:] == 0)
         data = np.frombuffer(whole, np.uint8)
         filled = np.diff(edges) > 0
         starts = self._cut(data, edges[:-1][filled])
@@ -280,30 +330,44 @@ class Encoder:
         place = self.places[np.searchsorted(self.keys, keys)][which]
         counts = self.counts[place]
         upto = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.flat[np.repeat(self.starts[place] - upto[:-1], counts) + np.arange(upto[-1])]
+        ids = self.flat[ragged(self.starts[place], counts)]
         words = np.searchsorted(starts, edges)
-        pieces = self.table.pieces
+        scores, changes = [], []
         for i in range(len(texts)):
             a, b = words[i], words[i + 1]
-            own = ids[upto[a] : upto[b]]
             here = place[a:b]
             score = float(self.scores[here].sum())
             near = self.gaps[here]
             take = np.argsort(near, kind="stable")[: self.best - 1] if len(near) < 64 else _smallest(near, self.best - 1)
             options = [self._search(int(here[k]), whole[starts[a + k] : ends[a + k]]) for k in take]
-            scores, changes = [score], []
+            own, other = [score], []
             for loss, choice in _combinations(options, self.best)[1:]:
-                scores.append(score - loss)
-                changes.append([(int(k), list(o[c][1])) for k, o, c in zip(take, options, choice) if c])
-            again = b"".join(map(pieces.__getitem__, own.tolist()))[1:].decode(errors="replace") if decoded else None
-            yield own, scores, changes, again
+                own.append(score - loss)
+                other.append([(int(k), o[c][1]) for k, o, c in zip(take, options, choice) if c])
+            scores.append(own)
+            changes.append(other)
+        return Block(ids, upto[words], scores, changes, self._returns(ids, upto[words], data, edges))
+
+    def _returns(self, ids: np.ndarray, stops: np.ndarray, data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each text's ids, in turn, are the text's."""
+        sizes = self.table.lengths[ids]
+        again = self.table.flat[ragged(self.table.begins[ids], sizes)]
+        upto = np.concatenate([[0], np.cumsum(sizes)])[stops]
+        if np.array_equal(upto, edges) and np.array_equal(again, data):
+            return np.ones(len(edges) - 1, bool)
+        pairs = zip(upto[:-1], upto[1:], edges[:-1], edges[1:])
+        return np.array([np.array_equal(again[a:b], data[c:d]) for a, b, c, d in pairs], bool)
 
     def _search(self, place: int, word: bytes) -> list[tuple[float, tuple[int, ...]]]:
-        """A word's segmentations as (loss against its best, ids)."""
+        """A word's segmentations as (loss against its best, ids); the first is that of
+        the forward pass."""
         found = self.searched.get(place)
         if found is None:
+            start = self.starts[place]
+            own = tuple(self.flat[start : start + self.counts[place]].tolist())
             paths = n_best(self.table, word, self.best)
-            found = self.searched[place] = [(paths[0][0] - s, ids) for s, ids in paths]
+            others = [(paths[0][0] - s, ids) for s, ids in paths if ids != own]
+            found = self.searched[place] = [(0.0, own), *others][: self.best]
         return found
 
 
@@ -335,7 +399,19 @@ ENCODED = (
     "doc_id bigint, n_pieces bigint, ids_sha256 string, scores array<double>, decoded boolean, "
     "ids array<int>, changes array<array<struct<word:int,ids:array<int>>>>"
 )
-CHANGES = pa.list_(pa.list_(pa.struct([("word", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+def _lists(sizes: list[int], values: pa.Array) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _changes(found: list[list[list[tuple[int, tuple[int, ...]]]]]) -> pa.ListArray:
+    """Per text, per segmentation, the changed words, out of flat arrays."""
+    ways = [way for text in found for way in text]
+    words = [word for way in ways for word in way]
+    ids = pa.array(np.fromiter((i for _, own in words for i in own), np.int32))
+    own = _lists([len(own) for _, own in words], ids)
+    changed = pa.StructArray.from_arrays([pa.array([w for w, _ in words], pa.int32()), own], ["word", "ids"])
+    return _lists([len(text) for text in found], _lists([len(way) for way in ways], changed))
 
 
 def _encoded(table: Broadcast, best: int, with_ids: bool):
@@ -349,19 +425,18 @@ def _encoded(table: Broadcast, best: int, with_ids: bool):
                 while b < len(texts) and (b == a or size + len(texts[b]) <= BLOCK_BYTES):
                     size += len(texts[b])
                     b += 1
-                found = list(encoder.block(texts[a:b], decoded=not with_ids))
-                ids = pa.array([f[0] for f in found], pa.list_(pa.int32()))
-                again = [decode(table.value, i) for i in ids.to_pylist()] if with_ids else [f[3] for f in found]
-                changes = [[[{"word": w, "ids": i} for w, i in c] for c in f[2]] for f in found]
+                found = encoder.block(texts[a:b])
+                sizes = np.diff(found.stops)
+                raw = [found.ids_of(i).astype("<i4").tobytes() for i in range(b - a)]
                 columns = [
                     batch.column(0).slice(a, b - a),
-                    pa.array([len(f[0]) for f in found], pa.int64()),
-                    pa.array([hashlib.sha256(f[0].astype("<i4").tobytes()).hexdigest() for f in found]),
-                    pa.array([f[1] for f in found], pa.list_(pa.float64())),
-                    pa.array([d == t for d, t in zip(again, texts[a:b])], pa.bool_()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
+                    pa.array(found.scores, pa.list_(pa.float64())),
+                    pa.array(found.returns, pa.bool_()),
                 ]
                 if with_ids:
-                    columns += [ids, pa.array(changes, CHANGES)]
+                    columns += [_lists(sizes, pa.array(found.ids, pa.int32())), _changes(found.changes)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in ENCODED.split(", ")][: len(columns)])
                 a = b
 
@@ -380,8 +455,9 @@ def encode(
 
     Gives ``doc_id, n_pieces, ids_sha256`` (of the best one's ids, as little-endian
     32-bit integers), ``scores`` (falling; fewer if there are no more), ``decoded``
-    (the ids, with ``with_ids`` those of the column, decode to the text), and with ``with_ids`` the best one's ``ids`` and,
-    for each further one, the words (by number) that it cuts otherwise.
+    (the bytes of the best one's ids are those of the text), and with ``with_ids`` the
+    best one's ``ids`` and, for each further one, the words (by number) that it cuts
+    otherwise.
 
     The driver reads the model file once and sends its pieces, whose number the file
     bounds. A text is encoded with a blank before it. Null and empty texts have no

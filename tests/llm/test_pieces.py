@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -26,12 +29,17 @@ def every(text):
     return sorted(out, reverse=True)
 
 
+def ids_and_scores(found):
+    return [(found.ids_of(i).tolist(), scores) for i, scores in enumerate(found.scores)]
+
+
 @pytest.mark.parametrize("text", ["the cat", "a b", " hi", "x\ny", "é▁ü", "aa  bb", "zq", "\n"])
 def test_n_best_equals_all_paths(text):
     best = 6
-    ids, scores, changes, decoded = next(pieces.Encoder(TABLE, best).block([text]))
+    found = pieces.Encoder(TABLE, best).block([text])
+    ids, scores, changes = found.ids, found.scores[0], found.changes[0]
     want = every(text)[:best]
-    assert decoded == text
+    assert pieces.decode(TABLE, ids) == text and found.returns.tolist() == [True]
     assert np.allclose(scores, [s for s, _ in want])
     assert len(scores) == len(changes) + 1
     assert np.isclose(sum(TABLE.scores[ids]), want[0][0])
@@ -50,29 +58,61 @@ def test_a_star_gives_paths_in_order():
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=6))
 def test_round_trip(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
-    for text, (ids, scores, _, decoded) in zip(texts, pieces.Encoder(TABLE, 3).block(texts)):
-        assert decoded == text and pieces.decode(TABLE, ids) == text
-        assert scores == sorted(scores, reverse=True)
+    found = pieces.Encoder(TABLE, 3).block(texts)
+    assert found.returns.all() and len(found.returns) == len(texts)
+    for i, text in enumerate(texts):
+        assert pieces.decode(TABLE, found.ids_of(i)) == text
+        assert found.scores[i] == sorted(found.scores[i], reverse=True)
 
 
 def test_memory_does_not_matter(monkeypatch):
     texts = [f"some words {i} and words{i % 5} again" for i in range(60)]
-    one = [(i.tolist(), s) for i, s, _, _ in pieces.Encoder(TABLE, 4).block(texts)]
+    one = ids_and_scores(pieces.Encoder(TABLE, 4).block(texts))
     monkeypatch.setattr(pieces, "WORD_MEMORY", 20)
     encoder = pieces.Encoder(TABLE, 4)
-    two = [(i.tolist(), s) for a in range(0, 60, 7) for i, s, _, _ in encoder.block(texts[a : a + 7])]
+    two = [x for a in range(0, 60, 7) for x in ids_and_scores(encoder.block(texts[a : a + 7]))]
     assert [x[0] for x in one] == [x[0] for x in two] and np.allclose([x[1][-1] for x in one], [x[1][-1] for x in two])
 
 
 def test_long_words_equal_short_ones(monkeypatch):
     texts = ["internationalisation antidisestablishmentarianism " * 2, "x" * 300, "ab" * 400 + " tail"]
-    one = [(i.tolist(), s) for i, s, _, _ in pieces.Encoder(TABLE, 3).block(texts)]
+    one = ids_and_scores(pieces.Encoder(TABLE, 3).block(texts))
     monkeypatch.setattr(pieces, "LONG_WORD", 4)
-    two = [(i.tolist(), s) for i, s, _, _ in pieces.Encoder(TABLE, 3).block(texts)]
+    two = ids_and_scores(pieces.Encoder(TABLE, 3).block(texts))
     assert [x[0] for x in one] == [x[0] for x in two]
     assert all(np.allclose(a[1], b[1]) for a, b in zip(one, two))
 
 
+def test_a_changed_text_is_told():
+    encoder = pieces.Encoder(TABLE, 2)
+    found = encoder.block(["one two", "", "three"])
+    data = np.frombuffer(b" one twx three", np.uint8)
+    edges = np.array([0, 8, 8, 14])
+    assert encoder._returns(found.ids, found.stops, data, edges).tolist() == [False, True, True]
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_long_run_without_blanks(letters):
+    """100,000 letters within a gigabyte; the first paths differ and spell the word."""
+    rng = random.Random(1)
+    word = " " + "".join(rng.choice(letters) for _ in range(100_000))
+    tracemalloc.start()
+    found = pieces.n_best(TABLE, word.encode(), 4)
+    assert tracemalloc.get_traced_memory()[1] < 1 << 29
+    tracemalloc.stop()
+    assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+    assert len({ids for _, ids in found}) == 4
+    assert all(b"".join(TABLE.pieces[i] for i in ids) == word.encode() for _, ids in found)
+
+
+def test_further_segmentations_differ_from_the_best():
+    """Also where several have the best score."""
+    found = pieces.Encoder(TABLE, 4).block(["aaaaaaaaaaa", "aaaa aaaa"])
+    for i in range(2):
+        words = {tuple(map(tuple, way)) for way in found.changes[i]}
+        assert len(words) == len(found.changes[i]) == 3
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     out = pieces.encode(docs).collect()
