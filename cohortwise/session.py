@@ -7,13 +7,17 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Largest fitted table (class lists, quotas, cut values) brought to the driver
 # and broadcast. Beyond it the same table stays a distributed DataFrame.
 FIT_ROWS = 10_000
 
-_scratch: list[str] = []
+# Scratch folders, each with the file system settings it was made under.
+_scratch: dict[str, object] = {}
+_own_folders: list[str] = []
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -46,10 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortwise-"))
+        _own_folders.append(tempfile.mkdtemp(prefix="cohortwise-"))
+        context.setCheckpointDir(_own_folders[-1])
         root = context.getCheckpointDir()
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    _scratch[path] = _settings()
     return path
 
 
@@ -66,18 +71,41 @@ def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
-def remove_scratch(spark: SparkSession) -> None:
+def delete_path(path: str) -> None:
+    """Delete a folder of any file system. The JVM outlives the sessions in it, so this
+    works after ``spark.stop()``, too."""
+    target = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(_scratch.get(path) or _settings()).delete(target, True)
+
+
+def _settings():
+    context = SparkContext._active_spark_context
+    if context is not None and context._jsc is not None:
+        return context._jsc.hadoopConfiguration()
+    return SparkContext._jvm.org.apache.hadoop.conf.Configuration()
+
+
+def drop_scratch(path: str) -> None:
+    """Remove one scratch table or folder before its time."""
+    delete_path(path)
+    _scratch.pop(path, None)
+
+
+def remove_scratch(spark: SparkSession | None = None) -> None:
     """Remove the scratch tables made so far, those that a frame still reads too."""
-    jvm = spark._jvm
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for path in list(_scratch):
+        drop_scratch(path)
 
 
 def _remove_at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        remove_scratch(spark)
+    if SparkContext._jvm is None:  # nothing was ever written
+        return
+    try:
+        remove_scratch()
+        for folder in _own_folders:
+            delete_path(f"file:{folder}")
+    except (Py4JError, OSError):  # the JVM went down before its driver
+        pass
 
 
 atexit.register(_remove_at_exit)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,9 +278,31 @@ def test_a_number_is_later_than_a_word(spark, tmp_path):
 
 
 def test_scratch_tables_can_be_removed(spark, monkeypatch):
-    monkeypatch.setattr(session, "_scratch", [])
+    monkeypatch.setattr(session, "_scratch", {})
     session.materialize(spark.range(3), "gone")
     paths = [p.removeprefix("file:") for p in session._scratch]
     assert os.path.isdir(paths[-1])
     session.remove_scratch(spark)
     assert not any(os.path.exists(p) for p in paths) and not session._scratch
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_nothing_is_left_after_the_session_was_stopped(tmp_path, given):
+    """Scratch tables go when the driver ends, also where it stopped its session before."""
+    code = f"""
+import sys, tempfile
+sys.path.insert(0, {str(Path(session.__file__).resolve().parents[1])!r})
+tempfile.tempdir = {str(tmp_path)!r}
+from cohortwise import session
+spark = session.build_session("local[1]", 1, "1g")
+if {given}:
+    spark.conf.set("spark.checkpoint.dir", {str(tmp_path / "shared")!r})
+held = session.materialize(spark.range(5))
+assert held.count() == 5
+spark.stop()
+"""
+    env = dict(os.environ, SPARK_LOCAL_DIRS=str(tmp_path / "spark"))
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, env=env, timeout=120)
+    left = [p for p in tmp_path.rglob("*") if p.is_file() and "spark" not in p.relative_to(tmp_path).parts[0]]
+    assert not left
+    assert not list(tmp_path.glob("cohortwise-*"))
