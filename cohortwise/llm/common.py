@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
+import gc
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortwise.session import scratch_path
+from cohortwise.session import delete_path, drop_scratch, scratch_path
 
 # Words remembered by a task; the memory is emptied when full.
 WORD_MEMORY = 1_000_000
@@ -23,18 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Workspace:
     """Working copies of one run, in one folder of the shared checkpoint folder.
 
-    Frames that read them stay valid until ``remove`` or the end of the driver.
+    Frames that read them stay valid until ``remove`` or the end of the driver, which
+    removes them also where the session was stopped before.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
-        atexit.register(self.remove)
-
-    def _delete(self, path: str) -> None:
-        if self.spark.sparkContext._jsc is None:  # the session has ended
-            return
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
     def keep(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
         """The frame written and read again, and where it lies."""
@@ -46,16 +40,18 @@ class Workspace:
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         return self.keep(df, name)[0]
 
-    def drop(self, path: str) -> None:
-        self._delete(path)
+    def drop(self, *paths: str) -> None:
+        for path in paths:
+            delete_path(path)
+
+    def release(self) -> None:
+        """Shuffle files of finished steps go once the driver's JVM has found that
+        nothing reads them; this makes it look now, before the next large step."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def remove(self) -> None:
-        atexit.unregister(self.remove)
-        try:
-            self._delete(self.root)
-        except Exception as error:  # the driver is going down with its JVM
-            if "Py4J" not in type(error).__name__ and not isinstance(error, OSError):
-                raise
+        drop_scratch(self.root)
 
 
 def bucket(key: Column, n: int) -> Column:

@@ -42,7 +42,9 @@ BLOCK_ROWS = 512
 COPY_MEMORY = 200_000
 # Bucket keys handed on at once.
 KEY_BATCH = 200_000
-SETS = "rep bigint, n bigint, shingles binary, sketch binary"
+SETS = "rep bigint, shingles binary"
+# Pairs are verified in so many turns, each of which moves a part of the sets.
+VERIFY_PARTS = 3
 
 
 def band_limits() -> np.ndarray:
@@ -188,68 +190,83 @@ def bucket_keys(shingles: np.ndarray, limit: Limit) -> np.ndarray:
     return np.concatenate(keys)
 
 
+SIZES = "doc_id bigint, n bigint, h1 bigint, h2 bigint, sketch binary"
+
+
 def _sizes(words: int):
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            sets = [shingler.of(t.as_py()) for t in batch.column(1)]
-            ends = np.array([set_address(s) for s in sets], np.int64).reshape(-1, 2)
-            counts = pa.array([len(s) for s in sets], pa.int64())
+            counts, ends, bits = [], [], []
+            for text in batch.column(1):
+                shingles = shingler.of(text.as_py())
+                counts.append(len(shingles))
+                ends.append(set_address(shingles))
+                bits.append(pair_sketch(shingles).tobytes() if len(shingles) else None)
+            ends = np.array(ends, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), counts, pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["doc_id", "n", "h1", "h2"]
+                [
+                    batch.column(0),
+                    pa.array(counts, pa.int64()),
+                    pa.array(ends[:, 0]),
+                    pa.array(ends[:, 1]),
+                    pa.array(bits, pa.binary()),
+                ],
+                [c.split()[0] for c in SIZES.split(", ")],
             )
 
     return sizes
 
 
 def _keys(words: int, percent: int):
+    """Keys with the first half of the set's address: equal sets send the same rows,
+    whatever document they are found in."""
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, limit, sent = Shingler(words), Limit(percent), set()
         for batch in batches:
-            ids, found, held = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            names, found, held = [], [], 0
+            for text in batch.column(0):
                 shingles = shingler.of(text.as_py())
-                if doc is None or not len(shingles):
+                if not len(shingles):
                     continue
                 address = set_address(shingles)
-                if address in sent:  # its class has these keys already
+                if address in sent:
                     continue
                 if len(sent) >= COPY_MEMORY:
                     sent.clear()
                 sent.add(address)
                 found.append(bucket_keys(shingles, limit))
-                ids.append(doc)
+                names.append(address[0])
                 held += len(found[-1])
                 if held >= KEY_BATCH:
-                    yield _key_batch(ids, found)
-                    ids, found, held = [], [], 0
-            if ids:
-                yield _key_batch(ids, found)
+                    yield _key_batch(names, found)
+                    names, found, held = [], [], 0
+            if names:
+                yield _key_batch(names, found)
 
     return keys
 
 
-def _key_batch(ids: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
-    docs = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(found).view(np.int64)), pa.array(docs)], ["key", "doc_id"]
-    )
+def _key_batch(names: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+    h1 = np.repeat(np.array(names, np.int64), [len(f) for f in found])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(h1)], ["key", "h1"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose key has several documents, out of rows sorted by key and document.
+    """Rows whose key has several sets, out of rows sorted by key and set, each row once.
     Only the last row is held, so a bucket may be of any size."""
-    held_key = held_doc = None
+    held_key = held_set = None
     held_out = False  # whether the held row has been given out
     for batch in batches:
-        key, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        key, h1 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(key):
             continue
         if held_key is not None:
-            key, doc = np.concatenate([[held_key], key]), np.concatenate([[held_doc], doc])
+            key, h1 = np.concatenate([[held_key], key]), np.concatenate([[held_set], h1])
         fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        key, doc = key[fresh], doc[fresh]
+        fresh[1:] = (key[1:] != key[:-1]) | (h1[1:] != h1[:-1])
+        key, h1 = key[fresh], h1[fresh]
         same = key[1:] == key[:-1]
         out = np.zeros(len(key), bool)
         out[1:] |= same
@@ -257,16 +274,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_out = bool(out[-1]) or (len(key) == 1 and held_out)
         if held_key is not None and held_out:
             out[0] = False
-        held_key, held_doc, held_out = key[-1], doc[-1], last_out
+        held_key, held_set, held_out = key[-1], h1[-1], last_out
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(doc[out])], ["key", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(h1[out])], ["key", "h1"])
 
 
 def _sets(words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(words), set()
         for batch in batches:
-            reps, counts, packed, bits = [], [], [], []
+            reps, packed = [], []
             for doc, text, h1, h2 in zip(*batch.columns):
                 doc = doc.as_py()
                 if doc in seen:
@@ -275,14 +292,10 @@ def _sets(words: int):
                 if set_address(shingles) != (h1.as_py(), h2.as_py()):
                     continue  # another text under the same id
                 seen.add(doc)
-                small = pair_sketch(shingles)
                 reps.append(doc)
-                counts.append(len(shingles))
                 packed.append(shingles.tobytes())
-                bits.append(small.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(reps, pa.int64()), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(bits, pa.binary())],
-                ["rep", "n", "shingles", "sketch"],
+                [pa.array(reps, pa.int64()), pa.array(packed, pa.binary())], ["rep", "shingles"]
             )
 
     return sets
@@ -324,19 +337,32 @@ def _near(percent: int):
     return near
 
 
-def _can_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _can_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and sketches allow a link; the sets themselves stay away."""
-    one = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
-    two = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    one = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    two = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
     full = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "x", "y")
     return full.mapInArrow(_near(percent), "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-    full = pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y")
-    return full.mapInArrow(_verify(percent), "a bigint, b bigint")
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, words: int, percent: int, work: Workspace):
+    """Pairs that link, by their whole sets. These are made from the texts that occur in
+    a pair, one of each class; what they take goes before the links are returned."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = classes.join(ends, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "h1", "h2")
+    kept = texts.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
+    sets, sets_path = work.keep(kept.mapInArrow(_sets(words), SETS), "sets")
+    work.release()
+    found = []
+    for part in range(VERIFY_PARTS):
+        one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
+        two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
+        own = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(VERIFY_PARTS)) == part)
+        full = own.join(two, "b").join(one, "a").select("a", "b", "x", "y")
+        found.append(work.stored(full.mapInArrow(_verify(percent), "a bigint, b bigint"), "links"))
+        work.release()
+    work.drop(sets_path)
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def _block_pairs(percent: int):
@@ -395,45 +421,55 @@ def jaccard_components(
     spark = docs.sparkSession
     work = work or Workspace(spark, "parity")
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sizes = work.stored(texts.mapInArrow(_sizes(words), "doc_id bigint, n bigint, h1 bigint, h2 bigint"), "sizes")
+    sizes = work.stored(texts.mapInArrow(_sizes(words), SIZES), "sizes")
     full = sizes.filter("n > 0 AND doc_id IS NOT NULL")
-    full = full.groupBy("doc_id").agg(F.min(F.struct("h1", "h2", "n")).alias("s")).select("doc_id", "s.*")
+    full = full.groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("s")).select("doc_id", "s.*")
     classes = work.stored(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
     member = work.stored(full.join(classes, ["h1", "h2"]).select("doc_id", "rep"), "member")
 
-    rows = texts.mapInArrow(_keys(words, percent), "key bigint, doc_id bigint")
-    rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "doc_id")
-    shared = work.stored(rows.mapInArrow(_shared, "key bigint, doc_id bigint"), "shared")
-    meets = shared.join(member, "doc_id").select("key", "rep").distinct()
-    several = meets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    meets = work.stored(meets.join(several, "key"), "meets")
+    rows = texts.filter(F.col("doc_id").isNotNull()).select("text")
+    rows = rows.mapInArrow(_keys(words, percent), "key bigint, h1 bigint")
+    rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key", "h1")
+    shared, shared_path = work.keep(rows.mapInArrow(_shared, "key bigint, h1 bigint"), "shared")
+    work.release()
+    # Texts that stand for no id have no class; two classes may share half an address.
+    meets, meets_path = work.keep(shared.join(classes.select("h1", "rep"), "h1").select("key", "rep"), "meets")
+    work.drop(shared_path)
 
     # The member with most buckets is the likeliest source of the others.
-    weight = meets.groupBy("rep").agg(F.count(F.lit(1)).alias("w"))
-    weighed = meets.join(weight, "rep")
-    best = weighed.groupBy("key").agg(F.max(F.struct("w", (-F.col("rep")).alias("low"))).alias("best"))
-    meets = meets.join(best.select("key", (-F.col("best.low")).alias("center")), "key")
-    meets = work.stored(meets, "centered")
-    stars = meets.filter("rep <> center")
+    weight = work.stored(meets.groupBy("rep").agg(F.count(F.lit(1)).alias("w")), "weight")
+    best = meets.join(weight, "rep").groupBy("key")
+    best = best.agg(F.max(F.struct("w", (-F.col("rep")).alias("low"))).alias("best"), F.count(F.lit(1)).alias("m"))
+    best = best.filter("m > 1").select("key", (-F.col("best.low")).alias("center"), "m")
+    best, best_path = work.keep(best, "centers")
+    work.release()
+    stars = meets.join(best, "key").filter("rep <> center")
     pairs = stars.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
-    wanted = classes.join(weight.select("rep"), "rep", "left_semi").withColumnRenamed("rep", "doc_id")
-    kept = texts.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
-    sets = work.stored(kept.mapInArrow(_sets(words), SETS), "sets")
-    near = work.stored(_can_link(pairs, sets, percent), "near")
-    links = work.stored(_verified(near, sets, percent), "links")
+    pairs, pairs_path = work.keep(pairs, "pairs")
+    # Only buckets of three or more can still hold several components afterwards.
+    many = best.filter("m > 2")
+    later, later_path = work.keep(meets.join(many.select("key", "center"), "key"), "later")
+    work.drop(meets_path, best_path)
+    named = classes.join(weight.select("rep"), "rep", "left_semi")
+    own = sizes.join(named, ["h1", "h2"]).filter("doc_id = rep").select("rep", "n", "sketch")
+    sketches, sketches_path = work.keep(own.dropDuplicates(["rep"]), "sketches")
+    work.release()
+    near, near_path = work.keep(_can_link(pairs, sketches, percent), "near")
+    work.drop(pairs_path)
+    work.release()
+    links = _verified(near, texts, classes, words, percent, work)
     joined = components(links, work)
+    work.drop(near_path)
 
-    # Buckets of three or more that still hold several components.
     state = weight.select("rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     state = work.stored(state.select("rep", F.coalesce("component", "rep").alias("component")), "state")
     open_keys = (
-        meets.filter("m > 2")
-        .join(state, "rep")
+        later.join(state, "rep")
         .groupBy("key")
         .agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
         .filter("c1 <> c2")
     )
-    left = meets.join(open_keys.select("key"), "key", "left_semi").select("rep", "center").distinct()
+    left = later.join(open_keys.select("key"), "key", "left_semi").select("rep", "center").distinct()
     gathers = components(left.select(F.col("rep").alias("a"), F.col("center").alias("b")), work)
     gathers = gathers.select(F.col("id").alias("rep"), F.col("component").alias("gather"))
     counts = gathers.groupBy("gather").agg(F.count(F.lit(1)).alias("size"))
@@ -441,7 +477,7 @@ def jaccard_components(
     dealt = (
         gathers.join(counts, "gather")
         .join(state, "rep")
-        .join(sets.select("rep", "n", "sketch"), "rep")
+        .join(sketches, "rep")
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     )
     others = F.transform(
@@ -450,8 +486,10 @@ def jaccard_components(
     )
     dealt = dealt.select("gather", "block", "rep", "n", "component", "sketch", F.inline(others))
     dealt = dealt.repartition(partitions(spark), "gather", "i", "j").sortWithinPartitions("gather", "i", "j")
-    more = work.stored(dealt.mapInArrow(_block_pairs(percent), "a bigint, b bigint"), "more")
-    late = _verified(more.distinct(), sets, percent)
+    more = work.stored(dealt.mapInArrow(_block_pairs(percent), "a bigint, b bigint").distinct(), "more")
+    work.drop(later_path, sketches_path)
+    work.release()
+    late = _verified(more, texts, classes, words, percent, work)
     # Late links join components of the first round, which are few by now.
     ends = [state.select(F.col("rep").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
     bridges = late.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))

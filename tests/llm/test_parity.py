@@ -157,3 +157,19 @@ def test_components_of_chains_and_stars(spark):
     got = {r["id"]: r["component"] for r in components(df, Workspace(spark, "t")).collect()}
     assert got == {**{i: 0 for i in range(500)}, **{1000 + i: 1000 for i in range(300)}, 2000: 2000, 3000: 3000, 3001: 3000}
     assert components(df.limit(0), Workspace(spark, "t")).collect() == []
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_an_id_with_several_texts_keeps_the_links_of_its_copies(spark, parts):
+    """Id 1 has texts x and y, id 2 x, and id 3 nearly x: whatever row comes first, and
+    whichever text stands for id 1, ids 2 and 3 are linked."""
+    rnd = random.Random(4)
+    for _ in range(3):
+        x = [f"w{rnd.random()}" for _ in range(200)]
+        y = [f"v{rnd.random()}" for _ in range(50)]
+        rows = [(1, " ".join(x)), (1, " ".join(y)), (2, " ".join(x)), (3, " ".join([*x, "end"]))]
+        for order in (rows, rows[::-1]):
+            docs = documents(spark, order).coalesce(1).repartition(parts)
+            got = {r["doc_id"]: r["component_id"] for r in parity.jaccard_components(docs).collect()}
+            assert got[2] == got[3]
+            assert got[2] in (1, 2) and got[1] == 1
