@@ -296,7 +296,7 @@ tempfile.tempdir = {str(tmp_path)!r}
 from cohortwise import session
 spark = session.build_session("local[1]", 1, "1g")
 if {given}:
-    spark.conf.set("spark.checkpoint.dir", {str(tmp_path / "shared")!r})
+    spark.sparkContext.setCheckpointDir({str(tmp_path / "shared")!r})
 held = session.materialize(spark.range(5))
 assert held.count() == 5
 spark.stop()
