@@ -6,6 +6,8 @@ documents that go on, with the same columns. The last one gives their encodings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortwise.llm import mixing, parity, pieces, quality, secrets
@@ -15,6 +17,16 @@ KEEP_SCORE = 0.3
 REDACTED = "[secret]"
 
 
+def _decided(spark: SparkSession, name: str, decide: Callable[[Workspace], DataFrame]) -> DataFrame:
+    """A stage's decisions, a row or less for each document, stored; the working copies
+    that led to them go at once."""
+    work = Workspace(spark, name)
+    kept = Workspace(spark, f"{name}-decided").stored(decide(work), "rows")
+    work.remove()
+    work.release()
+    return kept
+
+
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents of these ids, null among them."""
     ids = ids.select(F.col("doc_id").alias("_id"))
@@ -23,18 +35,28 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    learn = bucket(F.col("doc_id"), 5) != 0
-    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"), learn)
-    return _only(docs, scores.filter(F.col("score") >= KEEP_SCORE))
+
+    def decide(work: Workspace) -> DataFrame:
+        learn = bucket(F.col("doc_id"), 5) != 0
+        scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"), learn, work=work)
+        return scores.filter(F.col("score") >= KEEP_SCORE).select("doc_id")
+
+    return _only(docs, _decided(spark, "quality", decide))
 
 
 def first_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8 or more.
     Documents without words are groups of their own; of rows that repeat a document,
     one stays."""
-    groups = parity.jaccard_components(docs, words=5, percent=80)
-    kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    return _only(docs, kept).dropDuplicates(["doc_id", "text"]).select(docs.columns)
+
+    def decide(work: Workspace) -> DataFrame:
+        groups = parity.jaccard_components(docs, words=5, percent=80, work=work)
+        kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
+        return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+
+    kept = _decided(spark, "copies", decide)
+    repeated = _only(docs, kept.filter("rows > 1")).dropDuplicates(["doc_id", "text"])
+    return _only(docs, kept.filter("rows = 1")).unionByName(repeated).select(docs.columns)
 
 
 def _without(text: Column, findings: Column) -> Column:
@@ -55,9 +77,13 @@ def _without(text: Column, findings: Column) -> Column:
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced; ``n_chars`` follows the text."""
-    found, _ = secrets.scan_versions(docs, ["doc_id"])
-    hits = found.filter(F.size("findings") > 0).dropDuplicates(["doc_id", "blob"])
-    hits = hits.select(F.col("doc_id").alias("_id"), "blob", "findings")
+
+    def decide(work: Workspace) -> DataFrame:
+        found, _ = secrets.scan_versions(docs, ["doc_id"], work=work)
+        hits = found.filter(F.size("findings") > 0).dropDuplicates(["doc_id", "blob"])
+        return hits.select(F.col("doc_id").alias("_id"), "blob", "findings")
+
+    hits = _decided(spark, "secrets", decide)
     same = docs["doc_id"].eqNullSafe(hits["_id"]) & (F.unhex(F.sha2(docs["text"], 256)) == hits["blob"])
     clean = F.when(F.col("findings").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("findings")))
     out = docs.join(hits, same, "left").withColumn("text", clean)
@@ -70,7 +96,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the raked rates of source, language and topic, each once: rates
     are raked to be 1 at most."""
-    return _only(docs, mixing.mix_to_targets(docs, power=0.8, share=0.9, once=True))
+
+    def decide(work: Workspace) -> DataFrame:
+        return mixing.mix_to_targets(docs, power=0.8, share=0.9, once=True, work=work).select("doc_id")
+
+    return _only(docs, _decided(spark, "mixing", decide))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,9 +122,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; a stage's documents
+    go once those of the next are written."""
     work = Workspace(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = work.stored(stage(spark, docs, sf_dir), f"stage-{number}")
+        docs, path = work.keep(stage(spark, docs, sf_dir), f"stage-{number}")
+        if before is not None:
+            work.drop(before)
+        before = path
+        work.release()
     return docs
