@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortwise.functions import labels as L
 from cohortwise.functions.names import base_name, join_path
-from cohortwise.operators.classes import encode, encoding_table
+from cohortwise.operators.classes import class_codes
 from cohortwise.operators.joins import check_unique, list_membership, scan_lookup, split_by_lists
 from cohortwise.operators.rows import (
     EXCLUDED_SCANS,
@@ -31,7 +31,8 @@ from cohortwise.operators.sampling import SAMPLE_TO_VALUE, TEST_SIZE, prepare_sp
 from cohortwise.operators.sets import combine_datasets, replicate_class
 from cohortwise.operators.summary import percent_text, share
 from cohortwise.session import materialize
-from cohortwise.sources.scans import class_dir_files, folder_names, list_files
+from cohortwise.sources.files import list_tree
+from cohortwise.sources.scans import class_dir_files
 from cohortwise.sources.sinks import batches
 
 # Fixed values
@@ -65,23 +66,19 @@ def cohort_by_column(metadata: DataFrame, spec: CohortSpec, column: str = "split
 
 
 def cohort_by_dirs(
-    train: DataFrame, test: DataFrame, times: int = 1, classes: Sequence[str] | None = None
+    train: DataFrame, test: DataFrame, times: int = 1, classes: DataFrame | None = None
 ) -> DataFrame:
     """Cohort from listings of class-per-folder trees. The first class is
     repeated in the train part; ``copy`` numbers the repeats.
 
     Both parts share one code per class: its place among the class names of both
-    listings, or among ``classes``, where folders without files are known.
+    listings, or among those of ``classes`` (a column ``class_name``), where folders
+    without files are known.
     """
     parts = class_dir_files(train).withColumn("split", F.lit("train"))
     parts = parts.unionByName(class_dir_files(test).withColumn("split", F.lit("test")))
-    if classes is None:
-        coded = encode(parts, "class_name", LABEL)
-    else:
-        codes = encoding_table(parts.sparkSession, {n: i for i, n in enumerate(sorted(set(classes)))})
-        codes = F.broadcast(codes.select(F.col("name").alias("class_name"), F.col("code").alias(LABEL)))
-        coded = parts.join(codes, "class_name", "left")
-    coded = coded.select(IMAGE, "class_name", LABEL, "split")
+    codes = class_codes((parts if classes is None else classes).select(F.col("class_name").alias("_name")), "_name", LABEL)
+    coded = parts.join(codes, F.col("class_name") == F.col("_name"), "left").select(IMAGE, "class_name", LABEL, "split")
     return (
         replicate_class(coded.where("split = 'train'").drop("split"), LABEL, 0, times)
         .withColumn("split", F.lit("train"))
@@ -90,11 +87,13 @@ def cohort_by_dirs(
 
 
 def cohort_from_tree(spark, root: str, times: int = 1) -> DataFrame:
-    """`cohort_by_dirs` over the folders ``train`` and ``test`` of a tree; class
-    folders without files count as classes."""
-    folders = [f"{root}/train", f"{root}/test"]
-    classes = [name for f in folders for name in folder_names(spark, f)]
-    return cohort_by_dirs(*[list_files(spark, f) for f in folders], times, classes)
+    """`cohort_by_dirs` over the folders ``train`` and ``test`` of a tree, listed once;
+    class folders without files count as classes."""
+    folders = [f"{root.rstrip('/')}/{part}" for part in ("train", "test")]
+    entries = {f: list_tree(spark, f) for f in folders}
+    files = [e.where(~F.col("is_folder")).select("path") for e in entries.values()]
+    named = [e.where("is_folder AND depth = 1").select(base_name(F.col("path")).alias("class_name")) for e in entries.values()]
+    return cohort_by_dirs(*files, times, named[0].unionByName(named[1]))
 
 
 def cohort_by_lookup(

@@ -36,6 +36,10 @@ VIEWS: dict[str, str] = {
         SELECT page_id, path, split_part(path, '/', 3) AS class, split_part(path, '/', -1) AS name
         FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(
                 url, '[?#].*$', ''), '/+$', ''), '^https?://', '/') AS path FROM pages)""",
+    "v_tree": """
+        SELECT class, place, (CASE WHEN place < 20 THEN '_' WHEN place < 40 THEN '.' ELSE '' END)
+                   || replace(substr(path, 2), '/', '-') AS name
+        FROM (SELECT DISTINCT class, path, ('0x' || substr(md5('42|' || path), 1, 8))::BIGINT % 100 AS place FROM v_scans)""",
     "v_class_dirs": """
         SELECT page_id, path AS image_files, split_part(path, '/', -2) AS class_name,
                (dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1)::INT AS labels
@@ -164,11 +168,12 @@ def oracle(name: str, select: str, *parts: str) -> None:
 oracle("scan_metadata_csv", "SELECT * FROM v_findings")
 oracle("versioned_cache", "SELECT * FROM v_samples")
 oracle("scan_id_list", "SELECT id::VARCHAR AS id FROM v_split_list")
-oracle("scan_class_dirs", "SELECT image_files, class_name, labels FROM v_class_dirs")
-oracle("scan_shards", """SELECT name, printf('images_%03d/images/', (page_id % 12 + 1)::INT) || name AS image_files
-    FROM v_scans""")
-oracle("scan_flat_dir", "SELECT name, path FROM v_scans")
-oracle("scan_generated", "SELECT '/generated/' || name AS image_files, 1 AS labels FROM v_scans")
+oracle("scan_class_dirs", """SELECT class || '/' || name AS image_files, class AS class_name,
+        (dense_rank() OVER (ORDER BY class) - 1)::INT AS labels FROM v_tree""")
+oracle("scan_shards", """SELECT name, printf('images_%03d/images/', (place % 13 + 1)::INT) || name AS image_files
+    FROM v_tree WHERE place % 13 < 12""")
+oracle("scan_flat_dir", "SELECT name, name AS path FROM v_tree")
+oracle("scan_generated", "SELECT '/generated/' || name AS image_files, 1 AS labels FROM v_tree")
 COLUMN_COHORT = """SELECT order_key, '/scans/' || image_files AS image_files, finding_labels AS labels,
     CASE split WHEN 'validate' THEN 'val' ELSE split END AS split FROM v_split_column"""
 oracle("write_cohort", COLUMN_COHORT)
@@ -521,12 +526,12 @@ oracle(
 oracle("cohort_by_list", f"""SELECT order_key, '/scans/' || order_key AS image_files, finding_labels AS labels, part AS split
     FROM v_labels JOIN v_split_list ON id = order_key WHERE {IS_POSITIVE}""")
 oracle("cohort_by_column", COLUMN_COHORT)
-IN_TRAIN = "('0x' || substr(md5('42|' || page_id), 1, 8))::BIGINT % 100 < 80"
-PAGE_CODE = "(dense_rank() OVER (ORDER BY split_part(path, '/', -2)) - 1)::INT"
-oracle("cohort_by_dirs", f"""SELECT path AS image_files, class_name, labels,
-        unnest(CASE WHEN labels = 0 AND in_train THEN [1, 2, 3] ELSE [1] END) AS copy,
-        CASE WHEN in_train THEN 'train' ELSE 'test' END AS split
-    FROM (SELECT path, split_part(path, '/', -2) AS class_name, {PAGE_CODE} AS labels, {IN_TRAIN} AS in_train FROM v_scans)""")
+oracle("cohort_by_dirs", """
+    SELECT split || '/' || class || '/' || name AS image_files, class AS class_name, labels,
+        unnest(CASE WHEN labels = 0 AND split = 'train' THEN [1, 2, 3] ELSE [1] END) AS copy, split
+    FROM (SELECT *, CASE WHEN place < 80 THEN 'train' ELSE 'test' END AS split FROM v_tree)
+    JOIN (SELECT class, (dense_rank() OVER (ORDER BY class) - 1)::INT AS labels
+          FROM (SELECT class FROM v_tree UNION SELECT 'el')) USING (class)""")
 oracle("cohort_by_lookup", """SELECT s.patient, '/scans/' || s.filename AS image_files,
         trunc(try_cast(p.target AS DOUBLE))::INT AS labels
     FROM (SELECT patient, split_part(max(path), '/', -1) AS filename

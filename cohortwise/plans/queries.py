@@ -25,7 +25,7 @@ from cohortwise.operators import (
 )
 from cohortwise.plans import cohorts as CO, views as V
 from cohortwise.session import materialize as stored, scratch_path
-from cohortwise.sources import scans as SC, sinks as SI
+from cohortwise.sources import files as FI, scans as SC, sinks as SI
 from cohortwise.streaming import confusion as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,26 +95,45 @@ def scan_id_list(spark, d):
     return SC.scan_id_list(spark, path)
 
 
+def written_tree(spark, d, name: Column, strays: dict[str, str | None]) -> str:
+    """Root of a tree of files with these names, and of stray files (no content: folders)."""
+    root = scratch_path(spark, "tree")
+    files = V.tree(spark, d).select(name.alias("name"), "content")
+    more = spark.createDataFrame(list(strays.items()), "name string, content string")
+    FI.write_files(files.unionByName(more), root)
+    return root
+
+
+def below(path: Column, root: str) -> Column:
+    """A listed path without the root it was listed from."""
+    plain = "/" + root.removeprefix("file:").lstrip("/") if root.startswith("file:") else root
+    return F.substr(path, F.lit(len(plain) + 2))
+
+
 @query
 def scan_class_dirs(spark, d):
-    return SC.class_dir_samples(V.scans(spark, d))
+    strays = {".DS_Store": "x", "en/.DS_Store": "x", "empty": None}
+    root = written_tree(spark, d, F.concat_ws("/", "class", "name"), strays)
+    return SC.scan_class_dirs(spark, root).withColumn("image_files", below(F.col("image_files"), root))
 
 
 @query
 def scan_shards(spark, d):
-    shard = (F.col("page_id") % SC.SHARD_COUNT + 1).cast("int")
-    listing = V.scans(spark, d).select(SC.shard_path(shard, N.base_name(F.col("path"))).alias("path"))
-    return SC.shard_files(listing)
+    shard = (F.col("place") % (SC.SHARD_COUNT + 1) + 1).cast("int")
+    root = written_tree(spark, d, SC.shard_path(shard, F.col("name")), {"images_001/list.txt": "x", "other/images/a": ""})
+    return SC.scan_shards(spark, root).withColumn("image_files", below(F.col("image_files"), root))
 
 
 @query
 def scan_flat_dir(spark, d):
-    return SC.flat_files(V.scans(spark, d))
+    root = written_tree(spark, d, F.col("name"), {"inner/a.png": "", "folder": None})
+    return SC.scan_flat_dir(spark, root).withColumn("path", below(F.col("path"), root))
 
 
 @query
 def scan_generated(spark, d):
-    return S.generated_rows(SC.flat_files(V.scans(spark, d)), "/generated", 1)
+    root = written_tree(spark, d, F.col("name"), {})
+    return S.generated_rows(SC.scan_flat_dir(spark, root), "/generated", 1)
 
 
 @query
@@ -820,9 +839,9 @@ def cohort_by_column(spark, d):
 
 @query
 def cohort_by_dirs(spark, d):
-    scans = V.scans(spark, d)
-    in_train = V.bucket(F.col("page_id")) < 80
-    return CO.cohort_by_dirs(scans.where(in_train), scans.where(~in_train), 3)
+    part = F.when(F.col("place") < 80, "train").otherwise("test")
+    root = written_tree(spark, d, F.concat_ws("/", part, "class", "name"), {"train/.DS_Store": "x", "test/el": None})
+    return CO.cohort_from_tree(spark, root, 3).withColumn("image_files", below(F.col("image_files"), root))
 
 
 @query

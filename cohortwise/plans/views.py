@@ -80,6 +80,15 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page addresses as files of a tree, each once: class, bucket, file name, content.
+    Some names begin with an underscore or a dot, and every second file is empty."""
+    pages = scans(spark, sf_dir).select("path", "class").distinct().withColumn("place", bucket(F.col("path")))
+    begin = F.when(F.col("place") < 20, "_").when(F.col("place") < 40, ".").otherwise("")
+    name = F.concat(begin, F.translate(F.substring("path", 2, 1 << 30), "/", "-"))
+    return pages.select("class", "place", name.alias("name"), F.when(F.col("place") % 2 == 0, F.col("path")).otherwise("").alias("content"))
+
+
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as a lookup table; every 7th target is null, every 11th no number."""
     key = F.col("c_custkey")

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cohortwise.functions.names import base_name, parent_name, zero_pad
 from cohortwise.operators.classes import encode
 from cohortwise.operators.rows import IMAGE, LABEL
+from cohortwise.sources.files import list_tree
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,9 @@ IGNORED_FILE = ".DS_Store"
 SHARD_COUNT = 12
 SHARD_FOLDER = "images"
 LATEST = "latest"
+# Beginnings of names below a version: the folder of a copy, and the mark of a whole one.
+COPY = "copy-"
+MARK = "_whole-"
 
 
 def csv_reader(schema: StructType | str) -> Reader:
@@ -46,68 +50,76 @@ def cached_table(
     a version without a number counts only where none has one. When nothing is
     stored yet, the fetched copy is stored under that name.
     Formats without a schema of their own, such as CSV, need ``schema``.
+
+    Each writer fills a folder of its own and, once that is whole, sets an empty mark
+    beside it. A version is present when a copy has its mark, so a broken write counts
+    as absent and does no harm. Of several writers the first mark wins; the others take
+    back their copies and read the winner's.
     """
     base = f"{root.rstrip('/')}/name={name}"
     if version == LATEST:
-        version = latest_version(spark, base, fmt, schema) or LATEST
+        version = latest_version(spark, base) or LATEST
     path = f"{base}/version={version}"
-    stored = _read_if_present(spark, path, fmt, schema)
-    if stored is None:
-        fetch().write.format(fmt).option("header", True).mode("overwrite").save(path)
-        stored = _read_if_present(spark, path, fmt, schema)
-    return stored
+    if not committed_copies(spark, path):
+        _store_copy(spark, path, fetch(), fmt)
+    reader = spark.read.format(fmt).option("header", True)
+    return (reader.schema(schema) if schema else reader).load(f"{path}/{COPY}{committed_copies(spark, path)[0]}")
+
+
+def _store_copy(spark: SparkSession, path: str, df: DataFrame, fmt: str) -> None:
+    own = uuid.uuid4().hex
+    folder = f"{path}/{COPY}{own}"
+    df.write.format(fmt).option("header", True).save(folder)
+    system, mark = _hadoop(spark, f"{path}/{MARK}{own}")
+    system.createNewFile(mark)
+    if committed_copies(spark, path)[0] != own:
+        system.delete(mark, False)
+        system.delete(_hadoop(spark, folder)[1], True)
+
+
+def committed_copies(spark: SparkSession, path: str) -> list[str]:
+    """Ids of a version's whole copies, the one marked first in front."""
+    system, folder = _hadoop(spark, path)
+    if not system.exists(folder):
+        return []
+    marks = [(f.getModificationTime(), f.getPath().getName()) for f in system.listStatus(folder)]
+    return [name.removeprefix(MARK) for _, name in sorted(marks) if name.startswith(MARK)]
 
 
-def latest_version(
-    spark: SparkSession, base: str, fmt: str = "parquet", schema: StructType | str | None = None
-) -> str | None:
-    """Highest version folder that holds data; None when there is none."""
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """Highest version folder that holds a whole copy; None when there is none."""
     names = [n.removeprefix("version=") for n in folder_names(spark, base) if n.startswith("version=")]
     parts = lambda v: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", v)]
     numbered = [n for n in names if re.search(r"\d", n)]
     for name in [*sorted(numbered, key=parts, reverse=True), *sorted(set(names) - set(numbered), reverse=True)]:
-        if _read_if_present(spark, f"{base}/version={name}", fmt, schema) is not None:
+        if committed_copies(spark, f"{base}/version={name}"):
             return name
     return None
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right below a path, on the driver."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    """Names of the version folders right below a path, on the driver."""
+    system, folder = _hadoop(spark, path)
     if not system.exists(folder):
         return []
     return [f.getPath().getName() for f in system.listStatus(folder) if f.isDirectory()]
 
 
-def _read_if_present(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None) -> DataFrame | None:
-    """A stored table; None for a missing path or one that a failed write left
-    without data."""
-    reader = spark.read.format(fmt).option("header", True)
-    try:
-        stored = (reader.schema(schema) if schema else reader).load(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return stored if stored.inputFiles() else None
-
-
 def scan_id_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
     """One id per line, white space around it stripped."""
     return spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias(name))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of all files below a folder; file contents are not read.
-
-    Names that begin with a dot or underscore and empty files are left out by
-    the source. Spark lists the folder on the driver: for very large trees read
-    a stored listing (one ``path`` per row) and pass it to the functions below.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    return files.select(plain.alias("path"))
+def list_files(spark: SparkSession, path: str | Sequence[str], levels: int | None = None) -> DataFrame:
+    """Paths of all files below one or several folders, whatever their names and sizes.
+    Tasks list the folders; see `files.list_tree`."""
+    return list_tree(spark, path, levels).where(~F.col("is_folder")).select("path")
 
 
 def class_dir_files(listing: DataFrame, path: str = "path") -> DataFrame:
@@ -145,7 +157,10 @@ def shard_files(listing: DataFrame, path: str = "path", count: int = SHARD_COUNT
 
 
 def scan_shards(spark: SparkSession, root: str, count: int = SHARD_COUNT) -> DataFrame:
-    return shard_files(list_files(spark, root), count=count)
+    """Files of the numbered shards; each shard folder is listed by its name, and shards
+    that are missing are empty."""
+    folders = [f"{root.rstrip('/')}/{name}/{SHARD_FOLDER}" for name in shard_folders(count)]
+    return shard_files(list_files(spark, folders, 1), count=count)
 
 
 def flat_files(listing: DataFrame, path: str = "path") -> DataFrame:
@@ -154,4 +169,5 @@ def flat_files(listing: DataFrame, path: str = "path") -> DataFrame:
 
 
 def scan_flat_dir(spark: SparkSession, root: str) -> DataFrame:
-    return flat_files(list_files(spark, root))
+    """Files of a folder, without those of folders in it."""
+    return flat_files(list_files(spark, root, 1))

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import subprocess
 import sys
+import time
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 import cohortwise.session as session
@@ -15,6 +18,7 @@ from cohortwise.operators.evaluation import run_summary
 from cohortwise.plans.cohorts import cohort_from_tree
 from cohortwise.session import fitted, materialize, scratch_path
 from cohortwise.sources import scans as SC, sinks as SI
+from cohortwise.sources.files import list_tree, write_files
 
 
 @pytest.fixture
@@ -77,6 +81,40 @@ def test_cached_table_after_a_failed_write(spark, tmp_path, fmt, schema):
     assert SC.cached_table(spark, str(tmp_path), "t", "latest", lambda: spark.range(9), fmt, schema).count() == 2
 
 
+def test_half_written_copy_beside_whole_ones(spark, tmp_path):
+    """Data without a mark is no copy, whatever it holds; it is not read or touched."""
+    half = tmp_path / "name=t" / "version=1" / "copy-broken"
+    spark.range(100).write.parquet(str(half))
+    assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: spark.range(2)).count() == 2
+    assert SC.cached_table(spark, str(tmp_path), "t", "latest", lambda: spark.range(7)).count() == 2
+    assert spark.read.parquet(str(half)).count() == 100
+
+
+def test_one_of_two_writers_wins(spark, tmp_path):
+    """Both find nothing and write; the second gives its copy up and reads the first's,
+    and nobody's rows are mixed or lost."""
+    inner = []
+
+    def slow():
+        inner.append(SC.cached_table(spark, str(tmp_path), "t", "1", lambda: spark.range(3)))
+        time.sleep(1.1)  # marks differ in time, also where it is kept in seconds
+        return spark.range(50)
+
+    outer = SC.cached_table(spark, str(tmp_path), "t", "1", slow)
+    assert outer.count() == inner[0].count() == 3
+    folder = tmp_path / "name=t" / "version=1"
+    assert len([p for p in folder.iterdir() if p.name.startswith("copy-")]) == 1
+    assert len(SC.committed_copies(spark, str(folder))) == 1
+
+
+def test_writers_at_once_agree(spark, tmp_path):
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(SC.cached_table, spark, str(tmp_path), "t", "1", lambda n=n: spark.range(n)) for n in range(1, 5)]
+        counts = {job.result().count() for job in jobs}
+    again = SC.cached_table(spark, str(tmp_path), "t", "1", lambda: spark.range(99)).count()
+    assert again in counts and again in range(1, 5)
+
+
 def test_cached_empty_table(spark, tmp_path):
     empty = spark.range(0)
     assert SC.cached_table(spark, str(tmp_path), "t", "1", lambda: empty).count() == 0
@@ -95,9 +133,46 @@ def test_class_dirs(spark, tree):
                    ("normal-0.png", "normal", 1), ("normal-1.png", "normal", 1), ("normal-2.png", "normal", 1)}
 
 
-def test_listing_reads_no_contents(spark, tree):
-    plan = SC.list_files(spark, str(tree))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string>" in plan
+def test_every_name_and_empty_files_are_listed(spark, tmp_path):
+    names = ["_a", ".b", "c d", "é", "x=1/_SUCCESS", "x=1/deep/er/e"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"")
+    (tmp_path / "none").mkdir()
+    got = {r.path for r in SC.list_files(spark, str(tmp_path)).collect()}
+    assert got == {str(tmp_path / n) for n in names}
+    assert {r.path for r in SC.list_files(spark, f"file://{tmp_path}", 1).collect()} == {str(tmp_path / n) for n in names[:4]}
+    entries = {(r.path, r.is_folder, r.depth) for r in list_tree(spark, str(tmp_path)).collect()}
+    assert (str(tmp_path / "none"), True, 1) in entries and (str(tmp_path / "x=1" / "deep" / "er"), True, 3) in entries
+    assert SC.list_files(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_folders_are_listed_by_tasks(spark, tmp_path):
+    """No folder of the tree is listed by the driver, and folders go to several tasks."""
+    for i in range(30):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "x").write_bytes(b"")
+    driver = os.getpid()
+
+    def lister(folder):
+        yield f"{folder}/{os.getpid() == driver}-{TaskContext.get().partitionId()}", False, 0
+
+    seen = list_tree(spark, [str(tmp_path / f"f{i}") for i in range(30)], lister=lister)
+    names = {r.path.rsplit("/", 1)[1] for r in seen.collect()}
+    assert len(names) > 1 and all(n.startswith("False-") for n in names)
+
+
+def test_files_are_written_by_tasks(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = [("a/b.txt", "text"), ("a/empty", ""), ("only/folder", None)]
+    for _ in range(2):  # a second write leaves the same
+        write_files(spark.createDataFrame(rows, "name string, content string"), root)
+    assert sorted(p.relative_to(root).as_posix() for p in Path(root).rglob("*")) == [
+        "a", "a/b.txt", "a/empty", "only", "only/folder"]
+    assert Path(root, "a/b.txt").read_text() == "text" and os.listdir(tmp_path) == ["out"]
+    for bad in ("../x", "/etc/x", "a/../../x"):
+        with pytest.raises(Exception, match="not below the root"):
+            write_files(spark.createDataFrame([(bad, "")], "name string, content string"), root)
 
 
 def test_cohort_from_tree(spark, tree):
@@ -113,7 +188,7 @@ def test_train_and_test_share_their_codes(spark, tmp_path):
         (tmp_path / name / "x.png").write_bytes(b"" if name == "test/A" else b"x")
     rows = cohort_from_tree(spark, str(tmp_path)).collect()
     assert {(r.split, r.class_name, r.labels) for r in rows} == {
-        ("train", "A", 0), ("train", "B", 1), ("train", "C", 2), ("test", "B", 1), ("test", "C", 2)}
+        ("train", "A", 0), ("train", "B", 1), ("train", "C", 2), ("test", "A", 0), ("test", "B", 1), ("test", "C", 2)}
 
 
 def test_shards(spark, tmp_path):
