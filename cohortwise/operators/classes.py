@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortwise.functions.labels import one_hot
 from cohortwise.operators.ranks import ordered_rank
-from cohortwise.session import fitted
+from cohortwise.session import fitted_or_stored
 
 # Widest one-hot table; more classes stay in long form (`one_hot_long`).
 MAX_WIDTH = 500
@@ -24,9 +24,9 @@ def class_codes(df: DataFrame, label: str, code: str = "code") -> DataFrame:
     """Dense codes from 0 in label order. Ranks distinct labels only: few of them
     in one task, many over ranges of labels."""
     distinct = df.select(label).where(F.col(label).isNotNull()).distinct()
-    classes = fitted(distinct)
-    if classes is distinct:
-        return ordered_rank(distinct, label, [], name=code).withColumn(code, (F.col(code) - 1).cast("int"))
+    classes, small = fitted_or_stored(distinct)
+    if not small:
+        return ordered_rank(classes, label, [], name=code).withColumn(code, (F.col(code) - 1).cast("int"))
     position = F.row_number().over(Window.orderBy(label)) - 1
     return F.broadcast(classes.select(label, position.cast("int").alias(code)))
 

@@ -69,6 +69,10 @@ VIEWS: dict[str, str] = {
         SELECT vec_id, label AS y_true, list_transform(embedding, lambda x: x::DOUBLE) AS logits,
                list_position(embedding, list_max(embedding)) - 1 AS y_pred
         FROM embeddings""",
+    "v_pred_gaps": """
+        SELECT vec_id, embedding AS logits, CASE vec_id % 10 WHEN 3 THEN NULL WHEN 4 THEN label + 100 WHEN 5 THEN -2 ELSE label END AS y_true,
+               CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 2 = 0 THEN label ELSE 1 END AS y_pred
+        FROM embeddings""",
     "v_pred_lines": """
         SELECT l_orderkey, l_linenumber, (l_returnflag = 'R')::INT AS y_true, (l_quantity > 25)::INT AS y_pred,
                l_extendedprice AS score, [0::DOUBLE, (l_quantity - 25) / 10] AS logits,
@@ -328,8 +332,49 @@ oracle(
 oracle("roc_auc", "SELECT round(roc_auc, 6) AS roc_auc FROM a", auc("v_pred2", "score"))
 oracle("roc_auc_lines", "SELECT round(roc_auc, 6) AS roc_auc FROM a", auc("v_pred_lines", "score"))
 oracle("roc_auc_hard", "SELECT round(roc_auc, 6) AS roc_auc FROM a", auc("v_pred_lines", "y_pred"))
-oracle("mean_loss", f"SELECT round(avg({LOSS}), 6) AS loss FROM v_pred10")
-oracle("mean_loss_lines", f"SELECT round(avg({LOSS}), 6) AS loss FROM v_pred_lines")
+WITHOUT_LOSS = f"count({LOSS}) AS n, count(*) - count({LOSS}) AS without_loss"
+oracle("mean_loss", f"SELECT round(avg({LOSS}), 6) AS loss, {WITHOUT_LOSS} FROM v_pred10")
+oracle("mean_loss_lines", f"SELECT round(avg({LOSS}), 6) AS loss, {WITHOUT_LOSS} FROM v_pred_lines")
+SAME = "avg((y_true IS NOT DISTINCT FROM y_pred)::INT)"
+oracle("accuracy_gaps", f"""SELECT round({SAME}, 6) AS accuracy, unnest(['plain', 'named', 'classes']) AS path
+    FROM v_pred_gaps""")
+oracle("topk_gaps", """SELECT round(avg((y_true BETWEEN 0 AND len(logits) - 1
+        AND len(list_filter(logits, lambda x: x > logits[y_true + 1])) < 3 AND y_true IS NOT NULL)::INT), 6) AS topk
+    FROM (SELECT logits, coalesce(y_true, -1) AS y_true FROM v_pred_gaps)""")
+oracle("confusion_matrix_gaps", """SELECT t.label AS y_true, p.label AS y_pred, count(g.vec_id) AS n
+    FROM (SELECT y_true AS label FROM v_pred_gaps UNION SELECT y_pred FROM v_pred_gaps) t
+    CROSS JOIN (SELECT y_true AS label FROM v_pred_gaps UNION SELECT y_pred FROM v_pred_gaps) p
+    LEFT JOIN v_pred_gaps g ON g.y_true IS NOT DISTINCT FROM t.label AND g.y_pred IS NOT DISTINCT FROM p.label GROUP BY 1, 2""")
+oracle("run_report_gaps", """SELECT (generate_subscripts(l, 1) - 1)::INT AS line_no, unnest(l) AS line FROM (SELECT [
+        '### Confusion matrix',
+        '|  | ' || (SELECT string_agg(coalesce(label::VARCHAR, 'null'), ' | ' ORDER BY label NULLS FIRST) FROM r_l) || ' |',
+        '| --- |' || (SELECT repeat(' --- |', count(*)) FROM r_l)]
+        || (SELECT list('| ' || coalesce(y::VARCHAR, 'null') || ' | ' || cells || ' |' ORDER BY y NULLS FIRST) FROM r_c) || [''] AS l)""",
+    "r_l AS (SELECT y_true AS label FROM v_pred_gaps UNION SELECT y_pred FROM v_pred_gaps)",
+    """r_n AS (SELECT t.label AS y, p.label AS p, count(g.vec_id) AS n FROM r_l t CROSS JOIN r_l p LEFT JOIN v_pred_gaps g
+        ON g.y_true IS NOT DISTINCT FROM t.label AND g.y_pred IS NOT DISTINCT FROM p.label GROUP BY 1, 2)""",
+    "r_c AS (SELECT y, string_agg(n, ' | ' ORDER BY p NULLS FIRST) AS cells FROM r_n GROUP BY y)")
+oracle("write_eval_names", """SELECT g.split, g.epoch, t.label AS y_true, p.label AS y_pred, t.called AS true_name,
+        p.called AS pred_name, count(l.l_orderkey) AS n
+    FROM (SELECT DISTINCT split, epoch FROM v_pred_lines) g
+    CROSS JOIN (VALUES (0, 'kept'), (1, 'returned'), (2, 'lost')) t(label, called)
+    CROSS JOIN (VALUES (0, 'kept'), (1, 'returned'), (2, 'lost')) p(label, called)
+    LEFT JOIN v_pred_lines l ON l.split = g.split AND l.epoch = g.epoch AND l.y_true = t.label AND l.y_pred = p.label
+    GROUP BY ALL""")
+BY_EPOCH = """SELECT split, epoch, sum(p * (below + n / 2.0::DOUBLE)) / (sum(p) * sum(n)) AS roc_auc FROM (
+    SELECT *, coalesce(sum(n) OVER (PARTITION BY split, epoch ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below
+    FROM (SELECT split, epoch, score, count(*) FILTER (y_true = 1)::DOUBLE AS p, count(*) FILTER (y_true <> 1)::DOUBLE AS n
+          FROM v_pred_lines GROUP BY 1, 2, 3)) GROUP BY 1, 2"""
+oracle("roc_auc_epochs", f"SELECT split, epoch, round(roc_auc, 6) AS roc_auc FROM ({BY_EPOCH})")
+oracle("epoch_metrics_scores", f"""SELECT split, epoch, 'roc_auc' AS metric, round(roc_auc, 6) AS value FROM ({BY_EPOCH})
+    UNION ALL SELECT split, epoch, 'accuracy', round(avg((y_true = y_pred)::INT), 6) FROM v_pred_lines GROUP BY 1, 2
+    UNION ALL SELECT split, epoch, 'loss', round(avg({LOSS}), 6) FROM v_pred_lines GROUP BY 1, 2""")
+oracle("roc_auc_classes", """SELECT c AS positive, round(sum(p * (below + n / 2.0::DOUBLE)) / (sum(p) * sum(n)), 6) AS roc_auc FROM (
+    SELECT *, coalesce(sum(n) OVER (PARTITION BY c ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below
+    FROM (SELECT c, logits[c + 1] AS score, count(*) FILTER (y_true = c)::DOUBLE AS p, count(*) FILTER (y_true <> c)::DOUBLE AS n
+          FROM v_pred10 CROSS JOIN (VALUES (0), (1), (2)) t(c) GROUP BY 1, 2)) GROUP BY 1""")
+oracle("custom_metric_merged", """SELECT split, epoch, round(avg(r), 6) AS balanced_accuracy FROM (
+    SELECT split, epoch, y_true, avg((y_true = y_pred)::INT) AS r FROM v_pred_lines GROUP BY 1, 2, 3) GROUP BY 1, 2""")
 oracle("accuracy", "SELECT round(avg((y_true = y_pred)::INT), 6) AS accuracy FROM v_pred_lines")
 oracle("custom_metric", """SELECT split, epoch, round(avg(r), 6) AS balanced_accuracy FROM (
     SELECT split, epoch, y_true, avg((y_true = y_pred)::INT) AS r FROM v_pred_lines GROUP BY 1, 2, 3) GROUP BY 1, 2""")
@@ -371,13 +416,15 @@ oracle("epoch_metrics", f"""SELECT split, epoch, split || '_' || metric AS metri
 
 # --- run logs ---
 oracle("best_epochs", """SELECT run_id, epoch, value, place FROM (
-    SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY value, epoch))::INT AS place FROM v_metric_log) WHERE place <= 2""")
+    SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY value, epoch))::INT AS place
+    FROM v_metric_log WHERE metric = 'error') WHERE place <= 2""")
 oracle(
     "early_stop",
-    """SELECT run_id, count(*) AS epochs, min(CASE WHEN epoch - last >= 10 THEN epoch END) AS stop_epoch FROM e_l GROUP BY 1""",
-    """e_b AS (SELECT run_id, epoch, value, max(value) OVER (PARTITION BY run_id ORDER BY epoch
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM v_metric_log)""",
-    """e_l AS (SELECT run_id, epoch, max(CASE WHEN best IS NULL OR value > best THEN epoch END) OVER (
+    """SELECT run_id, count(*) AS epochs, min(CASE WHEN place - last >= 10 THEN epoch END) AS stop_epoch FROM e_l GROUP BY 1""",
+    """e_b AS (SELECT run_id, epoch, value, row_number() OVER (PARTITION BY run_id ORDER BY epoch) AS place,
+        max(value) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+        FROM v_metric_log WHERE metric = 'view')""",
+    """e_l AS (SELECT run_id, epoch, place, max(CASE WHEN best IS NULL OR value > best THEN place END) OVER (
         PARTITION BY run_id ORDER BY epoch) AS last FROM e_b)""",
 )
 oracle("last_metrics", """SELECT run_id, split, metric, max(epoch) AS epoch, arg_max(value, epoch) AS value

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -505,6 +506,85 @@ def accuracy(spark, d):
     return rounded(E.accuracy(V.pred_lines(spark, d)), "accuracy")
 
 
+@query
+def accuracy_gaps(spark, d):
+    """Null truths and predictions are labels like others, by every path to the accuracy."""
+    gaps = V.pred_gaps(spark, d)
+    named = E.metrics_by_name(gaps, ["Accuracy"]).withColumn("path", F.lit("named"))
+    classes = E.class_metrics_by_name(gaps, ["Accuracy"]).withColumn("path", F.lit("classes"))
+    plain = E.accuracy(gaps).withColumn("path", F.lit("plain"))
+    return rounded(plain.unionByName(named).unionByName(classes), "accuracy")
+
+
+@query
+def topk_gaps(spark, d):
+    """Truths without a score are misses."""
+    return rounded(E.class_metrics_by_name(V.pred_gaps(spark, d), ["TopK"], scores="logits", k=3), "topk")
+
+
+@query
+def confusion_matrix_gaps(spark, d):
+    return E.confusion_matrix(V.pred_gaps(spark, d))
+
+
+@query
+def run_report_gaps(spark, d):
+    """The lines of the matrix, null labels among them."""
+    report = SI.run_report(V.pred_gaps(spark, d), "net", None, spark.createDataFrame([("k", "v")], "key string, value string"))
+    return report.where("section = 2").select("line_no", "line")
+
+
+@query
+def write_eval_names(spark, d):
+    """The matrix of a fixed label set, with the names of its rows and columns."""
+    path, lines = scratch_path(spark, "eval"), V.pred_lines(spark, d).select("split", "epoch", "y_true", "y_pred")
+    labels = spark.createDataFrame([(0, "kept"), (1, "returned"), (2, "lost")], "label int, called string")
+    SI.write_eval(lines, path, labels=labels, names="called")
+    return spark.read.parquet(f"{path}/confusion_matrix")
+
+
+@query
+def roc_auc_epochs(spark, d):
+    """AUC on real scores, by split and epoch."""
+    return rounded(E.roc_auc(V.pred_lines(spark, d), "score", by=["split", "epoch"]), "roc_auc")
+
+
+@query
+def epoch_metrics_scores(spark, d):
+    table = E.epoch_metrics(V.pred_lines(spark, d), ["split", "epoch"], "logits", auc_score="score")
+    return rounded(table.where(F.col("metric").isin("roc_auc", "accuracy", "loss")), "value")
+
+
+@query
+def roc_auc_classes(spark, d):
+    """One class against all others, by its score."""
+    scored = E.with_prediction(V.pred10(spark, d), "logits")
+    parts = [
+        E.class_metrics_by_name(scored, ["ROC_AUC"], scores="logits", positive=c).withColumn("positive", F.lit(c))
+        for c in range(3)
+    ]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), "roc_auc")
+
+
+def recall_state(state, y_true, y_pred):
+    """Rows and hits of classes 0 and 1."""
+    hit = (y_true == y_pred).to_numpy()
+    return state + [n for c in (0, 1) for n in ((y_true == c).sum(), (hit & (y_true == c).to_numpy()).sum())]
+
+
+def mean_recall(state) -> float:
+    return float(np.mean([hits / n for n, hits in zip(state[::2], state[1::2]) if n]))
+
+
+RECALL = E.MergeableMetric(lambda: np.zeros(4), recall_state, np.add, mean_recall)
+
+
+@query
+def custom_metric_merged(spark, d):
+    scored = E.custom_metric_merged(V.pred_lines(spark, d), RECALL, ["split", "epoch"], "balanced_accuracy")
+    return rounded(scored, "balanced_accuracy")
+
+
 def balanced_accuracy(y_true: pd.Series, y_pred: pd.Series, weight: pd.Series) -> float:
     """Mean recall over the classes that occur."""
     hits = (weight * (y_true == y_pred)).groupby(y_true).sum()
@@ -547,14 +627,15 @@ def epoch_metrics(spark, d):
 
 @query
 def best_epochs(spark, d):
-    return W.best_epochs(V.metric_log(spark, d), ["run_id"], "value", "loss", 2).select(
+    log = V.metric_log(spark, d).where("metric = 'error'")
+    return W.best_epochs(log, ["run_id"], "value", "loss", 2).select(
         "run_id", "epoch", "value", "place"
     )
 
 
 @query
 def early_stop(spark, d):
-    log = stored(V.metric_log(spark, d), "metric-log")
+    log = stored(V.metric_log(spark, d).where("metric = 'view'"), "metric-log")
     return W.early_stop(log, ["run_id"], "value", "accuracy", 10, chunk_size=16)
 
 

@@ -120,6 +120,17 @@ def pred10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pred_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions over many classes with gaps: null truths and predictions, and truths
+    that no score belongs to, beyond the last class or negative."""
+    row, label = F.col("vec_id") % 10, F.col("label")
+    truth = F.when(row == 3, None).when(row == 4, label + 100).when(row == 5, -2).otherwise(label)
+    guess = F.when(F.col("vec_id") % 7 == 0, None).otherwise(F.when(F.col("vec_id") % 2 == 0, label).otherwise(1))
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", truth.alias("y_true"), guess.alias("y_pred"), F.col("embedding").alias("logits")
+    )
+
+
 def pred_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many predictions with real scores: order lines, the price as score."""
     return table(spark, sf_dir, "lineitem").select(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Largest fitted table (class lists, quotas, cut values) brought to the driver
 # and broadcast. Beyond it the same table stays a distributed DataFrame.
 FIT_ROWS = 10_000
+FIT_BYTES = 8_000_000
 
 # Scratch folders, each with the file system settings it was made under.
 _scratch: dict[str, object] = {}
@@ -58,17 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Evaluate a small fit result once and hand it back ready to broadcast.
+def fitted_or_stored(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
+    """Evaluate a fit result once: ready to broadcast, and True, if it is small.
 
-    At most ``limit + 1`` rows reach the driver. A larger result is returned
-    unchanged and without a hint, so that Spark joins it by its own size rules.
+    At most ``limit + 1`` rows reach the driver. A result of more rows, or of more than
+    `FIT_BYTES`, is stored instead and comes back without a hint, so that Spark joins
+    it by its own size rules and nothing reads the data behind it again.
     """
     limit = FIT_ROWS if limit is None else limit
-    table = df.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+    held = df.persist()  # for the look at its size and, if that is large, the copy
+    try:
+        table = held.limit(limit + 1).toArrow()
+        if table.num_rows > limit or table.nbytes > FIT_BYTES:
+            return materialize(held, "fit"), False
+    finally:
+        held.unpersist()
+    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema)), True
+
+
+def fitted(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """The result of `fitted_or_stored`, whichever it is."""
+    return fitted_or_stored(df, limit)[0]
 
 
 def delete_path(path: str) -> None:

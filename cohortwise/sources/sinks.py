@@ -21,6 +21,7 @@ from cohortwise.operators.runs import numeric_metrics
 
 # Fixed values
 SHUFFLED_SPLITS = ("train", "val")
+NULL_LABEL = "null"
 TITLE = "# Run summary"
 RESULTS_HEADING = "## Test results"
 METRICS_HEADING = "### Evaluation metrics"
@@ -63,8 +64,9 @@ def write_eval(
 
     Either of one split and epoch, or of all those named in the columns ``split``
     and ``epoch`` of the predictions, which are read once for all. ``labels`` fixes
-    the label set, its column ``names`` is what the report shows. More labels than
-    ``max_axis`` are an error before anything is written.
+    the label set of report and matrix; its column ``names`` is what the report shows
+    and names the matrix's rows and columns. More labels than ``max_axis`` are an error
+    before anything is written.
     """
     if split is not None:
         predictions = predictions.withColumn("split", F.lit(split))
@@ -76,7 +78,7 @@ def write_eval(
     report = report_from_counts(counts, labels, names, by)
     write_parts(predictions, f"{path}/predictions", by)
     write_parts(report, f"{path}/classification_report", by)
-    write_parts(matrix_from_counts(counts, by=by, max_axis=max_axis), f"{path}/confusion_matrix", by)
+    write_parts(matrix_from_counts(counts, labels, by, max_axis, names), f"{path}/confusion_matrix", by)
 
 
 def log_metrics(df: DataFrame, path: str, parts: Sequence[str] = ("split", "epoch")) -> None:
@@ -115,13 +117,21 @@ def number_text(value: Column) -> Column:
 
 
 def run_report(
-    predictions: DataFrame, model_name: str, scores: str | None, config: DataFrame, auc_score: str = "y_pred"
+    predictions: DataFrame,
+    model_name: str,
+    scores: str | None,
+    config: DataFrame,
+    auc_score: str = "y_pred",
+    labels: DataFrame | None = None,
+    names: str | None = None,
+    max_axis: int | None = None,
 ) -> DataFrame:
     """Markdown report of a run as ordered lines (section, line_no, line).
 
     Metrics row, confusion matrix in label order, and the configuration, a table
-    of ``key`` and ``value``. The input of the formatting is at most classes x
-    classes rows.
+    of ``key`` and ``value``. ``labels`` fixes the axes of the matrix, whose rows and
+    columns its column ``names`` can name; a null label or name reads `NULL_LABEL`. The
+    input of the formatting is at most classes x classes rows, ``max_axis`` classes.
     """
     counts = loss_counts(predictions, scores)
     auc = None if auc_score == "y_pred" else roc_auc(predictions, auc_score)
@@ -138,19 +148,22 @@ def run_report(
     metrics = summary.select(F.lit(1).alias("section"), F.posexplode(F.array(*metric_lines)).alias("line_no", "line"))
 
     row = F.sort_array(F.collect_list(F.struct("y_pred", "n")))
-    matrix = matrix_from_counts(counts.drop("loss", "n_loss")).groupBy("y_true").agg(row.alias("cells"))
-    table = F.sort_array(F.collect_list(F.struct("y_true", "cells")))
+    full = matrix_from_counts(counts.drop("loss", "n_loss"), labels, (), max_axis, names)
+    called = F.col("true_name") if "true_name" in full.columns else F.col("y_true")
+    shown = F.coalesce(called.cast("string"), F.lit(NULL_LABEL))
+    matrix = full.withColumn("shown", shown).groupBy("y_true", "shown").agg(row.alias("cells"))
+    table = F.sort_array(F.collect_list(F.struct("y_true", "shown", "cells")))
     lines = F.transform(
         "table",
         lambda r: F.concat(
             F.lit("| "),
-            r["y_true"].cast("string"),
+            r["shown"],
             F.lit(" | "),
             F.array_join(F.transform(r["cells"], lambda c: c["n"].cast("string")), " | "),
             F.lit(" |"),
         ),
     )
-    names = F.array_join(F.transform("table", lambda r: r["y_true"].cast("string")), " | ")
+    names = F.array_join(F.transform("table", lambda r: r["shown"]), " | ")
     rule = F.concat(F.lit("| --- |"), F.repeat(F.lit(" --- |"), F.size("table")))
     confusion = matrix.agg(table.alias("table")).select(
         F.lit(2).alias("section"),

@@ -4,10 +4,12 @@ import logging
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cohortwise.operators import evaluation as E
+from cohortwise.sources import sinks as SI
 
 
 def predictions(spark, pairs, schema="y_true int, y_pred int"):
@@ -184,3 +186,93 @@ def test_report_names_by_group(spark):
 def test_rows_without_a_loss_count_alike(spark):
     df = spark.createDataFrame([(0, 0, [2.0, 1.0]), (1, 0, [0.0, 1.0]), (5, 1, [1.0, 1.0])], "y_true int, y_pred int, s array<double>")
     assert E.run_summary(df, "m", "s").first().loss == pytest.approx(E.mean_loss(df, "s").first().loss)
+
+
+def gaps(spark):
+    """Six rows, two without a prediction and one pair of nulls."""
+    rows = [(0, 0), (1, 1), (1, None), (0, None), (None, None), (2, 1)]
+    return spark.createDataFrame(rows, "y_true int, y_pred int")
+
+
+def test_null_rules_agree(spark):
+    """A null is a label like others, by every path to the accuracy."""
+    df = gaps(spark)
+    want = pytest.approx(3 / 6)
+    assert E.accuracy(df).first().accuracy == want
+    assert E.metrics_by_name(df, ["accuracy"]).first().accuracy == want
+    assert E.class_metrics_by_name(df, ["accuracy"]).first().accuracy == want
+    assert E.run_summary(df, "m").first().accuracy == want
+    assert {r.label: r.precision for r in E.classification_report(df).collect()}["accuracy"] == want
+
+
+def test_top_k_counts_truths_without_a_score_as_misses(spark):
+    rows = [(0, [0.9, 0.1, 0.0]), (7, [0.9, 0.1, 0.0]), (-2, [0.9, 0.1, 0.0]), (None, [0.5, 0.2, 0.3]),
+            (1, None), (1, [0.1, float("nan"), 0.0])]
+    df = spark.createDataFrame(rows, "y_true int, scores array<double>").withColumn("y_pred", F.lit(0))
+    assert E.class_metrics_by_name(df, ["topk"], scores="scores", k=1).first().topk == pytest.approx(1 / 6)
+
+
+def test_report_shows_a_null_label_and_names(spark):
+    config = spark.createDataFrame([("k", "v")], "key string, value string")
+    lines = SI.run_report(gaps(spark), "m", None, config).where("section = 2").orderBy("line_no").collect()
+    assert [r.line for r in lines][1:4] == ["|  | null | 0 | 1 | 2 |", "| --- | --- | --- | --- | --- |", "| null | 1 | 0 | 0 | 0 |"]
+    labels = spark.createDataFrame([(None, "none"), (0, "zero"), (1, "one"), (2, "two")], "label int, called string")
+    named = SI.run_report(gaps(spark), "m", None, config, labels=labels, names="called")
+    assert [r.line for r in named.where("section = 2").orderBy("line_no").collect()][1] == "|  | none | zero | one | two |"
+    with pytest.raises(ValueError, match="outside the label set"):
+        E.confusion_matrix(gaps(spark), labels.where("label = 0"))
+
+
+def plain_auc(rows):
+    p, n = [s for t, s in rows if t == 1], [s for t, s in rows if t == 0]
+    return sum((a > b) + (a == b) / 2 for a in p for b in n) / (len(p) * len(n)) if p and n else None
+
+
+def test_auc_by_group_equals_all_pairs(spark):
+    """One group has most of the rows, one a single class; null groups are groups."""
+    rnd = random.Random(2)
+    rows = [("big" if rnd.random() < 0.9 else rnd.choice(["a", None]), rnd.randint(0, 1), rnd.randint(0, 60) / 7) for _ in range(900)]
+    rows += [("one", 1, 0.5), ("one", 1, 0.7)]
+    df = spark.createDataFrame(rows, "g string, y_true int, score double").withColumn("y_pred", F.lit(0))
+    got = {r.g: r.roc_auc for r in E.roc_auc(df, "score", by=["g"]).collect()}
+    want = {g: plain_auc([(t, s) for h, t, s in rows if h == g]) for g in {r[0] for r in rows}}
+    assert got.keys() == want.keys() and got["one"] is None
+    assert all(got[g] == pytest.approx(want[g]) for g in want if want[g] is not None)
+
+
+def mean_difference():
+    """Made here, so that tasks get the functions themselves."""
+
+    def update(state, y_true, y_pred):
+        known = y_true.notna() & y_pred.notna()
+        return state + [known.sum(), (y_true - y_pred)[known].abs().sum()]
+
+    return E.MergeableMetric(lambda: np.zeros(2), update, np.add, lambda s: s[1] / s[0] if s[0] else np.nan)
+
+
+@pytest.mark.parametrize("groups", [1, 10_000])
+def test_merged_metric_over_many_values(spark, monkeypatch, groups):
+    """A metric over numbers, not classes: a group with most of the rows, far more pairs
+    than a task would be given, tasks that hand on their states early, null groups."""
+    monkeypatch.setattr(E, "STATE_GROUPS", groups)
+    rows = spark.range(0, 30_000, 1, 7).selectExpr(
+        "CASE WHEN id % 10 = 3 THEN 'few' WHEN id % 100 = 7 THEN NULL ELSE 'big' END AS g",
+        "double(id) AS y_true", "id + id % 5 AS y_pred")
+    got = {r.g: r.value for r in E.custom_metric_merged(rows, mean_difference(), ["g"]).collect()}
+    want = {r.g: r.v for r in rows.groupBy("g").agg(F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("v")).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_merged_metric_spreads_a_hot_group(spark):
+    """Each task hands on one state for each group; the merging steps see no rows."""
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("IF(id % 10 = 0, 'b', 'a') AS g", "1 AS y_true", "1 AS y_pred")
+    merged = E.custom_metric_merged(rows, mean_difference(), ["g"])
+    assert {r.g: r.value for r in merged.collect()} == {"a": 0.0, "b": 0.0}
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.index("MapInPandas") > plan.rindex("Exchange")  # the states are made before any shuffle
+
+
+def test_merged_metric_of_the_whole_table(spark):
+    rows = spark.range(100).selectExpr("id AS y_true", "id + 2 AS y_pred")
+    assert E.custom_metric_merged(rows, mean_difference(), []).first().value == 2.0
+    assert E.custom_metric_merged(rows.limit(0), mean_difference(), ["y_true"]).count() == 0

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 import cohortwise.session as session
-from cohortwise.operators.evaluation import run_summary
+from cohortwise.operators.evaluation import confusion_counts, run_summary
 from cohortwise.plans.cohorts import cohort_from_tree
 from cohortwise.session import fitted, materialize, scratch_path
 from cohortwise.sources import scans as SC, sinks as SI
@@ -335,13 +335,35 @@ def test_no_machine_local_scratch_on_a_cluster():
     assert scratch_path(Bare("local[2]"), "x").startswith("file:")
 
 
-def test_fitted_stops_at_its_limit(spark, monkeypatch):
-    small = fitted(spark.range(5), 5)
-    assert "LocalRelation" in small._jdf.queryExecution().optimizedPlan().toString()
+def test_large_fits_are_stored(spark, monkeypatch):
+    """Beyond a number of rows or bytes a fit is a stored table; below, it is local."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan(fitted(spark.range(5), 5))
     big = spark.range(6)
-    assert fitted(big, 5) is big
+    stored = fitted(big, 5)
+    assert "parquet" in plan(stored) and sorted(r.id for r in stored.collect()) == list(range(6))
     monkeypatch.setattr(session, "FIT_ROWS", 3)
-    assert fitted(big) is big
+    assert "parquet" in plan(fitted(big))
+    monkeypatch.setattr(session, "FIT_BYTES", 20)
+    assert "parquet" in plan(fitted(spark.range(3)))
+    assert not spark._jsc.sc().getPersistentRDDs().size()
+
+
+def test_large_counts_read_the_predictions_once(spark, tmp_path):
+    """20,000 label pairs, twice what a fit brings to the driver."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    rows = spark.range(40_000).selectExpr("cast(id % 150 as int) AS y_true", "cast(id % 20000 % 137 as int) AS y_pred")
+    predictions = rows.mapInPandas(seen, "y_true int, y_pred int")
+    config = spark.createDataFrame([("k", "v")], "key string, value string")
+    report = SI.run_report(predictions, "net", None, config)
+    assert confusion_counts(rows).count() > 10_000
+    assert report.count() > 150 and read.value == 40_000
 
 
 def test_a_number_is_later_than_a_word(spark, tmp_path):
