@@ -373,6 +373,14 @@ oracle("roc_auc_classes", """SELECT c AS positive, round(sum(p * (below + n / 2.
     SELECT *, coalesce(sum(n) OVER (PARTITION BY c ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below
     FROM (SELECT c, logits[c + 1] AS score, count(*) FILTER (y_true = c)::DOUBLE AS p, count(*) FILTER (y_true <> c)::DOUBLE AS n
           FROM v_pred10 CROSS JOIN (VALUES (0), (1), (2)) t(c) GROUP BY 1, 2)) GROUP BY 1""")
+oracle("vector_moments", """SELECT side AS "set", i, j, round(mean_i, 6) AS mean_i, round(mean_j, 6) AS mean_j,
+        round((products - n * mean_i * mean_j) / (n - 1), 6) AS covariance, n, skipped
+    FROM (SELECT x.side, x.i::INT AS i, y.i::INT AS j, sum(x.v * y.v) AS products, avg(x.v) AS mean_i, avg(y.v) AS mean_j,
+                 count(*) AS n FROM m_v x JOIN m_v y ON x.vec_id = y.vec_id AND x.i <= y.i GROUP BY 1, 2, 3)
+    JOIN (SELECT side, count(*) FILTER (vec_id % 50 = 0) AS skipped FROM m_s GROUP BY 1) USING (side)""",
+    "m_s AS (SELECT *, CASE WHEN label < 5 THEN 'real' ELSE 'fake' END AS side FROM embeddings)",
+    """m_v AS (SELECT vec_id, side, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS v
+        FROM m_s WHERE vec_id % 50 <> 0)""")
 oracle("custom_metric_merged", """SELECT split, epoch, round(avg(r), 6) AS balanced_accuracy FROM (
     SELECT split, epoch, y_true, avg((y_true = y_pred)::INT) AS r FROM v_pred_lines GROUP BY 1, 2, 3) GROUP BY 1, 2""")
 oracle("accuracy", "SELECT round(avg((y_true = y_pred)::INT), 6) AS accuracy FROM v_pred_lines")

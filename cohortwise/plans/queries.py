@@ -1004,6 +1004,14 @@ def frechet_distance(spark, d):
     return rounded(X.frechet_distance(vector_sides(spark, d), "embedding", "side", "real", "fake"), "frechet_distance")
 
 
+@query
+def vector_moments(spark, d):
+    """Means and covariances of both sets; every 50th vector is missing and counted."""
+    gaps = F.when(F.col("vec_id") % 50 != 0, F.col("embedding")).alias("embedding")
+    found = X.vector_moments(vector_sides(spark, d).select("side", gaps), "embedding", "side", tile=24)
+    return rounded(found, "mean_i", "mean_j", "covariance")
+
+
 @query
 def inception_score(spark, d):
     scored = X.inception_score(V.pred10(spark, d), "logits", ["vec_id"], SEED)

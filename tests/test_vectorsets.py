@@ -106,3 +106,39 @@ def test_pair_ssim(spark, sets):
 def test_ssim_of_equal_vectors_is_one(spark):
     df = spark.createDataFrame([([1.0, 2.0, 5.0], [1.0, 2.0, 5.0])], "x array<double>, y array<double>")
     assert X.ssim(df, "x", "y", 4.0).first().ssim == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("tile", [1, 3, 8, 9, 100])
+def test_moments_equal_numpy(spark, sets, tile):
+    """Whatever the tiles; null vectors are counted, also of a set that has no others."""
+    df = frame(spark, sets).select("v", "side")
+    more = [(None, "real"), (None, "real"), (None, "empty"), ([1.0] * len(sets[0][0]), None)]
+    df = df.unionByName(spark.createDataFrame(more, df.schema))
+    rows = X.vector_moments(df, "v", "side", tile=tile).collect()
+    for name, vectors, skipped in (("real", sets[0], 2), ("fake", sets[1], 0)):
+        mean, covariance = np.mean(vectors, axis=0), np.cov(np.asarray(vectors).T)
+        own = [r for r in rows if r["set"] == name]
+        assert len(own) == len(mean) * (len(mean) + 1) // 2
+        assert {(r.n, r.skipped) for r in own} == {(len(vectors), skipped)}
+        for r in own:
+            assert (r.mean_i, r.mean_j) == pytest.approx((mean[r.i], mean[r.j]))
+            assert r.covariance == pytest.approx(covariance[r.i, r.j])
+    assert {r["set"] for r in rows} == {"real", "fake"}
+
+
+def test_partial_moments_do_not_grow_with_the_splits(spark, sets):
+    """Tasks are as many as run at a time, however many splits the vectors have."""
+    tiles = X.gram_tiles(frame(spark, sets, 200), "v", "side")
+    written = tiles._jdf.queryExecution().toRdd().getNumPartitions()
+    assert written <= spark.sparkContext.defaultParallelism
+    plan = tiles._jdf.queryExecution().executedPlan().toString()
+    assert f"Coalesce {spark.sparkContext.defaultParallelism}" in plan
+
+
+def test_distance_counts_what_it_skips(spark, sets):
+    df = frame(spark, sets).select("v", "side")
+    df = df.unionByName(spark.createDataFrame([(None, "real")] * 3, df.schema))
+    row = X.frechet_distance(df, "v", "side", "real", "fake").first()
+    assert (row.n_real, row.n_fake, row.skipped) == (len(sets[0]), len(sets[1]), 3)
+    with pytest.raises(Exception, match="at most 2"):
+        X.frechet_distance(df, "v", "side", "real", "fake", max_width=2)
