@@ -671,6 +671,10 @@ oracle(
 EPOCHS = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS epoch, (event_type = 'error')::INT AS y_true,
     (value > 10)::INT AS y_pred FROM events"""
 oracle("stream_confusion", f"SELECT epoch, y_true, y_pred, count(*) AS n FROM ({EPOCHS}) GROUP BY 1, 2, 3")
+oracle("stream_late_rows", """SELECT epoch, count(*) FILTER (NOT behind) AS counted,
+        round(avg((y_true = y_pred)::INT) FILTER (NOT behind), 6) AS accuracy, count(*) FILTER (behind) AS late, count(*) AS arrived
+    FROM (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS epoch, (event_type = 'error')::INT AS y_true,
+                 (value > 10)::INT AS y_pred, event_id % 10 = 0 AND day(ts) <= 10 AS behind FROM events) GROUP BY 1""")
 oracle("batch_confusion", f"""SELECT epoch, count(*) AS n, round(avg((y_true = y_pred)::INT), 6) AS accuracy
     FROM ({EPOCHS}) GROUP BY 1""")
 

@@ -1040,6 +1040,27 @@ def stream_confusion(spark, d):
     return ST.latest_counts(spark.read.parquet(path))
 
 
+@query
+def stream_late_rows(spark, d):
+    """Events in three arrivals: up to day 20, the days after it, and then every tenth
+    event of the first ten days, which comes after its epoch was closed. The streams are
+    stopped before the last arrival and go on from their checkpoints."""
+    root, table = scratch_path(spark, "stream"), V.table(spark, d, "events")
+    behind = (F.col("event_id") % 10 == 0) & (F.dayofmonth("ts") <= 10)
+    early = F.dayofmonth("ts") <= 20
+    for arrivals in ((~behind & early, ~behind & ~early), (behind,)):
+        for part in arrivals:
+            table.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        events = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        rows = V.pred_stream(events)
+        streams = {"counts": ST.epoch_confusion(rows), "arrivals": ST.epoch_arrivals(rows)}
+        for name, stream in streams.items():
+            ST.start_confusion(stream, f"{root}/{name}", f"{root}/{name}-state").awaitTermination()
+    counts = ST.latest_counts(spark.read.parquet(f"{root}/counts"))
+    state = ST.running_state(counts, ST.latest_arrivals(spark.read.parquet(f"{root}/arrivals")))
+    return rounded(state, "accuracy")
+
+
 @query
 def batch_confusion(spark, d):
     counts = ST.epoch_confusion(V.pred_stream(V.table(spark, d, "events")))

@@ -76,3 +76,25 @@ def test_epochs_do_not_depend_on_the_session_zone(spark, sf_dir, zone):
         assert as_set(QUERIES["stream_confusion"](spark, sf_dir)) == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_late_rows_are_counted_apart(spark, tmp_path):
+    """Rows for a closed epoch, before and after a restart: counted and late rows
+    together are those of the batch, epoch by epoch."""
+    source = tmp_path / "in"
+
+    def drained():
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
+        parts = {"counts": ST.epoch_confusion(stream), "arrivals": ST.epoch_arrivals(stream)}
+        for name, part in parts.items():
+            ST.start_confusion(part, str(tmp_path / name), str(tmp_path / f"{name}-state")).awaitTermination()
+        counts = ST.latest_counts(spark.read.parquet(str(tmp_path / "counts")))
+        arrivals = ST.latest_arrivals(spark.read.parquet(str(tmp_path / "arrivals")))
+        return {r.epoch[8:10]: (r.counted, r.late, r.arrived) for r in ST.running_state(counts, arrivals).collect()}
+
+    for data in (rows(1, 10), rows(5, 8), rows(9, 2), rows(1, 3)):  # a watermark takes a batch to hold
+        write(spark, data, source)
+    assert drained() == {"01": (10, 3, 13), "05": (8, 0, 8), "09": (2, 0, 2)}
+    for data in (rows(5, 4), rows(9, 6), rows(2, 1)):  # day 2 is closed before it has any row
+        write(spark, data, source)
+    assert drained() == {"01": (10, 3, 13), "02": (0, 1, 1), "05": (8, 4, 12), "09": (8, 0, 8)}
