@@ -10,9 +10,10 @@ is verified on the whole sets.
 
 Groups of copies are worked off without all their pairs. Equal sets are one class
 from the start. A bucket first verifies its members against its best connected
-member. Only where that leaves several components in a bucket, what is left is
-compared in blocks, by sketches, inside the tasks; just the pairs of different
-components that can still link leave them and are verified. A pair inside one
+member. Only buckets that still hold several components are compared further, each
+by itself and one for all those of the same members: in blocks, by sketches, inside
+the tasks; just the pairs of different components that can still link leave them and
+are verified. A pair inside one
 component needs no look, since components are what is asked for.
 """
 
@@ -38,6 +39,10 @@ LARGEST = 1 << 40
 SKETCH_WORDS = 32
 SKETCH_LOAD = 16
 BLOCK_ROWS = 512
+# Words of the sketches that go to the blocks, at most, and rows of a block that are
+# compared with the others at once.
+BLOCK_WORDS = 128
+PAIR_ROWS = 64
 # Contents that a task remembers, to send the buckets of a copy only once.
 COPY_MEMORY = 200_000
 # Bucket keys handed on at once.
@@ -365,37 +370,52 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, words: int
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _small_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches of at most `BLOCK_WORDS` words, for the comparison in blocks."""
+    for batch in batches:
+        raw = [folded(np.frombuffer(r, np.uint64), BLOCK_WORDS).tobytes() for r in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(raw, pa.binary())], ["rep", "n", "sketch"])
+
+
 def _block_pairs(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = Limit(percent)
-        for group in sorted_groups(batches, ["gather", "i", "j"]):
-            rep, n, comp, block, i, j = (
-                group.column(c).to_numpy() for c in ("rep", "n", "component", "block", "i", "j")
-            )
+        limit, found, held = Limit(percent), [], 0
+        for group in sorted_groups(batches, ["key", "i", "j"]):
+            rep, n, comp, block, i, j = (group.column(c).to_numpy() for c in ("rep", "n", "component", "block", "i", "j"))
             raw = group.column("sketch").to_pylist()
             bits = folded_rows(raw)
             inside = i[0] == j[0]
             left = np.arange(len(rep)) if inside else np.flatnonzero(block == i)
             right = left if inside else np.flatnonzero(block == j)
-            one, two = [], []
-            for place, x in enumerate(left):
-                others = right[place + 1 :] if inside else right
-                apart = np.bitwise_count(bits[others] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                near = (apart <= limit.difference(n[others] + n[x])) & (comp[others] != comp[x])
-                hits = others[near & (np.minimum(n[others], n[x]) * 100 >= np.maximum(n[others], n[x]) * percent)]
-                if n[x] > SKETCH_WORDS * SKETCH_LOAD // 2:
-                    hits = hits[[not far_apart(raw[x], raw[y], int(limit.difference(n[x] + n[y]))) for y in hits]]
-                one.append(np.full(len(hits), rep[x]))
-                two.append(rep[hits])
-            if one:
-                a, b = np.concatenate(one), np.concatenate(two)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-                )
+            for a in range(0, len(left), PAIR_ROWS):
+                x, y = (v.ravel() for v in np.meshgrid(left[a : a + PAIR_ROWS], right, indexing="ij"))
+                fit = comp[x] != comp[y]
+                if inside:
+                    fit &= x < y
+                x, y = x[fit], y[fit]
+                low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+                fit = low * 100 >= high * percent
+                x, y, low = x[fit], y[fit], low[fit]
+                fit = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) <= limit.difference(n[x] + n[y])
+                for k in np.flatnonzero(fit & (low > SKETCH_WORDS * SKETCH_LOAD // 2)):
+                    fit[k] = not far_apart(raw[x[k]], raw[y[k]], int(limit.difference(n[x[k]] + n[y[k]])))
+                one, two = rep[x[fit]], rep[y[fit]]
+                found.append((np.minimum(one, two), np.maximum(one, two)))
+                held += len(one)
+            if held >= KEY_BATCH:
+                yield _pair_batch(found)
+                found, held = [], 0
+        if held:
+            yield _pair_batch(found)
 
     return compare
 
 
+def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) for x in zip(*found))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
 def jaccard_components(
     docs: DataFrame,
     words: int = 3,
@@ -448,7 +468,7 @@ def jaccard_components(
     pairs, pairs_path = work.keep(pairs, "pairs")
     # Only buckets of three or more can still hold several components afterwards.
     many = best.filter("m > 2")
-    later, later_path = work.keep(meets.join(many.select("key", "center"), "key"), "later")
+    later, later_path = work.keep(meets.join(many.select("key"), "key", "left_semi"), "later")
     work.drop(meets_path, best_path)
     named = classes.join(weight.select("rep"), "rep", "left_semi")
     own = sizes.join(named, ["h1", "h2"]).filter("doc_id = rep").select("rep", "n", "sketch")
@@ -469,24 +489,28 @@ def jaccard_components(
         .agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
         .filter("c1 <> c2")
     )
-    left = later.join(open_keys.select("key"), "key", "left_semi").select("rep", "center").distinct()
-    gathers = components(left.select(F.col("rep").alias("a"), F.col("center").alias("b")), work)
-    gathers = gathers.select(F.col("id").alias("rep"), F.col("component").alias("gather"))
-    counts = gathers.groupBy("gather").agg(F.count(F.lit(1)).alias("size"))
+    left = work.stored(later.join(open_keys.select("key"), "key", "left_semi").select("key", "rep"), "open")
+    # Near copies share many buckets; those of the same members are worked off once.
+    marks = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"s{k}") for k in (1, 2)]
+    alike = left.groupBy("key").agg(*marks, F.count(F.lit(1)).alias("size"))
+    alike = alike.groupBy("s1", "s2", "size").agg(F.min("key").alias("key")).select("key", "size")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("int")
+    small = work.stored(sketches.mapInArrow(_small_sketches, "rep bigint, n bigint, sketch binary"), "small")
     dealt = (
-        gathers.join(counts, "gather")
+        left.join(alike, "key")
         .join(state, "rep")
-        .join(sketches, "rep")
+        .join(small, "rep")
         .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     )
     others = F.transform(
         F.sequence(F.lit(0), blocks - 1),
         lambda b: F.struct(F.least(b, F.col("block")).alias("i"), F.greatest(b, F.col("block")).alias("j")),
     )
-    dealt = dealt.select("gather", "block", "rep", "n", "component", "sketch", F.inline(others))
-    dealt = dealt.repartition(partitions(spark), "gather", "i", "j").sortWithinPartitions("gather", "i", "j")
-    more = work.stored(dealt.mapInArrow(_block_pairs(percent), "a bigint, b bigint").distinct(), "more")
+    dealt = dealt.select("key", "block", "rep", "n", "component", "sketch", F.inline(others))
+    dealt = dealt.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    close = work.stored(dealt.mapInArrow(_block_pairs(percent), "a bigint, b bigint").distinct(), "close")
+    work.release()
+    more = work.stored(_can_link(close, sketches, percent), "more")
     work.drop(later_path, sketches_path)
     work.release()
     late = _verified(more, texts, classes, words, percent, work)
