@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortwise.functions.names import join_path
 from cohortwise.operators.classes import encode
-from cohortwise.operators.ranks import assign_parts, pick_first, rows_at, seeded_rank
+from cohortwise.operators.ranks import GROUP, assign_parts, group_of, pick_first, rows_at, seeded_hash, seeded_rank
 from cohortwise.session import fitted, materialize
 
 # Fixed values
@@ -46,50 +46,127 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return fitted(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
 
 
-def with_test_quota(counts: DataFrame, label: str, test_size: float | int, name: str, n: str = "n") -> DataFrame:
-    """Test rows per class for a stratified split of ``test_size``, as a column.
-
-    The test part has ``ceil(test_size * n)`` rows in all, or ``test_size`` rows
-    when that is an integer. Train quotas are the
-    class shares rounded down, the missing units go to the largest fractions,
-    ties to the smaller label; the rest of each class is test. A class of one
-    row cannot be split and is an error.
-    """
+def apportioned(counts: DataFrame, label: str, size: Column, wanted: Column, name: str) -> DataFrame:
+    """Units of each class out of ``wanted`` in all, as a column: the shares of ``size``
+    rounded down, the missing units to the largest fractions, ties to the smaller label."""
     everything = Window.partitionBy()
     exact = "decimal(19,0)"
-    size = F.col(n)
-    in_test = F.lit(test_size) if isinstance(test_size, int) else F.ceil(F.lit(float(test_size)) * F.col("_all"))
     shares = (
-        counts.withColumn("_all", F.sum(n).over(everything))
-        .withColumn("_train", F.greatest(F.col("_all") - in_test, F.lit(0)).cast("bigint"))
-        .withColumn("_scaled", size.cast(exact) * F.col("_train").cast(exact))
-        .withColumn("_fraction", (F.col("_scaled") % F.col("_all").cast(exact)).cast("bigint"))
-        .withColumn("_whole", ((F.col("_scaled") - F.col("_fraction")) / F.col("_all").cast(exact)).cast("bigint"))
+        counts.withColumn("_size", size.cast("bigint"))
+        .withColumn("_total", F.sum("_size").over(everything))
+        .withColumn("_wanted", wanted.cast("bigint"))
+        .withColumn("_scaled", F.col("_size").cast(exact) * F.col("_wanted").cast(exact))
+        .withColumn("_fraction", F.try_mod(F.col("_scaled"), F.col("_total").cast(exact)).cast("bigint"))
+        .withColumn("_whole", F.try_divide(F.col("_scaled") - F.col("_fraction"), F.col("_total").cast(exact)).cast("bigint"))
     )
-    missing = F.col("_train") - F.sum("_whole").over(everything)
     place = F.row_number().over(everything.orderBy(F.desc("_fraction"), F.asc(label)))
-    too_small = F.raise_error(F.lit(f"a class of {label} has under two rows and cannot be split"))
     return (
-        shares.withColumn("_missing", missing)
+        shares.withColumn("_missing", F.col("_wanted") - F.sum("_whole").over(everything))
         .withColumn("_extra", (place <= F.col("_missing")).cast("bigint"))
-        .withColumn(name, F.when(size < 2, too_small.cast("bigint")).otherwise(size - F.col("_whole") - F.col("_extra")))
+        .withColumn(name, F.coalesce(F.col("_whole") + F.col("_extra"), F.lit(0)))
         .select(*counts.columns, name)
     )
 
 
+def part_size(size: float | int, rows: Column, up: bool) -> Column:
+    """Rows of a part given as a number or, if it is no integer, as a share of all."""
+    if isinstance(size, int):
+        return F.lit(size).cast("bigint")
+    scaled = F.lit(float(size)) * rows
+    return (F.ceil(scaled) if up else F.floor(scaled)).cast("bigint")
+
+
+def with_test_quota(
+    counts: DataFrame,
+    label: str,
+    test_size: float | int | None,
+    name: str,
+    n: str = "n",
+    train_size: float | int | None = None,
+    train: str | None = None,
+) -> DataFrame:
+    """Test rows per class for a stratified split, as a column; with ``train`` the train
+    rows, too.
+
+    The test part has ``ceil(test_size * n)`` rows in all, or ``test_size`` rows when
+    that is an integer; the train part ``floor(train_size * n)`` or ``train_size``. One
+    of them not given is the rest; with both, rows may be left for neither. Train quotas
+    are the class shares, see `apportioned`; the test rows come from what is left of
+    each class. A class of one row, a part with fewer rows than there are classes, and
+    parts of more rows than there are, cannot be split and are errors.
+    """
+    if test_size is None and train_size is None:
+        raise ValueError("a split needs the size of a part")
+    size = F.col(n)
+    everything = Window.partitionBy()
+    sized = counts.withColumn("_all", F.sum(size).over(everything)).withColumn("_classes", F.count(F.lit(1)).over(everything))
+    rows = F.col("_all")
+    test = rows - part_size(train_size, rows, False) if test_size is None else part_size(test_size, rows, True)
+    kept = rows - test if train_size is None else part_size(train_size, rows, False)
+    sized = sized.withColumn("_test", test).withColumn("_kept", F.greatest(kept, F.lit(0)))
+    dealt = apportioned(sized, label, size, F.col("_kept"), "_first")
+    if train_size is not None and test_size is not None:
+        dealt = apportioned(dealt, label, size - F.col("_first"), F.col("_test"), "_second")
+    else:
+        dealt = dealt.withColumn("_second", size - F.col("_first"))
+    fewest = F.least("_test", "_kept")
+    wrong = (
+        F.when(size < 2, f"a class of {label} has under two rows and cannot be split")
+        .when(F.col("_test") + F.col("_kept") > rows, "the parts have more rows than there are")
+        .when(fewest < F.col("_classes"), f"a part has fewer rows than {label} has classes")
+    )
+    checked = lambda c: F.when(wrong.isNotNull(), F.raise_error(wrong).cast("bigint")).otherwise(F.col(c))
+    found = [checked("_second").alias(name), *([checked("_first").alias(train)] if train else [])]
+    return dealt.select(*counts.columns, *found)
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
     keys: Sequence[str],
     seed: int,
+    test_size: float | int | None = TEST_SIZE,
+    names: tuple[str, str] = ("train", "test"),
+    name: str = "split",
+    train_size: float | int | None = None,
+) -> DataFrame:
+    """Two-way split column with the class shares kept in both parts; a null label is a
+    class. With both sizes given, rows of neither part have a null there."""
+    train, test = names
+    if train_size is None or test_size is None:
+        quota_of = lambda counts: with_test_quota(counts, label, test_size, test, train_size=train_size)
+        return assign_parts(df, quota_of, [test], keys, seed, [label], train, name)
+    both = lambda counts: with_test_quota(counts, label, test_size, test, "n", train_size, train)
+    return assign_parts(df, both, [test, train], keys, seed, [label], None, name)
+
+
+def uniform(keys: Sequence[str], seed: int) -> Column:
+    """A number from 0 to 1 that seed and key of a row decide."""
+    return F.conv(F.substring(seeded_hash(seed, keys), 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
+
+
+def share_split(
+    df: DataFrame,
+    keys: Sequence[str],
+    seed: int,
     test_size: float = TEST_SIZE,
     names: tuple[str, str] = ("train", "test"),
     name: str = "split",
 ) -> DataFrame:
-    """Two-way split column with the class shares kept in both parts."""
+    """Split column by share alone: each row by its own hash. Parts and classes have
+    their shares up to chance, which evens out with the rows; nothing is counted,
+    ranked or moved, and rows that come later leave the others where they are."""
     train, test = names
-    quota_of = lambda counts: with_test_quota(counts, label, test_size, test)
-    return assign_parts(df, quota_of, [test], keys, seed, [label], train, name)
+    return df.withColumn(name, F.when(uniform(keys, seed) < test_size, test).otherwise(train))
+
+
+def share_sample(df: DataFrame, label: str, shares: Mapping, keys: Sequence[str], seed: int, rest: float = 1.0) -> DataFrame:
+    """Rows of each class kept with its share of ``shares``, others with ``rest``, each
+    by its own hash: undersampling without counting or moving rows."""
+    share = F.lit(float(rest))
+    for value, part in shares.items():
+        share = F.when(F.col(label).eqNullSafe(F.lit(value)), float(part)).otherwise(share)
+    return df.where(uniform(keys, seed) < share)
 
 
 def stratified_split3(
@@ -136,14 +213,14 @@ def draws(wanted: DataFrame, label: str, total: int, seed: int) -> DataFrame:
 
 def draw_rows(df: DataFrame, counts: DataFrame, label: str, need: Column, keys: Sequence[str], seed: int) -> DataFrame:
     """Rows drawn with replacement, ``need`` per class, all columns kept, with a
-    ``draw`` number. Rows without a label are in no class.
+    ``draw`` number. As in splits, a null label is a class like others.
 
     Few draws from many rows look up their rows by place and leave the others
     where they are. Many draws are joined with the ranked rows on (class, rank),
     so that a hot class spreads out.
     """
     wanted = counts.select(label, "n", need.cast("bigint").alias("_need"))
-    wanted = wanted.where(F.col(label).isNotNull() & (F.col("_need") > 0))
+    wanted = wanted.where(F.col("_need") > 0)
     sums = wanted.agg(F.sum("_need").alias("need"), F.sum("n").alias("n"), F.count("n").alias("classes")).first()
     total, rows = sums.need or 0, sums.n or 0
     drawn = draws(wanted, label, total, seed)
@@ -153,7 +230,8 @@ def draw_rows(df: DataFrame, counts: DataFrame, label: str, need: Column, keys:
         return rows_at(df, drawn, total, chunks, keys, seed, [label]).select(*df.columns, "draw")
     ranked = seeded_rank(df, keys, seed, [label], "rank")
     hint = "broadcast" if total <= BROADCAST_DRAWS else "merge"
-    return ranked.join(drawn.hint(hint), [label, "rank"]).select(*df.columns, "draw")
+    drawn = drawn.select(group_of([label]).alias(GROUP), "draw", "rank")
+    return ranked.withColumn(GROUP, group_of([label])).join(drawn.hint(hint), [GROUP, "rank"]).select(*df.columns, "draw")
 
 
 def bootstrap_per_class(df: DataFrame, label: str, keys: Sequence[str], value: int, seed: int) -> DataFrame:

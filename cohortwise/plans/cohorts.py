@@ -33,7 +33,7 @@ from cohortwise.operators.summary import percent_text, share
 from cohortwise.session import materialize
 from cohortwise.sources.files import list_tree
 from cohortwise.sources.scans import class_dir_files
-from cohortwise.sources.sinks import batches
+from cohortwise.sources.sinks import batches, export_batches
 
 # Fixed values
 TEST_LIST = "test"
@@ -183,23 +183,34 @@ def explore(
     )
 
 
-def prepare_job(
+def dealt_job(
     samples: DataFrame,
     keys: Sequence[str],
-    order: str,
     seed: int,
-    batch_size: int,
     test_size: float = TEST_SIZE,
     sampling: str | None = None,
     value: int = SAMPLE_TO_VALUE,
     generated: DataFrame | None = None,
 ) -> DataFrame:
-    """From a cohort with train and test rows to numbered batches of train, val
-    and test. The cohort and the dealt rows are written once each, by split, as
-    the fitted steps read them several times."""
+    """A cohort with train and test rows dealt into train, val and test. The cohort and
+    the dealt rows are written once each, by split, as the fitted steps read them
+    several times. Drawn rows have a ``draw`` number, all others null."""
     stored = materialize(samples, "samples", ["split"])
     train = stored.where("split = 'train'").drop("split")
     parts = prepare_splits(train, LABEL, keys, seed, test_size, generated, sampling=sampling, value=value)
     test = stored.where("split = 'test'").withColumn("draw", F.lit(None).cast("bigint"))
-    dealt = materialize(parts.unionByName(test.select(parts.columns)), "dealt", ["split"])
-    return batches(dealt, [*keys, "draw"], order, batch_size, seed)
+    return materialize(parts.unionByName(test.select(parts.columns)), "dealt", ["split"])
+
+
+def prepare_job(
+    samples: DataFrame, keys: Sequence[str], order: str, seed: int, batch_size: int, **options
+) -> DataFrame:
+    """From a cohort to numbered batches of train, val and test; options as `dealt_job`."""
+    return batches(dealt_job(samples, keys, seed, **options), [*keys, "draw"], order, batch_size, seed)
+
+
+def export_job(
+    samples: DataFrame, path: str, keys: Sequence[str], order: str, seed: int, batch_size: int, **options
+) -> None:
+    """The whole job: from a cohort to written batches, each within one file."""
+    export_batches(dealt_job(samples, keys, seed, **options), path, [*keys, "draw"], order, batch_size, seed)

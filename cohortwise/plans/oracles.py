@@ -537,6 +537,21 @@ def draw_parts(source: str, need: str, prefix: str = "d") -> str:
             AND rank = ('0x' || substr(md5('42|' || c || '|' || draw), 1, 15))::BIGINT % n + 1)"""
 
 
+oracle("share_split", """SELECT key, labels, CASE WHEN ('0x' || substr(md5('42|' || key), 1, 8))::BIGINT / 4294967296::DOUBLE < 0.1
+    THEN 'test' ELSE 'train' END AS split FROM v_samples""")
+oracle("share_sample", """SELECT key, labels FROM v_samples WHERE ('0x' || substr(md5('42|' || key), 1, 8))::BIGINT / 4294967296::DOUBLE
+    < CASE labels WHEN 0 THEN 0.25 WHEN 2 THEN 0.5 ELSE 1 END""")
+oracle("stratified_split_sizes", f"""SELECT s.key, s.labels, CASE WHEN r <= test THEN 'test' WHEN r <= test + train THEN 'train' END AS split
+    FROM ({SPLIT}) s JOIN z_q USING (labels)""",
+    "z_n AS (SELECT labels, count(*) AS n, sum(count(*)) OVER () AS total FROM v_samples GROUP BY 1)",
+    "z_t AS (SELECT *, floor(0.5 * total)::BIGINT AS kept, ceil(0.2::DOUBLE * total)::BIGINT AS tested FROM z_n)",
+    """z_w AS (SELECT *, (n::HUGEINT * kept) // total::HUGEINT AS whole, (n::HUGEINT * kept) % total::HUGEINT AS frac FROM z_t)""",
+    """z_k AS (SELECT *, (whole + CASE WHEN row_number() OVER (ORDER BY frac DESC, labels) <= kept - sum(whole) OVER ()
+        THEN 1 ELSE 0 END)::BIGINT AS train FROM z_w)""",
+    "z_l AS (SELECT labels, train, n - train AS rest, tested, sum(n - train) OVER () AS total FROM z_k)",
+    """z_v AS (SELECT *, (rest::HUGEINT * tested) // total::HUGEINT AS whole, (rest::HUGEINT * tested) % total::HUGEINT AS frac FROM z_l)""",
+    """z_q AS (SELECT labels, train, (whole + CASE WHEN row_number() OVER (ORDER BY frac DESC, labels) <= tested - sum(whole) OVER ()
+        THEN 1 ELSE 0 END)::BIGINT AS test FROM z_v)""")
 oracle("bootstrap_per_class", "SELECT key, labels, draw FROM d", draw_parts("v_samples", "3500"))
 oracle("resample_to_value", "SELECT key, labels, NULL::BIGINT AS draw FROM v_samples UNION ALL SELECT key, labels, draw FROM d",
        draw_parts("v_samples", "3500 - n"))
@@ -610,19 +625,35 @@ oracle(
         UNION ALL SELECT *, unnest(parts) AS part FROM x_v
         UNION ALL SELECT *, 'restricted_test' FROM x_v WHERE list_contains(parts, 'test') AND allowed)""",
 )
-oracle(
-    "prepare_job",
-    f"""SELECT key AS order_key, '/scans/' || key AS image_files, labels, split, position, (position - 1) // 64 AS batch_id
-    FROM (SELECT *, {POSITIONS.format('key')} AS position FROM j_all)""",
+JOB = [
     f"j_0 AS (SELECT order_key AS key, {IS_POSITIVE}::INT AS labels, part FROM v_labels JOIN v_split_list ON id = order_key)",
     "j_t AS (SELECT key, labels FROM j_0 WHERE part = 'train')",
     quotas("j_t", "labels"),
     f"""j_s AS (SELECT key, labels, CASE WHEN r <= quota THEN 'val' ELSE 'train' END AS split
         FROM (SELECT *, {seeded('key', 'labels')} AS r FROM j_t) JOIN q ON c = labels)""",
+]
+UNDERSAMPLED = [
+    *JOB,
     f"j_r AS (SELECT *, {seeded('key', 'labels')} AS r FROM j_s WHERE split = 'train')",
     """j_all AS (SELECT key, labels, split FROM j_r WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM j_r GROUP BY labels))
         UNION ALL SELECT key, labels, split FROM j_s WHERE split = 'val'
         UNION ALL SELECT key, labels, part FROM j_0 WHERE part = 'test')""",
+]
+JOB_ROWS = f"FROM (SELECT *, {POSITIONS.format('key')} AS position FROM j_all)"
+BATCH = "position, (position - 1) // 64 AS batch_id"
+oracle("prepare_job", f"SELECT key AS order_key, '/scans/' || key AS image_files, labels, split, {BATCH} {JOB_ROWS}", *UNDERSAMPLED)
+oracle("prepare_job_export", f"SELECT key AS order_key, labels, split, {BATCH} {JOB_ROWS}", *UNDERSAMPLED)
+oracle(
+    "prepare_job_bootstrap",
+    f"""SELECT key AS order_key, labels, split, draw, {BATCH}
+    FROM (SELECT *, CASE WHEN split = 'test' THEN row_number() OVER (PARTITION BY split ORDER BY key)
+        ELSE row_number() OVER (PARTITION BY split ORDER BY md5(concat_ws('|', '42', key, draw)), key, draw) END AS position FROM j_all)""",
+    *JOB,
+    "j_b AS (SELECT key, labels FROM j_s WHERE split = 'train')",
+    draw_parts("j_b", "1000"),
+    """j_all AS (SELECT key, labels, 'train' AS split, draw FROM d
+        UNION ALL SELECT key, labels, split, NULL FROM j_s WHERE split = 'val'
+        UNION ALL SELECT key, labels, part, NULL FROM j_0 WHERE part = 'test')""",
 )
 
 # --- vectors ---

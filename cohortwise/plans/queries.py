@@ -844,6 +844,22 @@ def stratified_split(spark, d):
     return S.stratified_split(V.samples(spark, d), "labels", ["key"], SEED).select("key", "labels", "split")
 
 
+@query
+def stratified_split_sizes(spark, d):
+    """Both parts given, so that some rows are in neither."""
+    return S.stratified_split(V.samples(spark, d), "labels", ["key"], SEED, 0.2, train_size=0.5).select("key", "labels", "split")
+
+
+@query
+def share_split(spark, d):
+    return S.share_split(V.samples(spark, d), ["key"], SEED, 0.1).select("key", "labels", "split")
+
+
+@query
+def share_sample(spark, d):
+    return S.share_sample(V.samples(spark, d), "labels", {0: 0.25, 2: 0.5}, ["key"], SEED).select("key", "labels")
+
+
 @query
 def stratified_split3(spark, d):
     named = C.decode(V.samples(spark, d), "labels", ENCODING, "class_name")
@@ -948,16 +964,33 @@ def explore_flow(spark, d):
     )
 
 
-@query
-def prepare_job(spark, d):
+def job_samples(spark, d):
     spec = CO.CohortSpec("order_key", "label", "/scans")
     labelled = V.findings(spark, d).select(
         "order_key", L.label_any(L.split_labels(F.col("finding_labels")), V.POSITIVE).alias("label")
     )
-    samples = CO.cohort_by_list(labelled, V.split_lists(spark, d), spec).drop("label")
-    return CO.prepare_job(samples, ["order_key"], "order_key", SEED, 64, sampling="undersample").select(
-        "order_key", "image_files", "labels", "split", "position", "batch_id"
-    )
+    return CO.cohort_by_list(labelled, V.split_lists(spark, d), spec).drop("label")
+
+
+@query
+def prepare_job(spark, d):
+    job = CO.prepare_job(job_samples(spark, d), ["order_key"], "order_key", SEED, 64, sampling="undersample")
+    return job.select("order_key", "image_files", "labels", "split", "position", "batch_id")
+
+
+@query
+def prepare_job_bootstrap(spark, d):
+    """The train part drawn with replacement, 1,000 rows of each class."""
+    job = CO.prepare_job(job_samples(spark, d), ["order_key"], "order_key", SEED, 64, sampling="bootstrap", value=1000)
+    return job.select("order_key", "labels", "split", "draw", "position", "batch_id")
+
+
+@query
+def prepare_job_export(spark, d):
+    """The whole job to its written batches."""
+    path = scratch_path(spark, "job")
+    CO.export_job(job_samples(spark, d), path, ["order_key"], "order_key", SEED, 64, sampling="undersample")
+    return spark.read.parquet(path).select("order_key", "labels", "split", "position", "batch_id")
 
 
 # --- vectors -----------------------------------------------------------------

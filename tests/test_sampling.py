@@ -25,6 +25,7 @@ from cohortwise.operators.sampling import (
     undersample,
     with_test_quota,
 )
+from cohortwise.plans.cohorts import export_job
 
 SEED = 5
 
@@ -74,7 +75,7 @@ def test_quotas(spark, sizes, share):
     assert sum(got.values()) == math.ceil(share * sum(sizes))
 
 
-@pytest.mark.parametrize("rows,expected", [(0, {0: 0, 1: 0}), (10, {0: 7, 1: 3}), (101, {0: 70, 1: 30})])
+@pytest.mark.parametrize("rows,expected", [(2, {0: 1, 1: 1}), (10, {0: 7, 1: 3}), (97, {0: 68, 1: 29})])
 def test_quotas_of_a_number_of_rows(spark, rows, expected):
     df = spark.createDataFrame([(0, 70), (1, 30)], "label int, n bigint")
     assert {r.label: r.test for r in with_test_quota(df, "label", rows, "test").collect()} == expected
@@ -256,11 +257,11 @@ def test_bootstrap(spark, skewed, monkeypatch, parts, broadcast_limit, block, fe
 
 
 @pytest.mark.parametrize("few", [64, 0])
-def test_draws_leave_out_rows_without_a_label(spark, monkeypatch, few):
+def test_draws_take_a_null_label_as_a_class(spark, monkeypatch, few):
     monkeypatch.setattr(sampling, "FEW_DRAWS", few)
     rows = [(i, None if i % 2 else 1) for i in range(100)]
     got = bootstrap_per_class(frame(spark, rows), "label", ["key"], 7, SEED).collect()
-    assert len(got) == 7 and {r.label for r in got} == {1}
+    assert Counter(r.label for r in got) == {1: 7, None: 7}
 
 
 @pytest.mark.parametrize("chunks", [0, 5000, 10**9])
@@ -388,3 +389,78 @@ def test_parts_of_any_table(spark, rows, quotas, seed):
         x, y = quotas.get(label, (0, 0))
         expected = (["x"] * x + ["y"] * y + ["rest"] * len(members))[: len(members)]
         assert [got[k] for k in in_order] == expected
+
+
+def labelled(spark, sizes):
+    rows = [(f"{label}-{i}", label) for label, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame(rows, "key string, label int")
+
+
+def sizes_of(df):
+    return {(r.label, r.split): r["count"] for r in df.groupBy("label", "split").count().collect()}
+
+
+def test_a_null_label_is_a_class_in_every_step(spark, monkeypatch):
+    df = labelled(spark, {0: 40, 1: 20, None: 10})
+    split = sizes_of(stratified_split(df, "label", ["key"], 1, 0.3))
+    assert split == {(0, "test"): 12, (0, "train"): 28, (1, "test"): 6, (1, "train"): 14, (None, "test"): 3, (None, "train"): 7}
+    classes = lambda out: {r.label: r["count"] for r in out.groupBy("label").count().collect()}
+    assert classes(undersample(df, "label", ["key"], 1)) == {0: 10, 1: 10, None: 10}
+    for few in (0, 64):  # by place and by rank
+        monkeypatch.setattr(sampling, "FEW_DRAWS", few)
+        assert classes(bootstrap_per_class(df, "label", ["key"], 25, 1)) == {0: 25, 1: 25, None: 25}
+        assert classes(resample_to_value(df, "label", ["key"], 1, 30)) == {0: 40, 1: 30, None: 30}
+
+
+def test_sizes_of_both_parts(spark):
+    df = labelled(spark, {0: 60, 1: 40})
+    assert sizes_of(stratified_split(df, "label", ["key"], 1, None, train_size=0.25)) == {
+        (0, "train"): 15, (1, "train"): 10, (0, "test"): 45, (1, "test"): 30}
+    assert sizes_of(stratified_split(df, "label", ["key"], 1, 20, train_size=30)) == {
+        (0, "train"): 18, (1, "train"): 12, (0, "test"): 12, (1, "test"): 8, (0, None): 30, (1, None): 20}
+
+
+@pytest.mark.parametrize(
+    "test_size,train_size,message",
+    [(2, None, "fewer rows"), (0.02, None, "fewer rows"), (28, None, "fewer rows"), (None, 2, "fewer rows"), (20, 20, "more rows")],
+)
+def test_impossible_parts_are_errors(spark, test_size, train_size, message):
+    df = labelled(spark, {0: 10, 1: 10, 2: 10})
+    with pytest.raises(Exception, match=message):
+        stratified_split(df, "label", ["key"], 1, test_size, train_size=train_size).collect()
+
+
+def test_a_split_needs_a_size(spark):
+    with pytest.raises(ValueError, match="size"):
+        stratified_split(labelled(spark, {0: 4}), "label", ["key"], 1, None)
+
+
+def test_shares_move_no_rows(spark):
+    """By hash alone: no shuffle, no fit, and further rows leave the others in place."""
+    df = labelled(spark, {0: 3000, 1: 600, None: 400})
+    split = sampling.share_split(df, ["key"], 7, 0.2)
+    sample = sampling.share_sample(df, "label", {0: 0.2, None: 0.5}, ["key"], 7)
+    for out in (split, sample):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    test = sizes_of(split)
+    assert all(0.12 * n < test[label, "test"] < 0.28 * n for label, n in {0: 3000, 1: 600, None: 400}.items())
+    kept = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    assert 500 < kept[0] < 700 and kept[1] == 600 and 150 < kept[None] < 250
+    more = sampling.share_split(df.unionByName(labelled(spark, {5: 100})), ["key"], 7, 0.2)
+    assert split.exceptAll(more).count() == 0
+
+
+def test_exported_job_holds_every_row_once(spark, tmp_path):
+    """Batches of the written job: as many rows as value x classes in the train part,
+    each batch whole and in one file."""
+    df = labelled(spark, {0: 60, 1: 30}).withColumnRenamed("label", "labels")
+    part = F.when(F.substring("key", 3, 9).cast("int") % 5 == 0, "test").otherwise("train")
+    samples = df.withColumn("split", part).withColumn("image_files", F.col("key"))
+    path = str(tmp_path / "job")
+    export_job(samples, path, ["key"], "key", 1, 8, test_size=0.25, sampling="bootstrap", value=40)
+    out = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert counts == {"train": 80, "val": 18, "test": 18}
+    per_batch = out.groupBy("split", "batch_id").agg(F.countDistinct("file").alias("files"), F.count("*").alias("n"))
+    assert {r.files for r in per_batch.collect()} == {1}
+    assert out.groupBy("split", "position").count().where("count > 1").count() == 0
