@@ -21,6 +21,8 @@ from cohortwise.llm.graph import components
 
 # Rows that a bucket should hold, and rows of a block within a bucket.
 BUCKET_ROWS = 64
+# Lengths whose squares are well within doubles; other vectors are scaled first.
+IN_RANGE = (1e-140, 1e140)
 BLOCK_ROWS = 512
 # Chance that a pair at the threshold shares no bucket.
 MISS = 0.002
@@ -141,9 +143,14 @@ def near_duplicates(
     fine = F.forall(doubles, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     size = F.sqrt(F.aggregate("_x", F.lit(0.0), lambda s, v: s + v * v))
     rows = vectors.select(F.col(key).alias("vec_id"), F.col(label).alias("_label"), F.when(fine, doubles).alias("_x"))
+    # Squares of very small or large values leave the range of doubles.
+    largest = F.array_max(F.transform("_x", lambda v: F.abs(v)))
+    rows = rows.withColumn("_size", size).withColumn("_largest", largest)
+    far = (F.col("_largest") > 0) & ~F.col("_size").between(*IN_RANGE)
+    rows = rows.withColumn("_x", F.when(far, F.transform("_x", lambda v: v / F.col("_largest"))).otherwise(F.col("_x")))
     rows = rows.withColumn("_size", size)
     usable = F.col("_label").isNotNull() & F.col("_x").isNotNull() & (F.col("_size") > 0)
-    unit = F.when(usable & (F.col("_size") < float("inf")), F.transform("_x", lambda v: v / F.col("_size")))
+    unit = F.when(usable, F.transform("_x", lambda v: v / F.col("_size")))
     rows = work.stored(rows.select("vec_id", "_label", unit.alias("unit")), "rows")
     found = rows.dropna(subset=["unit", "vec_id"])
     classes = found.groupBy("_label", "unit").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))

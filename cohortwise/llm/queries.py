@@ -192,7 +192,8 @@ ORACLES["op2_parity_join"] = r"""
 
 ORACLES["op8_near_vectors"] = """
     WITH RECURSIVE usable AS (
-        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / list_max(list_transform(embedding,
+            lambda y: abs(y::DOUBLE)))) AS v FROM embeddings
         WHERE label IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
           AND len(list_filter(embedding, lambda x: x <> 0)) > 0),

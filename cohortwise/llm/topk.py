@@ -26,6 +26,8 @@ FIRST_DEPTH = 8
 GROWTH = 4
 # Integers below this are exact in double precision.
 EXACT = 2**53
+# Scores are 64-bit integers below this.
+LARGEST = 2**63
 
 
 class SortedLists:
@@ -36,13 +38,15 @@ class SortedLists:
         self.ids, self.values = ids[order], values[order]
         self.order = np.argsort(self.values, axis=0, kind="stable")  # rising, one column per dimension
         self.sorted = np.take_along_axis(self.values, self.order, axis=0)
-        self.largest = int(np.abs(self.values).max(initial=0))
+        self.largest = max(int(self.values.max(initial=0)), -int(self.values.min(initial=0)))
 
     def _scored(self, query: np.ndarray):
-        """Values and query in a type whose sums are exact."""
-        if self.largest * int(np.abs(query).max(initial=0)) * max(1, len(query)) < EXACT:
+        """Values and query in a type whose sums are exact: doubles, 64-bit integers or,
+        where these could overflow, Python's."""
+        most = self.largest * max(int(query.max(initial=0)), -int(query.min(initial=0))) * max(1, len(query))
+        if most < EXACT:
             return self.floats, query.astype(np.float64)
-        return self.values, query
+        return (self.values, query) if most < LARGEST else (self.values.astype(object), query.astype(object))
 
     @property
     def floats(self) -> np.ndarray:
@@ -73,14 +77,20 @@ class SortedLists:
             met[fresh] = True
             rows = np.concatenate([rows, fresh])
             scores = np.concatenate([scores, values[fresh] @ q])
-            top = np.lexsort((rows, -scores))[:k]  # rows are in order of ids
+            if scores.dtype == object:
+                top = np.array(sorted(range(len(rows)), key=lambda t: (-scores[t], rows[t]))[:k], np.int64)
+            else:
+                top = np.lexsort((rows, -scores))[:k]  # rows are in order of ids
             rows, scores = rows[top], scores[top]
             if depth == n:
                 break
-            bound = np.where(up, self.sorted[n - depth, used], self.sorted[depth - 1, used]) @ query[used]
+            ends = np.where(up, self.sorted[n - depth, used], self.sorted[depth - 1, used])
+            bound = ends.astype(values.dtype) @ q[used]
             if len(rows) == k and scores[-1] > bound:
                 break
             low, depth = depth, min(n, depth * GROWTH)
+        if scores.dtype == object and any(not -LARGEST <= s < LARGEST for s in scores):
+            raise OverflowError("an inner product does not fit 64 bits")
         return self.ids[rows], scores.astype(np.int64), depth
 
 
@@ -121,7 +131,8 @@ def top_inner_products(
 
     ``vector`` is an array of bigint. Null vectors and null ids take no part. Only
     vectors of equal length meet. Ties go to the smaller id; rows that share an id
-    count as one row each, but never meet their own id. Fewer rows than k give
+    count as one row each, but never meet their own id. Sums are exact; a score among
+    the k largest that does not fit a bigint is an error. Fewer rows than k give
     them all; an empty table none. Other columns are not read.
     """
     spark = vectors.sparkSession

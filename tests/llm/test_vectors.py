@@ -127,3 +127,24 @@ def test_awkward_vectors(spark):
 def test_equal_vectors_without_pairs(spark):
     out = neardup.near_duplicates(vectors(spark, [(i, [1.0, 2.0, 3.0], 1) for i in range(500)])).collect()
     assert {(r["n_links"], r["component_id"]) for r in out} == {(499, 0)}
+
+
+@pytest.mark.parametrize("scale", [1e-320, 1e-200, 1.0, 1e200, 1e307])
+def test_lengths_out_of_range_link(spark, scale):
+    """Squares of such values are zero or infinite in doubles; the cosine is not."""
+    rows = [(1, [scale, scale], 3), (2, [2 * scale, 2 * scale], 3), (3, [scale, -scale], 3), (4, [0.0, 0.0], 3)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
+
+
+def test_products_beyond_64_bits(spark):
+    """Exact where the score fits, and an error, never a wrapped number, where not."""
+    big = 3 * 10**9
+    rows = [(0, [big, 10**9]), (1, [big, -9 * 10**9]), (2, [2, 1]), (3, [-big, 0]), (4, [big, -8 * 10**9])]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>")
+    asked = topk.top_inner_products(df, F.col("vec_id") == 0, 3).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in asked] == [(4, 10**18), (2, 7 * 10**9), (1, 0)]
+    over = df.unionByName(spark.createDataFrame([(5, [big * 10, big])], df.schema))
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_inner_products(over, F.col("vec_id") == 0, 3).collect()
