@@ -203,14 +203,33 @@ def dealt_job(
 
 
 def prepare_job(
-    samples: DataFrame, keys: Sequence[str], order: str, seed: int, batch_size: int, **options
+    samples: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    seed: int,
+    batch_size: int,
+    test_size: float = TEST_SIZE,
+    sampling: str | None = None,
+    value: int = SAMPLE_TO_VALUE,
+    generated: DataFrame | None = None,
 ) -> DataFrame:
-    """From a cohort to numbered batches of train, val and test; options as `dealt_job`."""
-    return batches(dealt_job(samples, keys, seed, **options), [*keys, "draw"], order, batch_size, seed)
+    """From a cohort to numbered batches of train, val and test; see `dealt_job`."""
+    dealt = dealt_job(samples, keys, seed, test_size, sampling, value, generated)
+    return batches(dealt, [*keys, "draw"], order, batch_size, seed)
 
 
 def export_job(
-    samples: DataFrame, path: str, keys: Sequence[str], order: str, seed: int, batch_size: int, **options
+    samples: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: str,
+    seed: int,
+    batch_size: int,
+    test_size: float = TEST_SIZE,
+    sampling: str | None = None,
+    value: int = SAMPLE_TO_VALUE,
+    generated: DataFrame | None = None,
 ) -> None:
     """The whole job: from a cohort to written batches, each within one file."""
-    export_batches(dealt_job(samples, keys, seed, **options), path, [*keys, "draw"], order, batch_size, seed)
+    dealt = dealt_job(samples, keys, seed, test_size, sampling, value, generated)
+    export_batches(dealt, path, [*keys, "draw"], order, batch_size, seed)
