@@ -28,8 +28,9 @@ def _decided(spark: SparkSession, name: str, decide: Callable[[Workspace], DataF
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of these ids, null among them."""
-    ids = ids.select(F.col("doc_id").alias("_id"))
+    """The documents of these ids, null among them. The ids of a corpus have no bound, so
+    they are never broadcast: the join is planned alike at every size."""
+    ids = ids.select(F.col("doc_id").alias("_id")).hint("merge")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
 
 
@@ -55,7 +56,9 @@ def first_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
 
     kept = _decided(spark, "copies", decide)
-    repeated = _only(docs, kept.filter("rows > 1")).dropDuplicates(["doc_id", "text"])
+    several = kept.filter("rows > 1").select(F.col("doc_id").alias("_id"))
+    repeated = docs.join(several, docs["doc_id"].eqNullSafe(several["_id"]), "left_semi")
+    repeated = repeated.dropDuplicates(["doc_id", "text"])
     return _only(docs, kept.filter("rows = 1")).unionByName(repeated).select(docs.columns)
 
 
