@@ -355,7 +355,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, words: int
     a pair, one of each class; what they take goes before the links are returned."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     wanted = classes.join(ends, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "h1", "h2")
-    kept = texts.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
+    # The ids have no bound: never broadcast, so the join is planned alike at every size.
+    kept = texts.join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "h1", "h2")
     sets, sets_path = work.keep(kept.mapInArrow(_sets(words), SETS), "sets")
     work.release()
     found = []
