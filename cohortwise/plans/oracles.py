@@ -423,9 +423,9 @@ oracle("epoch_metrics", f"""SELECT split, epoch, split || '_' || metric AS metri
 )
 
 # --- run logs ---
-oracle("best_epochs", """SELECT run_id, epoch, value, place FROM (
-    SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY value, epoch))::INT AS place
-    FROM v_metric_log WHERE metric = 'error') WHERE place <= 2""")
+oracle("best_epochs", """SELECT run_id, metric, epoch, value, place FROM (
+    SELECT *, (row_number() OVER (PARTITION BY run_id, metric ORDER BY value, epoch))::INT AS place
+    FROM v_metric_log) WHERE place <= 2""")
 oracle(
     "early_stop",
     """SELECT run_id, count(*) AS epochs, min(CASE WHEN place - last >= 10 THEN epoch END) AS stop_epoch FROM e_l GROUP BY 1""",

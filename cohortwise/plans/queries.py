@@ -627,9 +627,9 @@ def epoch_metrics(spark, d):
 
 @query
 def best_epochs(spark, d):
-    log = V.metric_log(spark, d).where("metric = 'error'")
-    return W.best_epochs(log, ["run_id"], "value", "loss", 2).select(
-        "run_id", "epoch", "value", "place"
+    """Of every metric of a run, each as a score of its own."""
+    return W.best_epochs(V.metric_log(spark, d), ["run_id", "metric"], "value", "loss", 2).select(
+        "run_id", "metric", "epoch", "value", "place"
     )
 
 

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
 
 from cohortwise.operators import rows as R, runs as W
+from cohortwise.plans.oracles import oracle_queries
+from cohortwise.plans.queries import QUERIES
+from compare import connect, difference, spark_table, sql_table
 
 
 def stop_rule(values, patience, sign=1):
@@ -81,3 +85,26 @@ def test_nan_is_no_score(spark):
     assert W.early_stop(df.where("epoch < 6"), ["run"], "value", "loss", 3).first().stop_epoch is None
     diverged = spark.createDataFrame([(1, e, float("nan")) for e in range(5)], "run int, epoch int, value double")
     assert W.early_stop(diverged, ["run"], "value", "accuracy", 3).first().stop_epoch == 2
+
+
+def event_tables(spark, path, events):
+    """A folder with an events table; rows are (user, metric, value), one a minute."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=i), *event) for i, event in enumerate(events)]
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+    spark.createDataFrame(rows, schema).toPandas().to_parquet(path / "events.parquet", coerce_timestamps="us")
+    return str(path)
+
+
+def test_best_epochs_of_every_metric(spark, tmp_path):
+    """No metric of the log is left out, and none is compared with another."""
+    events = [(1, "view", 9.0), (1, "error", 0.5), (1, "view", 8.0), (1, "error", 0.1), (1, "view", 7.0), (2, "click", 3.0)]
+    events += [(2, None, 4.0), (None, "error", 2.0)]
+    d = event_tables(spark, tmp_path, events)
+    best = QUERIES["best_epochs"](spark, d)
+    assert {(r.run_id, r.metric, r.epoch, r.place) for r in best.collect()} == {
+        (1, "view", 5, 1), (1, "view", 3, 2), (1, "error", 4, 1), (1, "error", 2, 2),
+        (2, "click", 1, 1), (2, None, 2, 1), (None, "error", 1, 1),
+    }
+    with connect(d) as con:
+        assert difference(spark_table(best), sql_table(con, oracle_queries()["best_epochs"])) is None
