@@ -428,12 +428,13 @@ oracle("best_epochs", """SELECT run_id, metric, epoch, value, place FROM (
     FROM v_metric_log) WHERE place <= 2""")
 oracle(
     "early_stop",
-    """SELECT run_id, count(*) AS epochs, min(CASE WHEN place - last >= 10 THEN epoch END) AS stop_epoch FROM e_l GROUP BY 1""",
-    """e_b AS (SELECT run_id, epoch, value, row_number() OVER (PARTITION BY run_id ORDER BY epoch) AS place,
-        max(value) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
-        FROM v_metric_log WHERE metric = 'view')""",
-    """e_l AS (SELECT run_id, epoch, place, max(CASE WHEN best IS NULL OR value > best THEN place END) OVER (
-        PARTITION BY run_id ORDER BY epoch) AS last FROM e_b)""",
+    """SELECT run_id, metric, count(*) AS epochs, min(CASE WHEN place - last >= 10 THEN epoch END) AS stop_epoch
+    FROM e_l GROUP BY 1, 2""",
+    """e_b AS (SELECT run_id, metric, epoch, value, row_number() OVER (PARTITION BY run_id, metric ORDER BY epoch) AS place,
+        max(value) OVER (PARTITION BY run_id, metric ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+        FROM v_metric_log)""",
+    """e_l AS (SELECT run_id, metric, epoch, place, max(CASE WHEN best IS NULL OR value > best THEN place END) OVER (
+        PARTITION BY run_id, metric ORDER BY epoch) AS last FROM e_b)""",
 )
 oracle("last_metrics", """SELECT run_id, split, metric, max(epoch) AS epoch, arg_max(value, epoch) AS value
     FROM v_metric_log GROUP BY 1, 2, 3""")

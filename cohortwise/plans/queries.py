@@ -635,8 +635,9 @@ def best_epochs(spark, d):
 
 @query
 def early_stop(spark, d):
-    log = stored(V.metric_log(spark, d).where("metric = 'view'"), "metric-log")
-    return W.early_stop(log, ["run_id"], "value", "accuracy", 10, chunk_size=16)
+    """By every metric of a run, each as a score of its own."""
+    log = stored(V.metric_log(spark, d), "metric-log")
+    return W.early_stop(log, ["run_id", "metric"], "value", "accuracy", 10, chunk_size=16)
 
 
 @query

@@ -108,3 +108,17 @@ def test_best_epochs_of_every_metric(spark, tmp_path):
     }
     with connect(d) as con:
         assert difference(spark_table(best), sql_table(con, oracle_queries()["best_epochs"])) is None
+
+
+def test_early_stop_by_every_metric(spark, tmp_path):
+    """All rows of the log count; patience is counted in evaluations of the metric."""
+    events = [(1, "view", 9.0), (1, "error", 5.0)]
+    events += [(1, metric, value) for _ in range(10) for metric, value in (("view", 1.0), ("error", 4.0), ("click", 0.0))]
+    events += [(1, "error", 6.0), (2, None, 1.0), (None, "view", 2.0), (None, "view", 2.0)]
+    d = event_tables(spark, tmp_path, events)
+    stops = QUERIES["early_stop"](spark, d)
+    assert {tuple(r) for r in stops.select("run_id", "metric", "epochs", "stop_epoch").collect()} == {
+        (1, "view", 11, 30), (1, "error", 12, 31), (1, "click", 10, None), (2, None, 1, None), (None, "view", 2, None),
+    }
+    with connect(d) as con:
+        assert difference(spark_table(stops), sql_table(con, oracle_queries()["early_stop"])) is None
